@@ -41,19 +41,23 @@ def request_target(path_col: str | Column, pipeline: str, collection: str,
     return with_query_flag(target)
 
 
+# scheme, optional user info, host, optional port
+_ORIGIN = r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^@/?#]*@)?([^:/?#]*)(?::([0-9]*))?"
+
+
 def url_origin(c: str | Column) -> Column:
     """``scheme://host[:port]``; ``http://`` is put in front when missing.
 
-    An absent port is left out (the source client printed ``:-1``). Text
-    that does not parse as a URL gives null.
+    The scheme is lower-cased, the host kept as written. An absent port is
+    left out (the source client printed ``:-1``). No host gives null. Only
+    the prefix is read, so a path with blanks or odd characters is fine.
     """
     raw = _col(c)
-    url = F.when(raw.startswith("http://") | raw.startswith("https://"), raw) \
+    url = F.when(F.lower(raw).startswith("http://") | F.lower(raw).startswith("https://"), raw) \
         .otherwise(F.concat(F.lit(DEFAULT_SCHEME + "://"), raw))
-    proto = F.try_parse_url(url, F.lit("PROTOCOL"))
-    host = F.try_parse_url(url, F.lit("HOST"))
-    authority = F.try_parse_url(url, F.lit("AUTHORITY"))
-    port = F.regexp_extract(authority, r":(\d+)$", 1)
-    return F.when(host.isNull() | (host == ""), F.lit(None)).otherwise(
+    proto = F.lower(F.regexp_extract(url, _ORIGIN, 1))
+    host = F.regexp_extract(url, _ORIGIN, 2)
+    port = F.regexp_extract(url, _ORIGIN, 3)
+    return F.when(host == "", F.lit(None).cast("string")).otherwise(
         F.concat(proto, F.lit("://"), host,
                  F.when(port == "", F.lit("")).otherwise(F.concat(F.lit(":"), port))))
