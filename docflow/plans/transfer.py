@@ -24,11 +24,21 @@ from docflow.functions.predicates import all_of
 from docflow.operators.counts import count_new, count_written, new_rows_filter, newest_value
 from docflow.operators.latest import latest_per_key
 from docflow.session import ensure_checkpoint_dir
-from docflow.sinks.collection import (DEFAULT_BATCH_ROWS, DEFAULT_BUCKETS, compact, path_exists,
-                                      upsert_path)
+from docflow.sinks.collection import (DEFAULT_BATCH_ROWS, DEFAULT_BUCKETS, collection_exists,
+                                      compact, path_exists, upsert_path)
 from docflow.sources.collection import read_collection
 
 TAG_COL = "_xfer_id"
+# Run log inside the destination folder; the leading "_" hides it from the
+# Parquet reader of the collection itself.
+LOG_DIR = "_xfer_log"
+LOG_SCHEMA = StructType([
+    StructField("run_id", StringType()),
+    StructField("seq", LongType()),
+    StructField("state", StringType()),
+    StructField("watermark_used", StringType()),
+    StructField("watermark_after", StringType()),
+])
 
 REPORT_SCHEMA = StructType([
     StructField("run_id", StringType()),
@@ -82,6 +92,52 @@ def transfer_delta(source: DataFrame, *, ts_col: str, newest_ts=None, as_of=None
     return tag_rows(df, run_id, tag_col)
 
 
+def _log_path(destination: str) -> str:
+    return f"{destination.rstrip('/')}/{LOG_DIR}"
+
+
+def _ts_text(v) -> str | None:
+    return None if v is None else (v.isoformat(sep=" ") if isinstance(v, dt.datetime) else str(v))
+
+
+def _ts_value(text: str | None):
+    if text is None:
+        return None
+    try:
+        return dt.datetime.fromisoformat(text)
+    except ValueError:
+        return text
+
+
+def last_run(spark: SparkSession, destination: str):
+    """The newest run-log row of a destination, or None."""
+    path = _log_path(destination)
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(LOG_SCHEMA).parquet(path).orderBy(F.col("seq").desc()).first()
+
+
+def _log(spark: SparkSession, destination: str, run_id: str, state: str, used, after) -> None:
+    row = (run_id, time.time_ns() // 1000, state, _ts_text(used), _ts_text(after))
+    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(_log_path(destination))
+
+
+def resume_watermark(spark: SparkSession, destination: str, dest: DataFrame | None, ts_col: str):
+    """The low bound of the next run.
+
+    With no run log: the newest timestamp of the destination (A2). After a
+    committed run: the watermark it recorded. After a run that started but
+    never committed: the watermark that run used, so its rows are sent again
+    (the keyed upsert makes the repeat harmless) and none is skipped.
+    """
+    last = last_run(spark, destination)
+    if last is None:
+        return newest_value(dest, ts_col) if dest is not None and ts_col in dest.columns else None
+    if last["state"] == "started":
+        return _ts_value(last["watermark_used"])
+    return _ts_value(last["watermark_after"])
+
+
 def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str, *,
                  ts_col: str = "timestamp_tdt", key: str = "id",
                  where: str | Column | None = None, new_only: bool = True, as_of=None,
@@ -94,16 +150,18 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
 
     ``destination`` is a bucketed Parquet collection (created on first use).
     ``as_of`` is "now" (taken once) unless given. The delta is checkpointed
-    to the shared folder before writing, so the bucket list and the write
-    see the same rows even if the source grows meanwhile or an executor is
-    lost. With nothing new, nothing is read or written (found = written = 0).
+    to the shared folder before writing, so every write step sees the same
+    rows even if the source grows meanwhile or an executor is lost. With
+    nothing new, nothing is read or written (found = written = 0). A run
+    log (``_xfer_log``) makes a failed run restartable: see
+    :func:`resume_watermark`.
     """
     t0 = time.monotonic()
     run_id = run_id or str(uuid.uuid4())
     src = read_collection(spark, source) if isinstance(source, str) else source
     if verbose:
         src.printSchema()
-    exists = path_exists(spark, destination)
+    exists = collection_exists(spark, destination)
     dest = spark.read.parquet(destination) if exists else None
     before = dest.count() if dest is not None else 0
 
@@ -111,7 +169,7 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     if new_only:
         if as_of is None:
             as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        newest_ts = newest_value(dest, ts_col) if dest is not None and ts_col in dest.columns else None
+        newest_ts = resume_watermark(spark, destination, dest, ts_col)
         found = count_new(src, ts_col, newest_ts, as_of, where)
         if found == 0:
             return TransferResult(run_id, 0, 0, before, before, int((time.monotonic() - t0) * 1000))
@@ -120,11 +178,15 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
                            run_id=run_id, tag_col=tag_col, splits=splits)
     ensure_checkpoint_dir(spark)
     delta = delta.checkpoint(eager=True)
+    stats = delta.agg(F.count(F.lit(1)).alias("n"), F.max(ts_col).alias("top")).first()
     if not new_only:
-        found = delta.count()
-    upsert_path(spark, destination, delta, key, buckets=buckets, batch_size=batch_size)
+        found = stats["n"]
+    _log(spark, destination, run_id, "started", newest_ts, None)
+    upsert_path(spark, destination, delta, key, buckets=buckets, batch_size=batch_size, frozen=True)
     if compact_to > 0:
-        compact(spark, destination, compact_to)
+        compact(spark, destination, compact_to, key=key)
+    tops = [v for v in (newest_ts, stats["top"]) if v is not None]
+    _log(spark, destination, run_id, "committed", newest_ts, max(tops) if tops else None)
     after_df = spark.read.parquet(destination)
     written = count_written(after_df, run_id, tag_col)
     after = after_df.count()

@@ -1,11 +1,11 @@
 """Writing collections (K1-K5).
 
 A destination collection at rest is a Parquet folder partitioned by a hash
-bucket of its key (``_b``). An upsert rewrites only the buckets its rows fall
-in, with dynamic partition overwrite: Spark writes the new bucket files to a
-staging folder and swaps them in at job commit, so a failed or restarted job
-leaves the old buckets in place, and reading the touched buckets in the same
-job is safe. Never change the bucket count of an existing destination.
+bucket of its key (``_b``). An upsert rewrites only the buckets that hold
+keys it replaces, with dynamic partition overwrite (Spark writes the new
+bucket files to a staging folder and swaps them in at job commit, so reading
+those buckets in the same job is safe); rows with new keys are appended.
+Never change the bucket count of an existing destination.
 """
 
 from __future__ import annotations
@@ -16,10 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.operators.upsert import upsert
+from docflow.session import ensure_checkpoint_dir
 
 BUCKET_COL = "_b"
-DEFAULT_BUCKETS = 64
+# Bucket count of a new destination: aim for buckets of a few GB (about 4,096
+# for 10 TB). Never change it for an existing destination.
+DEFAULT_BUCKETS = 512
 DEFAULT_BATCH_ROWS = 10_000
+# Rows one write task handles (range-partitioned on bucket and key).
+DEFAULT_ROWS_PER_TASK = 2_000_000
 
 
 def bucket_of(key: str | Sequence[str], buckets: int):
@@ -34,6 +39,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def collection_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds data: an entry Spark's reader does not hide.
+
+    (A run log alone, such as ``_xfer_log``, does not make a collection.)
+    """
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(jpath):
+        return False
+    return any(_visible(st.getPath().getName()) for st in fs.listStatus(jpath))
+
+
+def _visible(name: str) -> bool:
+    # Spark's own rule: "_" and "." names are hidden, but "_b=3" is a partition.
+    return not name.startswith(".") and (not name.startswith("_") or "=" in name)
+
+
 def write_collection(df: DataFrame, path: str, *, mode: str = "append",
                      batch_size: int = DEFAULT_BATCH_ROWS,
                      partition_by: Sequence[str] = ()) -> None:
@@ -51,52 +74,89 @@ def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _write_buckets(df: DataFrame, path: str, key: list[str], rows: int, *, mode: str,
+                   batch_size: int, rows_per_task: int) -> None:
+    """Write rows into their bucket folders.
+
+    Rows are range-partitioned on (bucket, key): each task holds a
+    contiguous slice, so it writes into one or two bucket folders, and a
+    large bucket is split over several tasks instead of landing in one.
+    """
+    tasks = max(1, -(-rows // max(1, rows_per_task)))
+    out = df.repartitionByRange(tasks, F.col(BUCKET_COL), *[F.col(k) for k in key])
+    w = out.write.mode(mode).option("maxRecordsPerFile", int(batch_size)).partitionBy(BUCKET_COL)
+    if mode == "overwrite":
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.parquet(path)
+
+
 def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | Sequence[str], *,
                 buckets: int = DEFAULT_BUCKETS, batch_size: int = DEFAULT_BATCH_ROWS,
-                observe=None) -> bool:
+                rows_per_task: int = DEFAULT_ROWS_PER_TASK, frozen: bool = False) -> bool:
     """K5: upsert ``updates`` (one row per key) into the collection at ``path``.
 
-    Only buckets that receive rows are read and rewritten; their numbers
-    (at most ``buckets``, a fixed bound) select partitions by literal, so
-    untouched buckets are never scanned. An empty update writes nothing.
-    Returns whether a write happened. ``observe`` is an optional
-    ``(Observation, *exprs)`` attached to the written rows.
+    1. The updates are checkpointed to the shared folder (unless ``frozen``:
+       the caller already did), so every step below sees the same rows.
+    2. Buckets receiving rows are found (at most ``buckets`` numbers, a fixed
+       bound); only the key column of those buckets is read to find which
+       update keys already exist.
+    3. Buckets holding such keys are rewritten (dynamic partition
+       overwrite, old row replaced); rows of all other buckets are new keys
+       and are appended as new files, so an append-mostly delta never
+       rewrites the destination.
+
+    An empty update writes nothing. Returns whether a write happened.
     """
-    staged = updates.withColumn(BUCKET_COL, bucket_of(key, buckets))
-    touched = sorted(r[0] for r in staged.select(BUCKET_COL).distinct().collect())
-    if not touched:
+    keys = [key] if isinstance(key, str) else list(key)
+    staged = updates.withColumn(BUCKET_COL, bucket_of(keys, buckets))
+    if not frozen:
+        ensure_checkpoint_dir(spark)
+        staged = staged.checkpoint(eager=True)
+    per_bucket = {r[0]: r[1] for r in staged.groupBy(BUCKET_COL).count().collect()}
+    if not per_bucket:
         return False
-    if path_exists(spark, path):
-        current = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(touched))
-        merged = upsert(current, staged, key)
-    else:
-        merged = staged
-    # Group each bucket into one task, so each bucket folder gets whole files.
-    merged = merged.repartition(min(len(touched), buckets), F.col(BUCKET_COL))
-    if observe is not None:
-        merged = merged.observe(*observe)
-    (merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", int(batch_size))
-        .partitionBy(BUCKET_COL).parquet(path))
+    touched = sorted(per_bucket)
+    hit: list[int] = []
+    if collection_exists(spark, path):
+        stored_keys = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(touched)) \
+            .select(*keys, BUCKET_COL)
+        hit = sorted(r[0] for r in staged.select(*keys, BUCKET_COL)
+                     .join(stored_keys, [*keys, BUCKET_COL], "left_semi")
+                     .select(BUCKET_COL).distinct().collect())
+    if hit:
+        current = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(hit))
+        merged = upsert(current, staged.filter(F.col(BUCKET_COL).isin(hit)), keys)
+        rows = current.count() + sum(per_bucket[b] for b in hit)
+        _write_buckets(merged, path, keys, rows, mode="overwrite", batch_size=batch_size,
+                       rows_per_task=rows_per_task)
+    fresh = [b for b in touched if b not in set(hit)]
+    if fresh:
+        rows = sum(per_bucket[b] for b in fresh)
+        _write_buckets(staged.filter(F.col(BUCKET_COL).isin(fresh)), path, keys, rows, mode="append",
+                       batch_size=batch_size, rows_per_task=rows_per_task)
     return True
 
 
-def compact(spark: SparkSession, path: str, parts: int, out_path: str | None = None) -> str:
-    """K4: rewrite a collection into ``parts`` files; 0 leaves it as is.
+def compact(spark: SparkSession, path: str, parts: int, out_path: str | None = None,
+            key: str | Sequence[str] | None = None) -> str:
+    """K4: reduce a collection to few files; ``parts`` 0 leaves it as is.
 
-    A bucketed collection is compacted in place, bucket by bucket (dynamic
-    overwrite of every bucket, each bucket into whole files). A plain one
-    is written to ``out_path``, which the caller switches to: one path
-    cannot be read and overwritten in a single static overwrite.
+    A bucketed collection is compacted in place to about ``parts`` files per
+    bucket (dynamic overwrite of every bucket; rows range-partitioned on
+    bucket and ``key``, so no task holds more than its share of a bucket).
+    A plain one is rewritten into ``parts`` files at ``out_path``, which the
+    caller switches to: one path cannot be read and overwritten in a single
+    static overwrite.
     """
     if parts <= 0:
         return path
     df = spark.read.parquet(path)
     if BUCKET_COL in df.columns:
-        (df.repartition(int(parts), F.col(BUCKET_COL)).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
-           .partitionBy(BUCKET_COL).parquet(path))
+        n_buckets = df.select(BUCKET_COL).distinct().count()
+        keys = [key] if isinstance(key, str) else list(key or [])
+        out = df.repartitionByRange(max(1, n_buckets * int(parts)), F.col(BUCKET_COL), *[F.col(k) for k in keys])
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BUCKET_COL).parquet(path))
         return path
     if not out_path:
         raise ValueError("compacting a plain collection needs out_path")

@@ -96,3 +96,32 @@ def test_write_batch_size_bounds_files(spark, out):
     assert file_count(spark, f"{out}/w") == 4
     compacted = compact(spark, f"{out}/w", 1, out_path=f"{out}/w1")
     assert file_count(spark, compacted) == 1 and spark.read.parquet(compacted).count() == 1000
+
+
+def test_restart_after_crash_uses_started_watermark(spark, out):
+    from docflow.plans.transfer import _log, last_run
+    dest = f"{out}/dest"
+    first = src(spark, [("a", D(2024, 1, 1), 1, [])])
+    run_transfer(spark, first, dest, ts_col="ts", as_of=AS_OF, run_id="r0", buckets=4)
+    assert last_run(spark, dest)["state"] == "committed"
+    # A run that crashed after writing only its newest row: the log says
+    # "started" with the watermark it used, the destination holds row "c".
+    _log(spark, dest, "crashed", "started", D(2024, 1, 1), None)
+    upsert_path(spark, dest, src(spark, [("c", D(2024, 1, 9), 3, [])]).withColumn(TAG_COL, F.lit("crashed")),
+                "id", buckets=4)
+    more = src(spark, [("a", D(2024, 1, 1), 1, []), ("b", D(2024, 1, 5), 2, []), ("c", D(2024, 1, 9), 3, [])])
+    res = run_transfer(spark, more, dest, ts_col="ts", as_of=AS_OF, run_id="r1", buckets=4)
+    assert res.found == 2 and ids(spark.read.parquet(dest)) == ["a", "b", "c"]   # "b" not skipped
+    assert last_run(spark, dest)["watermark_after"].startswith("2024-01-09")
+
+
+def test_upsert_appends_new_keys_without_rewriting(spark, out):
+    path = f"{out}/c"
+    base = spark.range(0, 100).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v"))
+    upsert_path(spark, path, base, "id", buckets=4)
+    files_before = file_count(spark, path)
+    upsert_path(spark, path, spark.createDataFrame([("new1", 1), ("new2", 2)], "id string, v long"),
+                "id", buckets=4)
+    # no existing key touched: old files stay, new ones are added
+    assert file_count(spark, path) > files_before
+    assert spark.read.parquet(path).count() == 102
