@@ -139,10 +139,15 @@ def map_tagger(df: DataFrame, tagger_factory: Callable[[dict[str, str]], Tagger]
 
 
 class GazetteerTagger:
-    """A small lookup tagger for :func:`map_tagger` (unknown words are O)."""
+    """A small lookup tagger for :func:`map_tagger`.
+
+    Unknown words are class O, which the pivot drops anyway, so only words
+    found in the lookup are returned.
+    """
 
     def __init__(self, entries: Iterable[tuple[str, str]]):
         self.lookup = dict(entries)
 
     def __call__(self, words: list[str]) -> list[tuple[str, str]]:
-        return [(w, self.lookup.get(w, OTHER_CLASS)) for w in words]
+        get = self.lookup.get
+        return [(w, c) for w in words if (c := get(w)) is not None]

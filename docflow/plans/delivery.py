@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions.urls import request_target
-from docflow.operators.deliver import DELIVERED, LAST_HOST_RETRY_WAIT_S, deliver, meter_by_host
+from docflow.operators.deliver import (DELIVERED, LAST_HOST_RETRY_WAIT_S, batch_body, deliver,
+                                      json_batches, meter_by_host)
 from docflow.operators.transports import HttpTransport
 from docflow.sources.files import read_files
 
@@ -62,3 +63,18 @@ def run_delivery(spark: SparkSession, path: str, collection: str, *, pipeline: s
                         F.count(F.when(F.col("status") == DELIVERED, 1)).alias("ok")).first()
     return DeliveryResult(found=counts["n"], delivered=counts["ok"], failed=counts["n"] - counts["ok"],
                           report=report, meter=meter_by_host(report))
+
+
+def deliver_json_batches(df: DataFrame, *, group_col: str, order_col: str, batch_size: int,
+                         target: str, hosts: Sequence[str], transport_factory: Callable[[], object],
+                         retry_wait_s: float = LAST_HOST_RETRY_WAIT_S) -> DataFrame:
+    """K7: send rows as JSON arrays of ``batch_size`` documents, one request per batch.
+
+    Report rows are keyed by ``<group>-<batch_id>`` (also the idempotency key).
+    """
+    batches = json_batches(df, group_col, order_col, batch_size)
+    requests = batches.select(
+        F.concat_ws("-", F.col(group_col).cast("string"), F.col("batch_id").cast("string")).alias("batch"),
+        F.lit(target).alias("target"), batch_body("docs").alias("body"))
+    return deliver(requests, id_col="batch", target_col="target", body_col="body", hosts=hosts,
+                   transport_factory=transport_factory, retry_wait_s=retry_wait_s)

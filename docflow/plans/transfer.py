@@ -61,7 +61,13 @@ class TransferResult:
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         """The run report as a one-row DataFrame."""
-        return spark.createDataFrame([tuple(asdict(self).values())], REPORT_SCHEMA)
+        return one_row(spark, asdict(self), REPORT_SCHEMA)
+
+
+def one_row(spark: SparkSession, values: dict, schema: StructType) -> DataFrame:
+    """A one-row DataFrame of literals, built in the JVM (no Python rows)."""
+    return spark.range(1).select(*[F.lit(values[f.name]).cast(f.dataType).alias(f.name)
+                                   for f in schema.fields])
 
 
 def tag_rows(df: DataFrame, run_id: str, tag_col: str = TAG_COL) -> DataFrame:
@@ -118,8 +124,9 @@ def last_run(spark: SparkSession, destination: str):
 
 
 def _log(spark: SparkSession, destination: str, run_id: str, state: str, used, after) -> None:
-    row = (run_id, time.time_ns() // 1000, state, _ts_text(used), _ts_text(after))
-    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(_log_path(destination))
+    row = {"run_id": run_id, "seq": time.time_ns() // 1000, "state": state,
+           "watermark_used": _ts_text(used), "watermark_after": _ts_text(after)}
+    one_row(spark, row, LOG_SCHEMA).write.mode("append").parquet(_log_path(destination))
 
 
 def resume_watermark(spark: SparkSession, destination: str, dest: DataFrame | None, ts_col: str):

@@ -83,7 +83,10 @@ def _write_buckets(df: DataFrame, path: str, key: list[str], rows: int, *, mode:
     large bucket is split over several tasks instead of landing in one.
     """
     tasks = max(1, -(-rows // max(1, rows_per_task)))
-    out = df.repartitionByRange(tasks, F.col(BUCKET_COL), *[F.col(k) for k in key])
+    if tasks == 1:
+        out = df.repartition(1)   # small write: no range sampling pass needed
+    else:
+        out = df.repartitionByRange(tasks, F.col(BUCKET_COL), *[F.col(k) for k in key])
     w = out.write.mode(mode).option("maxRecordsPerFile", int(batch_size)).partitionBy(BUCKET_COL)
     if mode == "overwrite":
         w = w.option("partitionOverwriteMode", "dynamic")

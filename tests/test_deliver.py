@@ -75,3 +75,20 @@ def test_json_batches(spark):
     a_ids = [i for i in range(25) if i % 3]
     assert got[("a", 0)] == (4, a_ids[0], a_ids[3], 4)
     assert sum(v[0] for v in got.values()) == 25
+
+
+class Recorder:
+    sent = []
+
+    def send(self, host, target, body, key, attempt):
+        import json
+        assert isinstance(json.loads(body), list)
+
+
+def test_deliver_json_batches(spark):
+    from docflow.plans.delivery import deliver_json_batches
+    df = spark.createDataFrame([(i, "a" if i % 4 else "b", float(i)) for i in range(30)], "id long, g string, v double")
+    rep = deliver_json_batches(df, group_col="g", order_col="id", batch_size=5, target="/index",
+                               hosts=["http://h:1"], transport_factory=Recorder, retry_wait_s=0).collect()
+    assert sorted(r["batch"] for r in rep) == ["a-0", "a-1", "a-2", "a-3", "a-4", "b-0", "b-1"]
+    assert {r["status"] for r in rep} == {"delivered"}

@@ -86,3 +86,18 @@ def test_entity_columns_single_aggregation(spark):
     ids = spark.createDataFrame([(1,), (2,)], "id long")
     plan = entity_columns(tags, ids, "id")._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_map_tagger_side_file(spark, out):
+    import os
+    path = os.path.join(out, "gaz.tsv")
+    with open(path, "w") as f:
+        f.write("Ada\tPERSON\nParis\tLOCATION\n")
+
+    def factory(files):
+        with open(files["gaz.tsv"]) as fh:
+            return GazetteerTagger(line.rstrip("\n").split("\t") for line in fh)
+
+    d = spark.createDataFrame([("1", "Ada in Paris")], "id string, text string")
+    row = map_tagger(d, factory, side_files=[path]).first()
+    assert (row["person_ss"], row["location_ss"], row["organization_ss"]) == (["Ada"], ["Paris"], [])
