@@ -24,7 +24,7 @@ from docflow.operators.enrich import (GazetteerTagger, entity_sets, gazetteer, m
 from docflow.operators.latest import latest_per_key
 from docflow.operators.transports import RuleTransport
 from docflow.operators.upsert import atomic_add, upsert
-from docflow.plans.enrichment import entity_rows
+from docflow.plans.enrichment import entity_rows, run_enrichment
 from docflow.plans.transfer import TAG_COL, run_transfer, tag_rows, transfer_delta
 from docflow.session import shared_dir, table
 from docflow.sinks.collection import BUCKET_COL, compact, upsert_path, write_collection
@@ -302,6 +302,18 @@ def q_udf_tagger(spark, d):
     return _entity_text(out)
 
 
+def q_enrichment_job(spark, d):
+    """R6 end to end: tag documents, pivot, add the words to a destination by id."""
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body_t"))
+    dest = _t(spark, d, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), "lang",
+        F.array().cast("array<string>").alias("location_ss"),
+        F.array(F.concat(F.lit("src:"), F.col("source"))).alias("organization_ss"),
+        F.array().cast("array<string>").alias("person_ss"))
+    out = run_enrichment(spark, docs, GAZETTEER, dest, id_col="id", text_col="body_t")
+    return out.select("id", "lang", _joined("location_ss"), _joined("organization_ss"), _joined("person_ss"))
+
+
 # ---- delivery ----------------------------------------------------------------------
 
 def _pages(spark, d):
@@ -405,6 +417,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entity_sets": q_entity_sets,
     "entity_pivot": q_entity_pivot,
     "udf_tagger": q_udf_tagger,
+    "enrichment_job": q_enrichment_job,
     "delivery_requests": q_delivery_requests,
     "url_origin": q_url_origin,
     "delivery_assign": q_delivery_assign,

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +12,7 @@ from docflow.functions.urls import request_target
 from docflow.operators.deliver import (DELIVERED, LAST_HOST_RETRY_WAIT_S, batch_body, deliver,
                                       json_batches, meter_by_host)
 from docflow.operators.transports import HttpTransport
+from docflow.session import shared_dir
 from docflow.sources.files import read_files
 
 DEFAULT_HOST = "http://localhost:8764"
@@ -44,8 +44,9 @@ def run_delivery(spark: SparkSession, path: str, collection: str, *, pipeline: s
 
     Files are listed and read by ``binaryFile`` on the executors; one
     request per file, one report row per file. The report is computed by a
-    single action and kept (written to ``report_path``, else persisted), so
-    counting it does not send the files again.
+    single action and written to ``report_path`` (default: a new folder under
+    the shared checkpoint folder), so neither counting it nor losing an
+    executor makes Spark recompute the plan and send the files again.
     """
     files = read_files(spark, path, glob=glob, max_bytes=max_bytes)
     requests = build_requests(files, id_col="path", path_col="path", body_col="content",
@@ -54,11 +55,9 @@ def run_delivery(spark: SparkSession, path: str, collection: str, *, pipeline: s
     report = deliver(requests, id_col="path", target_col="target", body_col="body", hosts=hosts,
                      transport_factory=transport_factory, partitions=partitions,
                      retry_wait_s=retry_wait_s, fail_on_error=fail_on_error)
-    if report_path:
-        report.write.mode("overwrite").parquet(report_path)
-        report = spark.read.parquet(report_path)
-    else:
-        report = report.persist(StorageLevel.MEMORY_AND_DISK)
+    report_path = report_path or shared_dir(spark, "delivery-report")
+    report.write.mode("overwrite").parquet(report_path)
+    report = spark.read.parquet(report_path)
     counts = report.agg(F.count(F.lit(1)).alias("n"),
                         F.count(F.when(F.col("status") == DELIVERED, 1)).alias("ok")).first()
     return DeliveryResult(found=counts["n"], delivered=counts["ok"], failed=counts["n"] - counts["ok"],

@@ -32,14 +32,33 @@ def _tags_cte() -> str:
             "tags AS (SELECT t.doc_id, t.pos, t.token, g.entity_class FROM t JOIN g ON t.token = g.token) ")
 
 
+ENTITY_COLS = (("LOCATION", "location_ss"), ("ORGANIZATION", "organization_ss"), ("PERSON", "person_ss"))
+
+
+def _pivot_cte() -> str:
+    """CTE ``p``: per document id, a sorted distinct word list per class (or null)."""
+    cols = ", ".join(
+        f"list_sort(list_distinct(list(tags.token) FILTER (WHERE tags.entity_class = '{cls}'))) AS {name}"
+        for cls, name in ENTITY_COLS)
+    return (_tags_cte() + f", p AS (SELECT CAST(d.doc_id AS VARCHAR) AS id, {cols} FROM documents d "
+            "LEFT JOIN tags ON d.doc_id = tags.doc_id WHERE d.text IS NOT NULL GROUP BY d.doc_id) ")
+
+
 def _pivot() -> str:
+    cols = ", ".join(f"coalesce(array_to_string({name}, ' '), '') AS {name}" for _, name in ENTITY_COLS)
+    return _pivot_cte() + f"SELECT id, {cols} FROM p"
+
+
+def _enrichment_job() -> str:
+    # Destination: empty location/person lists, organization holds 'src:<source>';
+    # the found words are added without repeats.
+    dst = ("dst AS (SELECT CAST(doc_id AS VARCHAR) AS id, lang, [] AS location_ss, "
+           "['src:' || source] AS organization_ss, [] AS person_ss FROM documents) ")
     cols = ", ".join(
-        f"coalesce(array_to_string(list_sort(list_distinct(list(tags.token) FILTER "
-        f"(WHERE tags.entity_class = '{cls}'))), ' '), '') AS {name}"
-        for cls, name in (("LOCATION", "location_ss"), ("ORGANIZATION", "organization_ss"),
-                          ("PERSON", "person_ss")))
-    return (_tags_cte() + f"SELECT CAST(d.doc_id AS VARCHAR) AS id, {cols} FROM documents d "
-            "LEFT JOIN tags ON d.doc_id = tags.doc_id WHERE d.text IS NOT NULL GROUP BY d.doc_id")
+        f"array_to_string(list_sort(list_distinct(list_concat(coalesce(dst.{n}, []), coalesce(p.{n}, [])))), ' ') AS {n}"
+        for _, n in ENTITY_COLS)
+    return (_pivot_cte() + ", " + dst + f"SELECT coalesce(dst.id, p.id) AS id, dst.lang AS lang, {cols} "
+            "FROM dst FULL OUTER JOIN p ON dst.id = p.id")
 
 
 def _encode(x: str) -> str:
@@ -137,6 +156,7 @@ SQL: dict[str, str] = {
         "AS words FROM tags WHERE entity_class <> 'O' GROUP BY doc_id, entity_class",
     "entity_pivot": _pivot(),
     "udf_tagger": _pivot(),
+    "enrichment_job": _enrichment_job(),
     "delivery_requests":
         f"SELECT page_id, '{index_path(C.PIPELINE, C.COLLECTION, C.PARSER)}&contentSourceName=' || {_encode('url')} "
         "|| '&echo=false' AS target FROM pages",

@@ -11,12 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings every docflow job wants; a cluster's own settings win where set.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Rows here are whole documents or file bodies: bound Arrow batches by
+    # bytes as well as rows, so a batch sent to Python fits a worker.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 
 
