@@ -66,7 +66,11 @@ def tag_entities(tok: DataFrame, gaz: DataFrame, max_broadcast_rows: int = BROAD
 
 
 def entity_sets(tags: DataFrame, id_col: str) -> DataFrame:
-    """A6 + V1: per id and class, the sorted distinct words; class O dropped."""
+    """A6 + V1: per id and class, the sorted distinct words; class O dropped.
+
+    Each set holds gazetteer words only, so its size is bounded by the
+    gazetteer, however many tokens a document has.
+    """
     return (tags.filter(F.col("entity_class") != OTHER_CLASS)
             .groupBy(id_col, "entity_class")
             .agg(F.array_sort(F.collect_set("token")).alias("words")))

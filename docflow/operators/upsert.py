@@ -30,6 +30,10 @@ def atomic_add(dest: DataFrame, adds: DataFrame, key: str, fields: Sequence[str]
     are inserted. Adds are first combined per key (partial aggregation, so a
     key with many add rows is reduced map-side). A null array counts as empty,
     so the result is never null. ``distinct=True`` keeps each value once.
+
+    The combined array of a key is one field value of one row, so its size
+    is that of the document being written (with ``distinct`` it is bounded by
+    the distinct values); the rows of a key are never gathered otherwise.
     """
     fields = list(fields)
     comb = (F.array_distinct if distinct else (lambda c: c))

@@ -113,7 +113,8 @@ def q_top_k_newest(spark, d):
 
 def q_flatten_multivalued(spark, d):
     # Turns gathered into one multi-valued (array) field per conversation,
-    # then flattened to text as the reader option does.
+    # then flattened to text as the reader option does. The joined text is a
+    # single field of the output row: a conversation's size bounds it.
     conv = _t(spark, d, "conversations")
     multi = conv.groupBy("conv_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("text"))

@@ -79,13 +79,17 @@ def transfer_delta(source: DataFrame, *, ts_col: str, newest_ts=None, as_of=None
                    new_only: bool = True, where: str | Column | None = None,
                    key: str = "id", key_fields: Sequence[str] = (),
                    tiebreak: Sequence[str] = (), run_id: str,
-                   tag_col: str = TAG_COL, splits: int | None = None) -> DataFrame:
+                   tag_col: str = TAG_COL, splits: int | None = None,
+                   dedupe: bool = True) -> DataFrame:
     """The rows one run writes, keyed and tagged (lazy; nothing is read yet).
 
     With ``new_only`` the rows are ``newest_ts < ts <= as_of``; without it,
     every row matching ``where`` (null and future timestamps included).
-    With a natural key, colliding rows keep the newest by ``ts_col`` then
-    ``tiebreak``.
+    Rows sharing a key (natural-key collisions, or a repeated ``key``)
+    keep the newest by ``ts_col`` then ``tiebreak``, as the last write of a
+    key wins at the destination. ``dedupe=False`` skips that aggregation
+    when the keys are known to be unique (e.g. a full copy of a keyed
+    collection), saving a shuffle of the delta.
     """
     dtype = dict(source.dtypes)[ts_col]
     window = new_rows_filter(ts_col, newest_ts, as_of, dtype) if new_only else None
@@ -94,6 +98,7 @@ def transfer_delta(source: DataFrame, *, ts_col: str, newest_ts=None, as_of=None
         df = df.repartition(int(splits))
     if key_fields:
         df = with_natural_key(df, key_fields, key)
+    if dedupe or key_fields:
         df = latest_per_key(df, [key], [ts_col, *tiebreak])
     return tag_rows(df, run_id, tag_col)
 
@@ -152,7 +157,7 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
                  batch_size: int = DEFAULT_BATCH_ROWS, compact_to: int = 0,
                  splits: int | None = None, run_id: str | None = None,
                  tag_col: str = TAG_COL, buckets: int = DEFAULT_BUCKETS,
-                 verbose: bool = False) -> TransferResult:
+                 dedupe: bool = True, verbose: bool = False) -> TransferResult:
     """Copy the new (or all) rows of ``source`` into ``destination``.
 
     ``destination`` is a bucketed Parquet collection (created on first use).
@@ -182,7 +187,7 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
             return TransferResult(run_id, 0, 0, before, before, int((time.monotonic() - t0) * 1000))
     delta = transfer_delta(src, ts_col=ts_col, newest_ts=newest_ts, as_of=as_of, new_only=new_only,
                            where=where, key=key, key_fields=key_fields, tiebreak=tiebreak,
-                           run_id=run_id, tag_col=tag_col, splits=splits)
+                           run_id=run_id, tag_col=tag_col, splits=splits, dedupe=dedupe)
     ensure_checkpoint_dir(spark)
     delta = delta.checkpoint(eager=True)
     stats = delta.agg(F.count(F.lit(1)).alias("n"), F.max(ts_col).alias("top")).first()

@@ -125,3 +125,10 @@ def test_upsert_appends_new_keys_without_rewriting(spark, out):
     # no existing key touched: old files stay, new ones are added
     assert file_count(spark, path) > files_before
     assert spark.read.parquet(path).count() == 102
+
+
+def test_repeated_source_key_keeps_newest(spark, out):
+    rows = src(spark, [("a", D(2024, 1, 1), 1, []), ("a", D(2024, 1, 3), 2, []), ("b", D(2024, 1, 2), 3, [])])
+    res = run_transfer(spark, rows, f"{out}/d", ts_col="ts", as_of=AS_OF, run_id="r", buckets=2)
+    got = {r["id"]: r["v"] for r in spark.read.parquet(f"{out}/d").collect()}
+    assert res.found == 3 and res.written == 2 and got == {"a": 2, "b": 3}
