@@ -21,7 +21,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from docflow.functions.keys import with_natural_key
 from docflow.functions.predicates import all_of
-from docflow.operators.counts import count_new, count_written, new_rows_filter, newest_value
+from docflow.operators.counts import count_new, new_rows_filter
 from docflow.operators.latest import latest_per_key
 from docflow.session import ensure_checkpoint_dir
 from docflow.sinks.collection import (DEFAULT_BATCH_ROWS, DEFAULT_BUCKETS, collection_exists,
@@ -134,7 +134,7 @@ def _log(spark: SparkSession, destination: str, run_id: str, state: str, used, a
     one_row(spark, row, LOG_SCHEMA).write.mode("append").parquet(_log_path(destination))
 
 
-def resume_watermark(spark: SparkSession, destination: str, dest: DataFrame | None, ts_col: str):
+def resume_watermark(spark: SparkSession, destination: str, dest_newest):
     """The low bound of the next run.
 
     With no run log: the newest timestamp of the destination (A2). After a
@@ -144,7 +144,7 @@ def resume_watermark(spark: SparkSession, destination: str, dest: DataFrame | No
     """
     last = last_run(spark, destination)
     if last is None:
-        return newest_value(dest, ts_col) if dest is not None and ts_col in dest.columns else None
+        return dest_newest
     if last["state"] == "started":
         return _ts_value(last["watermark_used"])
     return _ts_value(last["watermark_after"])
@@ -175,13 +175,18 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
         src.printSchema()
     exists = collection_exists(spark, destination)
     dest = spark.read.parquet(destination) if exists else None
-    before = dest.count() if dest is not None else 0
+    before, dest_newest = 0, None
+    if dest is not None:
+        # one pass for the row count and the newest timestamp (A2)
+        has_ts = ts_col in dest.columns
+        row = dest.agg(F.count(F.lit(1)), F.max(ts_col) if has_ts else F.lit(None)).first()
+        before, dest_newest = row[0], row[1]
 
     newest_ts = None
     if new_only:
         if as_of is None:
             as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        newest_ts = resume_watermark(spark, destination, dest, ts_col)
+        newest_ts = resume_watermark(spark, destination, dest_newest)
         found = count_new(src, ts_col, newest_ts, as_of, where)
         if found == 0:
             return TransferResult(run_id, 0, 0, before, before, int((time.monotonic() - t0) * 1000))
@@ -199,8 +204,9 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
         compact(spark, destination, compact_to, key=key)
     tops = [v for v in (newest_ts, stats["top"]) if v is not None]
     _log(spark, destination, run_id, "committed", newest_ts, max(tops) if tops else None)
-    after_df = spark.read.parquet(destination)
-    written = count_written(after_df, run_id, tag_col)
-    after = after_df.count()
+    # A5 and the row count in one pass over the destination
+    counts = spark.read.parquet(destination).agg(
+        F.count(F.lit(1)), F.count(F.when(F.col(tag_col) == F.lit(run_id), 1))).first()
+    after, written = counts[0], counts[1]
     return TransferResult(run_id, int(found), int(written), int(before), int(after),
                           int((time.monotonic() - t0) * 1000))

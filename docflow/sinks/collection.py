@@ -99,7 +99,8 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | S
     """K5: upsert ``updates`` (one row per key) into the collection at ``path``.
 
     1. The updates are checkpointed to the shared folder (unless ``frozen``:
-       the caller already did), so every step below sees the same rows.
+       the caller already did), so every step below sees the same rows. A
+       first load into an empty path only appends, so it skips this.
     2. Buckets receiving rows are found (at most ``buckets`` numbers, a fixed
        bound); only the key column of those buckets is read to find which
        update keys already exist.
@@ -112,20 +113,25 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | S
     """
     keys = [key] if isinstance(key, str) else list(key)
     staged = updates.withColumn(BUCKET_COL, bucket_of(keys, buckets))
-    if not frozen:
+    exists = collection_exists(spark, path)
+    if exists and not frozen:
         ensure_checkpoint_dir(spark)
         staged = staged.checkpoint(eager=True)
     per_bucket = {r[0]: r[1] for r in staged.groupBy(BUCKET_COL).count().collect()}
     if not per_bucket:
         return False
+    if not exists:
+        # Nothing to merge with: write every row (unfiltered, so rows that
+        # reach the source after the count above are not lost).
+        _write_buckets(staged, path, keys, sum(per_bucket.values()), mode="append",
+                       batch_size=batch_size, rows_per_task=rows_per_task)
+        return True
     touched = sorted(per_bucket)
-    hit: list[int] = []
-    if collection_exists(spark, path):
-        stored_keys = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(touched)) \
-            .select(*keys, BUCKET_COL)
-        hit = sorted(r[0] for r in staged.select(*keys, BUCKET_COL)
-                     .join(stored_keys, [*keys, BUCKET_COL], "left_semi")
-                     .select(BUCKET_COL).distinct().collect())
+    stored_keys = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(touched)) \
+        .select(*keys, BUCKET_COL)
+    hit = sorted(r[0] for r in staged.select(*keys, BUCKET_COL)
+                 .join(stored_keys, [*keys, BUCKET_COL], "left_semi")
+                 .select(BUCKET_COL).distinct().collect())
     if hit:
         current = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(hit))
         merged = upsert(current, staged.filter(F.col(BUCKET_COL).isin(hit)), keys)
