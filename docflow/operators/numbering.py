@@ -1,7 +1,7 @@
 """Row numbers within a group that stay parallel when one group is huge.
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` sends every row of a group
-to one task. Here the order column is cut into fixed-width chunks: rows are
+to one task. Here the order column is cut into equal-width chunks: rows are
 counted per (group, chunk) with a partial aggregate, the counts are turned
 into per-chunk offsets by a running sum over that small table, and the final
 ``row_number`` only runs inside a (group, chunk) window. The big side is
@@ -15,20 +15,43 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNK_WIDTH = 1 << 16
+# Rows per (group, chunk) window aimed at when the chunk width is derived.
+TARGET_CHUNK_ROWS = 100_000
+
+
+def _order_value(df: DataFrame, order_col: str):
+    o = F.col(order_col)
+    if dict(df.dtypes)[order_col].startswith("timestamp"):
+        o = F.unix_micros(o.cast("timestamp"))
+    return o.cast("long")
+
+
+def auto_chunk_width(df: DataFrame, order_col: str, target_rows: int = TARGET_CHUNK_ROWS) -> int:
+    """Chunk width giving about ``target_rows`` rows per chunk on average.
+
+    One aggregation (min, max, count of the order value), partial per task.
+    Dense and sparse keys alike get chunks of about the target size.
+    """
+    o = _order_value(df, order_col)
+    lo, hi, n = df.agg(F.min(o), F.max(o), F.count(o)).first()
+    if not n or lo is None:
+        return 1
+    span = hi - lo + 1
+    return max(1, min(span, span * target_rows // n))
 
 
 def ordinal_within(df: DataFrame, groups: Sequence[str], order_col: str,
-                   out_col: str = "rn", chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+                   out_col: str = "rn", chunk_width: int | None = None) -> DataFrame:
     """Add ``out_col`` = 1-based position of the row in its group by ``order_col``.
 
     ``order_col`` must be integral (or a timestamp, used in microseconds).
     Ties on ``order_col`` get distinct but arbitrary positions.
+    ``chunk_width`` None derives it from the data (:func:`auto_chunk_width`).
     """
     groups = list(groups)
-    o = F.col(order_col)
-    if dict(df.dtypes)[order_col].startswith("timestamp"):
-        o = F.unix_micros(o.cast("timestamp"))
+    if chunk_width is None:
+        chunk_width = auto_chunk_width(df, order_col)
+    o = _order_value(df, order_col)
     chunked = df.withColumn("_chunk", F.floor(o / F.lit(chunk_width)))
     counts = chunked.groupBy(*groups, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -41,7 +64,7 @@ def ordinal_within(df: DataFrame, groups: Sequence[str], order_col: str,
 
 
 def batch_ids(df: DataFrame, groups: Sequence[str], order_col: str, batch_size: int,
-              out_col: str = "batch_id", chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+              out_col: str = "batch_id", chunk_width: int | None = None) -> DataFrame:
     """Add ``out_col`` = ``(position - 1) div batch_size`` within each group."""
     numbered = ordinal_within(df, groups, order_col, "_rn", chunk_width)
     return numbered.withColumn(out_col, F.floor((F.col("_rn") - 1) / F.lit(batch_size)).cast("long")) \

@@ -40,3 +40,14 @@ def test_latest_per_key_partial_aggregation(spark):
     df = spark.createDataFrame(hot_rows(300), "g string, o long, v int")
     plan = latest_per_key(df, ["g"], ["o"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def test_ordinal_within_sparse_keys_auto_width(spark):
+    from docflow.operators.numbering import auto_chunk_width
+    rnd = random.Random(3)
+    rows = [("hot" if i % 3 == 0 else "cold", rnd.randrange(1 << 60)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, o long")
+    assert auto_chunk_width(df, "o", target_rows=100) > 1 << 40
+    ours = ordinal_within(df, ["g"], "o").select("g", "o", "rn")
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
