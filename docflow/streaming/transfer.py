@@ -64,7 +64,10 @@ def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts_col: str, delay: st
 
     ``withWatermark`` needs a zoned timestamp, so a ``timestamp_ntz`` event
     column is cast (session time zone) into ``event_col`` and dropped after.
-    Rows later than the watermark are dropped, as streaming dedupe promises.
+    Keys are kept in state until the watermark passes their event time plus
+    ``delay``; a repeat arriving in that span is dropped. A row older than
+    the watermark whose key is not in state is kept (Spark's guarantee is
+    "no repeats within the delay", not "no late rows").
     """
     dtype = dict(stream.dtypes)[ts_col]
     ev = F.col(ts_col).cast("timestamp") if dtype == "timestamp_ntz" else F.col(ts_col)
