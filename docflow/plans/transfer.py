@@ -193,20 +193,24 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     delta = transfer_delta(src, ts_col=ts_col, newest_ts=newest_ts, as_of=as_of, new_only=new_only,
                            where=where, key=key, key_fields=key_fields, tiebreak=tiebreak,
                            run_id=run_id, tag_col=tag_col, splits=splits, dedupe=dedupe)
-    ensure_checkpoint_dir(spark)
-    delta = delta.checkpoint(eager=True)
-    stats = delta.agg(F.count(F.lit(1)).alias("n"), F.max(ts_col).alias("top")).first()
-    if not new_only:
-        found = stats["n"]
+    if exists:
+        # Merging into stored rows takes several passes over the delta (bucket
+        # list, existing keys, rewrite, append): freeze it once in the shared
+        # folder. A first load only appends, so it reads the source once.
+        ensure_checkpoint_dir(spark)
+        delta = delta.checkpoint(eager=True)
     _log(spark, destination, run_id, "started", newest_ts, None)
-    upsert_path(spark, destination, delta, key, buckets=buckets, batch_size=batch_size, frozen=True)
+    upsert_path(spark, destination, delta, key, buckets=buckets, batch_size=batch_size, frozen=exists)
     if compact_to > 0:
         compact(spark, destination, compact_to, key=key)
-    tops = [v for v in (newest_ts, stats["top"]) if v is not None]
-    _log(spark, destination, run_id, "committed", newest_ts, max(tops) if tops else None)
-    # A5 and the row count in one pass over the destination
+    # A5, the row count and this run's newest timestamp in one pass
+    mine = F.col(tag_col) == F.lit(run_id)
     counts = spark.read.parquet(destination).agg(
-        F.count(F.lit(1)), F.count(F.when(F.col(tag_col) == F.lit(run_id), 1))).first()
-    after, written = counts[0], counts[1]
+        F.count(F.lit(1)), F.count(F.when(mine, 1)), F.max(F.when(mine, F.col(ts_col)))).first()
+    after, written, top = counts[0], counts[1], counts[2]
+    if not new_only:
+        found = written
+    tops = [v for v in (newest_ts, top) if v is not None]
+    _log(spark, destination, run_id, "committed", newest_ts, max(tops) if tops else None)
     return TransferResult(run_id, int(found), int(written), int(before), int(after),
                           int((time.monotonic() - t0) * 1000))

@@ -23,8 +23,12 @@ BUCKET_COL = "_b"
 # for 10 TB). Never change it for an existing destination.
 DEFAULT_BUCKETS = 512
 DEFAULT_BATCH_ROWS = 10_000
-# Rows one write task handles (range-partitioned on bucket and key).
+# Target rows / bytes one write task handles, and the most tasks one bucket
+# is split over.
 DEFAULT_ROWS_PER_TASK = 2_000_000
+DEFAULT_FILE_BYTES = 256 * 1024 * 1024
+MAX_SPREAD = 1024
+SALT_SEED = 17
 
 
 def bucket_of(key: str | Sequence[str], buckets: int):
@@ -74,19 +78,44 @@ def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _write_buckets(df: DataFrame, path: str, key: list[str], rows: int, *, mode: str,
-                   batch_size: int, rows_per_task: int) -> None:
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (no job runs), or None when Spark
+    has no real figure (it then reports ``spark.sql.defaultSizeInBytes``,
+    e.g. for checkpointed data)."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable
+        return None
+    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1)))
+    return None if size <= 0 or size >= unknown else size
+
+
+def _write_buckets(df: DataFrame, path: str, key: list[str], n_buckets: int, *, mode: str,
+                   batch_size: int, rows: int | None = None,
+                   rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+                   file_bytes: int = DEFAULT_FILE_BYTES) -> None:
     """Write rows into their bucket folders.
 
-    Rows are range-partitioned on (bucket, key): each task holds a
-    contiguous slice, so it writes into one or two bucket folders, and a
-    large bucket is split over several tasks instead of landing in one.
+    Rows are hash-partitioned on (bucket, salt), the salt a hash of the key
+    in ``[0, spread)``: each bucket is split over ``spread`` tasks, so a big
+    bucket never lands in one task, and a bucket gets about ``spread``
+    files. ``spread`` comes from a known row count, else from the plan's
+    size estimate (no pass over the data), else from a row count job.
     """
-    tasks = max(1, -(-rows // max(1, rows_per_task)))
-    if tasks == 1:
-        out = df.repartition(1)   # small write: no range sampling pass needed
+    n_buckets = max(1, n_buckets)
+    if rows is not None:
+        spread = -(-rows // (n_buckets * rows_per_task))
     else:
-        out = df.repartitionByRange(tasks, F.col(BUCKET_COL), *[F.col(k) for k in key])
+        size = estimated_bytes(df)
+        if size is not None:
+            spread = -(-size // (n_buckets * file_bytes))
+        else:
+            spread = -(-df.count() // (n_buckets * rows_per_task))
+    spread = int(min(MAX_SPREAD, max(1, spread)))
+    salt = F.pmod(F.xxhash64(*[F.col(k) for k in key], F.lit(SALT_SEED)), F.lit(spread))
+    out = (df.withColumn("_salt", salt)
+           .repartition(n_buckets * spread, F.col(BUCKET_COL), F.col("_salt"))
+           .drop("_salt"))
     w = out.write.mode(mode).option("maxRecordsPerFile", int(batch_size)).partitionBy(BUCKET_COL)
     if mode == "overwrite":
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -95,12 +124,13 @@ def _write_buckets(df: DataFrame, path: str, key: list[str], rows: int, *, mode:
 
 def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | Sequence[str], *,
                 buckets: int = DEFAULT_BUCKETS, batch_size: int = DEFAULT_BATCH_ROWS,
-                rows_per_task: int = DEFAULT_ROWS_PER_TASK, frozen: bool = False) -> bool:
+                frozen: bool = False) -> bool:
     """K5: upsert ``updates`` (one row per key) into the collection at ``path``.
 
-    1. The updates are checkpointed to the shared folder (unless ``frozen``:
-       the caller already did), so every step below sees the same rows. A
-       first load into an empty path only appends, so it skips this.
+    0. A first load into an empty path has nothing to merge: one pass, append.
+    1. Otherwise the updates are checkpointed to the shared folder (unless
+       ``frozen``: the caller already did), so every step below sees the
+       same rows.
     2. Buckets receiving rows are found (at most ``buckets`` numbers, a fixed
        bound); only the key column of those buckets is read to find which
        update keys already exist.
@@ -109,24 +139,22 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | S
        and are appended as new files, so an append-mostly delta never
        rewrites the destination.
 
-    An empty update writes nothing. Returns whether a write happened.
+    An empty update writes nothing. Returns False when an update to an
+    existing collection was empty, True otherwise.
     """
     keys = [key] if isinstance(key, str) else list(key)
     staged = updates.withColumn(BUCKET_COL, bucket_of(keys, buckets))
-    exists = collection_exists(spark, path)
-    if exists and not frozen:
+    if not collection_exists(spark, path):
+        # Nothing to merge with: one pass, every row appended.
+        _write_buckets(staged, path, keys, buckets, mode="append", batch_size=batch_size)
+        return True
+    if not frozen:
         ensure_checkpoint_dir(spark)
         staged = staged.checkpoint(eager=True)
     per_bucket = {r[0]: r[1] for r in staged.groupBy(BUCKET_COL).count().collect()}
-    if not per_bucket:
-        return False
-    if not exists:
-        # Nothing to merge with: write every row (unfiltered, so rows that
-        # reach the source after the count above are not lost).
-        _write_buckets(staged, path, keys, sum(per_bucket.values()), mode="append",
-                       batch_size=batch_size, rows_per_task=rows_per_task)
-        return True
     touched = sorted(per_bucket)
+    if not touched:
+        return False
     stored_keys = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(touched)) \
         .select(*keys, BUCKET_COL)
     hit = sorted(r[0] for r in staged.select(*keys, BUCKET_COL)
@@ -136,13 +164,11 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | S
         current = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(hit))
         merged = upsert(current, staged.filter(F.col(BUCKET_COL).isin(hit)), keys)
         rows = current.count() + sum(per_bucket[b] for b in hit)
-        _write_buckets(merged, path, keys, rows, mode="overwrite", batch_size=batch_size,
-                       rows_per_task=rows_per_task)
+        _write_buckets(merged, path, keys, len(hit), mode="overwrite", batch_size=batch_size, rows=rows)
     fresh = [b for b in touched if b not in set(hit)]
     if fresh:
-        rows = sum(per_bucket[b] for b in fresh)
-        _write_buckets(staged.filter(F.col(BUCKET_COL).isin(fresh)), path, keys, rows, mode="append",
-                       batch_size=batch_size, rows_per_task=rows_per_task)
+        _write_buckets(staged.filter(F.col(BUCKET_COL).isin(fresh)), path, keys, len(fresh), mode="append",
+                       batch_size=batch_size, rows=sum(per_bucket[b] for b in fresh))
     return True
 
 
@@ -151,8 +177,9 @@ def compact(spark: SparkSession, path: str, parts: int, out_path: str | None = N
     """K4: reduce a collection to few files; ``parts`` 0 leaves it as is.
 
     A bucketed collection is compacted in place to about ``parts`` files per
-    bucket (dynamic overwrite of every bucket; rows range-partitioned on
-    bucket and ``key``, so no task holds more than its share of a bucket).
+    bucket (dynamic overwrite of every bucket; rows hash-partitioned on the
+    bucket and a salt in ``[0, parts)``, so no task holds more than its share
+    of a bucket).
     A plain one is rewritten into ``parts`` files at ``out_path``, which the
     caller switches to: one path cannot be read and overwritten in a single
     static overwrite.
@@ -162,8 +189,11 @@ def compact(spark: SparkSession, path: str, parts: int, out_path: str | None = N
     df = spark.read.parquet(path)
     if BUCKET_COL in df.columns:
         n_buckets = df.select(BUCKET_COL).distinct().count()
-        keys = [key] if isinstance(key, str) else list(key or [])
-        out = df.repartitionByRange(max(1, n_buckets * int(parts)), F.col(BUCKET_COL), *[F.col(k) for k in keys])
+        keys = [key] if isinstance(key, str) else list(key or [c for c in df.columns if c != BUCKET_COL])
+        salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(SALT_SEED)), F.lit(int(parts)))
+        out = (df.withColumn("_salt", salt)
+               .repartition(max(1, n_buckets * int(parts)), F.col(BUCKET_COL), F.col("_salt"))
+               .drop("_salt"))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(BUCKET_COL).parquet(path))
         return path

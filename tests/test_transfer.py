@@ -132,3 +132,16 @@ def test_repeated_source_key_keeps_newest(spark, out):
     res = run_transfer(spark, rows, f"{out}/d", ts_col="ts", as_of=AS_OF, run_id="r", buckets=2)
     got = {r["id"]: r["v"] for r in spark.read.parquet(f"{out}/d").collect()}
     assert res.found == 3 and res.written == 2 and got == {"a": 2, "b": 3}
+
+
+def test_compact_bucketed_in_place(spark, out):
+    from docflow.sinks.collection import compact
+    path = f"{out}/c"
+    for i in range(4):   # four appends leave several files per bucket
+        part = spark.range(i * 50, (i + 1) * 50).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v"))
+        upsert_path(spark, path, part, "id", buckets=2)
+    before = sorted(tuple(r) for r in spark.read.parquet(path).drop(BUCKET_COL).collect())
+    assert file_count(spark, path) >= 4
+    compact(spark, path, 1, key="id")
+    assert file_count(spark, path) <= 2
+    assert sorted(tuple(r) for r in spark.read.parquet(path).drop(BUCKET_COL).collect()) == before
