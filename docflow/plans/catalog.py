@@ -27,7 +27,7 @@ from docflow.operators.upsert import atomic_add, upsert
 from docflow.plans.enrichment import entity_rows, run_enrichment
 from docflow.plans.transfer import TAG_COL, run_transfer, tag_rows, transfer_delta
 from docflow.session import shared_dir, table
-from docflow.sinks.collection import BUCKET_COL, compact, upsert_path, write_collection
+from docflow.sinks.collection import compact, upsert_path, write_collection
 from docflow.sources.collection import flatten_arrays, read_collection, top_k
 from docflow.sources.files import file_manifest
 from docflow.streaming.transfer import dedupe_stream, file_stream, run_to_parquet, stream_transfer
