@@ -25,8 +25,10 @@ ENTITY_FIELDS = (
     ("PERSON", "person_ss"),
 )
 
-# Largest gazetteer shipped to every task as a broadcast; larger ones join
-# through a shuffle instead.
+# Gazetteer size limits: up to INLINE_MAX_ENTRIES it travels inside the plan
+# as a map literal (lookups in place, no join); up to BROADCAST_MAX_ROWS it
+# is a broadcast join side; larger ones join through a shuffle.
+INLINE_MAX_ENTRIES = 20_000
 BROADCAST_MAX_ROWS = 1_000_000
 
 
@@ -41,10 +43,32 @@ def tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def gazetteer(spark: SparkSession, entries: Iterable[tuple[str, str]]) -> DataFrame:
-    """A word -> class table (token, entity_class)."""
+    """A word -> class table (token, entity_class); a repeated word keeps its last class."""
     schema = StructType([StructField("token", StringType(), False),
                          StructField("entity_class", StringType(), False)])
-    return spark.createDataFrame(list(entries), schema)
+    return spark.createDataFrame(list(dict(entries).items()), schema)
+
+
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def gazetteer_lookup(gaz: DataFrame, max_entries: int = INLINE_MAX_ENTRIES):
+    """The gazetteer as a ``map<string,string>`` literal, or None if too big.
+
+    At most ``max_entries + 1`` rows are fetched to decide, so the driver
+    never holds more than that. The map ships with the plan to every task,
+    like a broadcast, and each lookup is an in-place hash probe.
+    """
+    rows = gaz.select("token", "entity_class").limit(max_entries + 1).collect()
+    if len(rows) > max_entries:
+        return None
+    lookup = {r[0]: r[1] for r in rows if r[0] is not None and r[1] is not None}
+    if not lookup:
+        return F.expr("map()").cast("map<string,string>")
+    keys = ",".join(_sql_text(k) for k in lookup)
+    vals = ",".join(_sql_text(v) for v in lookup.values())
+    return F.expr(f"map_from_arrays(array({keys}), array({vals}))")
 
 
 def _fits_broadcast(df: DataFrame, max_rows: int) -> bool:
@@ -52,19 +76,40 @@ def _fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def tag_entities(tok: DataFrame, gaz: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def tag_entities(tok: DataFrame, gaz: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+                 max_inline_entries: int = INLINE_MAX_ENTRIES) -> DataFrame:
     """Tag each token with its class; tokens without a class drop out.
 
-    The gazetteer is broadcast only after its row count is checked against
-    ``max_broadcast_rows``; beyond that the join shuffles both sides. The
-    gazetteer must hold one class per token (duplicates would repeat rows).
+    A small gazetteer (at most ``max_inline_entries``) becomes a map literal
+    and tagging is a filter plus a lookup, with no join. A larger one is
+    broadcast after its row count is checked against ``max_broadcast_rows``;
+    beyond that the join shuffles both sides. One class per token.
     """
+    lookup = gazetteer_lookup(gaz, max_inline_entries) if max_inline_entries > 0 else None
+    if lookup is not None:
+        return tok.filter(F.map_contains_key(lookup, F.col("token"))) \
+            .withColumn("entity_class", F.element_at(lookup, F.col("token")))
     g = gaz.select("token", "entity_class")
     if _fits_broadcast(g, max_broadcast_rows):
         g = F.broadcast(g)
     return tok.join(g, "token", "inner")
 
 
+def entity_columns_in_place(docs: DataFrame, lookup, id_col: str, text_col: str,
+                            fields: Sequence[tuple[str, str]] = ENTITY_FIELDS) -> DataFrame:
+    """V2 without a shuffle: per row, the tokens found in the ``lookup`` map,
+    then one sorted distinct array per class. Rows without entities get
+    empty arrays. The document is read once and never leaves its task."""
+    found = docs.select(F.col(id_col), F.filter(tokenize(text_col),
+                                                lambda t: F.map_contains_key(lookup, t)).alias("_found"))
+    def of_class(cls: str):
+        return lambda t: F.element_at(lookup, t) == F.lit(cls)
+
+    cols = [F.array_sort(F.array_distinct(F.filter("_found", of_class(cls)))).alias(name)
+            for cls, name in fields]
+    return found.select(*cols, F.col(id_col))
+
+
 def entity_sets(tags: DataFrame, id_col: str) -> DataFrame:
     """A6 + V1: per id and class, the sorted distinct words; class O dropped.
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions.predicates import field_exists
-from docflow.operators.enrich import (ENTITY_FIELDS, entity_columns, gazetteer, tag_entities,
-                                     tokenize)
+from docflow.operators.enrich import (ENTITY_FIELDS, entity_columns, entity_columns_in_place, gazetteer,
+                                     gazetteer_lookup, tag_entities, tokenize)
 from docflow.operators.upsert import atomic_add
 from docflow.sources.collection import flatten_arrays
 
@@ -21,14 +21,19 @@ def entity_rows(docs: DataFrame, gaz: DataFrame, *, id_col: str = "id",
     Rows without text are skipped; an array text field is space-joined.
     Output: location_ss, organization_ss, person_ss (sorted arrays), id.
     """
-    docs = docs.filter(field_exists(docs, text_col)).select(id_col, text_col)
+    docs = docs.filter(field_exists(docs, text_col)).select(
+        F.col(id_col).cast("string").alias(id_col), F.col(text_col))
     docs = flatten_arrays(docs)
-    # Tokens are exploded map-side and joined with the broadcast gazetteer;
-    # only matched words reach the one aggregation per id.
+    lookup = gazetteer_lookup(gaz)
+    if lookup is not None:
+        # Small gazetteer: tag and pivot inside each row; no explode, no join,
+        # no shuffle, one read of the text.
+        return entity_columns_in_place(docs, lookup, id_col, text_col)
+    # Large gazetteer: tokens exploded map-side and joined (checked broadcast
+    # or shuffle); only matched words reach the one aggregation per id.
     tok = docs.select(F.col(id_col), F.explode(tokenize(text_col)).alias("token"))
-    tags = tag_entities(tok, gaz)
-    out = entity_columns(tags, docs.select(id_col), id_col)
-    return out.withColumn(id_col, F.col(id_col).cast("string"))
+    tags = tag_entities(tok, gaz, max_inline_entries=0)
+    return entity_columns(tags, docs.select(id_col), id_col)
 
 
 def run_enrichment(spark: SparkSession, docs: DataFrame, entries: Iterable[tuple[str, str]],

@@ -44,13 +44,29 @@ def test_udf_tagger_matches_gazetteer_join(spark):
     assert sorted(map(tuple, udf.collect())) == sorted(map(tuple, join.collect()))
 
 
-def test_gazetteer_is_broadcast_after_size_check(spark):
-    d = spark.createDataFrame([(1, "Ada")], "id long, text string")
-    plan = tag_entities(tokens(d, "id", "text"), gazetteer(spark, ENTRIES))._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-    small_limit = tag_entities(tokens(d, "id", "text"), gazetteer(spark, ENTRIES), max_broadcast_rows=2)
-    assert small_limit.count() == 1    # over the bound: joined without the hint, same rows
+def test_gazetteer_paths_by_size(spark):
+    d = spark.createDataFrame([(1, "Ada met the Acme people")], "id long, text string")
+    tok, gaz = tokens(d, "id", "text"), gazetteer(spark, ENTRIES)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    inline = tag_entities(tok, gaz)                                   # small: map literal, no join
+    assert "Join" not in plan(inline)
+    broadcast = tag_entities(tok, gaz, max_inline_entries=0)          # checked broadcast
+    assert "BroadcastHashJoin" in plan(broadcast)
+    # over both bounds: no hint (Spark may still broadcast by its own size estimate)
+    shuffled = tag_entities(tok, gaz, max_inline_entries=0, max_broadcast_rows=2)
+    rows = [sorted((r["pos"], r["token"], r["entity_class"]) for r in df.collect())
+            for df in (inline, broadcast, shuffled)]
+    assert rows[0] == rows[1] == rows[2] == [(0, "Ada", "PERSON"), (2, "the", "O"), (3, "Acme", "ORGANIZATION")]
+
+
+def test_entity_rows_in_place_has_no_shuffle(spark):
+    from docflow.plans.enrichment import entity_rows
+    out = entity_rows(docs(spark), gazetteer(spark, ENTRIES))
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in p and "Join" not in p
 
 
 def test_atomic_add_present_absent_null(spark):
