@@ -258,10 +258,15 @@ def q_write_batches(spark, d):
 
 
 def q_compaction(spark, d):
+    """K4 on a bucketed collection: two appends leave several files per bucket,
+    then each bucket is rewritten in place into one file."""
     path = shared_dir(spark, "many")
-    write_collection(_events(spark, d).repartition(8), path, mode="overwrite", batch_size=500)
-    out = compact(spark, path, 2, out_path=shared_dir(spark, "compacted"))
-    return spark.read.parquet(out).select(*EVENT_COLS)
+    ev = _events(spark, d)
+    early = F.coalesce(F.col("ts") <= _ts_lit(LO), F.lit(False))   # the two parts cover every row
+    upsert_path(spark, path, ev.filter(early), "event_id", buckets=8)
+    upsert_path(spark, path, ev.filter(~early), "event_id", buckets=8)
+    compact(spark, path, 1, key="event_id")
+    return spark.read.parquet(path).select(*EVENT_COLS)
 
 
 # ---- enrichment --------------------------------------------------------------------

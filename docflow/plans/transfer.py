@@ -10,6 +10,7 @@ compaction (K4) -> count of rows carrying the tag (A5) -> report (R4).
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 import uuid
 from collections.abc import Sequence
@@ -32,13 +33,6 @@ TAG_COL = "_xfer_id"
 # Run log inside the destination folder; the leading "_" hides it from the
 # Parquet reader of the collection itself.
 LOG_DIR = "_xfer_log"
-LOG_SCHEMA = StructType([
-    StructField("run_id", StringType()),
-    StructField("seq", LongType()),
-    StructField("state", StringType()),
-    StructField("watermark_used", StringType()),
-    StructField("watermark_after", StringType()),
-])
 
 REPORT_SCHEMA = StructType([
     StructField("run_id", StringType()),
@@ -120,18 +114,45 @@ def _ts_value(text: str | None):
         return text
 
 
-def last_run(spark: SparkSession, destination: str):
-    """The newest run-log row of a destination, or None."""
-    path = _log_path(destination)
-    if not path_exists(spark, path):
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def last_run(spark: SparkSession, destination: str) -> dict | None:
+    """The newest run-log entry of a destination, or None.
+
+    Entries are small JSON files named by a zero-padded sequence number, so
+    the newest is the greatest name; a listing and one small read, no job.
+    """
+    fs, log = _fs(spark, _log_path(destination))
+    if not fs.exists(log):
+        return None
+    names = [st.getPath().getName() for st in fs.listStatus(log)]
+    names = [n for n in names if n.endswith(".json") and not n.startswith((".", "_"))]
+    if not names:
         return None
-    return spark.read.schema(LOG_SCHEMA).parquet(path).orderBy(F.col("seq").desc()).first()
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(log, max(names)))
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
 
 
 def _log(spark: SparkSession, destination: str, run_id: str, state: str, used, after) -> None:
-    row = {"run_id": run_id, "seq": time.time_ns() // 1000, "state": state,
-           "watermark_used": _ts_text(used), "watermark_after": _ts_text(after)}
-    one_row(spark, row, LOG_SCHEMA).write.mode("append").parquet(_log_path(destination))
+    """Append one run-log entry (a small JSON file written on the driver)."""
+    entry = {"run_id": run_id, "seq": time.time_ns() // 1000, "state": state,
+             "watermark_used": _ts_text(used), "watermark_after": _ts_text(after)}
+    fs, log = _fs(spark, _log_path(destination))
+    jvm = spark.sparkContext._jvm
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(log, f"{entry['seq']:020d}-{state}.json"), False)
+    try:
+        out.write(bytearray(json.dumps(entry).encode("utf-8")))
+    finally:
+        out.close()
 
 
 def resume_watermark(spark: SparkSession, destination: str, dest_newest):
