@@ -71,7 +71,7 @@ def gazetteer_lookup(gaz: DataFrame, max_entries: int = INLINE_MAX_ENTRIES):
     return F.expr(f"map_from_arrays(array({keys}), array({vals}))")
 
 
-def _fits_broadcast(df: DataFrame, max_rows: int) -> bool:
+def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     # Bounded count: stops reading once it knows the table is too big.
     return df.limit(max_rows + 1).count() <= max_rows
 
@@ -90,7 +90,7 @@ def tag_entities(tok: DataFrame, gaz: DataFrame, max_broadcast_rows: int = BROAD
         return tok.filter(F.map_contains_key(lookup, F.col("token"))) \
             .withColumn("entity_class", F.element_at(lookup, F.col("token")))
     g = gaz.select("token", "entity_class")
-    if _fits_broadcast(g, max_broadcast_rows):
+    if fits_broadcast(g, max_broadcast_rows):
         g = F.broadcast(g)
     return tok.join(g, "token", "inner")
 
@@ -121,17 +121,20 @@ def entity_sets(tags: DataFrame, id_col: str) -> DataFrame:
             .agg(F.array_sort(F.collect_set("token")).alias("words")))
 
 
-def entity_columns(tags: DataFrame, ids: DataFrame, id_col: str,
+def entity_columns(tags: DataFrame, ids: DataFrame | None, id_col: str,
                    fields: Sequence[tuple[str, str]] = ENTITY_FIELDS) -> DataFrame:
-    """V2: one row per id of ``ids`` with one sorted word array per class.
+    """V2: one row per id with one sorted word array per class.
 
-    An absent class gives an empty array and ids without any entity are kept.
-    Planned as a union of the ids with the tags followed by one aggregation
-    (no join): ``collect_set`` skips the nulls of the id-only rows.
+    An absent class gives an empty array and ids without any entity are kept:
+    either ``tags`` already holds a row for every id (e.g. from a left join,
+    class null), or ``ids`` lists them and is unioned in. One aggregation,
+    no join: ``collect_set`` skips the null-class rows.
     """
-    base = ids.select(F.col(id_col), F.lit(None).cast("string").alias("entity_class"),
-                      F.lit(None).cast("string").alias("token"))
-    both = base.unionByName(tags.select(id_col, "entity_class", "token"))
+    both = tags.select(id_col, "entity_class", "token")
+    if ids is not None:
+        base = ids.select(F.col(id_col), F.lit(None).cast("string").alias("entity_class"),
+                          F.lit(None).cast("string").alias("token"))
+        both = base.unionByName(both)
     aggs = [F.array_sort(F.collect_set(F.when(F.col("entity_class") == cls, F.col("token")))).alias(name)
             for cls, name in fields]
     return both.groupBy(id_col).agg(*aggs).select(*[name for _, name in fields], id_col)

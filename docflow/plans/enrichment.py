@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions.predicates import field_exists
-from docflow.operators.enrich import (ENTITY_FIELDS, entity_columns, entity_columns_in_place, gazetteer,
-                                     gazetteer_lookup, tag_entities, tokenize)
+from docflow.operators.enrich import (BROADCAST_MAX_ROWS, ENTITY_FIELDS, entity_columns,
+                                     entity_columns_in_place, fits_broadcast, gazetteer,
+                                     gazetteer_lookup, tokenize)
 from docflow.operators.upsert import atomic_add
 from docflow.sources.collection import flatten_arrays
 
@@ -29,10 +30,17 @@ def entity_rows(docs: DataFrame, gaz: DataFrame, *, id_col: str = "id",
         # Small gazetteer: tag and pivot inside each row; no explode, no join,
         # no shuffle, one read of the text.
         return entity_columns_in_place(docs, lookup, id_col, text_col)
-    # Large gazetteer: tokens exploded map-side and joined (checked broadcast
-    # or shuffle); only matched words reach the one aggregation per id.
-    tok = docs.select(F.col(id_col), F.explode(tokenize(text_col)).alias("token"))
-    tags = tag_entities(tok, gaz, max_inline_entries=0)
+    tok = docs.select(F.col(id_col), F.explode_outer(tokenize(text_col)).alias("token"))
+    g = gaz.select("token", "entity_class")
+    if fits_broadcast(g, BROADCAST_MAX_ROWS):
+        # Broadcast left join on one scan: every document keeps its rows, a
+        # word without a class gets a null class, and the aggregation per id
+        # (partial, map-side) keeps only classed words.
+        tags = tok.join(F.broadcast(g), "token", "left")
+        return entity_columns(tags, None, id_col)
+    # Very large gazetteer: inner shuffle join (AQE splits a hot word), the
+    # ids of documents without entities come from a second, id-only pass.
+    tags = tok.filter(F.col("token").isNotNull()).join(g, "token", "inner")
     return entity_columns(tags, docs.select(id_col), id_col)
 
 

@@ -117,3 +117,12 @@ def test_map_tagger_side_file(spark, out):
     d = spark.createDataFrame([("1", "Ada in Paris")], "id string, text string")
     row = map_tagger(d, factory, side_files=[path]).first()
     assert (row["person_ss"], row["location_ss"], row["organization_ss"]) == (["Ada"], ["Paris"], [])
+
+
+def test_entity_rows_same_on_every_gazetteer_path(spark, monkeypatch):
+    import docflow.plans.enrichment as R
+    want = sorted(map(tuple, entity_rows(docs(spark), gazetteer(spark, ENTRIES)).collect()))
+    monkeypatch.setattr(R, "gazetteer_lookup", lambda gaz: None)          # no in-plan map
+    assert sorted(map(tuple, entity_rows(docs(spark), gazetteer(spark, ENTRIES)).collect())) == want
+    monkeypatch.setattr(R, "fits_broadcast", lambda df, n: False)         # shuffle join
+    assert sorted(map(tuple, entity_rows(docs(spark), gazetteer(spark, ENTRIES)).collect())) == want
