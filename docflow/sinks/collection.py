@@ -56,6 +56,13 @@ def collection_exists(spark: SparkSession, path: str) -> bool:
     return any(_visible(st.getPath().getName()) for st in fs.listStatus(jpath))
 
 
+def _bucket_dirs(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(1 for st in fs.listStatus(jpath) if st.getPath().getName().startswith(BUCKET_COL + "="))
+
+
 def _visible(name: str) -> bool:
     # Spark's own rule: "_" and "." names are hidden, but "_b=3" is a partition.
     return not name.startswith(".") and (not name.startswith("_") or "=" in name)
@@ -91,7 +98,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def _write_buckets(df: DataFrame, path: str, key: list[str], n_buckets: int, *, mode: str,
-                   batch_size: int, rows: int | None = None,
+                   batch_size: int, rows: int | None = None, stored_bytes: int | None = None,
                    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
                    file_bytes: int = DEFAULT_FILE_BYTES) -> None:
     """Write rows into their bucket folders.
@@ -99,12 +106,14 @@ def _write_buckets(df: DataFrame, path: str, key: list[str], n_buckets: int, *,
     Rows are hash-partitioned on (bucket, salt), the salt a hash of the key
     in ``[0, spread)``: each bucket is split over ``spread`` tasks, so a big
     bucket never lands in one task, and a bucket gets about ``spread``
-    files. ``spread`` comes from a known row count, else from the plan's
-    size estimate (no pass over the data), else from a row count job.
+    files. ``spread`` comes from known sizes (rows of the delta, bytes of
+    the stored buckets), else from the plan's size estimate (no pass over
+    the data), else from a row count job.
     """
     n_buckets = max(1, n_buckets)
-    if rows is not None:
-        spread = -(-rows // (n_buckets * rows_per_task))
+    if rows is not None or stored_bytes is not None:
+        spread = max(-(-(rows or 0) // (n_buckets * rows_per_task)),
+                     -(-(stored_bytes or 0) // (n_buckets * file_bytes)))
     else:
         size = estimated_bytes(df)
         if size is not None:
@@ -163,8 +172,12 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | S
     if hit:
         current = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(hit))
         merged = upsert(current, staged.filter(F.col(BUCKET_COL).isin(hit)), keys)
-        rows = current.count() + sum(per_bucket[b] for b in hit)
-        _write_buckets(merged, path, keys, len(hit), mode="overwrite", batch_size=batch_size, rows=rows)
+        # Size of the stored part of the rewrite without a job: the
+        # collection's size estimate times the share of buckets rewritten.
+        whole = estimated_bytes(read_bucketed(spark, path)) or 0
+        stored = whole * len(hit) // max(1, _bucket_dirs(spark, path))
+        _write_buckets(merged, path, keys, len(hit), mode="overwrite", batch_size=batch_size,
+                       rows=sum(per_bucket[b] for b in hit), stored_bytes=stored)
     fresh = [b for b in touched if b not in set(hit)]
     if fresh:
         _write_buckets(staged.filter(F.col(BUCKET_COL).isin(fresh)), path, keys, len(fresh), mode="append",
