@@ -26,7 +26,7 @@ from docflow.operators.counts import count_new, new_rows_filter
 from docflow.operators.latest import latest_per_key
 from docflow.session import ensure_checkpoint_dir
 from docflow.sinks.collection import (DEFAULT_BATCH_ROWS, DEFAULT_BUCKETS, collection_exists,
-                                      compact, path_exists, upsert_path)
+                                      compact, read_bucketed, upsert_path)
 from docflow.sources.collection import read_collection
 
 TAG_COL = "_xfer_id"
@@ -195,7 +195,7 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     if verbose:
         src.printSchema()
     exists = collection_exists(spark, destination)
-    dest = spark.read.parquet(destination) if exists else None
+    dest = read_bucketed(spark, destination) if exists else None
     before, dest_newest = 0, None
     if dest is not None:
         # one pass for the row count and the newest timestamp (A2)
@@ -226,7 +226,7 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
         compact(spark, destination, compact_to, key=key)
     # A5, the row count and this run's newest timestamp in one pass
     mine = F.col(tag_col) == F.lit(run_id)
-    counts = spark.read.parquet(destination).agg(
+    counts = read_bucketed(spark, destination).agg(
         F.count(F.lit(1)), F.count(F.when(mine, 1)), F.max(F.when(mine, F.col(ts_col)))).first()
     after, written, top = counts[0], counts[1], counts[2]
     if not new_only:

@@ -82,7 +82,10 @@ def write_collection(df: DataFrame, path: str, *, mode: str = "append",
 
 
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A stored collection; files written at different times may differ in
+    columns (e.g. rows loaded before a tag column existed), so schemas are
+    merged rather than taken from one footer."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

@@ -145,3 +145,11 @@ def test_compact_bucketed_in_place(spark, out):
     compact(spark, path, 1, key="id")
     assert file_count(spark, path) <= 2
     assert sorted(tuple(r) for r in spark.read.parquet(path).drop(BUCKET_COL).collect()) == before
+
+
+def test_destination_loaded_without_tag_column(spark, out):
+    dest = f"{out}/d"
+    upsert_path(spark, dest, src(spark, [("a", D(2024, 1, 1), 1, [])]), "id", buckets=2)   # no tag column
+    more = src(spark, [("a", D(2024, 1, 1), 1, []), ("b", D(2024, 1, 4), 2, [])])
+    res = run_transfer(spark, more, dest, ts_col="ts", as_of=AS_OF, run_id="r", buckets=2)
+    assert (res.found, res.written, res.before, res.after) == (1, 1, 1, 2)
