@@ -1,6 +1,6 @@
 from docflow.sources.collection import (flatten_arrays, parse_fields, read_collection,
-                                       shape_collection, top_k)
+                                       read_with_options, shape_collection, top_k)
 from docflow.sources.files import file_manifest, read_files
 
 __all__ = ["file_manifest", "flatten_arrays", "parse_fields", "read_collection",
-           "read_files", "shape_collection", "top_k"]
+           "read_files", "read_with_options", "shape_collection", "top_k"]

@@ -48,6 +48,42 @@ def read_collection(spark: SparkSession, source: str, *, format: str = "parquet"
                             flatten_multivalued=flatten_multivalued)
 
 
+# Option names of the source jobs' reader and the keyword each maps to.
+OPTION_NAMES = {
+    "query": "where",
+    "fields": "fields",
+    "max_rows": "max_rows",
+    "splits_per_shard": "splits",
+    "flatten_multivalued": "flatten_multivalued",
+}
+MATCH_ALL_QUERY = "*:*"
+
+
+def read_with_options(spark: SparkSession, source: str, opts: dict[str, str], *,
+                      format: str = "parquet") -> DataFrame:
+    """Read with an option map as the source jobs wrote it.
+
+    ``query`` is taken as an SQL boolean expression (``*:*`` = all rows; no
+    index query-string parser is built); ``max_rows`` and ``splits_per_shard``
+    are numbers, ``flatten_multivalued`` is ``"true"``/``"false"``. Unknown
+    names (``collection``, ``zkhost``) are ignored: the source is the path.
+    """
+    kw: dict = {}
+    for name, value in opts.items():
+        target = OPTION_NAMES.get(name)
+        if target is None:
+            continue
+        if target == "where":
+            kw[target] = None if value.strip() in ("", MATCH_ALL_QUERY) else value
+        elif target in ("max_rows", "splits"):
+            kw[target] = int(value)
+        elif target == "flatten_multivalued":
+            kw[target] = str(value).lower() == "true"
+        else:
+            kw[target] = value
+    return read_collection(spark, source, format=format, **kw)
+
+
 def shape_collection(df: DataFrame, *, where=None, fields=None, max_rows=None,
                      order_by=None, splits=None, flatten_multivalued=False) -> DataFrame:
     """The option handling of :func:`read_collection` on any DataFrame."""

@@ -25,3 +25,14 @@ def test_flatten_arrays_only_string_arrays(spark):
     df = spark.createDataFrame([(["x", "y"], [1.0])], "a array<string>, v array<double>")
     row = flatten_arrays(df).first()
     assert row["a"] == "x y" and row["v"] == [1.0]
+
+
+def test_read_with_option_map(spark, out):
+    from docflow.sources.collection import read_with_options
+    df = spark.createDataFrame([(i, [f"w{i}", "x"]) for i in range(30)], "id long, body_t array<string>")
+    df.write.parquet(f"{out}/cnn")
+    opts = {"collection": "cnn", "fields": "id, body_t", "max_rows": "10", "query": "size(body_t) > 0",
+            "flatten_multivalued": "true"}
+    got = read_with_options(spark, f"{out}/cnn", opts).collect()
+    assert len(got) == 10 and got[0]["body_t"] == "w0 x"
+    assert read_with_options(spark, f"{out}/cnn", {"query": "*:*"}).count() == 30
