@@ -22,8 +22,9 @@ from docflow.operators.deliver import assign_host, deliver, json_batches, meter_
 from docflow.operators.enrich import (GazetteerTagger, entity_sets, gazetteer, map_tagger,
                                      tag_entities, tokenize, tokens)
 from docflow.operators.latest import latest_per_key
-from docflow.operators.transports import RuleTransport
+from docflow.operators.transports import FlakyTransport, RuleTransport
 from docflow.operators.upsert import atomic_add, upsert
+from docflow.plans.delivery import run_delivery
 from docflow.plans.enrichment import entity_rows, run_enrichment
 from docflow.plans.transfer import TAG_COL, run_transfer, tag_rows, transfer_delta
 from docflow.session import shared_dir, table
@@ -358,6 +359,19 @@ def q_delivery_meter(spark, d):
     return meter_by_host(_delivery_report(spark, d))
 
 
+def _flaky_once():
+    return FlakyTransport(1)
+
+
+def q_directory_delivery(spark, d):
+    """R5 end to end over the sf folder's files: binaryFile read on the
+    executors, one request per file, failover (every first try fails), a
+    durable report; returns the per-host meter (rows-only: paths vary)."""
+    res = run_delivery(spark, d, COLLECTION, pipeline=PIPELINE, parser=PARSER, hosts=HOSTS,
+                       transport_factory=_flaky_once, glob="*.parquet", retry_wait_s=0.0)
+    return res.meter
+
+
 def q_json_batches(spark, d):
     return json_batches(_events(spark, d), "event_type", "event_id", JSON_BATCH_ROWS) \
         .select("event_type", "batch_id", "rows", "first_id", "last_id")
@@ -429,6 +443,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivery_assign": q_delivery_assign,
     "delivery_outcome": q_delivery_outcome,
     "delivery_meter": q_delivery_meter,
+    "directory_delivery": q_directory_delivery,
     "json_batches": q_json_batches,
     "json_parse": q_json_parse,
     "stream_transfer": q_stream_transfer,

@@ -33,4 +33,4 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_but_listing_has_sql():
-    assert set(E.queries()) - set(SQL) == {"file_manifest"}
+    assert set(E.queries()) - set(SQL) == {"file_manifest", "directory_delivery"}
