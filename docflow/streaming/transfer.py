@@ -77,9 +77,37 @@ def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts_col: str, delay: st
             .drop(event_col))
 
 
-def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Append a stream to Parquet until the input is drained (availableNow)."""
-    q = (stream.writeStream.format("parquet").option("path", path)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def _start(spark: SparkSession, writer, conf: dict[str, str]):
+    """Start a query with session settings that the query reads once at
+    start; the session's own values are put back right after."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return writer.start()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, *,
+                   final_eviction_batch: bool = False) -> None:
+    """Append a stream to Parquet until the input is drained (availableNow).
+
+    After the data, Spark would run one more batch without data only to
+    evict state the watermark has passed; rows are already emitted (append
+    mode), so by default that batch is skipped and the next run's first
+    batch evicts instead.
+    """
+    writer = (stream.writeStream.format("parquet").option("path", path)
+              .option("checkpointLocation", checkpoint).outputMode("append")
+              .trigger(availableNow=True))
+    conf = {} if final_eviction_batch else {NO_DATA_BATCHES: "false"}
+    q = _start(stream.sparkSession, writer, conf)
     q.awaitTermination()
