@@ -24,7 +24,7 @@ from docflow.functions.keys import with_natural_key
 from docflow.functions.predicates import all_of
 from docflow.operators.counts import count_new, new_rows_filter
 from docflow.operators.latest import latest_per_key
-from docflow.session import ensure_checkpoint_dir
+from docflow.session import ensure_checkpoint_dir, hadoop_fs
 from docflow.sinks.collection import (DEFAULT_BATCH_ROWS, DEFAULT_BUCKETS, collection_exists,
                                       compact, read_bucketed, upsert_path)
 from docflow.sources.collection import read_collection
@@ -114,19 +114,13 @@ def _ts_value(text: str | None):
         return text
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
-
-
 def last_run(spark: SparkSession, destination: str) -> dict | None:
     """The newest run-log entry of a destination, or None.
 
     Entries are small JSON files named by a zero-padded sequence number, so
     the newest is the greatest name; a listing and one small read, no job.
     """
-    fs, log = _fs(spark, _log_path(destination))
+    fs, log = hadoop_fs(spark, _log_path(destination))
     if not fs.exists(log):
         return None
     names = [st.getPath().getName() for st in fs.listStatus(log)]
@@ -146,7 +140,7 @@ def _log(spark: SparkSession, destination: str, run_id: str, state: str, used, a
     """Append one run-log entry (a small JSON file written on the driver)."""
     entry = {"run_id": run_id, "seq": time.time_ns() // 1000, "state": state,
              "watermark_used": _ts_text(used), "watermark_after": _ts_text(after)}
-    fs, log = _fs(spark, _log_path(destination))
+    fs, log = hadoop_fs(spark, _log_path(destination))
     jvm = spark.sparkContext._jvm
     out = fs.create(jvm.org.apache.hadoop.fs.Path(log, f"{entry['seq']:020d}-{state}.json"), False)
     try:

@@ -77,6 +77,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/docflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def hadoop_fs(spark: SparkSession, path: str):
+    """The Hadoop FileSystem serving ``path`` (any URI scheme) and the Path."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table of an sf folder, e.g. ``table(spark, d, "events")``."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

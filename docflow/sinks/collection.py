@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.operators.upsert import upsert
-from docflow.session import ensure_checkpoint_dir
+from docflow.session import ensure_checkpoint_dir, hadoop_fs
 
 BUCKET_COL = "_b"
 # Bucket count of a new destination: aim for buckets of a few GB (about 4,096
@@ -37,9 +37,7 @@ def bucket_of(key: str | Sequence[str], buckets: int):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = hadoop_fs(spark, path)
     return fs.exists(jpath)
 
 
@@ -48,18 +46,14 @@ def collection_exists(spark: SparkSession, path: str) -> bool:
 
     (A run log alone, such as ``_xfer_log``, does not make a collection.)
     """
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = hadoop_fs(spark, path)
     if not fs.exists(jpath):
         return False
     return any(_visible(st.getPath().getName()) for st in fs.listStatus(jpath))
 
 
 def _bucket_dirs(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = hadoop_fs(spark, path)
     return sum(1 for st in fs.listStatus(jpath) if st.getPath().getName().startswith(BUCKET_COL + "="))
 
 
@@ -221,9 +215,7 @@ def compact(spark: SparkSession, path: str, parts: int, out_path: str | None = N
 
 def file_count(spark: SparkSession, path: str) -> int:
     """Number of data files under ``path`` (recursive)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = hadoop_fs(spark, path)
     it = fs.listFiles(jpath, True)
     n = 0
     while it.hasNext():
