@@ -122,6 +122,13 @@ def q_flatten_multivalued(spark, d):
     return flatten_arrays(multi)
 
 
+def q_flatten_lines(spark, d):
+    # E3 as the source applied it, per row: a multi-valued field (here the
+    # lines of each whole document) joined into one text. No grouping.
+    docs = _t(spark, d, "documents").select("doc_id", F.split(F.col("text"), "\n", -1).alias("text"))
+    return flatten_arrays(docs)
+
+
 def q_file_manifest(spark, d):
     return file_manifest(spark, d, glob="*.parquet").select("name", "length")
 
@@ -414,6 +421,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conjunctive_filter": q_conjunctive_filter,
     "top_k_newest": q_top_k_newest,
     "flatten_multivalued": q_flatten_multivalued,
+    "flatten_lines": q_flatten_lines,
     "file_manifest": q_file_manifest,
     "watermark_newest": q_watermark_newest,
     "watermark_fallback": q_watermark_fallback,

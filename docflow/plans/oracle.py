@@ -107,6 +107,8 @@ SQL: dict[str, str] = {
         "SELECT event_id, ts FROM events ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST LIMIT 10",
     "flatten_multivalued":
         "SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
+    "flatten_lines":
+        "SELECT doc_id, array_to_string(string_split(text, chr(10)), ' ') AS text FROM documents",
     "watermark_newest": f"SELECT max(ts) AS newest FROM events WHERE ts <= {LO}",
     "watermark_fallback": f"SELECT count(*) AS n FROM events WHERE ts <= {AS_OF}",
     "new_rows_count": f"SELECT count(*) AS n FROM events WHERE ts > {NEWEST} AND ts <= {AS_OF}",
