@@ -187,6 +187,8 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     run_id = run_id or str(uuid.uuid4())
     src = read_collection(spark, source) if isinstance(source, str) else source
     if verbose:
+        for k, v in sorted(spark.sparkContext.getConf().getAll()):
+            print(f"{k}={v}")
         src.printSchema()
     exists = collection_exists(spark, destination)
     dest = read_bucketed(spark, destination) if exists else None
