@@ -92,3 +92,16 @@ def test_deliver_json_batches(spark):
                                hosts=["http://h:1"], transport_factory=Recorder, retry_wait_s=0).collect()
     assert sorted(r["batch"] for r in rep) == ["a-0", "a-1", "a-2", "a-3", "a-4", "b-0", "b-1"]
     assert {r["status"] for r in rep} == {"delivered"}
+
+
+def test_read_files_options(spark, out):
+    from docflow.sources.files import read_files
+    os.makedirs(os.path.join(out, "sub"))
+    for name, size in [("a.txt", 3), ("b.txt", 30), ("c.bin", 5), ("sub/d.txt", 4)]:
+        with open(os.path.join(out, name), "wb") as f:
+            f.write(b"x" * size)
+    names = lambda df: sorted(p.rsplit("/", 1)[-1] for p in (r["path"] for r in df.select("path").collect()))
+    assert names(read_files(spark, out)) == ["a.txt", "b.txt", "c.bin"]
+    assert names(read_files(spark, out, glob="*.txt")) == ["a.txt", "b.txt"]
+    assert names(read_files(spark, out, max_bytes=10)) == ["a.txt", "c.bin"]
+    assert names(read_files(spark, out, recursive=True, glob="*.txt")) == ["a.txt", "b.txt", "d.txt"]
