@@ -42,7 +42,6 @@ def stream_transfer(stream: DataFrame, destination: str, checkpoint: str, *, key
     Each micro-batch keeps the newest row per key before the upsert. Runs
     to completion (``availableNow``) and returns.
     """
-    spark = stream.sparkSession
     dtype = dict(stream.dtypes)[ts_col]
     bounded = stream.filter(all_of(where, range_(ts_col, lo=newest_ts, hi=as_of, dtype=dtype)
                                    if (newest_ts is not None or as_of is not None) else None))
@@ -50,7 +49,7 @@ def stream_transfer(stream: DataFrame, destination: str, checkpoint: str, *, key
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = latest_per_key(batch, [key], [ts_col, *order])
-        upsert_path(spark, destination, rows, key, buckets=buckets)
+        upsert_path(batch.sparkSession, destination, rows, key, buckets=buckets)
 
     q = (tagged.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
