@@ -38,9 +38,12 @@ def stream_transfer(stream: DataFrame, destination: str, checkpoint: str, *, key
                     buckets: int = DEFAULT_BUCKETS, tag_col: str = TAG_COL) -> None:
     """Upsert every new row of ``stream`` into the bucketed ``destination``.
 
-    Optional ``newest_ts``/``as_of`` bound the rows like the batch job.
-    Each micro-batch keeps the newest row per key before the upsert. Runs
-    to completion (``availableNow``) and returns.
+    Optional ``newest_ts``/``as_of`` bound the rows like the batch job; note
+    that the checkpoint marks a file done once read, so rows of it outside
+    the bounds are not picked up by a later run (leave the bounds unset for
+    a stream that should take every row once). Each micro-batch keeps the
+    newest row per key before the upsert. Runs to completion
+    (``availableNow``) and returns.
     """
     dtype = dict(stream.dtypes)[ts_col]
     bounded = stream.filter(all_of(where, range_(ts_col, lo=newest_ts, hi=as_of, dtype=dtype)
