@@ -140,6 +140,32 @@ def entity_columns(tags: DataFrame, ids: DataFrame | None, id_col: str,
     return both.groupBy(id_col).agg(*aggs).select(*[name for _, name in fields], id_col)
 
 
+def entity_sets_of_docs(docs: DataFrame, gaz: DataFrame, id_col: str, text_col: str,
+                        max_inline_entries: int = INLINE_MAX_ENTRIES) -> DataFrame:
+    """A6 + V1 straight from documents: id, entity_class, sorted distinct words.
+
+    With a gazetteer small enough for the plan, each row's tokens are
+    filtered and grouped by class inside the row (no explode of all tokens,
+    no shuffle); otherwise tokens are tagged (J3) and grouped.
+    """
+    lookup = gazetteer_lookup(gaz, max_inline_entries) if max_inline_entries > 0 else None
+    if lookup is None:
+        return entity_sets(tag_entities(tokens(docs, id_col, text_col), gaz, max_inline_entries=0), id_col)
+    classes = sorted({r[0] for r in gaz.select("entity_class").distinct().collect()} - {OTHER_CLASS})
+    found = docs.select(F.col(id_col), F.filter(tokenize(text_col),
+                                                lambda t: F.map_contains_key(lookup, t)).alias("_found"))
+
+    def of_class(cls: str):
+        return lambda t: F.element_at(lookup, t) == F.lit(cls)
+
+    per_class = F.array(*[F.struct(F.lit(c).alias("entity_class"),
+                                   F.array_sort(F.array_distinct(F.filter("_found", of_class(c)))).alias("words"))
+                          for c in classes])
+    return (found.select(F.col(id_col), F.explode(per_class).alias("_s"))
+            .filter(F.size("_s.words") > 0)
+            .select(F.col(id_col), F.col("_s.entity_class").alias("entity_class"), F.col("_s.words").alias("words")))
+
+
 def entity_schema(id_col: str = "id", fields: Sequence[tuple[str, str]] = ENTITY_FIELDS) -> StructType:
     """The declared output schema: three array<string> fields and the id."""
     return StructType([StructField(name, ArrayType(StringType())) for _, name in fields]

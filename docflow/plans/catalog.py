@@ -19,7 +19,7 @@ from docflow.functions.jsonrows import parse_json
 from docflow.functions.urls import request_target, url_origin
 from docflow.operators.counts import count_collection, new_rows_filter, newest, newest_value
 from docflow.operators.deliver import assign_host, deliver, json_batches, meter_by_host
-from docflow.operators.enrich import (GazetteerTagger, entity_sets, gazetteer, map_tagger,
+from docflow.operators.enrich import (GazetteerTagger, entity_sets_of_docs, gazetteer, map_tagger,
                                      tag_entities, tokenize, tokens)
 from docflow.operators.latest import latest_per_key
 from docflow.operators.transports import FlakyTransport, RuleTransport
@@ -295,8 +295,9 @@ def q_entity_tags(spark, d):
 
 
 def q_entity_sets(spark, d):
-    tags = tag_entities(_doc_tokens(spark, d), gazetteer(spark, GAZETTEER))
-    return entity_sets(tags, "doc_id").select("doc_id", "entity_class", _joined("words"))
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    return entity_sets_of_docs(docs, gazetteer(spark, GAZETTEER), "doc_id", "text") \
+        .select("doc_id", "entity_class", _joined("words"))
 
 
 def _entity_text(df: DataFrame) -> DataFrame:

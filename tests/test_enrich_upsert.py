@@ -126,3 +126,14 @@ def test_entity_rows_same_on_every_gazetteer_path(spark, monkeypatch):
     assert sorted(map(tuple, entity_rows(docs(spark), gazetteer(spark, ENTRIES)).collect())) == want
     monkeypatch.setattr(R, "fits_broadcast", lambda df, n: False)         # shuffle join
     assert sorted(map(tuple, entity_rows(docs(spark), gazetteer(spark, ENTRIES)).collect())) == want
+
+
+def test_entity_sets_of_docs_paths_agree(spark):
+    from docflow.operators.enrich import entity_sets_of_docs
+    d = spark.createDataFrame([(1, "the Ada the Ada Paris"), (2, "nothing"), (3, "Acme Ada")], "id long, text string")
+    inline = entity_sets_of_docs(d, gazetteer(spark, ENTRIES), "id", "text")
+    joined = entity_sets_of_docs(d, gazetteer(spark, ENTRIES), "id", "text", max_inline_entries=0)
+    rows = [sorted((r["id"], r["entity_class"], tuple(r["words"])) for r in df.collect()) for df in (inline, joined)]
+    assert rows[0] == rows[1] == [(1, "LOCATION", ("Paris",)), (1, "PERSON", ("Ada",)),
+                                  (3, "ORGANIZATION", ("Acme",)), (3, "PERSON", ("Ada",))]
+    assert "Exchange" not in inline._jdf.queryExecution().executedPlan().toString()
