@@ -100,16 +100,22 @@ def entity_columns_in_place(docs: DataFrame, lookup, id_col: str, text_col: str,
     """V2 without a shuffle: per row, the tokens found in the ``lookup`` map,
     then one sorted distinct array per class. Rows without entities get
     empty arrays. The document is read once and never leaves its task."""
-    found = docs.select(F.col(id_col), F.filter(tokenize(text_col),
-                                                lambda t: F.map_contains_key(lookup, t)).alias("_found"))
-    def of_class(cls: str):
-        return lambda t: F.element_at(lookup, t) == F.lit(cls)
-
-    cols = [F.array_sort(F.array_distinct(F.filter("_found", of_class(cls)))).alias(name)
-            for cls, name in fields]
+    found = _found_tokens(docs, lookup, id_col, text_col)
+    cols = [_class_words(lookup, cls).alias(name) for cls, name in fields]
     return found.select(*cols, F.col(id_col))
 
 
+def _found_tokens(docs: DataFrame, lookup, id_col: str, text_col: str) -> DataFrame:
+    """id and ``_found``: the row's tokens that the lookup map knows, in order."""
+    return docs.select(F.col(id_col), F.filter(tokenize(text_col),
+                                               lambda t: F.map_contains_key(lookup, t)).alias("_found"))
+
+
+def _class_words(lookup, cls: str):
+    """Sorted distinct words of ``_found`` whose class is ``cls``."""
+    return F.array_sort(F.array_distinct(F.filter("_found", lambda t: F.element_at(lookup, t) == F.lit(cls))))
+
+
 def entity_sets(tags: DataFrame, id_col: str) -> DataFrame:
     """A6 + V1: per id and class, the sorted distinct words; class O dropped.
 
@@ -152,14 +158,8 @@ def entity_sets_of_docs(docs: DataFrame, gaz: DataFrame, id_col: str, text_col:
     if lookup is None:
         return entity_sets(tag_entities(tokens(docs, id_col, text_col), gaz, max_inline_entries=0), id_col)
     classes = sorted({r[0] for r in gaz.select("entity_class").distinct().collect()} - {OTHER_CLASS})
-    found = docs.select(F.col(id_col), F.filter(tokenize(text_col),
-                                                lambda t: F.map_contains_key(lookup, t)).alias("_found"))
-
-    def of_class(cls: str):
-        return lambda t: F.element_at(lookup, t) == F.lit(cls)
-
-    per_class = F.array(*[F.struct(F.lit(c).alias("entity_class"),
-                                   F.array_sort(F.array_distinct(F.filter("_found", of_class(c)))).alias("words"))
+    found = _found_tokens(docs, lookup, id_col, text_col)
+    per_class = F.array(*[F.struct(F.lit(c).alias("entity_class"), _class_words(lookup, c).alias("words"))
                           for c in classes])
     return (found.select(F.col(id_col), F.explode(per_class).alias("_s"))
             .filter(F.size("_s.words") > 0)
