@@ -214,12 +214,15 @@ def compact(spark: SparkSession, path: str, parts: int, out_path: str | None = N
 
 
 def file_count(spark: SparkSession, path: str) -> int:
-    """Number of data files under ``path`` (recursive)."""
+    """Number of data files under ``path`` (recursive), skipping anything in
+    or under a name Spark's reader hides (``_SUCCESS``, ``_xfer_log/``...)."""
     fs, jpath = hadoop_fs(spark, path)
+    root = jpath.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString().rstrip("/")
     it = fs.listFiles(jpath, True)
     n = 0
     while it.hasNext():
-        name = it.next().getPath().getName()
-        if not name.startswith(("_", ".")):
+        full = it.next().getPath().toString()
+        rel = full[len(root):].strip("/") if full.startswith(root) else full.rsplit("/", 1)[-1]
+        if all(_visible(part) for part in rel.split("/")):
             n += 1
     return n

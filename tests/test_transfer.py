@@ -153,3 +153,16 @@ def test_destination_loaded_without_tag_column(spark, out):
     more = src(spark, [("a", D(2024, 1, 1), 1, []), ("b", D(2024, 1, 4), 2, [])])
     res = run_transfer(spark, more, dest, ts_col="ts", as_of=AS_OF, run_id="r", buckets=2)
     assert (res.found, res.written, res.before, res.after) == (1, 1, 1, 2)
+
+
+def test_transfer_where_splits_and_compaction(spark, out):
+    dest = f"{out}/d"
+    rows = src(spark, [(f"k{i}", D(2024, 1, 1 + i % 20), i, []) for i in range(60)])
+    run_transfer(spark, rows.filter("v < 30"), dest, ts_col="ts", as_of=AS_OF, run_id="r0", buckets=2)
+    res = run_transfer(spark, rows, dest, ts_col="ts", as_of=AS_OF, where="v % 2 = 0", splits=3,
+                       compact_to=1, run_id="r1", buckets=2, new_only=False)
+    got = spark.read.parquet(dest)
+    # full transfer of the even rows: 30 rows written (15 replace stored keys, 15 new)
+    assert (res.found, res.written, res.before, res.after) == (30, 30, 30, 45)
+    assert got.filter("v % 2 = 1 AND v >= 30").count() == 0
+    assert file_count(spark, dest) <= 2            # compacted: about one file per bucket
