@@ -217,9 +217,11 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
         ensure_checkpoint_dir(spark)
         delta = delta.checkpoint(eager=True)
     _log(spark, destination, run_id, "started", newest_ts, None)
-    upsert_path(spark, destination, delta, key, buckets=buckets, batch_size=batch_size, frozen=exists)
+    written_buckets = upsert_path(spark, destination, delta, key, buckets=buckets, batch_size=batch_size,
+                                  frozen=exists)
     if compact_to > 0:
-        compact(spark, destination, compact_to, key=key)
+        # only the buckets this run wrote gained files
+        compact(spark, destination, compact_to, key=key, only_buckets=written_buckets)
     # A5, the row count and this run's newest timestamp in one pass
     mine = F.col(tag_col) == F.lit(run_id)
     counts = read_bucketed(spark, destination).agg(

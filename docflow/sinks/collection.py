@@ -130,7 +130,7 @@ def _write_buckets(df: DataFrame, path: str, key: list[str], n_buckets: int, *,
 
 def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | Sequence[str], *,
                 buckets: int = DEFAULT_BUCKETS, batch_size: int = DEFAULT_BATCH_ROWS,
-                frozen: bool = False) -> bool:
+                frozen: bool = False) -> list[int]:
     """K5: upsert ``updates`` (one row per key) into the collection at ``path``.
 
     0. A first load into an empty path has nothing to merge: one pass, append.
@@ -145,22 +145,22 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | S
        and are appended as new files, so an append-mostly delta never
        rewrites the destination.
 
-    An empty update writes nothing. Returns False when an update to an
-    existing collection was empty, True otherwise.
+    Returns the bucket numbers written (empty: nothing was written; a first
+    load reports every bucket number).
     """
     keys = [key] if isinstance(key, str) else list(key)
     staged = updates.withColumn(BUCKET_COL, bucket_of(keys, buckets))
     if not collection_exists(spark, path):
         # Nothing to merge with: one pass, every row appended.
         _write_buckets(staged, path, keys, buckets, mode="append", batch_size=batch_size)
-        return True
+        return list(range(buckets))
     if not frozen:
         ensure_checkpoint_dir(spark)
         staged = staged.checkpoint(eager=True)
     per_bucket = {r[0]: r[1] for r in staged.groupBy(BUCKET_COL).count().collect()}
     touched = sorted(per_bucket)
     if not touched:
-        return False
+        return []
     stored_keys = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(touched)) \
         .select(*keys, BUCKET_COL)
     hit = sorted(r[0] for r in staged.select(*keys, BUCKET_COL)
@@ -179,17 +179,19 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | S
     if fresh:
         _write_buckets(staged.filter(F.col(BUCKET_COL).isin(fresh)), path, keys, len(fresh), mode="append",
                        batch_size=batch_size, rows=sum(per_bucket[b] for b in fresh))
-    return True
+    return touched
 
 
 def compact(spark: SparkSession, path: str, parts: int, out_path: str | None = None,
-            key: str | Sequence[str] | None = None) -> str:
+            key: str | Sequence[str] | None = None, only_buckets: Sequence[int] | None = None) -> str:
     """K4: reduce a collection to few files; ``parts`` 0 leaves it as is.
 
     A bucketed collection is compacted in place to about ``parts`` files per
     bucket (dynamic overwrite of every bucket; rows hash-partitioned on the
     bucket and a salt in ``[0, parts)``, so no task holds more than its share
     of a bucket).
+    ``only_buckets`` limits the rewrite to those buckets (e.g. the ones a
+    transfer just appended to); the others are neither read nor touched.
     A plain one is rewritten into ``parts`` files at ``out_path``, which the
     caller switches to: one path cannot be read and overwritten in a single
     static overwrite.
@@ -198,7 +200,13 @@ def compact(spark: SparkSession, path: str, parts: int, out_path: str | None = N
         return path
     df = spark.read.parquet(path)
     if BUCKET_COL in df.columns:
-        n_buckets = df.select(BUCKET_COL).distinct().count()
+        if only_buckets is not None:
+            if not only_buckets:
+                return path
+            df = df.filter(F.col(BUCKET_COL).isin(list(only_buckets)))
+            n_buckets = len(set(only_buckets))
+        else:
+            n_buckets = df.select(BUCKET_COL).distinct().count()
         keys = [key] if isinstance(key, str) else list(key or [c for c in df.columns if c != BUCKET_COL])
         salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(SALT_SEED)), F.lit(int(parts)))
         out = (df.withColumn("_salt", salt)

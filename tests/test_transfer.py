@@ -166,3 +166,18 @@ def test_transfer_where_splits_and_compaction(spark, out):
     assert (res.found, res.written, res.before, res.after) == (30, 30, 30, 45)
     assert got.filter("v % 2 = 1 AND v >= 30").count() == 0
     assert file_count(spark, dest) <= 2            # compacted: about one file per bucket
+
+
+def test_compact_only_given_buckets(spark, out):
+    from docflow.sinks.collection import compact
+    path = f"{out}/c"
+    for i in range(3):
+        part = spark.range(i * 40, (i + 1) * 40).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v"))
+        upsert_path(spark, path, part, "id", buckets=2)
+    per_bucket = lambda: {b: file_count(spark, f"{path}/_b={b}") for b in (0, 1)}
+    before = per_bucket()
+    assert min(before.values()) >= 3
+    compact(spark, path, 1, key="id", only_buckets=[0])
+    after = per_bucket()
+    assert after[0] == 1 and after[1] == before[1]
+    assert spark.read.parquet(path).count() == 120
