@@ -8,17 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def upsert(dest: DataFrame, updates: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def upsert(dest: DataFrame, updates: DataFrame, key: str | Sequence[str],
+           broadcast_keys: bool = False) -> DataFrame:
     """Rows of ``updates`` replace destination rows with the same key.
 
     Plan: a left-anti join of the destination on the distinct update keys,
     then a union. The distinct keys are hash-partitioned on the key, which
     is the partitioning the join needs, so only one shuffle per side.
     ``updates`` should hold one row per key (see ``latest_per_key``).
-    Columns missing on either side come back as null.
+    Columns missing on either side come back as null. ``broadcast_keys``
+    (only for an update set of known, bounded size) broadcasts the update
+    keys so the stored side is not shuffled.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    kept = dest.join(updates.select(*keys).distinct(), keys, "left_anti")
+    update_keys = updates.select(*keys).distinct()
+    if broadcast_keys:
+        # caller has bounded the update count: stream the stored rows past
+        # the broadcast keys instead of shuffling them
+        update_keys = F.broadcast(update_keys)
+    kept = dest.join(update_keys, keys, "left_anti")
     return kept.unionByName(updates, allowMissingColumns=True)
 
 

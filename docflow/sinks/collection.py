@@ -29,6 +29,9 @@ DEFAULT_ROWS_PER_TASK = 2_000_000
 DEFAULT_FILE_BYTES = 256 * 1024 * 1024
 MAX_SPREAD = 1024
 SALT_SEED = 17
+# Up to this many update rows (counted exactly), update keys are broadcast to
+# the existence check and the anti-join, so stored rows are not shuffled.
+BROADCAST_KEY_ROWS = 2_000_000
 
 
 def bucket_of(key: str | Sequence[str], buckets: int):
@@ -161,14 +164,19 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | S
     touched = sorted(per_bucket)
     if not touched:
         return []
+    small = sum(per_bucket.values()) <= BROADCAST_KEY_ROWS   # exact count: a proven bound
     stored_keys = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(touched)) \
         .select(*keys, BUCKET_COL)
-    hit = sorted(r[0] for r in staged.select(*keys, BUCKET_COL)
-                 .join(stored_keys, [*keys, BUCKET_COL], "left_semi")
-                 .select(BUCKET_COL).distinct().collect())
+    update_keys = staged.select(*keys, BUCKET_COL)
+    if small:
+        # stored keys stream past the broadcast update keys: no shuffle of the stored side
+        hits_df = stored_keys.join(F.broadcast(update_keys), [*keys, BUCKET_COL], "left_semi")
+    else:
+        hits_df = update_keys.join(stored_keys, [*keys, BUCKET_COL], "left_semi")
+    hit = sorted(r[0] for r in hits_df.select(BUCKET_COL).distinct().collect())
     if hit:
         current = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(hit))
-        merged = upsert(current, staged.filter(F.col(BUCKET_COL).isin(hit)), keys)
+        merged = upsert(current, staged.filter(F.col(BUCKET_COL).isin(hit)), keys, broadcast_keys=small)
         # Size of the stored part of the rewrite without a job: the
         # collection's size estimate times the share of buckets rewritten.
         whole = estimated_bytes(read_bucketed(spark, path)) or 0
