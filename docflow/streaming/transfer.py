@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from docflow.functions.keys import with_natural_key
 from docflow.functions.predicates import all_of, range_
 from docflow.plans.transfer import TAG_COL, tag_rows
 from docflow.sinks.collection import DEFAULT_BUCKETS, upsert_path
@@ -35,20 +36,22 @@ def file_stream(spark: SparkSession, folder: str, schema: StructType, *, glob: s
 def stream_transfer(stream: DataFrame, destination: str, checkpoint: str, *, key: str,
                     ts_col: str, run_id: str, newest_ts=None, as_of=None,
                     where: str | Column | None = None, order: Sequence[str] = (),
-                    buckets: int = DEFAULT_BUCKETS, tag_col: str = TAG_COL) -> None:
+                    key_fields: Sequence[str] = (),
+                    buckets: int = DEFAULT_BUCKETS, tag_col: str = TAG_COL) -> int:
     """Upsert every new row of ``stream`` into the bucketed ``destination``.
 
     Optional ``newest_ts``/``as_of`` bound the rows like the batch job; note
     that the checkpoint marks a file done once read, so rows of it outside
     the bounds are not picked up by a later run (leave the bounds unset for
-    a stream that should take every row once). Each micro-batch keeps the
-    newest row per key before the upsert. Runs to completion
-    (``availableNow``) and returns.
+    a stream that should take every row once). With ``key_fields`` the key
+    column is overwritten by the natural key (E1), as in the batch job.
+    Each micro-batch keeps the newest row per key before the upsert. Runs
+    to completion (``availableNow``) and returns the input rows read.
     """
     dtype = dict(stream.dtypes)[ts_col]
     bounded = stream.filter(all_of(where, range_(ts_col, lo=newest_ts, hi=as_of, dtype=dtype)
                                    if (newest_ts is not None or as_of is not None) else None))
-    tagged = tag_rows(bounded, run_id, tag_col)
+    tagged = tag_rows(with_natural_key(bounded, key_fields, key), run_id, tag_col)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = latest_per_key(batch, [key], [ts_col, *order])
@@ -58,6 +61,7 @@ def stream_transfer(stream: DataFrame, destination: str, checkpoint: str, *, key
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
 
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts_col: str, delay: str,

@@ -56,3 +56,16 @@ def test_stream_transfer_rerun_is_noop(spark, out):
     final = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "dest")).select("id", "v").collect())
     assert final == [(1, 1), (2, 20), (3, 3)]
     assert spark.read.parquet(os.path.join(out, "dest")).filter(F.col("_xfer_id") != "s1").count() == 0
+
+
+def test_stream_transfer_natural_key_and_count(spark, out):
+    src = os.path.join(out, "in")
+    os.makedirs(src)
+    _drop(spark, src, "a", [(1, D(2024, 1, 1), 7), (2, D(2024, 1, 2), 7), (3, D(2024, 1, 3), 8)])
+    schema = spark.createDataFrame([], SCHEMA).schema
+    s = spark.readStream.schema(schema).option("recursiveFileLookup", "true") \
+        .option("pathGlobFilter", "*.parquet").parquet(src).withColumn("nk", F.lit(None).cast("string"))
+    n = stream_transfer(s, os.path.join(out, "dest"), os.path.join(out, "ckpt"), key="nk", ts_col="ts",
+                        run_id="s1", key_fields=["v"], buckets=2)
+    got = {r["nk"]: r["id"] for r in spark.read.parquet(os.path.join(out, "dest")).collect()}
+    assert n == 3 and got == {"7": 2, "8": 3}    # newest row per natural key
