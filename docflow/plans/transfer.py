@@ -149,15 +149,15 @@ def _log(spark: SparkSession, destination: str, run_id: str, state: str, used, a
         out.close()
 
 
-def resume_watermark(spark: SparkSession, destination: str, dest_newest):
-    """The low bound of the next run.
+def resume_watermark(last: dict | None, dest_newest):
+    """The low bound of the next run, from the newest run-log entry ``last``.
 
     With no run log: the newest timestamp of the destination (A2). After a
-    committed run: the watermark it recorded. After a run that started but
-    never committed: the watermark that run used, so its rows are sent again
-    (the keyed upsert makes the repeat harmless) and none is skipped.
+    committed run: the watermark it recorded (so the destination's timestamp
+    column need not be scanned). After a run that started but never
+    committed: the watermark that run used, so its rows are sent again (the
+    keyed upsert makes the repeat harmless) and none is skipped.
     """
-    last = last_run(spark, destination)
     if last is None:
         return dest_newest
     if last["state"] == "started":
@@ -193,17 +193,21 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     exists = collection_exists(spark, destination)
     dest = read_bucketed(spark, destination) if exists else None
     before, dest_newest = 0, None
+    logged = last_run(spark, destination) if new_only else None
     if dest is not None:
-        # one pass for the row count and the newest timestamp (A2)
-        has_ts = ts_col in dest.columns
-        row = dest.agg(F.count(F.lit(1)), F.max(ts_col) if has_ts else F.lit(None)).first()
-        before, dest_newest = row[0], row[1]
+        if new_only and logged is None and ts_col in dest.columns:
+            # no run log yet: one pass for the row count and the newest timestamp (A2)
+            row = dest.agg(F.count(F.lit(1)), F.max(ts_col)).first()
+            before, dest_newest = row[0], row[1]
+        else:
+            # the log holds the watermark: only the row count (Parquet footers)
+            before = dest.count()
 
     newest_ts = None
     if new_only:
         if as_of is None:
             as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        newest_ts = resume_watermark(spark, destination, dest_newest)
+        newest_ts = resume_watermark(logged, dest_newest)
         found = count_new(src, ts_col, newest_ts, as_of, where)
         if found == 0:
             return TransferResult(run_id, 0, 0, before, before, int((time.monotonic() - t0) * 1000))
