@@ -25,8 +25,8 @@ from docflow.functions.predicates import all_of
 from docflow.operators.counts import count_new, new_rows_filter
 from docflow.operators.latest import latest_per_key
 from docflow.session import ensure_checkpoint_dir, hadoop_fs
-from docflow.sinks.collection import (DEFAULT_BATCH_ROWS, DEFAULT_BUCKETS, collection_exists,
-                                      compact, read_bucketed, upsert_path)
+from docflow.sinks.collection import (BUCKET_COL, DEFAULT_BATCH_ROWS, DEFAULT_BUCKETS,
+                                      collection_exists, compact, read_bucketed, upsert_path)
 from docflow.sources.collection import read_collection
 
 TAG_COL = "_xfer_id"
@@ -226,11 +226,14 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     if compact_to > 0:
         # only the buckets this run wrote gained files
         compact(spark, destination, compact_to, key=key, only_buckets=written_buckets)
-    # A5, the row count and this run's newest timestamp in one pass
-    mine = F.col(tag_col) == F.lit(run_id)
-    counts = read_bucketed(spark, destination).agg(
-        F.count(F.lit(1)), F.count(F.when(mine, 1)), F.max(F.when(mine, F.col(ts_col)))).first()
-    after, written, top = counts[0], counts[1], counts[2]
+    # A5 and this run's newest timestamp: rows with this run's tag can only be
+    # in the buckets it wrote, so only those are read; the total row count
+    # needs the Parquet footers only.
+    stored = read_bucketed(spark, destination)
+    after = stored.count()
+    mine = stored.filter(F.col(BUCKET_COL).isin(written_buckets)).filter(F.col(tag_col) == F.lit(run_id))
+    counts = mine.agg(F.count(F.lit(1)), F.max(ts_col)).first()
+    written, top = counts[0], counts[1]
     if not new_only:
         found = written
     tops = [v for v in (newest_ts, top) if v is not None]
