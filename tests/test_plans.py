@@ -38,3 +38,16 @@ def test_file_manifest_does_not_read_content(spark):
 
 def test_natural_key_count_uses_partial_aggregation(spark):
     assert "partial_count" in plan(C.q_natural_key(spark, SF_SMALL))
+
+
+def test_upsert_with_counted_keys_streams_stored_rows(spark, out):
+    from pyspark.sql import functions as F
+    from docflow.operators.upsert import upsert
+    spark.range(0, 500).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v")) \
+        .write.parquet(f"{out}/stored")
+    stored = spark.read.parquet(f"{out}/stored")
+    updates = spark.range(0, 5).select(F.col("id").cast("string").alias("id"), F.lit(9).cast("long").alias("v"))
+    p = formatted(upsert(stored, updates, "id", broadcast_keys=True))
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p
+    # the stored scan feeds the join directly: its rows are never shuffled
+    assert "Exchange" not in p.split("BroadcastHashJoin")[1].split("BroadcastExchange")[0]
