@@ -17,6 +17,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from docflow.functions.jsonrows import row_json
 from docflow.operators.numbering import batch_ids
+from docflow.session import ship_package
 
 # Wait before the last host's second try, seconds.
 LAST_HOST_RETRY_WAIT_S = 1.0
@@ -90,6 +91,7 @@ def deliver(df: DataFrame, *, id_col: str, target_col: str, body_col: str,
     hosts = list(hosts)
     if not hosts:
         raise ValueError("deliver needs at least one host")
+    ship_package(df.sparkSession)
     src = df.select(F.col(id_col), F.col(target_col).alias("_target"),
                     F.col(body_col).alias("_body"), assign_host(id_col, len(hosts)).alias("_start"))
     if partitions:

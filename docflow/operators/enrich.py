@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from docflow.session import ship_package
+
 # Word pattern (letters and digits of any script), the class
 # meaning "no entity", and the classes kept with their output field names.
 TOKEN_PATTERN = r"([\p{L}\p{N}]+)"
@@ -187,6 +189,7 @@ def map_tagger(df: DataFrame, tagger_factory: Callable[[dict[str, str]], Tagger]
     row. Text is tokenized with the same pattern as :func:`tokenize`.
     """
     spark = df.sparkSession
+    ship_package(spark)
     names = []
     for path in side_files:
         spark.sparkContext.addFile(path)

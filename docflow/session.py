@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,3 +89,38 @@ def hadoop_fs(spark: SparkSession, path: str):
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table of an sf folder, e.g. ``table(spark, d, "events")``."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``docflow`` importable in the Python workers (like ``--py-files``).
+
+    Steps that run Python on executors (``mapInPandas``) unpickle docflow
+    functions and classes there. The package is zipped once per
+    application into the shared folder and added with ``addPyFile``; a
+    cluster that installs docflow on its executors loses nothing by it.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    z.write(full, os.path.relpath(full, base))
+    path = shared_dir(spark, "pkg") + "/docflow.zip"
+    fs, jpath = hadoop_fs(spark, path)
+    out = fs.create(jpath, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
