@@ -182,6 +182,11 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     nothing new, nothing is read or written (found = written = 0). A run
     log (``_xfer_log``) makes a failed run restartable: see
     :func:`resume_watermark`.
+
+    The watermark is the newest timestamp over all destination rows,
+    whatever ``where`` selects: narrowing ``where`` later does not pick up
+    older rows. The low bound is exclusive, so a late row stamped at or
+    before the watermark is not sent by a later run.
     """
     t0 = time.monotonic()
     run_id = run_id or str(uuid.uuid4())
