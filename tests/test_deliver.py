@@ -105,3 +105,12 @@ def test_read_files_options(spark, out):
     assert names(read_files(spark, out, glob="*.txt")) == ["a.txt", "b.txt"]
     assert names(read_files(spark, out, max_bytes=10)) == ["a.txt", "c.bin"]
     assert names(read_files(spark, out, recursive=True, glob="*.txt")) == ["a.txt", "b.txt", "d.txt"]
+
+
+def test_fail_on_error_raises(spark):
+    import pytest
+    rows = spark.range(0, 2).select(F.col("id"), F.lit("/t").alias("target"), F.lit("b").alias("body"))
+    rep = deliver(rows, id_col="id", target_col="target", body_col="body", hosts=["http://h:1"],
+                  transport_factory=lambda: FlakyTransport(5), retry_wait_s=0, fail_on_error=True)
+    with pytest.raises(Exception, match="failed after 2 attempts"):
+        rep.collect()
