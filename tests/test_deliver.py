@@ -114,3 +114,10 @@ def test_fail_on_error_raises(spark):
                   transport_factory=lambda: FlakyTransport(5), retry_wait_s=0, fail_on_error=True)
     with pytest.raises(Exception, match="failed after 2 attempts"):
         rep.collect()
+
+
+def test_url_origin_edge_cases(spark):
+    df = spark.createDataFrame([("HTTPS://User:pw@Host.Example:443/x",), ("10.0.0.5:8764/api",), ("",), ("://nohost",)],
+                               "u string")
+    got = [r["o"] for r in df.select(url_origin("u").alias("o")).collect()]
+    assert got == ["https://Host.Example:443", "http://10.0.0.5:8764", None, None]
