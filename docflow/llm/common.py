@@ -88,37 +88,58 @@ def _powers(n: int) -> np.ndarray:
 
 _POWERS = _powers(1 << 12)
 
-#: Byte tables: 0 separates words, any other value is the byte that counts.
-SPACE_TABLE = np.arange(256, dtype=np.uint8)
+#: Byte tables: 0 separates words, any other value is 1 + the byte that counts.
+SPACE_TABLE = np.arange(1, 257, dtype=np.uint16)
 SPACE_TABLE[65:91] += 32                                # A-Z
-SPACE_TABLE[0] = 1
 SPACE_TABLE[[9, 10, 11, 12, 13, 32]] = 0
 LETTER_TABLE = SPACE_TABLE.copy()
 LETTER_TABLE[[b for b in range(128) if not (48 <= b < 58 or 65 <= b < 91 or 97 <= b < 123)]] = 0
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of some texts, and the row that each word is from.
-
-    ``table`` lower-cases A-Z and marks separators. A word's hash depends on
-    its bytes only; words never reach over the end of a text.
-    """
+def _hashes(seen: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and byte positions of the words in ``seen``; ``breaks`` are further word starts."""
     global _POWERS
-    seen = table[raw]
     inside = np.flatnonzero(seen)
     if not len(inside):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     first = np.ones(len(inside), bool)
     first[1:] = np.diff(inside) > 1
-    starts_of_rows = np.searchsorted(inside, offsets[:-1])
-    first[starts_of_rows[starts_of_rows < len(inside)]] = True
+    broken = np.searchsorted(inside, breaks)
+    first[broken[broken < len(inside)]] = True
     starts = np.flatnonzero(first)
     lengths = np.diff(np.append(starts, len(inside)))
     place = np.arange(len(inside)) - np.repeat(starts, lengths)
     longest = int(lengths.max())
     if longest > len(_POWERS):
         _POWERS = _powers(1 << longest.bit_length())
-    value = (seen[inside].astype(np.uint64) + np.uint64(1)) * _POWERS[place]
-    words = mix(np.add.reduceat(value, starts) * _ODD + lengths.astype(np.uint64))
-    rows = np.searchsorted(offsets, inside[starts], side="right") - 1
-    return words, rows
+    value = seen[inside].astype(np.uint64) * _POWERS[place]
+    return mix(np.add.reduceat(value, starts) * _ODD + lengths.astype(np.uint64)), inside[starts]
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of some texts, and the row that each word is from.
+
+    ``table`` lower-cases A-Z and marks separators. A word's hash depends on
+    its bytes only; words never reach over the end of a text. A very long text
+    is read in steps that end at separators, so memory follows the step.
+    """
+    hashes, places, at = [], [], 0
+    while at < len(raw):
+        end = len(raw)
+        if end - at > 2 * STEP_BYTES:                       # cut behind the next separator
+            end = at + STEP_BYTES
+            while end < len(raw):
+                gap = np.flatnonzero(table[raw[end:end + 65536]] == 0)
+                if len(gap):
+                    end += int(gap[0])
+                    break
+                end = min(len(raw), end + 65536)
+        lo, hi = np.searchsorted(offsets, [at, end])
+        h, p = _hashes(table[raw[at:end]], offsets[lo:hi] - at)
+        hashes.append(h)
+        places.append(p + at)
+        at = end
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    where = np.concatenate(places)
+    return np.concatenate(hashes), np.searchsorted(offsets, where, side="right") - 1

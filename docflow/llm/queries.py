@@ -8,12 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe
+from docflow.llm import bpe, toxicity
+from docflow.llm.common import id_bucket
 from docflow.session import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned outside the held-out quarter of the ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), train_rows=id_bucket("doc_id", 4) != 2)
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        F.coalesce(id_bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as counts and digests."""
     docs = table(spark, sf_dir, "documents")
@@ -27,5 +40,6 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_toxicity_ftrl": op4_toxicity_ftrl,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
