@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, toxicity
+from docflow.llm import bpe, jaccard, toxicity
 from docflow.llm.common import id_bucket
 from docflow.session import table
 
@@ -27,6 +27,11 @@ def op4_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shingle count and the smallest doc_id that its links reach."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as counts and digests."""
     docs = table(spark, sf_dir, "documents")
@@ -41,5 +46,6 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity_ftrl": op4_toxicity_ftrl,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
