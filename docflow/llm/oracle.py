@@ -1,3 +1,18 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_warc_boundary_chain": """
+        WITH rows AS (
+            SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+                   sha1(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        marked AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000
+                           THEN max(page_id) OVER (PARTITION BY payload_digest) END AS original
+            FROM rows)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN original IS DISTINCT FROM page_id AND original IS NOT NULL
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN original IS DISTINCT FROM page_id THEN original END AS refers_to
+        FROM marked""",
+}

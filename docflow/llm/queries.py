@@ -8,13 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, jaccard, toxicity
+from docflow.llm import bpe, jaccard, toxicity, warc
 from docflow.llm.common import id_bucket
-from docflow.session import table
+from docflow.session import shared_dir, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back from the archive files."""
+    path = shared_dir(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned outside the held-out quarter of the ids."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,6 +53,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_boundary_chain": op1_warc_boundary_chain,
     "op4_toxicity_ftrl": op4_toxicity_ftrl,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op10_bpe_round_trip": op10_bpe_round_trip,
