@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, jaccard, toxicity, warc
+from docflow.llm import bpe, decontaminate, jaccard, toxicity, warc
 from docflow.llm.common import id_bucket
 from docflow.session import shared_dir, table
 
@@ -40,6 +40,11 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold benchmark passages, with the items and the overlaps."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as counts and digests."""
     docs = table(spark, sf_dir, "documents")
@@ -56,5 +61,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_boundary_chain": op1_warc_boundary_chain,
     "op4_toxicity_ftrl": op4_toxicity_ftrl,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_spaced_seed_decontamination": op9_spaced_seed_decontamination,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
