@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, decontaminate, jaccard, toxicity, warc
+from docflow.llm import bpe, decontaminate, jaccard, pii, toxicity, warc
 from docflow.llm.common import id_bucket
 from docflow.session import shared_dir, table
 
@@ -35,6 +35,11 @@ def op4_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, and the terms near it that give it away."""
+    return pii.described(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shingle count and the smallest doc_id that its links reach."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -60,6 +65,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_boundary_chain": op1_warc_boundary_chain,
     "op4_toxicity_ftrl": op4_toxicity_ftrl,
+    "op5_pii_disclosure": op5_pii_disclosure,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_spaced_seed_decontamination": op9_spaced_seed_decontamination,
     "op10_bpe_round_trip": op10_bpe_round_trip,
