@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, decontaminate, jaccard, pii, toxicity, warc
+from docflow.llm import bpe, decontaminate, fertility, jaccard, pii, toxicity, warc
 from docflow.llm.common import id_bucket
 from docflow.session import shared_dir, table
 
+BYTE_VOCABULARIES = {n: public_tokenizers.path(f"{n}.tiktoken") for n in ("byte_bpe_multi_50k", "byte_bpe_50k")}
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -40,6 +41,14 @@ def op5_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.described(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op7_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word, line and repetition counts of every document and whether it is kept."""
+    docs = table(spark, sf_dir, "documents")
+    rows = fertility.measure(docs, BYTE_VOCABULARIES, public_tokenizers.PATTERN, keep=["doc_id"])
+    return rows.select("doc_id", *fertility.COUNTS, fertility.base_failed().alias("base_failed"),
+                       (~fertility.base_failed() & fertility.accepted()).alias("kept"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shingle count and the smallest doc_id that its links reach."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -66,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_boundary_chain": op1_warc_boundary_chain,
     "op4_toxicity_ftrl": op4_toxicity_ftrl,
     "op5_pii_disclosure": op5_pii_disclosure,
+    "op7_tokeniser_fertility": op7_tokeniser_fertility,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_spaced_seed_decontamination": op9_spaced_seed_decontamination,
     "op10_bpe_round_trip": op10_bpe_round_trip,
