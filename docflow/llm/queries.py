@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, decontaminate, fertility, jaccard, pii, toxicity, warc
+from docflow.llm import bpe, decontaminate, fertility, jaccard, langid, pii, toxicity, warc
 from docflow.llm.common import id_bucket
 from docflow.session import shared_dir, table
 
@@ -41,6 +41,14 @@ def op5_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.described(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op6_language_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside the held-out third of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, train_rows=id_bucket("doc_id", 3) != 1)
+    return langid.predict(docs, model, keep=["doc_id"]).select(
+        "doc_id", F.coalesce(id_bucket("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op7_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, line and repetition counts of every document and whether it is kept."""
     docs = table(spark, sf_dir, "documents")
@@ -75,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_boundary_chain": op1_warc_boundary_chain,
     "op4_toxicity_ftrl": op4_toxicity_ftrl,
     "op5_pii_disclosure": op5_pii_disclosure,
+    "op6_language_bigru": op6_language_bigru,
     "op7_tokeniser_fertility": op7_tokeniser_fertility,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_spaced_seed_decontamination": op9_spaced_seed_decontamination,
