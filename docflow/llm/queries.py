@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, decontaminate, fertility, htmltext, jaccard, langid, pii, toxicity, warc
+from docflow.llm import bpe, decontaminate, fertility, htmltext, jaccard, langid, licences, pii, toxicity, warc
 from docflow.llm.common import id_bucket
 from docflow.session import shared_dir, table
 
@@ -24,6 +24,11 @@ def op1_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_licence_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence rules that match in every document."""
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_html_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return htmltext.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
@@ -86,6 +91,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_boundary_chain": op1_warc_boundary_chain,
+    "op2_licence_sentence_rules": op2_licence_sentence_rules,
     "op3_html_template_text": op3_html_template_text,
     "op4_toxicity_ftrl": op4_toxicity_ftrl,
     "op5_pii_disclosure": op5_pii_disclosure,
