@@ -1,7 +1,78 @@
-"""Placeholder until the stages exist."""
-STAGES = []
+"""Corpus pipeline: toxicity, near-duplicates, decontamination, personal data, BPE.
+
+Every stage takes (spark, docs, sf_dir) and returns the documents it keeps,
+with the columns of ``documents``; the last returns their ids and digests of
+ids and decoded text. ``run`` writes each stage's result as Parquet into the
+shared folder and reads it again as the next one's input.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docflow.llm import bpe, decontaminate, jaccard, pii, toxicity
+from docflow.llm.common import id_bucket, small_side, staged
+from docflow.llm.queries import TOXIC_FROM, WORD_BPE, round_trip_digests
+from docflow.session import table
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose toxicity score stays below the threshold."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), train_rows=id_bucket("doc_id", 4) != 2)
+    scored = toxicity.score(docs, model, score_col="__toxicity")
+    return scored.where(F.col("__toxicity") < TOXIC_FROM).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates, and those without an id of their own.
+
+    Rows that share an id are one document; one of them is kept.
+    """
+    groups = jaccard.near_duplicates(docs.select("doc_id", "text"))
+    copies = staged(groups.where("doc_id > component_id").select("doc_id").distinct(), "copies")
+    kept = docs.join(small_side(copies), "doc_id", "left_anti")
+    ids = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = staged(ids.select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(small_side(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(small_side(repeated), "doc_id", "left_anti").unionByName(once)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark passage."""
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    leaks = staged(found.select("doc_id").distinct(), "leaks").withColumnRenamed("doc_id", "__leak")
+    return docs.join(small_side(leaks), F.col("doc_id").eqNullSafe(F.col("__leak")), "left_anti")
+
+
+def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data and the terms that disclose it replaced; ``n_chars`` follows the text."""
+    return (pii.sanitise(docs)
+            .withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")))
+            .select(*docs.columns))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded text of every document."""
+    return round_trip_digests(bpe.encode(docs, WORD_BPE, keep=["doc_id"], decoded=True))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("personal_data", sanitise),
+    ("bpe", encode),
+]
+
+#: FTRL-proximal training and heap-ordered merges have no SQL form; tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

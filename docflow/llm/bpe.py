@@ -8,8 +8,8 @@ bounded cache of words it has merged before.
 
 Defined results: a null text is encoded as the empty text; an empty text has
 no ids and decodes to an empty string; repeated rows each get their own row;
-other columns pass through unless ``keep`` leaves them out (a clash of names
-raises). The texts are encoded whole, whatever their length.
+other columns pass through unless ``keep`` leaves them out, and a new column
+replaces one of its name. The texts are encoded whole, whatever their length.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from docflow.llm.common import STEP_BYTES, ready
+from docflow.llm.common import STEP_BYTES, kept_fields, ready
 
 #: Words that each generation of a worker's cache may hold (two generations).
 CACHE_WORDS = 250_000
@@ -178,14 +178,6 @@ def _ids_array(lists: list[list[int]]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def _checked(df: DataFrame, keep: Sequence[str] | None, *new: T.StructField) -> T.StructType:
-    kept = [f for f in df.schema.fields if keep is None or f.name in keep]
-    names = [f.name for f in (*kept, *new)]
-    if len(set(names)) < len(names):
-        raise ValueError(f"column names clash: {names}")
-    return T.StructType([*kept, *new])
-
-
 def encode(df: DataFrame, path: str, text_col: str = "text", keep: Sequence[str] | None = None,
            decoded: bool = False) -> DataFrame:
     """``df``'s ``keep`` columns (all if None) with ``ids array<int>`` of every whole text.
@@ -196,8 +188,8 @@ def encode(df: DataFrame, path: str, text_col: str = "text", keep: Sequence[str]
     new = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
     if decoded:
         new.append(T.StructField("decoded", T.StringType()))
-    schema = _checked(df, keep, *new)
-    names = [f.name for f in schema.fields[:len(schema.fields) - len(new)]]
+    kept = kept_fields(df, keep, [f.name for f in new])
+    schema, names = T.StructType([*kept, *new]), [f.name for f in kept]
     ready(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,8 +210,9 @@ def encode(df: DataFrame, path: str, text_col: str = "text", keep: Sequence[str]
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", keep: Sequence[str] | None = None) -> DataFrame:
     """``df``'s ``keep`` columns with ``decoded``, the text that the ids stand for (null ids: empty)."""
-    schema = _checked(df, keep, T.StructField("decoded", T.StringType()))
-    names = [f.name for f in schema.fields[:-1]]
+    kept = kept_fields(df, keep, ["decoded"])
+    schema = T.StructType([*kept, T.StructField("decoded", T.StringType())])
+    names = [f.name for f in kept]
     ready(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docflow.session import shared_dir, ship_package
 
@@ -38,6 +39,11 @@ def ready(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def kept_fields(df: DataFrame, keep: Sequence[str] | None, new: Sequence[str]) -> list[T.StructField]:
+    """The fields of ``df`` that pass through: those in ``keep`` (all if None), but for names that new columns take."""
+    return [f for f in df.schema.fields if (keep is None or f.name in keep) and f.name not in new]
+
+
 def id_bucket(column: str, modulus: int) -> Column:
     """crc32 of an id's decimal text, modulo ``modulus`` (null id: null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -9,7 +9,7 @@ the base rules. All of it is a narrow, Arrow-batched map (no shuffle).
 
 Defined results: a null or empty text has no words, no tokens, script ``none``
 and null measures, and no vocabulary accepts it; repeated rows measure alike;
-kept columns must not clash with the new ones (that raises).
+the new columns replace those of their names.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import ready
+from docflow.llm.common import kept_fields, ready
 
 #: First code point of each range and the script that holds from there.
 SCRIPT_STARTS = (
@@ -150,12 +150,10 @@ def measure(df: DataFrame, vocabularies: dict[str, str], pattern: str, text_col:
     ``vocabularies`` maps names to paths that every executor can read, and
     ``pattern`` splits texts before merging.
     """
-    kept = [f for f in df.schema.fields if keep is None or f.name in keep]
     new = [*(T.StructField(c, T.LongType()) for c in COUNTS), T.StructField("script", T.StringType()),
            T.StructField("measures", MEASURE)]
+    kept = kept_fields(df, keep, [f.name for f in new])
     names = [f.name for f in (*kept, *new)]
-    if len(set(names)) < len(names):
-        raise ValueError(f"column names clash: {names}")
     ready(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

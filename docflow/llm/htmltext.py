@@ -16,8 +16,8 @@ narrow map before and after.
 Defined results: null or empty html has an empty text; a page without a host,
 or of a host with fewer than ``least_pages`` pages, has no template and is read
 by its elements alone; broken markup is read as browsers do in outline (open
-elements end with their parents); repeated rows each get their row; kept
-columns must not clash with ``text`` and ``n_chars``.
+elements end with their parents); repeated rows each get their row; ``text``
+and ``n_chars`` replace columns of their names.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import ready, small_side, staged
+from docflow.llm.common import kept_fields, ready, small_side, staged
 
 # Element names by what they do, and words of class, id and role that mark page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -280,10 +280,8 @@ def templates(pages: DataFrame, html_col: str = "html", least_pages: int = 3, le
 def extract(pages: DataFrame, html_col: str = "html", keep: Sequence[str] | None = None,
             least_pages: int = 3) -> DataFrame:
     """``pages``' ``keep`` columns (all but the html if None) with ``text`` and ``n_chars`` (its code points)."""
-    kept = [f for f in pages.schema.fields if (f.name != html_col if keep is None else f.name in keep)]
+    kept = [f for f in kept_fields(pages, keep, ["text", "n_chars"]) if keep is not None or f.name != html_col]
     names = [f.name for f in kept]
-    if {"text", "n_chars"} & set(names):
-        raise ValueError("columns text and n_chars are taken")
     found = templates(pages, html_col, least_pages)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,8 +292,8 @@ def extract(pages: DataFrame, html_col: str = "html", keep: Sequence[str] | None
                 [*(batch.column(k) for k in range(len(names))), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=[*names, "text", "n_chars"])
 
-    other = small_side(found).withColumnsRenamed({"host": "_host", "template": "_template"})
-    rows = pages.join(other, host_of(F.col("url")) == F.col("_host"), "left").select(
-        *names, F.col(html_col).alias("_html"), "_template")
+    other = small_side(found).withColumnsRenamed({"host": "__host", "template": "__template"})
+    rows = pages.join(other, host_of(F.col("url")) == F.col("__host"), "left").select(
+        *names, F.col(html_col).alias("__html"), "__template")
     return rows.mapInArrow(read, T.StructType([*kept, T.StructField("text", T.StringType()),
                                                T.StructField("n_chars", T.LongType())]))

@@ -11,7 +11,7 @@ reads whole texts, many windows at a time.
 Defined results: a text that is null or without a letter is ``und`` with score
 0, as is every text when there was nothing to learn from; rows with a null
 language are not learned from; ties go to the first language by name; repeated
-rows get equal results; kept columns must not clash with the new ones.
+rows get equal results; the new columns replace those of their names.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import ready, text_buffer
+from docflow.llm.common import kept_fields, ready, text_buffer
 
 #: The input symbol behind the end of a text.
 PAD = 256
@@ -224,10 +224,8 @@ def train(docs: DataFrame, settings: Settings = Settings(), max_rows: int = 6000
 def predict(df: DataFrame, model: BiGru | None, text_col: str = "text", keep: Sequence[str] | None = None,
             window: int = Settings.window) -> DataFrame:
     """``df``'s ``keep`` columns (all if None) with ``lang_pred`` and ``score`` of every whole text."""
-    kept = [f for f in df.schema.fields if keep is None or f.name in keep]
+    kept = kept_fields(df, keep, ["lang_pred", "score"])
     names = [f.name for f in kept]
-    if {"lang_pred", "score"} & set(names):
-        raise ValueError("columns lang_pred and score are taken")
     schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     spark = df.sparkSession
     ready(spark)

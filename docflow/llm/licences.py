@@ -11,7 +11,7 @@ known sentences share one of are not cut at all.
 
 Defined results: a null or empty text and a text without a rule give no row;
 every match of a rule in a text is counted and the first is placed; repeated
-rows give repeated results.
+rows give repeated results; the new columns replace those of their names.
 """
 
 from __future__ import annotations
@@ -148,18 +148,16 @@ def scan(docs: DataFrame, text_col: str = "text", sentences: dict[str, str] = SE
          rules: tuple[tuple[str, str, tuple[str, ...]], ...] = RULES) -> DataFrame:
     """``docs``' other columns with (rule, licence, n_matches, first_piece, sentences), a row for each rule that matches."""
     new = {"rule", "licence", "n_matches", "first_piece", "sentences"}
-    others = [c for c in docs.columns if c != text_col]
-    if new & set(others):
-        raise ValueError(f"columns are taken: {new & set(others)}")
+    others = [c for c in docs.columns if c != text_col and c not in new]
     some = docs.where(F.col(text_col).rlike(HINT)).where(F.size(_pieces(F.col(text_col))) > 0)
-    rows = some.select(*others, sentence_ids(F.col(text_col), sentences).alias("_found")).where(F.size("_found") > 0)
-    sequence = F.array_join(F.transform("_found", lambda s: F.concat(F.lit("<"), s["id"], F.lit(">"))), "")
+    rows = some.select(*others, sentence_ids(F.col(text_col), sentences).alias("__found")).where(F.size("__found") > 0)
+    sequence = F.array_join(F.transform("__found", lambda s: F.concat(F.lit("<"), s["id"], F.lit(">"))), "")
     rows = rows.withColumn("sentences", sequence)
     table = F.array(*(F.struct(F.lit(r).alias("rule"), F.lit(name).alias("licence"),
                                F.lit("".join(f"<{i}>" for i in ids)).alias("want")) for r, name, ids in rules))
-    rows = rows.withColumn("_rule", F.explode(table)).where(F.expr("contains(sentences, _rule.want)"))
-    want = F.col("_rule.want")
+    rows = rows.withColumn("__rule", F.explode(table)).where(F.expr("contains(sentences, __rule.want)"))
+    want = F.col("__rule.want")
     n = (F.length("sentences") - F.length(F.replace("sentences", want, F.lit("")))) / F.length(want)
-    before = F.size(F.split(F.expr("substring(sentences, 1, locate(_rule.want, sentences) - 1)"), "<")) - 1
-    return rows.select(*others, "_rule.rule", "_rule.licence", n.cast("long").alias("n_matches"),
-                       F.get("_found", before)["place"].alias("first_piece"), "sentences")
+    before = F.size(F.split(F.expr("substring(sentences, 1, locate(__rule.want, sentences) - 1)"), "<")) - 1
+    return rows.select(*others, "__rule.rule", "__rule.licence", n.cast("long").alias("n_matches"),
+                       F.get("__found", before)["place"].alias("first_piece"), "sentences")

@@ -1,5 +1,160 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from __future__ import annotations
+
+from docflow.llm.decontaminate import MASKS
+from docflow.llm.licences import MOST_PIECES, RULES, SENTENCES, normal
+from docflow.llm.pii import Disclosure
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _licences() -> str:
+    known = ", ".join(f"({_text(normal(s))}, {_text(i)})" for i, s in SENTENCES.items())
+    rules = ", ".join(f"({_text(r)}, {_text(n)}, {_text(''.join(f'<{i}>' for i in ids))})" for r, n, ids in RULES)
+    return f"""
+        WITH known(sentence, id) AS (VALUES {known}), rules(rule, licence, want) AS (VALUES {rules}),
+        docs AS (SELECT row_number() OVER () AS r, doc_id, list_filter(list_transform(
+                     string_split(regexp_replace(text, '([.!?])[ \\t\\r\\n]+', '\\1\n', 'g'), '\n'),
+                     lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS pieces
+                 FROM documents
+                 WHERE regexp_matches(text, '(?i)licen[cs]e|permission|redistribut|warrant|copyright|copies|liable|public domain')),
+        starts AS (SELECT r, doc_id, pieces, unnest(range(len(pieces))) AS place FROM docs),
+        runs AS (SELECT r, doc_id, place, width, array_to_string(pieces[place + 1:place + width], ' ') AS sentence
+                 FROM (SELECT *, unnest(range(1, least({MOST_PIECES}, len(pieces) - place) + 1)) AS width FROM starts)),
+        found AS (SELECT r, doc_id, list(place ORDER BY place, width) AS places,
+                         string_agg('<' || id || '>', '' ORDER BY place, width) AS sentences
+                  FROM runs JOIN known USING (sentence) GROUP BY r, doc_id)
+        SELECT doc_id, rule, licence,
+               ((length(sentences) - length(replace(sentences, want, ''))) // length(want))::BIGINT AS n_matches,
+               places[len(string_split(left(sentences, instr(sentences, want) - 1), '<'))]::INTEGER AS first_piece,
+               sentences
+        FROM found, rules WHERE contains(sentences, want)"""
+
+
+def _jaccard() -> str:
+    return """
+        WITH RECURSIVE
+        docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        sets AS (SELECT doc_id, CASE WHEN len(w) >= 5
+                     THEN list_distinct(list_transform(range(len(w) - 4), lambda k: array_to_string(w[k + 1:k + 5], ' ')))
+                     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM docs),
+        classes AS (SELECT min(doc_id) AS node, list_sort(s) AS s FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+        items AS (SELECT node, len(s) AS n, unnest(s) AS x FROM classes),
+        pairs AS (SELECT a.node AS a, b.node AS b, a.n AS na, b.n AS nb, count(*) AS shared
+                  FROM items a JOIN items b ON a.x = b.x AND a.node < b.node GROUP BY ALL),
+        links AS (SELECT a, b FROM pairs WHERE 100 * shared >= 80 * (na + nb - shared)),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(node, other) AS (SELECT node, node FROM classes
+                               UNION SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.other),
+        least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+        SELECT t.doc_id, len(t.s)::BIGINT AS n_shingles, coalesce(least.component_id, t.doc_id) AS component_id
+        FROM sets t LEFT JOIN classes c ON c.s = list_sort(t.s) LEFT JOIN least ON least.node = c.node"""
+
+
+def _decontaminate(window: int = 16, share: float = 0.8) -> str:
+    def seeds(column: str, mask: str) -> str:
+        return "concat_ws(' ', " + ", ".join(f"{column}[pos + {k + 1}]" for k, c in enumerate(mask) if c == "1") + ")"
+
+    def seeded(table: str, carried: str, column: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT {carried}, pos, '{m} ' || {seeds(column, m)} AS seed FROM (SELECT *, "
+            f"unnest(range(len({column}) - {len(m) - 1})) AS pos FROM {table} WHERE len({column}) >= {len(m)})"
+            for m in MASKS)
+
+    words = lambda c: (f"list_filter(string_split_regex(lower(coalesce({c}, '')), '[^\\p{{L}}\\p{{N}}]+'), "
+                       "lambda x: x <> '')")
+    return f"""
+        WITH items AS (SELECT DISTINCT item_id, {words('text')} AS want FROM benchmark),
+        docs AS (SELECT DISTINCT doc_id, text, {words('text')} AS have FROM documents),
+        item_seeds AS ({seeded('items', 'item_id, want', 'want')}),
+        doc_seeds AS ({seeded('docs', 'doc_id, text', 'have')}),
+        hits AS (SELECT DISTINCT d.doc_id, d.text, i.item_id, i.want, d.pos - i.pos AS start
+                 FROM doc_seeds d JOIN item_seeds i USING (seed)),
+        aligned AS (SELECT h.*, least(len(want), {window}) AS width, list_transform(range(len(want)),
+                        lambda k: CASE WHEN start + k >= 0 AND docs.have[start + k + 1] = want[k + 1] THEN 1 ELSE 0 END) AS agree
+                    FROM hits h JOIN docs ON docs.doc_id IS NOT DISTINCT FROM h.doc_id AND docs.text IS NOT DISTINCT FROM h.text),
+        judged AS (SELECT *, list_sum(agree) AS matched, list_max(list_transform(range(len(want) - width + 1),
+                       lambda j: list_sum(agree[j + 1:j + width]))) AS best_window FROM aligned),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text, item_id, want
+                       ORDER BY best_window DESC, matched DESC, start) AS place
+                   FROM judged WHERE best_window >= ceil(width * {share}))
+        SELECT doc_id, item_id, len(want)::INTEGER AS item_tokens, matched::INTEGER AS matched,
+               best_window::INTEGER AS best_window, start::INTEGER AS first_token
+        FROM ranked WHERE place = 1"""
+
+
+#: The base patterns as the contract states them.
+PATTERNS = (("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+"),
+            ("ip", "[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)"),
+            ("card", "[0-9]([\\x20-]?[0-9])+"),
+            ("phone", "\\+[0-9][\\x20().0-9-]+[0-9]"))
+
+
+def _located(table: str, text: str, pattern: str, carried: str, at: str = "0") -> str:
+    """Rows (carried, start, end, value) of all matches of ``pattern`` in ``text``."""
+    return f"""
+        SELECT {carried}, {at} + coalesce(list_sum(list_transform(b[1:i], lambda x: length(x))), 0)
+                   + coalesce(list_sum(list_transform(v[1:i - 1], lambda x: length(x))), 0) AS start, v[i] AS value
+        FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM (
+            SELECT *, regexp_extract_all({text}, '{pattern}') AS v, string_split_regex({text}, '{pattern}') AS b
+            FROM {table}))"""
+
+
+def _pii(rule: Disclosure = Disclosure()) -> str:
+    found = " UNION ALL ".join(
+        f"SELECT r, {k} AS k, '{kind}' AS kind, start, value FROM ({_located('docs', 'text', p, 'r')})"
+        for k, (kind, p) in enumerate(PATTERNS))
+    digits = "regexp_replace(value, '[^0-9]', '', 'g')"
+    luhn = (f"list_sum(list_transform(string_split(reverse({digits}), ''), lambda d, i: CASE WHEN i % 2 = 1 THEN d::INTEGER "
+            "WHEN d::INTEGER > 4 THEN 2 * d::INTEGER - 9 ELSE 2 * d::INTEGER END)) % 10 = 0")
+    octet = "list_bool_and(list_transform(string_split(value, '.'), lambda x: length(ltrim(x, '0')) <= 3 AND " \
+            "coalesce(try_cast(ltrim(x, '0') AS INTEGER), 0) <= 255))"
+    width = rule.context
+    return f"""
+        WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        found AS ({found}),
+        spans AS MATERIALIZED (SELECT r, k, kind, start, start + length(value) AS stop, value,
+                      kind || ':' || CASE WHEN kind IN ('card', 'phone') THEN {digits} ELSE lower(value) END AS entity
+                  FROM found
+                  WHERE CASE kind WHEN 'ip' THEN {octet} WHEN 'phone' THEN length({digits}) BETWEEN 9 AND 15
+                        WHEN 'card' THEN CASE WHEN length({digits}) BETWEEN 13 AND 19 THEN {luhn} ELSE false END
+                        ELSE true END),
+        sides AS (SELECT s.r, s.entity, greatest(s.start - {width}, 0) AS lo, s.start AS hi, true AS before, d.text
+                  FROM spans s JOIN docs d USING (r)
+                  UNION ALL SELECT s.r, s.entity, s.stop, least(s.stop + {width}, length(d.text)), false, d.text
+                  FROM spans s JOIN docs d USING (r)),
+        windows AS (SELECT r, entity, lo, hi, before, length(text) AS n, substring(text, (lo + 1)::BIGINT, (hi - lo)::BIGINT) AS part
+                    FROM sides),
+        words AS ({_located('windows', 'part', '\\p{L}+', 'r, entity, lo, hi, before, n', 'lo')}),
+        near AS (SELECT DISTINCT r, entity, lower(value) AS term, start, start + length(value) AS stop FROM words w
+                 WHERE length(value) >= 4
+                   AND CASE WHEN before THEN lo = 0 OR start > lo ELSE hi = n OR start + length(value) < hi END
+                   AND NOT EXISTS (SELECT 1 FROM spans s WHERE s.r = w.r AND s.start < w.start + length(w.value)
+                                   AND w.start < s.stop)),
+        n_e AS (SELECT entity, count(DISTINCT r) AS n_e FROM spans GROUP BY entity HAVING count(DISTINCT r) >= {rule.support}),
+        n_et AS (SELECT entity, term, count(DISTINCT r) AS n_et FROM near GROUP BY ALL HAVING count(DISTINCT r) >= {rule.support}),
+        n_t AS (SELECT term, count(*) AS n_t FROM (
+                    SELECT r, unnest(list_distinct(string_split_regex(lower(text), '[^\\p{{L}}]+'))) AS term FROM docs)
+                WHERE term IN (SELECT term FROM n_et) GROUP BY term),
+        total AS (SELECT count(*)::DOUBLE AS n FROM docs),
+        shares AS (SELECT entity, term, ln(n_et * n / (n_e * greatest(coalesce(n_t, 0), n_et))) / ln(n / n_e) AS share
+                   FROM n_et JOIN n_e USING (entity) LEFT JOIN n_t USING (term), total WHERE n_e < n),
+        places AS (SELECT DISTINCT r, start, stop FROM near JOIN shares USING (entity, term) WHERE share >= {rule.generalise}),
+        base AS (SELECT r, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY k, start) AS t,
+                        count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+                        count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone
+                 FROM spans GROUP BY r),
+        extra AS (SELECT r, string_agg('term:' || start || ':' || stop, ',' ORDER BY start) AS t FROM places GROUP BY r)
+        SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+               coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base.t, '')) AS base_sha256,
+               concat_ws(',', base.t, extra.t) AS spans
+        FROM docs LEFT JOIN base USING (r) LEFT JOIN extra USING (r)"""
+
+
 SQL: dict[str, str] = {
     "op1_warc_boundary_chain": """
         WITH rows AS (
@@ -15,4 +170,8 @@ SQL: dict[str, str] = {
                     THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN original IS DISTINCT FROM page_id THEN original END AS refers_to
         FROM marked""",
+    "op2_licence_sentence_rules": _licences(),
+    "op5_pii_disclosure": _pii(),
+    "op8_ngram_jaccard_join": _jaccard(),
+    "op9_spaced_seed_decontamination": _decontaminate(),
 }

@@ -13,6 +13,8 @@ from docflow.llm.common import id_bucket
 from docflow.session import shared_dir, table
 
 BYTE_VOCABULARIES = {n: public_tokenizers.path(f"{n}.tiktoken") for n in ("byte_bpe_multi_50k", "byte_bpe_50k")}
+#: Score from which a document counts as toxic.
+TOXIC_FROM = 0.3
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -42,7 +44,7 @@ def op4_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.coalesce(id_bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
         "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
     )
 
 
@@ -77,10 +79,8 @@ def op9_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids and decoded text of every document, as counts and digests."""
-    docs = table(spark, sf_dir, "documents")
-    coded = bpe.encode(docs, WORD_BPE, keep=["doc_id"], decoded=True)
+def round_trip_digests(coded: DataFrame) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoded and decoded documents."""
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -89,6 +89,12 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as counts and digests."""
+    docs = table(spark, sf_dir, "documents")
+    return round_trip_digests(bpe.encode(docs, WORD_BPE, keep=["doc_id"], decoded=True))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_boundary_chain": op1_warc_boundary_chain,
     "op2_licence_sentence_rules": op2_licence_sentence_rules,

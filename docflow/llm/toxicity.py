@@ -11,7 +11,8 @@ bound, chosen by a hash of the id over all labels); scoring reads every row.
 Defined results: a null or empty text has no features and scores the learned
 base rate; labels that are null or have a null id are not used; of several
 labels of a document the largest holds; without any labelled row every score
-is ``BASE_RATE``; repeated rows score alike; other columns pass through.
+is ``BASE_RATE``; repeated rows score alike; other columns pass
+through, and the score replaces a column of its name.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import LETTER_TABLE, mix, ready, steps, text_buffer, word_hashes
+from docflow.llm.common import LETTER_TABLE, kept_fields, mix, ready, steps, text_buffer, word_hashes
 
 #: Score of a text before anything is learned.
 BASE_RATE = 0.1
@@ -159,10 +160,8 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: Sequence[st
     """``df``'s ``keep`` columns (all if None) with the score of every whole text."""
     spark = df.sparkSession
     ready(spark)
-    kept = [f for f in df.schema.fields if keep is None or f.name in keep]
+    kept = kept_fields(df, keep, [score_col])
     names = [f.name for f in kept]
-    if score_col in names:
-        raise ValueError(f"column names clash: {score_col}")
     sent = spark.sparkContext.broadcast((model.bits, model.index, model.weight, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

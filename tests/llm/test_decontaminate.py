@@ -1,0 +1,76 @@
+import random
+
+import pytest
+
+from docflow.llm import decontaminate
+from tests.conftest import SF_SMALL
+from tests.llm.plain import EDGE_DOCS, contaminated
+
+
+def run(spark, docs, items, **kwargs):
+    d = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, item_id int, h string")
+    b = spark.createDataFrame([(i, t, 2) for i, t in items], "item_id long, text string, doc_id int")
+    return decontaminate.contaminated(d, b, **kwargs).collect()
+
+
+def pairs(rows):
+    return {(r["doc_id"], r["item_id"]) for r in rows}
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(400)]
+    text = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [(k, text(rng.choice((3, 7, 15, 20, 40, 60)))) for k in range(25)]
+    docs = []
+    for k in range(150):
+        body = text(rng.randrange(5, 120))
+        if k % 2:
+            _, item = rng.choice(items)
+            part = item[rng.choice((0, 0, 4)):]
+            share = rng.choice((0.0, 0.0, 0.05, 0.1, 0.3))
+            body[len(body) // 2:len(body) // 2] = [w if rng.random() > share else "sub" for w in part]
+        docs.append((k, ", ".join(body).upper()))
+    return docs, [(i, " ".join(w)) for i, w in items]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_against_all_alignments(spark, seed):
+    docs, items = corpus(seed)
+    got, want = pairs(run(spark, docs, items)), contaminated(docs, items)
+    assert got <= want                                      # every overlap is verified
+    assert len(want - got) <= 0.02 * len(want)              # seeds find nearly all that any alignment would
+    exact = {(d, i) for d, t in docs for i, s in items if f" {s} " in f" {t.lower().replace(',', '')} "}
+    assert exact <= got
+
+
+def test_substitutions_and_counts(spark):
+    item = [f"t{k}" for k in range(40)]
+    copy = ["sub" if k % 10 == 5 else w for k, w in enumerate(item)]
+    rows = run(spark, [(1, "before all " + " ".join(copy)), (2, " ".join(item[:15])), (3, " ".join(item[::2]))],
+               [(7, " ".join(item))])
+    assert [(r["doc_id"], r["item_id"], r["item_tokens"], r["matched"], r["first_token"]) for r in rows
+            if r["doc_id"] == 1] == [(1, 7, 40, 36, 2)]
+    assert pairs(rows) == {(1, 7), (2, 7)}
+
+
+def test_blocks_of_a_large_benchmark(spark):
+    docs, items = corpus(4)
+    assert pairs(run(spark, docs, items, block_seeds=100)) == pairs(run(spark, docs, items))
+
+
+def test_edges(spark):
+    items = [(1, "one two three four five six"), (2, None), (3, ""), (None, "w3 w4 w5 w6 w7 w8 w9 w10"), (4, "lone"),
+             (5, "ωmega 中文"), (1, "one two three four five six")]
+    got = pairs(run(spark, EDGE_DOCS, items))
+    assert got == {(1, 1), (None, 1), (8, None), (7, 4), (10, 5)}
+    assert run(spark, [], items) == [] and run(spark, EDGE_DOCS, []) == []
+
+
+def test_small_table(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    some = [(i, t) for i, t in docs if len(t) < 3000]
+    got = pairs(run(spark, some, items))
+    flat = lambda t: " ".join(t.lower().replace(".", " ").replace(",", " ").split())
+    assert got == {(d, i) for d, t in some for i, s in items if flat(s) in flat(t)}

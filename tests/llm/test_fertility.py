@@ -1,0 +1,65 @@
+import public_tokenizers as P
+import pytest
+from pyspark.sql import functions as F
+
+from docflow.llm import fertility
+from docflow.llm.queries import BYTE_VOCABULARIES
+from tests.conftest import SF_SMALL
+from tests.llm.plain import EDGE_DOCS, fertility_counts
+
+
+def measured(spark, rows):
+    df = spark.createDataFrame([(i, t, 1, "s") for i, t in rows], "doc_id long, text string, n_words int, script string")
+    out = fertility.measure(df, BYTE_VOCABULARIES, P.PATTERN)
+    return out.withColumn("ok", fertility.accepted()).withColumn("failed", fertility.base_failed()).collect()
+
+
+TEXTS = ["a b c a b c", "x x x x", "one\ntwo\none \none\n\n\t\n\t", "#*$%&|<> \x0b\x0c\r y", "a b a b a", "\x1c \x85 w"]
+
+
+def test_counts(spark):
+    rows = [*EDGE_DOCS, *((100 + k, t) for k, t in enumerate(TEXTS))]
+    got = measured(spark, rows)
+    assert len(got) == len(rows)
+    for r in got:
+        assert tuple(r[c] for c in fertility.COUNTS) == fertility_counts(r["text"]), r["text"]
+
+
+def test_counts_on_the_small_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    got = measured(spark, rows)
+    assert all(tuple(r[c] for c in fertility.COUNTS) == fertility_counts(r["text"]) for r in got)
+    assert all(r["ok"] for r in got if not r["failed"])     # clean prose is inside the bands
+
+
+def test_measures_match_the_encoding():
+    import math
+    from collections import Counter
+    tool = fertility._vocabulary(BYTE_VOCABULARIES["byte_bpe_multi_50k"], P.PATTERN)
+    text = "Plain words, ünïcode 漢字 and 😀😀 emoji"
+    ids = tool.encoding.encode_ordinary(text)
+    n, chars, fallback, entropy = tool.measure(text)
+    single = [len(tool.encoding.decode_single_token_bytes(i)) == 1
+              and tool.encoding.decode_single_token_bytes(i)[0] >= 128 for i in ids]
+    share = [c / len(ids) for c in Counter(ids).values()]
+    assert n == len(ids) and chars == len(text) / n and abs(fallback - sum(single) / n) < 1e-12
+    assert abs(entropy + sum(p * math.log2(p) for p in share)) < 1e-9
+
+
+@pytest.mark.parametrize("text, script", [
+    ("hello", "latin"), ("привет hi", "cyrillic"), ("漢字 a", "han"), ("123 !?", "none"), ("", "none"),
+    ("ひらがな", "kana"), ("한국어", "hangul"), ("αβγ", "greek"), ("été", "latin")])
+def test_main_script(text, script):
+    assert fertility.main_script(text) == script
+
+
+def test_bands_reject_under_every_vocabulary_only(spark):
+    rows = [(1, "plain prose with many different words in it " * 3), (2, "\x80\x81" * 200 + "q"),
+            (3, "zq" * 3000), (4, "Быстрая лиса прыгает через ленивую собаку снова и снова")]
+    got = {r["doc_id"]: r["ok"] for r in measured(spark, rows)}
+    assert got[1] and got[4] and not got[3]
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert fertility.measure(empty, BYTE_VOCABULARIES, P.PATTERN).where(F.lit(True)).collect() == []

@@ -1,0 +1,72 @@
+import numpy as np
+
+from docflow.llm import langid
+from docflow.llm.common import id_bucket
+from docflow.llm.langid import PAD, BiGru, Settings
+from tests.conftest import SF_CHECK
+from tests.llm.plain import EDGE_DOCS
+
+
+def test_gradients_match_finite_differences():
+    rng = np.random.default_rng(0)
+    model = BiGru.fresh(["a", "b", "c"], Settings(hidden=3))
+    model.w = {k: a.astype(np.float64) for k, a in model.w.items()}
+    symbols = rng.integers(0, 256, (6, 4))
+    symbols[4:, 1] = PAD
+    labels = np.array([0, 1, 2, 1])
+    _, grads = model.gradients(symbols, labels)
+    for name, grad in grads.items():
+        flat = model.w[name].reshape(-1)
+        picks = rng.choice(np.flatnonzero(grad.reshape(-1)), 12) if grad.any() else []
+        for k in picks:
+            old = flat[k]
+            flat[k] = old + 1e-6
+            up, _ = model.gradients(symbols, labels)
+            flat[k] = old - 1e-6
+            down, _ = model.gradients(symbols, labels)
+            flat[k] = old
+            assert abs((up - down) / 2e-6 - grad.reshape(-1)[k]) < 1e-6, name
+
+
+def test_documents_pool_all_windows():
+    model = BiGru.fresh(["a", "b"], Settings())
+    texts = [b"x" * 200, b"", b"hello world", b"y" * 64]
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    got = model.documents(raw, offsets, 64, lot=2)
+    for t, row in zip(texts, got):
+        parts = [np.frombuffer(t[k:k + 64], np.uint8) for k in range(0, len(t), 64)]
+        total = np.zeros(2)
+        for p in parts:
+            symbols = np.full((64, 1), PAD)
+            symbols[:len(p), 0] = p
+            total += model.positions(symbols)[0][:len(p), 0].sum(axis=0)
+        assert np.allclose(row, total / max(1, len(t)), atol=1e-5)
+
+
+def test_held_out_accuracy_and_edges(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    model = langid.train(docs, train_rows=id_bucket("doc_id", 3) != 1)
+    assert model.languages == ["de", "en", "es", "fr"]
+    held = docs.where(id_bucket("doc_id", 3) == 1)
+    rows = langid.predict(held, model, keep=["lang"]).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in rows) / len(rows) > 0.96
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+    edges = spark.createDataFrame([(i, t, "s", 1.5) for i, t in [*EDGE_DOCS, (20, "123 !?"), (21, "été")]],
+                                  "doc_id long, text string, lang_pred string, score double")
+    got = langid.predict(edges, model).collect()
+    assert len(got) == len(EDGE_DOCS) + 2
+    for r in got:
+        und = not any(c.isalpha() for c in r["text"] or "")
+        assert (r["lang_pred"] == "und") == und and (r["score"] == 0.0) == und
+    assert langid.predict(edges.limit(0), model).collect() == []
+
+
+def test_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([(1, "text", None), (2, None, "en")], "doc_id long, text string, lang string")
+    assert langid.train(docs) is None
+    assert {r["lang_pred"] for r in langid.predict(docs, None).collect()} == {"und"}
+    few = spark.createDataFrame([(1, "only", "en"), (None, "", "en")], "doc_id long, text string, lang string")
+    model = langid.train(few, Settings(rounds=3))
+    assert model.languages == ["en"] and langid.predict(few, model).first()["lang_pred"] == "en"
