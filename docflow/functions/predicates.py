@@ -35,6 +35,15 @@ def typed_lit(value, dtype: str | None = None) -> Column:
     their ISO text, which converts exactly (microseconds kept)."""
     if isinstance(value, Column):
         return value
+    if hasattr(value, "lit"):                               # a stored watermark knows its own type
+        return value.lit(dtype)
+    if isinstance(value, _dt.datetime) and value.tzinfo is not None:
+        # an instant: exact whatever the zones of driver and session are
+        micros = (value - _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)) // _dt.timedelta(microseconds=1)
+        instant = F.timestamp_micros(F.lit(micros))
+        if dtype in (None, "timestamp"):
+            return instant
+        return F.lit(value.astimezone(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast(dtype)
     if isinstance(value, _dt.datetime):
         return F.lit(value.isoformat(sep=" ")).cast(dtype or "timestamp_ntz")
     if dtype:

@@ -28,8 +28,8 @@ def with_query_flag(target: Column, flag: str = ECHO_OFF) -> Column:
         .otherwise(F.concat(target, F.lit("?" + flag)))
 
 
-def index_path(pipeline: str, collection: str, parser: str) -> str:
-    path = INDEX_PATH_TEMPLATE.format(pipeline=pipeline, collection=collection, parser=parser)
+def index_path(pipeline: str, collection: str, parser: str, template: str = INDEX_PATH_TEMPLATE) -> str:
+    path = template.format(pipeline=pipeline, collection=collection, parser=parser)
     return path if path.startswith("/") else "/" + path
 
 
@@ -41,8 +41,8 @@ def request_target(path_col: str | Column, pipeline: str, collection: str,
     return with_query_flag(target)
 
 
-# scheme, optional user info, host, optional port
-_ORIGIN = r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^@/?#]*@)?([^:/?#]*)(?::([0-9]*))?"
+# scheme, optional user info, host (a bracketed IPv6 address is one), optional port
+_ORIGIN = r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^@/?#]*@)?(\[[0-9A-Fa-f:.]*\]|[^:/?#]*)(?::([0-9]*))?"
 
 
 def url_origin(c: str | Column) -> Column:

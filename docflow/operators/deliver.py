@@ -86,53 +86,86 @@ def deliver(df: DataFrame, *, id_col: str, target_col: str, body_col: str,
     One transport per task (built by ``transport_factory`` on the executor).
     A failed row is reported, not raised, unless ``fail_on_error``.
     ``partitions`` spreads the rows over that many tasks; by default the
-    input's own partitioning is kept, so bodies are not shuffled.
+    input's own partitioning is kept, so bodies are not shuffled. The key's
+    text and first host are computed before rows reach Python, so a null id is
+    sent like any other (its key is empty) and other ids keep their exact text.
     """
     hosts = list(hosts)
     if not hosts:
         raise ValueError("deliver needs at least one host")
     ship_package(df.sparkSession)
     src = df.select(F.col(id_col), F.col(target_col).alias("_target"),
-                    F.col(body_col).alias("_body"), assign_host(id_col, len(hosts)).alias("_start"))
+                    F.col(body_col).alias("_body"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_key"))
+    src = src.withColumn("_start", assign_host("_key", len(hosts)))
     if partitions:
         src = src.repartition(int(partitions))
     schema = report_schema(df.schema[id_col])
+    # ids travel as text and take their type again afterwards (pandas has no null integers)
+    text_schema = report_schema(StructField(id_col, StringType()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         transport = transport_factory()
         try:
             for pdf in batches:
                 rows = []
-                for rid, target, body, start in zip(pdf[id_col], pdf["_target"], pdf["_body"], pdf["_start"]):
+                for rid, key, target, body, start in zip(pdf[id_col], pdf["_key"], pdf["_target"], pdf["_body"],
+                                                         pdf["_start"]):
                     host, status, attempts, err = send_with_failover(
-                        transport, hosts, int(start), target, body, str(rid), retry_wait_s)
+                        transport, hosts, int(start), target, body, key, retry_wait_s)
                     if status == FAILED and fail_on_error:
-                        raise RuntimeError(f"delivery of {rid} failed after {attempts} attempts: {err}")
+                        raise RuntimeError(f"delivery of {key} failed after {attempts} attempts: {err}")
                     rows.append((rid, target, host, status, attempts, err))
-                yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
+                yield pd.DataFrame(rows, columns=[f.name for f in text_schema.fields])
         finally:
             close = getattr(transport, "close", None)
             if close:
                 close()
 
-    return src.mapInPandas(run, schema)
+    sent = src.withColumn(id_col, F.col(id_col).cast("string")).mapInPandas(run, text_schema)
+    return sent.withColumn(id_col, F.col(id_col).cast(schema[id_col].dataType))
 
 
-def meter_by_host(report: DataFrame) -> DataFrame:
-    """Per host, requests delivered and failed, and attempts made there."""
+def meter_by_host(report: DataFrame, docs_col: str | None = None) -> DataFrame:
+    """Per host that ended a request, the documents delivered and failed and the request's attempts.
+
+    A request counts as ``docs_col`` documents (a batch of n counts n), as one
+    without it. ``attempts`` are those of the requests that ended at the host,
+    tries at hosts before it included.
+    """
+    docs = F.col(docs_col) if docs_col else F.lit(1)
     return report.groupBy("host").agg(
-        F.count(F.when(F.col("status") == DELIVERED, 1)).alias("delivered"),
-        F.count(F.when(F.col("status") == FAILED, 1)).alias("failed"),
+        F.coalesce(F.sum(F.when(F.col("status") == DELIVERED, docs)), F.lit(0)).cast("long").alias("delivered"),
+        F.coalesce(F.sum(F.when(F.col("status") == FAILED, docs)), F.lit(0)).cast("long").alias("failed"),
         F.sum("attempts").cast("long").alias("attempts"))
 
 
+def write_batches_by_host(batches: DataFrame, path: str, hosts: Sequence[str], key_col: str = "batch",
+                          body_col: str = "body") -> DataFrame:
+    """K7/K8 into a shared folder: each batch's body as a line of text in its host's sub-folder.
+
+    Returns what was written, read back: host number, batch key and body. The
+    folder is the hand-over to a host that takes files rather than requests.
+    """
+    hosts = list(hosts)
+    placed = batches.select(assign_host(key_col, len(hosts)).alias("host"),
+                            F.to_json(F.struct(F.col(key_col).alias("batch"), F.col(body_col).alias("body")))
+                            .alias("value"))
+    placed.write.partitionBy("host").text(path)
+    names = F.array(*[F.lit(h) for h in hosts])
+    line = F.from_json("value", "batch string, body string")
+    return (batches.sparkSession.read.text(path)
+            .select(F.element_at(names, F.col("host").cast("int") + 1).alias("host"), line.alias("l"))
+            .select("host", "l.batch", "l.body"))
+
+
 def json_batches(df: DataFrame, group_col: str, order_col: str, batch_size: int,
                  cols: Sequence[str] | None = None) -> DataFrame:
     """K7: rows in batches of ``batch_size`` by ``order_col`` within each group.
 
     One output row per batch: group, batch_id, rows, first_id, last_id and
     ``docs`` (array of JSON texts in order). Batch numbering stays parallel
-    when one group holds most rows (see ``numbering``).
+    when one group holds most rows (see ``numbering``). Null groups and null
+    order values are batched like others; ids may be of any type that sorts.
     """
     numbered = batch_ids(df, [group_col], order_col, batch_size)
     doc = row_json(df, cols)

@@ -27,11 +27,11 @@ ENTITY_FIELDS = (
     ("PERSON", "person_ss"),
 )
 
-# Gazetteer size limits: up to INLINE_MAX_ENTRIES it travels inside the plan
-# as a map literal (lookups in place, no join); up to BROADCAST_MAX_ROWS it
-# is a broadcast join side; larger ones join through a shuffle.
-INLINE_MAX_ENTRIES = 20_000
-BROADCAST_MAX_ROWS = 1_000_000
+# A gazetteer of up to so many bytes (text of words and classes, plus row
+# overhead) is a broadcast join side; a larger one joins through a shuffle.
+# Either way the rows are the same: the gazetteer is normalised before the choice.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 48
 
 
 def tokenize(text_col: str) -> "F.Column":
@@ -51,73 +51,38 @@ def gazetteer(spark: SparkSession, entries: Iterable[tuple[str, str]]) -> DataFr
     return spark.createDataFrame(list(dict(entries).items()), schema)
 
 
-def _sql_text(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def read_gazetteer(spark: SparkSession, source: DataFrame | str | Iterable[tuple[str, str]]) -> DataFrame:
+    """A gazetteer from a table (token, entity_class), the path of a Parquet one, or a list of pairs."""
+    if isinstance(source, DataFrame):
+        return source
+    return spark.read.parquet(source) if isinstance(source, str) else gazetteer(spark, source)
 
 
-def gazetteer_lookup(gaz: DataFrame, max_entries: int = INLINE_MAX_ENTRIES):
-    """The gazetteer as a ``map<string,string>`` literal, or None if too big.
-
-    At most ``max_entries + 1`` rows are fetched to decide, so the driver
-    never holds more than that. The map ships with the plan to every task,
-    like a broadcast, and each lookup is an in-place hash probe.
-    """
-    rows = gaz.select("token", "entity_class").limit(max_entries + 1).collect()
-    if len(rows) > max_entries:
-        return None
-    lookup = {r[0]: r[1] for r in rows if r[0] is not None and r[1] is not None}
-    if not lookup:
-        return F.expr("map()").cast("map<string,string>")
-    keys = ",".join(_sql_text(k) for k in lookup)
-    vals = ",".join(_sql_text(v) for v in lookup.values())
-    return F.expr(f"map_from_arrays(array({keys}), array({vals}))")
+def normalised(gaz: DataFrame) -> DataFrame:
+    """One class for each word (the greatest of several); words or classes that are null drop out."""
+    return (gaz.where("token IS NOT NULL AND entity_class IS NOT NULL")
+            .groupBy("token").agg(F.max("entity_class").alias("entity_class")))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    # Bounded count: stops reading once it knows the table is too big.
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(gaz: DataFrame, max_bytes: int) -> bool:
+    """Whether the table's text and row overhead stay within ``max_bytes`` (one small aggregate)."""
+    size = F.sum(F.octet_length("token") + F.octet_length("entity_class") + F.lit(ROW_OVERHEAD_BYTES))
+    return (gaz.agg(size).first()[0] or 0) <= max_bytes
 
 
-def tag_entities(tok: DataFrame, gaz: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-                 max_inline_entries: int = INLINE_MAX_ENTRIES) -> DataFrame:
+def tag_entities(tok: DataFrame, gaz: DataFrame, max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Tag each token with its class; tokens without a class drop out.
 
-    A small gazetteer (at most ``max_inline_entries``) becomes a map literal
-    and tagging is a filter plus a lookup, with no join. A larger one is
-    broadcast after its row count is checked against ``max_broadcast_rows``;
-    beyond that the join shuffles both sides. One class per token.
+    The gazetteer is broadcast if its bytes fit ``max_broadcast_bytes``, so the
+    tokens are not shuffled and each lookup is a hash probe; beyond that the
+    join shuffles both sides (AQE splits a hot word). One class per token.
     """
-    lookup = gazetteer_lookup(gaz, max_inline_entries) if max_inline_entries > 0 else None
-    if lookup is not None:
-        return tok.filter(F.map_contains_key(lookup, F.col("token"))) \
-            .withColumn("entity_class", F.element_at(lookup, F.col("token")))
-    g = gaz.select("token", "entity_class")
-    if fits_broadcast(g, max_broadcast_rows):
+    g = normalised(gaz)
+    if fits_broadcast(g, max_broadcast_bytes):
         g = F.broadcast(g)
     return tok.join(g, "token", "inner")
 
 
-def entity_columns_in_place(docs: DataFrame, lookup, id_col: str, text_col: str,
-                            fields: Sequence[tuple[str, str]] = ENTITY_FIELDS) -> DataFrame:
-    """V2 without a shuffle: per row, the tokens found in the ``lookup`` map,
-    then one sorted distinct array per class. Rows without entities get
-    empty arrays. The document is read once and never leaves its task."""
-    found = _found_tokens(docs, lookup, id_col, text_col)
-    cols = [_class_words(lookup, cls).alias(name) for cls, name in fields]
-    return found.select(*cols, F.col(id_col))
-
-
-def _found_tokens(docs: DataFrame, lookup, id_col: str, text_col: str) -> DataFrame:
-    """id and ``_found``: the row's tokens that the lookup map knows, in order."""
-    return docs.select(F.col(id_col), F.filter(tokenize(text_col),
-                                               lambda t: F.map_contains_key(lookup, t)).alias("_found"))
-
-
-def _class_words(lookup, cls: str):
-    """Sorted distinct words of ``_found`` whose class is ``cls``."""
-    return F.array_sort(F.array_distinct(F.filter("_found", lambda t: F.element_at(lookup, t) == F.lit(cls))))
-
-
 def entity_sets(tags: DataFrame, id_col: str) -> DataFrame:
     """A6 + V1: per id and class, the sorted distinct words; class O dropped.
 
@@ -149,23 +114,14 @@ def entity_columns(tags: DataFrame, ids: DataFrame | None, id_col: str,
 
 
 def entity_sets_of_docs(docs: DataFrame, gaz: DataFrame, id_col: str, text_col: str,
-                        max_inline_entries: int = INLINE_MAX_ENTRIES) -> DataFrame:
+                        max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """A6 + V1 straight from documents: id, entity_class, sorted distinct words.
 
-    With a gazetteer small enough for the plan, each row's tokens are
-    filtered and grouped by class inside the row (no explode of all tokens,
-    no shuffle); otherwise tokens are tagged (J3) and grouped.
+    Each row's distinct words are taken in place, so a word is looked up once
+    per document; only words with a class reach the aggregation's shuffle.
     """
-    lookup = gazetteer_lookup(gaz, max_inline_entries) if max_inline_entries > 0 else None
-    if lookup is None:
-        return entity_sets(tag_entities(tokens(docs, id_col, text_col), gaz, max_inline_entries=0), id_col)
-    classes = sorted({r[0] for r in gaz.select("entity_class").distinct().collect()} - {OTHER_CLASS})
-    found = _found_tokens(docs, lookup, id_col, text_col)
-    per_class = F.array(*[F.struct(F.lit(c).alias("entity_class"), _class_words(lookup, c).alias("words"))
-                          for c in classes])
-    return (found.select(F.col(id_col), F.explode(per_class).alias("_s"))
-            .filter(F.size("_s.words") > 0)
-            .select(F.col(id_col), F.col("_s.entity_class").alias("entity_class"), F.col("_s.words").alias("words")))
+    words = docs.select(F.col(id_col), F.explode(F.array_distinct(tokenize(text_col))).alias("token"))
+    return entity_sets(tag_entities(words, gaz, max_broadcast_bytes), id_col)
 
 
 def entity_schema(id_col: str = "id", fields: Sequence[tuple[str, str]] = ENTITY_FIELDS) -> StructType:

@@ -19,7 +19,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
     The tuple compares field by field (later fields break ties); a null
     sorts below any value, so a row with a value beats one without. Rows
-    with equal full tuples are interchangeable; give a unique tie-break.
+    with equal full tuples are interchangeable; give a unique tie-break. Rows
+    whose key is null are one key here (as in any grouping); a job that writes
+    keyed rows refuses them first (``run_transfer``).
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]

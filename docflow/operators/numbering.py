@@ -1,11 +1,11 @@
 """Row numbers within a group that stay parallel when one group is huge.
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` sends every row of a group
-to one task. Here the order column is cut into equal-width chunks: rows are
-counted per (group, chunk) with a partial aggregate, the counts are turned
-into per-chunk offsets by a running sum over that small table, and the final
-``row_number`` only runs inside a (group, chunk) window. The big side is
-shuffled once, on (group, chunk), which the offset join and the window share.
+to one task. Here rows are range-partitioned on (group, order) by Spark, which
+places the cuts at quantiles of the data, so a hot group spreads over many
+ranges and one outlier moves no other row. Each row keeps the number of its
+range; the rows per (group, range) give the offset of every range, and
+``row_number`` only runs inside a range.
 """
 
 from __future__ import annotations
@@ -15,57 +15,43 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows per (group, chunk) window aimed at when the chunk width is derived.
-TARGET_CHUNK_ROWS = 100_000
-
-
-def _order_value(df: DataFrame, order_col: str):
-    o = F.col(order_col)
-    if dict(df.dtypes)[order_col].startswith("timestamp"):
-        o = F.unix_micros(o.cast("timestamp"))
-    return o.cast("long")
-
-
-def auto_chunk_width(df: DataFrame, order_col: str, target_rows: int = TARGET_CHUNK_ROWS) -> int:
-    """Chunk width giving about ``target_rows`` rows per chunk on average.
-
-    One aggregation (min, max, count of the order value), partial per task.
-    Dense and sparse keys alike get chunks of about the target size.
-    """
-    o = _order_value(df, order_col)
-    lo, hi, n = df.agg(F.min(o), F.max(o), F.count(o)).first()
-    if not n or lo is None:
-        return 1
-    span = hi - lo + 1
-    return max(1, min(span, span * target_rows // n))
+from docflow.session import shared_dir
 
 
 def ordinal_within(df: DataFrame, groups: Sequence[str], order_col: str,
-                   out_col: str = "rn", chunk_width: int | None = None) -> DataFrame:
+                   out_col: str = "rn", ranges: int | None = None) -> DataFrame:
     """Add ``out_col`` = 1-based position of the row in its group by ``order_col``.
 
-    ``order_col`` must be integral (or a timestamp, used in microseconds).
-    Ties on ``order_col`` get distinct but arbitrary positions.
-    ``chunk_width`` None derives it from the data (:func:`auto_chunk_width`).
+    ``order_col`` may be of any type that sorts (numbers, text, timestamps);
+    null groups are a group, and null order values come first in theirs. Ties
+    on ``order_col`` get distinct but arbitrary positions. The rows are staged
+    once in the shared folder with the number of their range (``ranges``,
+    default one per shuffle partition), so every later step sees the same cuts.
     """
     groups = list(groups)
-    if chunk_width is None:
-        chunk_width = auto_chunk_width(df, order_col)
-    o = _order_value(df, order_col)
-    chunked = df.withColumn("_chunk", F.floor(o / F.lit(chunk_width)))
-    counts = chunked.groupBy(*groups, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*groups, "_chunk",
+    spark = df.sparkSession
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tie = F.xxhash64(*[F.col(c) for c in df.columns if not df.schema[c].dataType.typeName() in ("map", "variant")])
+    path = shared_dir(spark, "ranges")
+    (df.withColumn("_tie", tie).repartitionByRange(n, *[F.col(g) for g in groups], F.col(order_col), F.col("_tie"))
+     .withColumn("_range", F.spark_partition_id()).write.parquet(path))
+    cut = spark.read.parquet(path)
+    counts = cut.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(groups)], F.col("_range").alias("_r"),
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*groups, "_chunk").orderBy(F.col(order_col))
-    return (chunked.join(offsets, [*groups, "_chunk"], "inner")
+    same = F.col("_range") == F.col("_r")
+    for k, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{k}"))
+    inside = Window.partitionBy(*groups, "_range").orderBy(F.col(order_col), F.col("_tie"))
+    return (cut.join(offsets, same)
             .withColumn(out_col, F.col("_offset") + F.row_number().over(inside))
-            .drop("_chunk", "_offset"))
+            .select(*df.columns, out_col))
 
 
 def batch_ids(df: DataFrame, groups: Sequence[str], order_col: str, batch_size: int,
-              out_col: str = "batch_id", chunk_width: int | None = None) -> DataFrame:
+              out_col: str = "batch_id", ranges: int | None = None) -> DataFrame:
     """Add ``out_col`` = ``(position - 1) div batch_size`` within each group."""
-    numbered = ordinal_within(df, groups, order_col, "_rn", chunk_width)
+    numbered = ordinal_within(df, groups, order_col, "_rn", ranges)
     return numbered.withColumn(out_col, F.floor((F.col("_rn") - 1) / F.lit(batch_size)).cast("long")) \
         .drop("_rn")

@@ -17,20 +17,19 @@ from docflow.functions.keys import with_natural_key
 from docflow.functions.predicates import all_of, exists, range_, term
 from docflow.functions.jsonrows import parse_json
 from docflow.functions.urls import request_target, url_origin
-from docflow.operators.counts import count_collection, new_rows_filter, newest, newest_value
-from docflow.operators.deliver import assign_host, deliver, json_batches, meter_by_host
+from docflow.operators.counts import count_collection, count_new, new_rows_filter, newest, newest_mark
+from docflow.operators.deliver import assign_host, batch_body, json_batches, write_batches_by_host
 from docflow.operators.enrich import (GazetteerTagger, entity_sets_of_docs, gazetteer, map_tagger,
                                      tag_entities, tokenize, tokens)
 from docflow.operators.latest import latest_per_key
-from docflow.operators.transports import FlakyTransport, RuleTransport
 from docflow.operators.upsert import atomic_add, upsert
-from docflow.plans.delivery import run_delivery
+from docflow.plans.delivery import batch_key
 from docflow.plans.enrichment import entity_rows, run_enrichment
 from docflow.plans.transfer import TAG_COL, run_transfer, tag_rows, transfer_delta
 from docflow.session import shared_dir, table
-from docflow.sinks.collection import compact, upsert_path, write_collection
-from docflow.sources.collection import flatten_arrays, read_collection, top_k
-from docflow.sources.files import file_manifest
+from docflow.sinks.collection import compact, read_bucketed, upsert_path, write_collection
+from docflow.sources.collection import flatten_arrays, read_collection, read_with_options, top_k
+from docflow.sources.files import file_manifest, read_files
 from docflow.streaming.transfer import dedupe_stream, file_stream, run_to_parquet, stream_transfer
 
 # Fixed parameters of the checks (the oracle SQL uses the same values).
@@ -42,6 +41,7 @@ OTHER_RUN_ID = "initial-load"
 HOSTS = ["http://index-a.example:8764", "http://index-b.example:8764", "http://index-c.example:8764"]
 PIPELINE = COLLECTION = PARSER = "docs"
 JSON_BATCH_ROWS = 100
+PAGE_FOLDERS = 4
 GAZETTEER = [
     ("MIT", "ORGANIZATION"),
     ("Apache", "ORGANIZATION"),
@@ -85,6 +85,13 @@ def q_scan_project_filter_limit(spark, d):
                            fields="doc_id, lang", max_rows=10, order_by="doc_id")
 
 
+def q_scan_options(spark, d):
+    """The option map of the source jobs, an extra filter (fq) included."""
+    return read_with_options(spark, f"{d}/documents.parquet",
+                             {"query": "n_chars > 500", "solr.params": "fq=lang = 'de'", "fields": "doc_id, lang",
+                              "splits_per_shard": "4"})
+
+
 def q_field_exists(spark, d):
     docs = _t(spark, d, "documents").select("doc_id")
     joined = docs.join(_t(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
@@ -130,7 +137,17 @@ def q_flatten_lines(spark, d):
 
 
 def q_file_manifest(spark, d):
-    return file_manifest(spark, d, glob="*.parquet").select("name", "length")
+    """Pages written as text into folders by page_id, then listed and read back as files."""
+    path = shared_dir(spark, "page-files")
+    pages = _t(spark, d, "pages").select((F.col("page_id") % PAGE_FOLDERS).alias("folder"),
+                                         F.regexp_replace("html", "[\r\n]", " ").alias("value"))
+    pages.write.partitionBy("folder").text(path)
+    listed = file_manifest(spark, path, glob="part-*", recursive=True).select("path", "length")
+    read = read_files(spark, path, glob="part-*", recursive=True).select("path", F.length("content").alias("bytes"))
+    folder = F.regexp_extract("path", "folder=([0-9]+)", 1).cast("long")
+    both = listed.join(read, "path", "left")
+    return both.groupBy(folder.alias("folder")).agg(F.sum("length").cast("long").alias("listed_bytes"),
+                                                    F.sum("bytes").cast("long").alias("read_bytes"))
 
 
 # ---- watermark and counts --------------------------------------------------------
@@ -141,19 +158,20 @@ def q_watermark_newest(spark, d):
 
 def q_watermark_fallback(spark, d):
     empty = _events(spark, d).filter(F.lit(False))
-    newest_ts = newest_value(empty, "ts")  # None: empty destination
+    newest_ts = newest_mark(empty, "ts")  # None: empty destination
     return count_collection(_events(spark, d).filter(new_rows_filter("ts", newest_ts, AS_OF, "timestamp_ntz")))
 
 
 def q_new_rows_count(spark, d):
-    newest_ts = newest_value(_destination(spark, d), "ts")
-    return count_collection(_events(spark, d).filter(new_rows_filter("ts", newest_ts, AS_OF, "timestamp_ntz")))
+    mark = newest_mark(_destination(spark, d), "ts")
+    n = count_new(_events(spark, d), "ts", mark, AS_OF)
+    return spark.range(1).select(F.lit(n).cast("long").alias("n"))
 
 
 # ---- transfer --------------------------------------------------------------------
 
 def q_incremental_transfer(spark, d):
-    newest_ts = newest_value(_destination(spark, d), "ts")
+    newest_ts = newest_mark(_destination(spark, d), "ts")
     return transfer_delta(_events(spark, d), ts_col="ts", newest_ts=newest_ts, as_of=AS_OF,
                           key="event_id", run_id=RUN_ID).select(*EVENT_COLS, TAG_COL)
 
@@ -188,6 +206,25 @@ def q_transfer_noop(spark, d):
     return _report(spark, res)
 
 
+def _transferred(spark, d, events: DataFrame) -> DataFrame:
+    """A loaded destination after one run, read back whole."""
+    path = shared_dir(spark, "destination")
+    upto = F.to_timestamp(F.lit(LO.isoformat(sep=" "))) if dict(events.dtypes)["ts"] == "timestamp" else _ts_lit(LO)
+    upsert_path(spark, path, tag_rows(events.filter(F.col("ts") <= upto), OTHER_RUN_ID), "event_id", buckets=8)
+    run_transfer(spark, events, path, ts_col="ts", key="event_id", as_of=AS_OF, run_id=RUN_ID, buckets=8)
+    return read_bucketed(spark, path).select(*EVENT_COLS, TAG_COL)
+
+
+def q_transfer_rows(spark, d):
+    return _transferred(spark, d, _events(spark, d))
+
+
+def q_transfer_rows_zoned(spark, d):
+    """The same with a zoned timestamp column (read back without its zone, as the source has it)."""
+    zoned = _events(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+    return _transferred(spark, d, zoned).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 def q_tag_rows(spark, d):
     return tag_rows(_events(spark, d), RUN_ID).select("event_id", TAG_COL)
 
@@ -241,7 +278,7 @@ def q_upsert_at_rest(spark, d):
     path = shared_dir(spark, "upsert")
     upsert_path(spark, path, dest, "event_id", buckets=8)
     upsert_path(spark, path, updates, "event_id", buckets=8)
-    return spark.read.parquet(path).select(*UPSERT_COLS)
+    return read_bucketed(spark, path).select(*UPSERT_COLS)
 
 
 def q_atomic_add(spark, d):
@@ -274,7 +311,7 @@ def q_compaction(spark, d):
     upsert_path(spark, path, ev.filter(early), "event_id", buckets=8)
     upsert_path(spark, path, ev.filter(~early), "event_id", buckets=8)
     compact(spark, path, 1, key="event_id")
-    return spark.read.parquet(path).select(*EVENT_COLS)
+    return read_bucketed(spark, path).select(*EVENT_COLS)
 
 
 # ---- enrichment --------------------------------------------------------------------
@@ -294,6 +331,19 @@ def q_entity_tags(spark, d):
     return tags.select("doc_id", F.col("pos").cast("long").alias("pos"), "token", "entity_class")
 
 
+def _table_gazetteer(spark, d) -> DataFrame:
+    """A gazetteer from tables: words of part names (class PART) and long words of benchmark texts (BENCHMARK)."""
+    parts = _t(spark, d, "part").select(F.explode(tokenize("p_name")).alias("token"), F.lit("PART").alias("entity_class"))
+    bench = _t(spark, d, "benchmark").select(F.explode(tokenize("text")).alias("token"),
+                                             F.lit("BENCHMARK").alias("entity_class"))
+    return parts.unionByName(bench.where(F.length("token") >= 8)).distinct()
+
+
+def q_entity_tags_table(spark, d):
+    tags = tag_entities(_doc_tokens(spark, d), _table_gazetteer(spark, d))
+    return tags.select("doc_id", F.col("pos").cast("long").alias("pos"), "token", "entity_class")
+
+
 def q_entity_sets(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "text")
     return entity_sets_of_docs(docs, gazetteer(spark, GAZETTEER), "doc_id", "text") \
@@ -335,17 +385,6 @@ def _pages(spark, d):
     return _t(spark, d, "pages")
 
 
-def _transport():
-    return RuleTransport(HOSTS)
-
-
-def _delivery_report(spark, d):
-    pages = _pages(spark, d).select("page_id", request_target("url", PIPELINE, COLLECTION, PARSER).alias("target"),
-                                    "html")
-    return deliver(pages, id_col="page_id", target_col="target", body_col="html", hosts=HOSTS,
-                   transport_factory=_transport, retry_wait_s=0.0)
-
-
 def q_delivery_requests(spark, d):
     return _pages(spark, d).select("page_id", request_target("url", PIPELINE, COLLECTION, PARSER).alias("target"))
 
@@ -359,30 +398,23 @@ def q_delivery_assign(spark, d):
     return _pages(spark, d).select("page_id", F.element_at(hosts, assign_host("page_id", len(HOSTS)) + 1).alias("host"))
 
 
-def q_delivery_outcome(spark, d):
-    return _delivery_report(spark, d).select("page_id", "host", "status", F.col("attempts").cast("long").alias("attempts"))
-
-
-def q_delivery_meter(spark, d):
-    return meter_by_host(_delivery_report(spark, d))
-
-
-def _flaky_once():
-    return FlakyTransport(1)
-
-
-def q_directory_delivery(spark, d):
-    """R5 end to end over the sf folder's files: binaryFile read on the
-    executors, one request per file, failover (every first try fails), a
-    durable report; returns the per-host meter (rows-only: paths vary)."""
-    res = run_delivery(spark, d, COLLECTION, pipeline=PIPELINE, parser=PARSER, hosts=HOSTS,
-                       transport_factory=_flaky_once, glob="*.parquet", retry_wait_s=0.0)
-    return res.meter
+def q_batch_delivery(spark, d):
+    """Pages in JSON batches, written as text to a folder per assigned host and read back."""
+    pages = _pages(spark, d).select("page_id", url_origin("url").alias("origin"), F.length("html").alias("chars"))
+    pages = pages.withColumn("lot", F.col("page_id") % PAGE_FOLDERS)
+    batches = json_batches(pages, "lot", "page_id", JSON_BATCH_ROWS, cols=["page_id", "origin", "chars"])
+    rows = batches.select(batch_key("lot").alias("batch"), batch_body("docs").alias("body"))
+    back = write_batches_by_host(rows, shared_dir(spark, "hand-over"), HOSTS)
+    docs = F.from_json("body", "array<struct<page_id:bigint,origin:string,chars:int>>")
+    return back.select("host", docs.alias("docs")).groupBy("host").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum(F.size("docs")).cast("long").alias("documents"),
+        F.sum(F.aggregate("docs", F.lit(0).cast("long"), lambda a, x: a + x["chars"])).cast("long").alias("chars"))
 
 
 def q_json_batches(spark, d):
-    return json_batches(_events(spark, d), "event_type", "event_id", JSON_BATCH_ROWS) \
-        .select("event_type", "batch_id", "rows", "first_id", "last_id")
+    events = _events(spark, d).select("event_id", "event_type", "user_id")
+    return json_batches(events, "event_type", "event_id", JSON_BATCH_ROWS) \
+        .select("event_type", "batch_id", "rows", "first_id", "last_id", F.md5(batch_body("docs")).alias("body_md5"))
 
 
 def q_json_parse(spark, d):
@@ -394,12 +426,12 @@ def q_json_parse(spark, d):
 
 def q_stream_transfer(spark, d):
     path = _loaded_destination(spark, d, LO)
-    newest_ts = newest_value(spark.read.parquet(path), "ts")
+    newest_ts = newest_mark(read_bucketed(spark, path), "ts")
     src = _events(spark, d)
     stream = file_stream(spark, d, src.schema, glob="events.parquet")
     stream_transfer(stream, path, shared_dir(spark, "stream-ckpt"), key="event_id", ts_col="ts",
                     run_id=RUN_ID, newest_ts=newest_ts, as_of=AS_OF, buckets=8)
-    return spark.read.parquet(path).select(*EVENT_COLS, TAG_COL)
+    return read_bucketed(spark, path).select(*EVENT_COLS, TAG_COL)
 
 
 def q_stream_dedupe(spark, d):
@@ -415,6 +447,7 @@ def q_stream_dedupe(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_collection": q_count_collection,
     "scan_project_filter_limit": q_scan_project_filter_limit,
+    "scan_options": q_scan_options,
     "field_exists": q_field_exists,
     "range_half_open": q_range_half_open,
     "range_unbounded": q_range_unbounded,
@@ -431,6 +464,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_transfer": q_full_transfer,
     "transfer_report": q_transfer_report,
     "transfer_noop": q_transfer_noop,
+    "transfer_rows": q_transfer_rows,
+    "transfer_rows_zoned": q_transfer_rows_zoned,
     "tag_rows": q_tag_rows,
     "written_by_tag": q_written_by_tag,
     "natural_key": q_natural_key,
@@ -443,6 +478,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compaction": q_compaction,
     "tokenize_counts": q_tokenize_counts,
     "entity_tags": q_entity_tags,
+    "entity_tags_table": q_entity_tags_table,
     "entity_sets": q_entity_sets,
     "entity_pivot": q_entity_pivot,
     "udf_tagger": q_udf_tagger,
@@ -450,9 +486,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivery_requests": q_delivery_requests,
     "url_origin": q_url_origin,
     "delivery_assign": q_delivery_assign,
-    "delivery_outcome": q_delivery_outcome,
-    "delivery_meter": q_delivery_meter,
-    "directory_delivery": q_directory_delivery,
+    "batch_delivery": q_batch_delivery,
     "json_batches": q_json_batches,
     "json_parse": q_json_parse,
     "stream_transfer": q_stream_transfer,
@@ -465,4 +499,4 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     path = _loaded_destination(spark, d, LO)
     run_transfer(spark, _events(spark, d), path, ts_col="ts", key="event_id", as_of=AS_OF,
                  run_id=RUN_ID, buckets=8)
-    return spark.read.parquet(path).filter(term(TAG_COL, RUN_ID)).select(*EVENT_COLS, TAG_COL)
+    return read_bucketed(spark, path).filter(term(TAG_COL, RUN_ID)).select(*EVENT_COLS, TAG_COL)

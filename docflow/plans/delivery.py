@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions.urls import request_target
-from docflow.operators.deliver import (DELIVERED, LAST_HOST_RETRY_WAIT_S, batch_body, deliver,
+from docflow.operators.deliver import (DELIVERED, FAILED, LAST_HOST_RETRY_WAIT_S, batch_body, deliver,
                                       json_batches, meter_by_host)
 from docflow.operators.transports import HttpTransport
 from docflow.session import shared_dir
 from docflow.sources.files import read_files
 
 DEFAULT_HOST = "http://localhost:8764"
+SKIPPED = "skipped"
 
 
 def build_requests(df: DataFrame, *, id_col: str, path_col: str, body_col: str, pipeline: str,
@@ -38,7 +39,7 @@ def run_delivery(spark: SparkSession, path: str, collection: str, *, pipeline: s
                  parser: str | None = None, hosts: Sequence[str] = (DEFAULT_HOST,),
                  transport_factory: Callable[[], object] = HttpTransport,
                  partitions: int | None = None, glob: str | None = None,
-                 max_bytes: int | None = None, retry_wait_s: float = LAST_HOST_RETRY_WAIT_S,
+                 max_bytes: int | None = None, recursive: bool = False, retry_wait_s: float = LAST_HOST_RETRY_WAIT_S,
                  fail_on_error: bool = False, report_path: str | None = None) -> DeliveryResult:
     """Send every file of a directory to the indexing endpoint.
 
@@ -48,7 +49,15 @@ def run_delivery(spark: SparkSession, path: str, collection: str, *, pipeline: s
     the shared checkpoint folder), so neither counting it nor losing an
     executor makes Spark recompute the plan and send the files again.
     """
-    files = read_files(spark, path, glob=glob, max_bytes=max_bytes)
+    files = read_files(spark, path, glob=glob, recursive=recursive)
+    skipped = None
+    if max_bytes is not None:
+        # A file over the limit is not sent, but it is found and reported.
+        skipped = files.where(F.col("length") > max_bytes).select(
+            "path", F.lit(None).cast("string").alias("target"), F.lit(None).cast("string").alias("host"),
+            F.lit(SKIPPED).alias("status"), F.lit(0).alias("attempts"),
+            F.concat(F.lit("over the size limit: "), F.col("length").cast("string"), F.lit(" bytes")).alias("error"))
+        files = files.where(F.col("length") <= max_bytes)
     requests = build_requests(files, id_col="path", path_col="path", body_col="content",
                               pipeline=pipeline or collection, collection=collection,
                               parser=parser or collection)
@@ -57,13 +66,22 @@ def run_delivery(spark: SparkSession, path: str, collection: str, *, pipeline: s
                      retry_wait_s=retry_wait_s, fail_on_error=fail_on_error)
     report_path = report_path or shared_dir(spark, "delivery-report")
     report.write.mode("overwrite").parquet(report_path)
+    if skipped is not None:
+        skipped.write.mode("append").parquet(report_path)
     report = spark.read.parquet(report_path)
     counts = report.agg(F.count(F.lit(1)).alias("n"),
-                        F.count(F.when(F.col("status") == DELIVERED, 1)).alias("ok")).first()
-    return DeliveryResult(found=counts["n"], delivered=counts["ok"], failed=counts["n"] - counts["ok"],
+                        F.count(F.when(F.col("status") == DELIVERED, 1)).alias("ok"),
+                        F.count(F.when(F.col("status") == FAILED, 1)).alias("bad")).first()
+    return DeliveryResult(found=counts["n"], delivered=counts["ok"], failed=counts["bad"],
                           report=report, meter=meter_by_host(report))
 
 
+def batch_key(group_col: str):
+    """``<group>-<batch_id>``; a null group gives ``-<batch_id>``."""
+    return F.concat(F.coalesce(F.col(group_col).cast("string"), F.lit("")), F.lit("-"),
+                    F.col("batch_id").cast("string"))
+
+
 def deliver_json_batches(df: DataFrame, *, group_col: str, order_col: str, batch_size: int,
                          target: str, hosts: Sequence[str], transport_factory: Callable[[], object],
                          retry_wait_s: float = LAST_HOST_RETRY_WAIT_S) -> DataFrame:
@@ -73,7 +91,7 @@ def deliver_json_batches(df: DataFrame, *, group_col: str, order_col: str, batch
     """
     batches = json_batches(df, group_col, order_col, batch_size)
     requests = batches.select(
-        F.concat_ws("-", F.col(group_col).cast("string"), F.col("batch_id").cast("string")).alias("batch"),
+        batch_key(group_col).alias("batch"),
         F.lit(target).alias("target"), batch_body("docs").alias("body"))
     return deliver(requests, id_col="batch", target_col="target", body_col="body", hosts=hosts,
                    transport_factory=transport_factory, retry_wait_s=retry_wait_s)

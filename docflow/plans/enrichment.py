@@ -8,45 +8,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions.predicates import field_exists
-from docflow.operators.enrich import (BROADCAST_MAX_ROWS, ENTITY_FIELDS, entity_columns,
-                                     entity_columns_in_place, fits_broadcast, gazetteer,
-                                     gazetteer_lookup, tokenize)
+from docflow.operators.enrich import (BROADCAST_MAX_BYTES, ENTITY_FIELDS, entity_columns,
+                                     read_gazetteer, tag_entities, tokenize)
 from docflow.operators.upsert import atomic_add
 from docflow.sources.collection import flatten_arrays
 
 
-def entity_rows(docs: DataFrame, gaz: DataFrame, *, id_col: str = "id",
-                text_col: str = "body_t") -> DataFrame:
+def entity_rows(docs: DataFrame, gaz: DataFrame, *, id_col: str = "id", text_col: str = "body_t",
+                max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """S2(P2) -> E3 -> E4 -> J3 -> A6/V1/V2 on a document DataFrame.
 
     Rows without text are skipped; an array text field is space-joined.
-    Output: location_ss, organization_ss, person_ss (sorted arrays), id.
+    Output: location_ss, organization_ss, person_ss (sorted arrays), id. Each
+    document's distinct words are looked up; only those with a class are
+    shuffled, with one id row per document from an id-only pass.
     """
     docs = docs.filter(field_exists(docs, text_col)).select(
         F.col(id_col).cast("string").alias(id_col), F.col(text_col))
     docs = flatten_arrays(docs)
-    lookup = gazetteer_lookup(gaz)
-    if lookup is not None:
-        # Small gazetteer: tag and pivot inside each row; no explode, no join,
-        # no shuffle, one read of the text.
-        return entity_columns_in_place(docs, lookup, id_col, text_col)
-    tok = docs.select(F.col(id_col), F.explode_outer(tokenize(text_col)).alias("token"))
-    g = gaz.select("token", "entity_class")
-    if fits_broadcast(g, BROADCAST_MAX_ROWS):
-        # Broadcast left join on one scan: every document keeps its rows, a
-        # word without a class gets a null class, and the aggregation per id
-        # (partial, map-side) keeps only classed words.
-        tags = tok.join(F.broadcast(g), "token", "left")
-        return entity_columns(tags, None, id_col)
-    # Very large gazetteer: inner shuffle join (AQE splits a hot word), the
-    # ids of documents without entities come from a second, id-only pass.
-    tags = tok.filter(F.col("token").isNotNull()).join(g, "token", "inner")
-    return entity_columns(tags, docs.select(id_col), id_col)
-
-
-def run_enrichment(spark: SparkSession, docs: DataFrame, entries: Iterable[tuple[str, str]],
+    words = docs.select(F.col(id_col), F.explode(F.array_distinct(tokenize(text_col))).alias("token"))
+    return entity_columns(tag_entities(words, gaz, max_broadcast_bytes), docs.select(id_col), id_col)
+
+
+def run_enrichment(spark: SparkSession, docs: DataFrame, entries: DataFrame | str | Iterable[tuple[str, str]],
                    destination: DataFrame, *, id_col: str = "id", text_col: str = "body_t",
                    distinct: bool = True) -> DataFrame:
-    """Tag ``docs`` and add the entity words to ``destination`` by id."""
-    found = entity_rows(docs, gazetteer(spark, entries), id_col=id_col, text_col=text_col)
+    """Tag ``docs`` and add the entity words to ``destination`` by id.
+
+    ``entries`` is the gazetteer: a table (token, entity_class), the path of a
+    Parquet one, or a list of pairs.
+    """
+    found = entity_rows(docs, read_gazetteer(spark, entries), id_col=id_col, text_col=text_col)
     return atomic_add(destination, found, id_col, [name for _, name in ENTITY_FIELDS], distinct=distinct)

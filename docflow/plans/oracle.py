@@ -1,7 +1,6 @@
 """Independent SQL (DuckDB dialect) for each registered query.
 
 Tables are the driver's views. Constants match ``docflow.plans.catalog``.
-``file_manifest`` has no SQL form (it lists files), so it is left out.
 """
 
 from __future__ import annotations
@@ -67,22 +66,26 @@ def _encode(x: str) -> str:
     return f"replace(replace(replace(url_encode({x}), '%20', '+'), '%2A', '*'), '~', '%7E')"
 
 
-def _outcome_cte() -> str:
-    start = f"CAST(('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 8)) AS BIGINT) % {N_HOSTS}"
-    # Host tried at attempts 1..n: ring order from the start host; attempt
-    # n+1 repeats the last host. Failure rule as in RuleTransport.
-    hosts = [f"({start} + {i}) % {N_HOSTS}" for i in range(N_HOSTS)] + [f"({start} + {N_HOSTS - 1}) % {N_HOSTS}"]
+def _table_tags() -> str:
+    words = lambda c: f"regexp_extract_all({c}, '[\\p{{L}}\\p{{N}}]+')"
+    return ("WITH w AS (SELECT unnest(" + words("p_name") + ") AS token, 'PART' AS entity_class FROM part UNION ALL "
+            "SELECT token, 'BENCHMARK' FROM (SELECT unnest(" + words("text") + ") AS token FROM benchmark) "
+            "WHERE length(token) >= 8), "
+            "g AS (SELECT token, max(entity_class) AS entity_class FROM w GROUP BY token), "
+            "t AS (SELECT doc_id, unnest(range(len(ws))) AS pos, unnest(ws) AS token FROM "
+            "(SELECT doc_id, " + words("text") + " AS ws FROM documents)) "
+            "SELECT doc_id, CAST(pos AS BIGINT) AS pos, token, entity_class FROM t JOIN g USING (token)")
 
-    def fails(h: str, a: int) -> str:
-        return (f"(page_id % 17 = 0 OR (page_id % 13 = 0 AND {a} <= {N_HOSTS}) "
-                f"OR (page_id % 13 <> 0 AND (page_id + {h}) % 3 = 0))")
 
-    f = [fails(h, i + 1) for i, h in enumerate(hosts)]
-    attempts = "CASE " + " ".join(f"WHEN NOT {f[i]} THEN {i + 1}" for i in range(len(f))) + f" ELSE {len(f)} END"
-    host_idx = "CASE " + " ".join(f"WHEN NOT {f[i]} THEN {hosts[i]}" for i in range(len(f))) + f" ELSE {hosts[-1]} END"
-    status = f"CASE WHEN {' AND '.join(f)} THEN 'failed' ELSE 'delivered' END"
-    return (f"WITH o AS (SELECT page_id, {HOSTS_SQL.format(x=host_idx)} AS host, {status} AS status, "
-            f"CAST({attempts} AS BIGINT) AS attempts FROM pages) ")
+def _batch_delivery() -> str:
+    key = "CAST(lot AS VARCHAR) || '-' || CAST(batch_id AS VARCHAR)"
+    host = f"CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) % {N_HOSTS}"
+    return ("WITH n AS (SELECT page_id % " + str(C.PAGE_FOLDERS) + " AS lot, length(html) AS chars, "
+            "CAST((row_number() OVER (PARTITION BY page_id % " + str(C.PAGE_FOLDERS) + " ORDER BY page_id) - 1) // "
+            f"{C.JSON_BATCH_ROWS} AS BIGINT) AS batch_id FROM pages), "
+            f"b AS (SELECT {HOSTS_SQL.format(x=host)} AS host, lot, batch_id, chars FROM n) "
+            "SELECT host, CAST(count(DISTINCT (lot, batch_id)) AS BIGINT) AS batches, count(*) AS documents, "
+            "CAST(sum(chars) AS BIGINT) AS chars FROM b GROUP BY host")
 
 
 UPSERT_SQL = (
@@ -115,6 +118,13 @@ SQL: dict[str, str] = {
     "incremental_transfer":
         f"SELECT {EV}, {RUN} AS _xfer_id FROM events WHERE ts > {NEWEST} AND ts <= {AS_OF}",
     "full_transfer": f"SELECT {EV}, {RUN} AS _xfer_id FROM events",
+    "transfer_rows":
+        f"SELECT {EV}, _xfer_id FROM (SELECT *, CASE WHEN ts <= {LO} THEN {OTHER} ELSE {RUN} END AS _xfer_id "
+        f"FROM events WHERE ts <= {AS_OF})",
+    "transfer_rows_zoned":
+        f"SELECT {EV}, _xfer_id FROM (SELECT *, CASE WHEN ts <= {LO} THEN {OTHER} ELSE {RUN} END AS _xfer_id "
+        f"FROM events WHERE ts <= {AS_OF})",
+    "scan_options": "SELECT doc_id, lang FROM documents WHERE n_chars > 500 AND lang = 'de'",
     "transfer_report":
         f"SELECT {RUN} AS run_id, n_new AS found, n_new AS written, n_before AS before, "
         f"n_before + n_new AS after FROM (SELECT "
@@ -153,6 +163,7 @@ SQL: dict[str, str] = {
         f"SELECT doc_id, CAST(len({TOKENS}) AS BIGINT) AS tokens, "
         f"CAST(len(list_distinct({TOKENS})) AS BIGINT) AS distinct_tokens FROM documents",
     "entity_tags": _tags_cte() + "SELECT doc_id, CAST(pos AS BIGINT) AS pos, token, entity_class FROM tags",
+    "entity_tags_table": _table_tags(),
     "entity_sets":
         _tags_cte() + "SELECT doc_id, entity_class, array_to_string(list_sort(list_distinct(list(token))), ' ') "
         "AS words FROM tags WHERE entity_class <> 'O' GROUP BY doc_id, entity_class",
@@ -169,19 +180,21 @@ SQL: dict[str, str] = {
         "SELECT page_id, " + HOSTS_SQL.format(
             x=f"CAST(('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 8)) AS BIGINT) % {N_HOSTS}")
         + " AS host FROM pages",
-    "delivery_outcome": _outcome_cte() + "SELECT page_id, host, status, attempts FROM o",
-    "delivery_meter":
-        _outcome_cte() + "SELECT host, count(*) FILTER (WHERE status = 'delivered') AS delivered, "
-        "count(*) FILTER (WHERE status = 'failed') AS failed, CAST(sum(attempts) AS BIGINT) AS attempts "
-        "FROM o GROUP BY host",
+    "batch_delivery": _batch_delivery(),
+    "file_manifest":
+        f"SELECT page_id % {C.PAGE_FOLDERS} AS folder, CAST(sum(strlen(html) + 1) AS BIGINT) AS listed_bytes, "
+        "CAST(sum(strlen(html) + 1) AS BIGINT) AS read_bytes FROM pages GROUP BY 1",
     "json_batches":
-        f"SELECT event_type, batch_id, count(*) AS rows, min(event_id) AS first_id, max(event_id) AS last_id "
-        f"FROM (SELECT event_type, event_id, CAST((row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) "
-        f"// {C.JSON_BATCH_ROWS} AS BIGINT) AS batch_id FROM events) GROUP BY event_type, batch_id",
+        "WITH n AS (SELECT event_type, event_id, user_id, CAST((row_number() OVER (PARTITION BY event_type "
+        f"ORDER BY event_id) - 1) // {C.JSON_BATCH_ROWS} AS BIGINT) AS batch_id FROM events) "
+        "SELECT event_type, batch_id, count(*) AS rows, min(event_id) AS first_id, max(event_id) AS last_id, "
+        "md5('[' || string_agg('{\"event_id\":' || event_id || ',\"event_type\":\"' || event_type || "
+        "'\",\"user_id\":' || user_id || '}', ',' ORDER BY event_id) || ']') AS body_md5 "
+        "FROM n GROUP BY event_type, batch_id",
     "json_parse":
         "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     "stream_transfer":
-        f"SELECT {EV}, CASE WHEN ts <= {LO} THEN {OTHER} ELSE {RUN} END AS _xfer_id "
+        f"SELECT {EV}, CASE WHEN ts <= {LO} THEN {OTHER} ELSE {RUN} || '-0' END AS _xfer_id "
         f"FROM events WHERE ts <= {AS_OF}",
     "stream_dedupe": "SELECT event_id, ts, event_type FROM events",
 }

@@ -22,9 +22,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from docflow.functions.keys import with_natural_key
 from docflow.functions.predicates import all_of
-from docflow.operators.counts import count_new, new_rows_filter
+from docflow.operators.counts import Mark, count_new, later, new_rows_filter, newest_mark
 from docflow.operators.latest import latest_per_key
-from docflow.session import ensure_checkpoint_dir, hadoop_fs
+from docflow.session import hadoop_fs, shared_dir
 from docflow.sinks.collection import (BUCKET_COL, DEFAULT_BATCH_ROWS, DEFAULT_BUCKETS,
                                       collection_exists, compact, read_bucketed, upsert_path)
 from docflow.sources.collection import read_collection
@@ -73,8 +73,7 @@ def transfer_delta(source: DataFrame, *, ts_col: str, newest_ts=None, as_of=None
                    new_only: bool = True, where: str | Column | None = None,
                    key: str = "id", key_fields: Sequence[str] = (),
                    tiebreak: Sequence[str] = (), run_id: str,
-                   tag_col: str = TAG_COL, splits: int | None = None,
-                   dedupe: bool = True) -> DataFrame:
+                   tag_col: str = TAG_COL, dedupe: bool = True) -> DataFrame:
     """The rows one run writes, keyed and tagged (lazy; nothing is read yet).
 
     With ``new_only`` the rows are ``newest_ts < ts <= as_of``; without it,
@@ -88,8 +87,6 @@ def transfer_delta(source: DataFrame, *, ts_col: str, newest_ts=None, as_of=None
     dtype = dict(source.dtypes)[ts_col]
     window = new_rows_filter(ts_col, newest_ts, as_of, dtype) if new_only else None
     df = source.filter(all_of(where, window))
-    if splits:
-        df = df.repartition(int(splits))
     if key_fields:
         df = with_natural_key(df, key_fields, key)
     if dedupe or key_fields:
@@ -101,17 +98,12 @@ def _log_path(destination: str) -> str:
     return f"{destination.rstrip('/')}/{LOG_DIR}"
 
 
-def _ts_text(v) -> str | None:
-    return None if v is None else (v.isoformat(sep=" ") if isinstance(v, dt.datetime) else str(v))
+def _mark_json(m: Mark | None) -> dict | None:
+    return None if m is None else asdict(m)
 
 
-def _ts_value(text: str | None):
-    if text is None:
-        return None
-    try:
-        return dt.datetime.fromisoformat(text)
-    except ValueError:
-        return text
+def _mark(entry: dict | None) -> Mark | None:
+    return None if entry is None else Mark(**entry)
 
 
 def last_run(spark: SparkSession, destination: str) -> dict | None:
@@ -139,7 +131,7 @@ def last_run(spark: SparkSession, destination: str) -> dict | None:
 def _log(spark: SparkSession, destination: str, run_id: str, state: str, used, after) -> None:
     """Append one run-log entry (a small JSON file written on the driver)."""
     entry = {"run_id": run_id, "seq": time.time_ns() // 1000, "state": state,
-             "watermark_used": _ts_text(used), "watermark_after": _ts_text(after)}
+             "watermark_used": _mark_json(used), "watermark_after": _mark_json(after)}
     fs, log = hadoop_fs(spark, _log_path(destination))
     jvm = spark.sparkContext._jvm
     out = fs.create(jvm.org.apache.hadoop.fs.Path(log, f"{entry['seq']:020d}-{state}.json"), False)
@@ -153,16 +145,23 @@ def resume_watermark(last: dict | None, dest_newest):
     """The low bound of the next run, from the newest run-log entry ``last``.
 
     With no run log: the newest timestamp of the destination (A2). After a
-    committed run: the watermark it recorded (so the destination's timestamp
-    column need not be scanned). After a run that started but never
-    committed: the watermark that run used, so its rows are sent again (the
-    keyed upsert makes the repeat harmless) and none is skipped.
+    committed run: the later of the watermark it recorded and the newest
+    timestamp stored (rows by other writers, streams included, count). After
+    a run that started but never committed: the watermark that run used, so
+    its rows are sent again (the keyed upsert makes the repeat harmless) and
+    none is skipped.
     """
     if last is None:
         return dest_newest
     if last["state"] == "started":
-        return _ts_value(last["watermark_used"])
-    return _ts_value(last["watermark_after"])
+        return _mark(last["watermark_used"])
+    return later(_mark(last["watermark_after"]), dest_newest)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a stage folder of this run (its name is unique to the run)."""
+    fs, jpath = hadoop_fs(spark, path)
+    fs.delete(jpath, True)
 
 
 def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str, *,
@@ -176,12 +175,15 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     """Copy the new (or all) rows of ``source`` into ``destination``.
 
     ``destination`` is a bucketed Parquet collection (created on first use).
-    ``as_of`` is "now" (taken once) unless given. The delta is checkpointed
-    to the shared folder before writing, so every write step sees the same
-    rows even if the source grows meanwhile or an executor is lost. With
-    nothing new, nothing is read or written (found = written = 0). A run
-    log (``_xfer_log``) makes a failed run restartable: see
-    :func:`resume_watermark`.
+    ``as_of`` is "now" (an instant taken once) unless given; a datetime without
+    a zone is read in the session's zone, and columns without a zone hold UTC.
+    The delta is staged as Parquet in the shared folder before writing, so
+    every write step sees the same rows even if the source grows meanwhile or
+    an executor is lost; it is removed after the run. Rows without a key are
+    an error before anything is written. With nothing new, nothing is written
+    (found = written = 0). A run log (``_xfer_log``) makes a failed run
+    restartable: see :func:`resume_watermark`. ``splits`` asks for at least so
+    many scan tasks (by smaller scan splits, not by a shuffle).
 
     The watermark is the newest timestamp over all destination rows,
     whatever ``where`` selects: narrowing ``where`` later does not pick up
@@ -190,7 +192,7 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     """
     t0 = time.monotonic()
     run_id = run_id or str(uuid.uuid4())
-    src = read_collection(spark, source) if isinstance(source, str) else source
+    src = read_collection(spark, source, splits=splits) if isinstance(source, str) else source
     if verbose:
         for k, v in sorted(spark.sparkContext.getConf().getAll()):
             print(f"{k}={v}")
@@ -200,34 +202,33 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     before, dest_newest = 0, None
     logged = last_run(spark, destination) if new_only else None
     if dest is not None:
-        if new_only and logged is None and ts_col in dest.columns:
-            # no run log yet: one pass for the row count and the newest timestamp (A2)
-            row = dest.agg(F.count(F.lit(1)), F.max(ts_col)).first()
-            before, dest_newest = row[0], row[1]
-        else:
-            # the log holds the watermark: only the row count (Parquet footers)
-            before = dest.count()
+        before = dest.count()                               # Parquet footers only
+        if new_only and ts_col in dest.columns:
+            dest_newest = newest_mark(dest, ts_col)         # A2: one column, its maximum
 
     newest_ts = None
     if new_only:
         if as_of is None:
-            as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            as_of = dt.datetime.now(dt.timezone.utc)
         newest_ts = resume_watermark(logged, dest_newest)
         found = count_new(src, ts_col, newest_ts, as_of, where)
         if found == 0:
             return TransferResult(run_id, 0, 0, before, before, int((time.monotonic() - t0) * 1000))
     delta = transfer_delta(src, ts_col=ts_col, newest_ts=newest_ts, as_of=as_of, new_only=new_only,
                            where=where, key=key, key_fields=key_fields, tiebreak=tiebreak,
-                           run_id=run_id, tag_col=tag_col, splits=splits, dedupe=dedupe)
-    if exists:
-        # Merging into stored rows takes several passes over the delta (bucket
-        # list, existing keys, rewrite, append): freeze it once in the shared
-        # folder. A first load only appends, so it reads the source once.
-        ensure_checkpoint_dir(spark)
-        delta = delta.checkpoint(eager=True)
+                           run_id=run_id, tag_col=tag_col, dedupe=dedupe)
+    # Merging takes several passes over the delta (keys, buckets, rewrite,
+    # append), and each reads only the columns it needs of the staged rows.
+    stage = shared_dir(spark, "delta")
+    delta.write.parquet(stage)
+    delta = spark.read.schema(delta.schema).parquet(stage)
+    nulls = delta.where(F.col(key).isNull()).count()
+    if nulls:
+        _remove(spark, stage)
+        raise ValueError(f"{nulls} rows have no {key}; give key_fields or filter them out")
     _log(spark, destination, run_id, "started", newest_ts, None)
     written_buckets = upsert_path(spark, destination, delta, key, buckets=buckets, batch_size=batch_size,
-                                  frozen=exists)
+                                  frozen=True)
     if compact_to > 0:
         # only the buckets this run wrote gained files
         compact(spark, destination, compact_to, key=key, only_buckets=written_buckets)
@@ -237,11 +238,10 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     stored = read_bucketed(spark, destination)
     after = stored.count()
     mine = stored.filter(F.col(BUCKET_COL).isin(written_buckets)).filter(F.col(tag_col) == F.lit(run_id))
-    counts = mine.agg(F.count(F.lit(1)), F.max(ts_col)).first()
-    written, top = counts[0], counts[1]
+    written = mine.count()
     if not new_only:
         found = written
-    tops = [v for v in (newest_ts, top) if v is not None]
-    _log(spark, destination, run_id, "committed", newest_ts, max(tops) if tops else None)
+    _log(spark, destination, run_id, "committed", newest_ts, later(newest_ts, newest_mark(mine, ts_col)))
+    _remove(spark, stage)
     return TransferResult(run_id, int(found), int(written), int(before), int(after),
                           int((time.monotonic() - t0) * 1000))

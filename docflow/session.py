@@ -10,16 +10,15 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every docflow job wants; a cluster's own settings win where set.
+# Settings of local sessions (tests, bench), and those every docflow job wants;
+# the latter are applied only where the cluster or the caller sets nothing.
+LOCAL_CONF = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
 DEFAULT_CONF = {
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Rows here are whole documents or file bodies: bound Arrow batches by
     # bytes as well as rows, so a batch sent to Python fits a worker.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
@@ -33,13 +32,17 @@ def get_session(master: str | None = None, app: str = "docflow",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
+    settings = dict(LOCAL_CONF) if master and master.startswith("local") else {}
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
     for k, v in settings.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()                    # spark-defaults, submit options and the above
+    for k, v in DEFAULT_CONF.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -60,7 +63,10 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
-        # Only reached when the cluster names no shared folder (local tests).
+        # A machine-local folder serves a single-process session only: on a
+        # cluster each executor would write to its own disk.
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="docflow-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

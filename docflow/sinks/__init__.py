@@ -1,5 +1,5 @@
-from docflow.sinks.collection import (BUCKET_COL, collection_exists, compact, file_count, path_exists,
+from docflow.sinks.collection import (BUCKET_COL, collection_exists, compact, file_count,
                                      read_bucketed, upsert_path, write_collection)
 
-__all__ = ["BUCKET_COL", "collection_exists", "compact", "file_count", "path_exists", "read_bucketed",
+__all__ = ["BUCKET_COL", "collection_exists", "compact", "file_count", "read_bucketed",
            "upsert_path", "write_collection"]

@@ -1,37 +1,44 @@
 """Writing collections (K1-K5).
 
 A destination collection at rest is a Parquet folder partitioned by a hash
-bucket of its key (``_b``). An upsert rewrites only the buckets that hold
-keys it replaces, with dynamic partition overwrite (Spark writes the new
-bucket files to a staging folder and swaps them in at job commit, so reading
-those buckets in the same job is safe); rows with new keys are appended.
-Never change the bucket count of an existing destination.
+bucket of its key (``_b``), with a small description beside it (bucket count,
+key and key types, schema). A write with another bucket count or key type is
+refused: its rows would land in other buckets and never meet their keys.
+
+An upsert rewrites only the buckets that hold keys it replaces; rows with new
+keys are appended. A rewrite is first written whole to the shared folder and
+noted in the collection (``_rewrite.json``), then the buckets are overwritten
+from there. A driver lost in between loses nothing: the next write, seeing
+the note, overwrites the same buckets from the same rows again.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from docflow.operators.upsert import upsert
-from docflow.session import ensure_checkpoint_dir, hadoop_fs
+from docflow.session import hadoop_fs, shared_dir
 
 BUCKET_COL = "_b"
 # Bucket count of a new destination: aim for buckets of a few GB (about 4,096
 # for 10 TB). Never change it for an existing destination.
 DEFAULT_BUCKETS = 512
 DEFAULT_BATCH_ROWS = 10_000
-# Target rows / bytes one write task handles, and the most tasks one bucket
-# is split over.
+# Target rows / bytes one write task handles.
 DEFAULT_ROWS_PER_TASK = 2_000_000
 DEFAULT_FILE_BYTES = 256 * 1024 * 1024
-MAX_SPREAD = 1024
 SALT_SEED = 17
-# Up to this many update rows (counted exactly), update keys are broadcast to
-# the existence check and the anti-join, so stored rows are not shuffled.
-BROADCAST_KEY_ROWS = 2_000_000
+# Update keys of up to so many bytes (text and row overhead, summed exactly)
+# are broadcast to the existence check and the anti-join, so stored rows are
+# not shuffled.
+BROADCAST_KEY_BYTES = 64 * 1024 * 1024
+KEY_OVERHEAD_BYTES = 48
+DESCRIPTION, REWRITE = "_collection.json", "_rewrite.json"
 
 
 def bucket_of(key: str | Sequence[str], buckets: int):
@@ -39,9 +46,55 @@ def bucket_of(key: str | Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _put(spark: SparkSession, path: str, name: str, value: dict) -> None:
+    fs, jpath = hadoop_fs(spark, f"{path.rstrip('/')}/{name}")
+    out = fs.create(jpath, True)
+    try:
+        out.write(bytearray(json.dumps(value).encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _get(spark: SparkSession, path: str, name: str) -> dict | None:
+    fs, jpath = hadoop_fs(spark, f"{path.rstrip('/')}/{name}")
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _drop(spark: SparkSession, path: str) -> None:
     fs, jpath = hadoop_fs(spark, path)
-    return fs.exists(jpath)
+    fs.delete(jpath, True)
+
+
+def describe(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], buckets: int,
+             stored: DataFrame | None = None) -> None:
+    """Check ``rows`` against the stored description and add new columns to its schema.
+
+    The description is written on first use, with the columns of ``stored``
+    too if the collection holds rows already.
+    """
+    types = [dict(rows.dtypes)[k] for k in keys]
+    known = _get(spark, path, DESCRIPTION)
+    if known is not None:
+        for name, mine in (("buckets", buckets), ("key", list(keys)), ("key_types", types)):
+            if known[name] != mine:
+                raise ValueError(f"{path} was written with {name} {known[name]}, not {mine}")
+        schema = StructType.fromJson(known["schema"])
+        fresh = [f for f in rows.schema.fields if f.name not in schema.names and f.name != BUCKET_COL]
+        if not fresh:
+            return
+        schema = StructType([*schema.fields, *fresh])
+    else:
+        first = [f for f in (stored.schema.fields if stored is not None else []) if f.name != BUCKET_COL]
+        names = {f.name for f in first}
+        schema = StructType([*first, *(f for f in rows.schema.fields if f.name != BUCKET_COL and f.name not in names)])
+    _put(spark, path, DESCRIPTION, {"buckets": buckets, "key": list(keys), "key_types": types,
+                                    "schema": schema.jsonValue()})
 
 
 def collection_exists(spark: SparkSession, path: str) -> bool:
@@ -55,11 +108,6 @@ def collection_exists(spark: SparkSession, path: str) -> bool:
     return any(_visible(st.getPath().getName()) for st in fs.listStatus(jpath))
 
 
-def _bucket_dirs(spark: SparkSession, path: str) -> int:
-    fs, jpath = hadoop_fs(spark, path)
-    return sum(1 for st in fs.listStatus(jpath) if st.getPath().getName().startswith(BUCKET_COL + "="))
-
-
 def _visible(name: str) -> bool:
     # Spark's own rule: "_" and "." names are hidden, but "_b=3" is a partition.
     return not name.startswith(".") and (not name.startswith("_") or "=" in name)
@@ -71,18 +119,52 @@ def write_collection(df: DataFrame, path: str, *, mode: str = "append",
     """K1-K3: write rows; each file holds at most ``batch_size`` rows.
 
     Rows become visible when the job commits (file output committer).
+    "overwrite" replaces the whole collection, partitioned or not, whatever
+    the session's overwrite mode is.
     """
-    w = df.write.mode(mode).option("maxRecordsPerFile", int(batch_size))
+    w = df.write.mode(mode).option("partitionOverwriteMode", "static").option("maxRecordsPerFile", int(batch_size))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    """A stored collection; files written at different times may differ in
-    columns (e.g. rows loaded before a tag column existed), so schemas are
-    merged rather than taken from one footer."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """A stored collection, read with its stored schema: no file footer is opened before pruning.
+
+    Rows written before a column existed have it null. A collection without a
+    description (written by other means) is read with merged schemas.
+    """
+    known = _get(spark, path, DESCRIPTION)
+    if known is None:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    schema = StructType.fromJson(known["schema"]).add(BUCKET_COL, IntegerType())
+    return spark.read.schema(schema).parquet(path)
+
+
+def finish_rewrite(spark: SparkSession, path: str) -> None:
+    """Carry out the rewrite that is noted in the collection, if there is one."""
+    note = _get(spark, path, REWRITE)
+    if note is None:
+        return
+    rows = spark.read.schema(StructType.fromJson(note["schema"])).parquet(note["stage"])
+    # the stage holds each bucket's files already; reading them as they are keeps their number
+    (rows.repartition(note["tasks"], F.col(BUCKET_COL), _salt(note["key"], note["spread"]))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(path))
+    _drop(spark, f"{path.rstrip('/')}/{REWRITE}")
+    _drop(spark, note["stage"])
+
+
+def _salt(keys: Sequence[str], spread: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(SALT_SEED)), F.lit(int(spread)))
+
+
+def _rewrite(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], n_buckets: int, spread: int) -> None:
+    """Overwrite the buckets that ``rows`` (with ``_b``) covers: stage, note, overwrite, forget."""
+    stage = shared_dir(spark, "rewrite")
+    rows.write.parquet(stage)
+    _put(spark, path, REWRITE, {"stage": stage, "schema": rows.schema.jsonValue(), "key": list(keys),
+                                "spread": int(spread), "tasks": max(1, n_buckets * int(spread))})
+    finish_rewrite(spark, path)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -97,131 +179,140 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return None if size <= 0 or size >= unknown else size
 
 
-def _write_buckets(df: DataFrame, path: str, key: list[str], n_buckets: int, *, mode: str,
-                   batch_size: int, rows: int | None = None, stored_bytes: int | None = None,
-                   rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-                   file_bytes: int = DEFAULT_FILE_BYTES) -> None:
-    """Write rows into their bucket folders.
+def _spread(n_buckets: int, rows: int | None = None, stored_bytes: int | None = None,
+            rows_per_task: int = DEFAULT_ROWS_PER_TASK, file_bytes: int = DEFAULT_FILE_BYTES) -> int:
+    """Tasks (and files) per bucket, from known rows and stored bytes."""
+    n = max(1, n_buckets)
+    return int(max(1, -(-(rows or 0) // (n * rows_per_task)), -(-(stored_bytes or 0) // (n * file_bytes))))
+
+
+def _append_buckets(df: DataFrame, path: str, key: list[str], n_buckets: int, *, rows: int | None = None,
+                    batch_size: int | None = None) -> None:
+    """Append rows to their bucket folders.
 
-    Rows are hash-partitioned on (bucket, salt), the salt a hash of the key
-    in ``[0, spread)``: each bucket is split over ``spread`` tasks, so a big
-    bucket never lands in one task, and a bucket gets about ``spread``
-    files. ``spread`` comes from known sizes (rows of the delta, bytes of
-    the stored buckets), else from the plan's size estimate (no pass over
-    the data), else from a row count job.
+    Rows are hash-partitioned on (bucket, salt), the salt a hash of the key in
+    ``[0, spread)``: each bucket is split over ``spread`` tasks, so a big bucket
+    never lands in one task, and gets about ``spread`` files. ``spread`` comes
+    from known rows, else from the plan's size estimate (no pass over the
+    data), else from a count. ``batch_size`` caps the rows of a file (K2).
     """
-    n_buckets = max(1, n_buckets)
-    if rows is not None or stored_bytes is not None:
-        spread = max(-(-(rows or 0) // (n_buckets * rows_per_task)),
-                     -(-(stored_bytes or 0) // (n_buckets * file_bytes)))
-    else:
+    if rows is None:
         size = estimated_bytes(df)
-        if size is not None:
-            spread = -(-size // (n_buckets * file_bytes))
-        else:
-            spread = -(-df.count() // (n_buckets * rows_per_task))
-    spread = int(min(MAX_SPREAD, max(1, spread)))
-    salt = F.pmod(F.xxhash64(*[F.col(k) for k in key], F.lit(SALT_SEED)), F.lit(spread))
-    out = (df.withColumn("_salt", salt)
-           .repartition(n_buckets * spread, F.col(BUCKET_COL), F.col("_salt"))
-           .drop("_salt"))
-    w = out.write.mode(mode).option("maxRecordsPerFile", int(batch_size)).partitionBy(BUCKET_COL)
-    if mode == "overwrite":
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+        spread = _spread(n_buckets, stored_bytes=size) if size is not None else _spread(n_buckets, rows=df.count())
+    else:
+        spread = _spread(n_buckets, rows=rows)
+    w = df.repartition(max(1, n_buckets) * spread, F.col(BUCKET_COL), _salt(key, spread)).write.mode("append")
+    if batch_size:
+        w = w.option("maxRecordsPerFile", int(batch_size))
+    w.partitionBy(BUCKET_COL).parquet(path)
 
 
 def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | Sequence[str], *,
-                buckets: int = DEFAULT_BUCKETS, batch_size: int = DEFAULT_BATCH_ROWS,
+                buckets: int = DEFAULT_BUCKETS, batch_size: int | None = None,
                 frozen: bool = False) -> list[int]:
     """K5: upsert ``updates`` (one row per key) into the collection at ``path``.
 
-    0. A first load into an empty path has nothing to merge: one pass, append.
-    1. Otherwise the updates are checkpointed to the shared folder (unless
-       ``frozen``: the caller already did), so every step below sees the
-       same rows.
-    2. Buckets receiving rows are found (at most ``buckets`` numbers, a fixed
+    0. A rewrite that an earlier run noted but did not finish is carried out,
+       and bucket count and key types are checked against the description.
+    1. A first load into an empty path has nothing to merge: one pass, append.
+    2. Otherwise the updates are staged in the shared folder (unless
+       ``frozen``: the caller already did), so every step below sees the same
+       rows and reads only the columns it needs.
+    3. Buckets receiving rows are found (at most ``buckets`` numbers, a fixed
        bound); only the key column of those buckets is read to find which
        update keys already exist.
-    3. Buckets holding such keys are rewritten (dynamic partition
-       overwrite, old row replaced); rows of all other buckets are new keys
-       and are appended as new files, so an append-mostly delta never
-       rewrites the destination.
+    4. Buckets holding such keys are rewritten (see the module text, old row
+       replaced); rows of all other buckets are new keys and are appended as
+       new files, so an append-mostly delta never rewrites the destination.
 
     Returns the bucket numbers written (empty: nothing was written; a first
-    load reports every bucket number).
+    load reports every bucket number). Files are sized by bytes; ``batch_size``
+    also caps the rows of appended ones.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    finish_rewrite(spark, path)
+    exists = collection_exists(spark, path)
+    describe(spark, path, updates, keys, buckets, read_bucketed(spark, path) if exists else None)
     staged = updates.withColumn(BUCKET_COL, bucket_of(keys, buckets))
-    if not collection_exists(spark, path):
+    if not exists:
         # Nothing to merge with: one pass, every row appended.
-        _write_buckets(staged, path, keys, buckets, mode="append", batch_size=batch_size)
+        _append_buckets(staged, path, keys, buckets, batch_size=batch_size)
         return list(range(buckets))
+    stage = None
     if not frozen:
-        ensure_checkpoint_dir(spark)
-        staged = staged.checkpoint(eager=True)
-    per_bucket = {r[0]: r[1] for r in staged.groupBy(BUCKET_COL).count().collect()}
+        stage = shared_dir(spark, "updates")
+        staged.write.parquet(stage)
+        staged = spark.read.schema(staged.schema).parquet(stage)
+    width = sum(F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys) + KEY_OVERHEAD_BYTES
+    per_bucket = {r[0]: (r[1], r[2]) for r in staged.groupBy(BUCKET_COL).agg(F.count(F.lit(1)), F.sum(width)).collect()}
     touched = sorted(per_bucket)
-    if not touched:
-        return []
-    small = sum(per_bucket.values()) <= BROADCAST_KEY_ROWS   # exact count: a proven bound
-    stored_keys = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(touched)) \
-        .select(*keys, BUCKET_COL)
-    update_keys = staged.select(*keys, BUCKET_COL)
-    if small:
-        # stored keys stream past the broadcast update keys: no shuffle of the stored side
-        hits_df = stored_keys.join(F.broadcast(update_keys), [*keys, BUCKET_COL], "left_semi")
-    else:
-        hits_df = update_keys.join(stored_keys, [*keys, BUCKET_COL], "left_semi")
-    hit = sorted(r[0] for r in hits_df.select(BUCKET_COL).distinct().collect())
-    if hit:
-        current = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(hit))
-        merged = upsert(current, staged.filter(F.col(BUCKET_COL).isin(hit)), keys, broadcast_keys=small)
-        # Size of the stored part of the rewrite without a job: the
-        # collection's size estimate times the share of buckets rewritten.
-        whole = estimated_bytes(read_bucketed(spark, path)) or 0
-        stored = whole * len(hit) // max(1, _bucket_dirs(spark, path))
-        _write_buckets(merged, path, keys, len(hit), mode="overwrite", batch_size=batch_size,
-                       rows=sum(per_bucket[b] for b in hit), stored_bytes=stored)
-    fresh = [b for b in touched if b not in set(hit)]
-    if fresh:
-        _write_buckets(staged.filter(F.col(BUCKET_COL).isin(fresh)), path, keys, len(fresh), mode="append",
-                       batch_size=batch_size, rows=sum(per_bucket[b] for b in fresh))
+    if touched:
+        small = sum(b for _, b in per_bucket.values()) <= BROADCAST_KEY_BYTES      # summed: a proven bound
+        stored_keys = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(touched)).select(*keys, BUCKET_COL)
+        update_keys = staged.select(*[F.col(k).alias(f"_u{i}") for i, k in enumerate(keys)])
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_u{i}"))
+        # stored keys stream past broadcast update keys: no shuffle of the stored side
+        hits = stored_keys.join(F.broadcast(update_keys) if small else update_keys, same, "left_semi")
+        hit = sorted(r[0] for r in hits.select(BUCKET_COL).distinct().collect())
+        fresh = [b for b in touched if b not in set(hit)]
+        if fresh:
+            _append_buckets(staged.filter(F.col(BUCKET_COL).isin(fresh)), path, keys, len(fresh),
+                            rows=sum(per_bucket[b][0] for b in fresh), batch_size=batch_size)
+        if hit:
+            current = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(hit))
+            merged = upsert(current, staged.filter(F.col(BUCKET_COL).isin(hit)), keys, broadcast_keys=small)
+            spread = _spread(len(hit), rows=sum(per_bucket[b][0] for b in hit),
+                             stored_bytes=sum(_bucket_bytes(spark, path, hit).values()))
+            _rewrite(spark, path, merged, keys, len(hit), spread)
+    if stage:
+        _drop(spark, stage)
     return touched
 
 
+def _bucket_files(spark: SparkSession, path: str, buckets: Sequence[int]) -> dict[int, tuple[int, int]]:
+    """(files, bytes) of each bucket folder, from listings."""
+    out = {}
+    for b in buckets:
+        fs, folder = hadoop_fs(spark, f"{path.rstrip('/')}/{BUCKET_COL}={b}")
+        files = [s for s in fs.listStatus(folder) if _visible(s.getPath().getName())] if fs.exists(folder) else []
+        out[b] = (len(files), sum(int(s.getLen()) for s in files))
+    return out
+
+
+def _bucket_bytes(spark: SparkSession, path: str, buckets: Sequence[int]) -> dict[int, int]:
+    return {b: size for b, (_, size) in _bucket_files(spark, path, buckets).items()}
+
+
 def compact(spark: SparkSession, path: str, parts: int, out_path: str | None = None,
             key: str | Sequence[str] | None = None, only_buckets: Sequence[int] | None = None) -> str:
     """K4: reduce a collection to few files; ``parts`` 0 leaves it as is.
 
-    A bucketed collection is compacted in place to about ``parts`` files per
-    bucket (dynamic overwrite of every bucket; rows hash-partitioned on the
-    bucket and a salt in ``[0, parts)``, so no task holds more than its share
-    of a bucket).
-    ``only_buckets`` limits the rewrite to those buckets (e.g. the ones a
-    transfer just appended to); the others are neither read nor touched.
-    A plain one is rewritten into ``parts`` files at ``out_path``, which the
-    caller switches to: one path cannot be read and overwritten in a single
-    static overwrite.
+    A bucketed collection is compacted to about ``parts`` files per bucket, or
+    as many as its bytes fill if that is more; buckets that already have so
+    few are neither read nor written. ``only_buckets`` limits the work (e.g.
+    to the ones a transfer just appended to). The rewrite is staged and noted
+    first, like that of an upsert.
+    A plain collection is rewritten into ``parts`` files at ``out_path``, which
+    the caller switches to: one path cannot be read and overwritten in a
+    single static overwrite.
     """
     if parts <= 0:
         return path
-    df = spark.read.parquet(path)
+    finish_rewrite(spark, path)
+    df = read_bucketed(spark, path)
     if BUCKET_COL in df.columns:
-        if only_buckets is not None:
-            if not only_buckets:
-                return path
-            df = df.filter(F.col(BUCKET_COL).isin(list(only_buckets)))
-            n_buckets = len(set(only_buckets))
-        else:
-            n_buckets = df.select(BUCKET_COL).distinct().count()
-        keys = [key] if isinstance(key, str) else list(key or [c for c in df.columns if c != BUCKET_COL])
-        salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(SALT_SEED)), F.lit(int(parts)))
-        out = (df.withColumn("_salt", salt)
-               .repartition(max(1, n_buckets * int(parts)), F.col(BUCKET_COL), F.col("_salt"))
-               .drop("_salt"))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET_COL).parquet(path))
+        if only_buckets is None:
+            fs, root = hadoop_fs(spark, path)
+            names = [s.getPath().getName() for s in fs.listStatus(root)]
+            only_buckets = [int(n.split("=")[1]) for n in names if n.startswith(BUCKET_COL + "=") and n[-1].isdigit()]
+        files = _bucket_files(spark, path, sorted(set(only_buckets)))
+        loose = {b: size for b, (n, size) in files.items() if n > max(parts, -(-size // DEFAULT_FILE_BYTES))}
+        if loose:
+            keys = [key] if isinstance(key, str) else list(key or [c for c in df.columns if c != BUCKET_COL])
+            spread = max(int(parts), _spread(len(loose), stored_bytes=sum(loose.values())))
+            _rewrite(spark, path, df.filter(F.col(BUCKET_COL).isin(list(loose))), keys, len(loose), spread)
         return path
     if not out_path:
         raise ValueError("compacting a plain collection needs out_path")

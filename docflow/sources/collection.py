@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from docflow.functions.predicates import as_predicate
+from docflow.functions.predicates import all_of, as_predicate
 
 
 def parse_fields(fields: str | Sequence[str] | None) -> list[str] | None:
@@ -37,15 +37,29 @@ def read_collection(spark: SparkSession, source: str, *, format: str = "parquet"
 
     ``format="table"`` reads a catalog table named ``source``. ``max_rows``
     keeps the first rows by ``order_by`` (default: the first field), so the
-    result is deterministic. ``splits`` sets the read parallelism.
+    result is deterministic. ``splits`` asks for at least so many scan tasks.
     """
+    if splits:
+        _split_scans(spark, int(splits))
     if format == "table":
         df = spark.table(source)
     else:
         df = spark.read.format(format).options(**(options or {})).load(source)
     return shape_collection(df, where=where, fields=fields, max_rows=max_rows,
-                            order_by=order_by, splits=splits,
-                            flatten_multivalued=flatten_multivalued)
+                            order_by=order_by, flatten_multivalued=flatten_multivalued)
+
+
+MIN_SPLITS = "spark.sql.files.minPartitionNum"
+
+
+def _split_scans(spark: SparkSession, splits: int) -> None:
+    """Ask the session's file scans for at least ``splits`` tasks; no rows move.
+
+    The setting is only ever raised. Small files and a Parquet file's row
+    groups bound how finely a scan can be cut.
+    """
+    if splits > int(spark.conf.get(MIN_SPLITS, None) or 0):
+        spark.conf.set(MIN_SPLITS, str(splits))
 
 
 # Option names of the source jobs' reader and the keyword each maps to.
@@ -55,7 +69,11 @@ OPTION_NAMES = {
     "max_rows": "max_rows",
     "splits_per_shard": "splits",
     "flatten_multivalued": "flatten_multivalued",
+    "fq": "fq",
+    "solr.params": "fq",
 }
+# Where the rows come from is the ``source`` argument; these names are accepted and not used.
+SOURCE_NAMES = ("collection", "zkhost")
 MATCH_ALL_QUERY = "*:*"
 
 
@@ -63,17 +81,25 @@ def read_with_options(spark: SparkSession, source: str, opts: dict[str, str], *,
                       format: str = "parquet") -> DataFrame:
     """Read with an option map as the source jobs wrote it.
 
-    ``query`` is taken as an SQL boolean expression (``*:*`` = all rows; no
-    index query-string parser is built); ``max_rows`` and ``splits_per_shard``
-    are numbers, ``flatten_multivalued`` is ``"true"``/``"false"``. Unknown
-    names (``collection``, ``zkhost``) are ignored: the source is the path.
+    ``query`` and the extra filter are SQL boolean expressions (``*:*`` = all
+    rows; no index query-string parser is built). The extra filter is ``fq``,
+    or ``solr.params`` with ``fq=`` parts joined by ``&``; all of them hold.
+    ``max_rows`` and ``splits_per_shard`` are numbers, ``flatten_multivalued``
+    is ``"true"``/``"false"``. ``collection`` and ``zkhost`` are accepted (the
+    source is the path); any other name is an error, so no filter is lost.
     """
     kw: dict = {}
+    filters: list[str] = []
     for name, value in opts.items():
         target = OPTION_NAMES.get(name)
         if target is None:
-            continue
-        if target == "where":
+            if name in SOURCE_NAMES:
+                continue
+            raise ValueError(f"unknown reader option: {name}")
+        if target == "fq":
+            parts = value.split("&fq=") if name == "fq" else _fq_parts(value)
+            filters += [p for p in parts if p.strip() not in ("", MATCH_ALL_QUERY)]
+        elif target == "where":
             kw[target] = None if value.strip() in ("", MATCH_ALL_QUERY) else value
         elif target in ("max_rows", "splits"):
             kw[target] = int(value)
@@ -81,11 +107,20 @@ def read_with_options(spark: SparkSession, source: str, opts: dict[str, str], *,
             kw[target] = str(value).lower() == "true"
         else:
             kw[target] = value
+    if filters:
+        kw["where"] = all_of(kw.get("where"), *filters)
     return read_collection(spark, source, format=format, **kw)
 
 
+def _fq_parts(params: str) -> list[str]:
+    """The filters of ``fq=a&fq=b``; a parameter of another name is an error."""
+    if not params.startswith("fq="):
+        raise ValueError(f"unknown query parameter in: {params}")
+    return params[len("fq="):].split("&fq=")
+
+
 def shape_collection(df: DataFrame, *, where=None, fields=None, max_rows=None,
-                     order_by=None, splits=None, flatten_multivalued=False) -> DataFrame:
+                     order_by=None, flatten_multivalued=False) -> DataFrame:
     """The option handling of :func:`read_collection` on any DataFrame."""
     if where is not None:
         df = df.filter(as_predicate(where))
@@ -95,8 +130,6 @@ def shape_collection(df: DataFrame, *, where=None, fields=None, max_rows=None,
     if max_rows is not None:
         keys = [order_by] if isinstance(order_by, str) else list(order_by or df.columns[:1])
         df = df.orderBy(*keys).limit(int(max_rows))
-    if splits:
-        df = df.repartition(int(splits))
     if flatten_multivalued:
         df = flatten_arrays(df)
     return df

@@ -2,41 +2,52 @@
 
 ``binaryFile`` lists a directory on whatever file system its URI names
 (``s3a://``, ``abfss://``, ``hdfs://``), so no global ``fs.defaultFS`` has to
-be set. Known difference from a raw directory listing: ``binaryFile`` skips
-zero-length files and names that start with ``_`` or ``.``, and does not list
-sub-directories (the source job would try, and fail, to send those).
+be set. It reads the contents on the executors but leaves out zero-length
+files and names that start with ``_`` or ``.``; ``file_manifest`` lists those
+too, so nothing that is there goes unreported.
 """
 
 from __future__ import annotations
 
+import fnmatch
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from docflow.session import hadoop_fs
+
+MANIFEST = StructType([StructField("name", StringType()), StructField("path", StringType()),
+                       StructField("length", LongType())])
 
 
 def read_files(spark: SparkSession, path: str, *, glob: str | None = None,
-               recursive: bool = False, max_bytes: int | None = None) -> DataFrame:
-    """One row per file: path, modificationTime, length, content.
+               recursive: bool = False) -> DataFrame:
+    """One row per file with content: path, modificationTime, length, content.
 
     ``content`` is only read when a later step uses it; a projection to
-    path/length lists files without opening them. ``max_bytes`` drops files
-    over that size (a whole file is one row, so it must fit a task).
+    path/length lists files without opening them.
     """
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    df = reader.load(path)
-    if max_bytes is not None:
-        df = df.filter(F.col("length") <= F.lit(int(max_bytes)))
-    return df
-
-
-def file_manifest(spark: SparkSession, path: str, *, glob: str | None = None) -> DataFrame:
-    """Name, path and length of each file; contents are not read."""
-    df = read_files(spark, path, glob=glob)
-    return df.select(
-        F.element_at(F.split(F.col("path"), "/"), -1).alias("name"),
-        F.col("path"),
-        F.col("length"),
-    )
+    return reader.load(path)
+
+
+def file_manifest(spark: SparkSession, path: str, *, glob: str | None = None,
+                  recursive: bool = False) -> DataFrame:
+    """Name, path and length of each file, empty and hidden ones included; contents are not read.
+
+    The names come from one listing call of the file system on the driver (as
+    Spark's own file index does), never from opening files.
+    """
+    fs, root = hadoop_fs(spark, path)
+    rows = []
+    it = fs.listFiles(root, recursive)
+    while it.hasNext():
+        status = it.next()
+        name = status.getPath().getName()
+        if glob is None or fnmatch.fnmatchcase(name, glob):
+            rows.append((name, status.getPath().toString(), int(status.getLen())))
+    return spark.createDataFrame(rows, MANIFEST)

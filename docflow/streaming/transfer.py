@@ -18,7 +18,8 @@ from pyspark.sql.types import StructType
 from docflow.functions.keys import with_natural_key
 from docflow.functions.predicates import all_of, range_
 from docflow.plans.transfer import TAG_COL, tag_rows
-from docflow.sinks.collection import DEFAULT_BUCKETS, upsert_path
+from docflow.session import hadoop_fs, shared_dir
+from docflow.sinks.collection import BUCKET_COL, DEFAULT_BUCKETS, collection_exists, read_bucketed, upsert_path
 from docflow.operators.latest import latest_per_key
 
 
@@ -45,23 +46,43 @@ def stream_transfer(stream: DataFrame, destination: str, checkpoint: str, *, key
     the bounds are not picked up by a later run (leave the bounds unset for
     a stream that should take every row once). With ``key_fields`` the key
     column is overwritten by the natural key (E1), as in the batch job.
-    Each micro-batch keeps the newest row per key before the upsert. Runs
-    to completion (``availableNow``) and returns the input rows read.
+    Each micro-batch keeps the newest row per key, and drops rows older than
+    the stored row of their key, before the upsert; so rows that arrive in a
+    later batch with an older time replace nothing. The tag is
+    ``<run_id>-<batch id>``. Runs to completion (``availableNow``) and returns
+    the rows that all its micro-batches received within the bounds, counted
+    in each batch (null keys are an error, as in the batch job).
     """
     dtype = dict(stream.dtypes)[ts_col]
     bounded = stream.filter(all_of(where, range_(ts_col, lo=newest_ts, hi=as_of, dtype=dtype)
                                    if (newest_ts is not None or as_of is not None) else None))
-    tagged = tag_rows(with_natural_key(bounded, key_fields, key), run_id, tag_col)
+    keyed = with_natural_key(bounded, key_fields, key)
+    received: dict[int, int] = {}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = latest_per_key(batch, [key], [ts_col, *order])
-        upsert_path(batch.sparkSession, destination, rows, key, buckets=buckets)
-
-    q = (tagged.writeStream.foreachBatch(write_batch)
+        spark = batch.sparkSession
+        stage = shared_dir(spark, "micro-batch")
+        batch.write.parquet(stage)                          # one read of the input, whatever follows
+        rows = spark.read.schema(batch.schema).parquet(stage)
+        n, with_key = rows.agg(F.count(F.lit(1)), F.count(key)).first()
+        if n > with_key:
+            raise ValueError(f"{n - with_key} rows have no {key}; give key_fields or filter them out")
+        received[batch_id] = n
+        newest = tag_rows(latest_per_key(rows, [key], [ts_col, *order]), f"{run_id}-{batch_id}", tag_col)
+        if collection_exists(spark, destination):
+            mine = newest.select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("b")).distinct()
+            stored = read_bucketed(spark, destination).where(F.col(BUCKET_COL).isin([r.b for r in mine.collect()]))
+            older = newest.alias("n").join(stored.select(F.col(key), F.col(ts_col).alias("_stored")).alias("s"), key)
+            newest = newest.join(older.where(F.col("_stored") > F.col(ts_col)).select(key), key, "left_anti")
+        upsert_path(spark, destination, newest, key, buckets=buckets)
+        fs, folder = hadoop_fs(spark, stage)
+        fs.delete(folder, True)
+
+    q = (keyed.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return sum(received.values())
 
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts_col: str, delay: str,
@@ -71,9 +92,9 @@ def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts_col: str, delay: st
     ``withWatermark`` needs a zoned timestamp, so a ``timestamp_ntz`` event
     column is cast (session time zone) into ``event_col`` and dropped after.
     Keys are kept in state until the watermark passes their event time plus
-    ``delay``; a repeat arriving in that span is dropped. A row older than
-    the watermark whose key is not in state is kept (Spark's guarantee is
-    "no repeats within the delay", not "no late rows").
+    ``delay``; a repeat arriving in that span is dropped. The watermark moves
+    between micro-batches: a row that is older than the watermark in force
+    when its batch runs is dropped as late, whether its key was seen or not.
     """
     dtype = dict(stream.dtypes)[ts_col]
     ev = F.col(ts_col).cast("timestamp") if dtype == "timestamp_ntz" else F.col(ts_col)

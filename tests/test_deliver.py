@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from docflow.functions.urls import form_encode, request_target, url_origin
 from docflow.operators.deliver import deliver, json_batches, meter_by_host, send_with_failover
-from docflow.operators.transports import FlakyTransport, RuleTransport
+from tests.transports import FlakyTransport, RuleTransport
 from docflow.plans.delivery import run_delivery
 from docflow.sources.files import file_manifest
 
@@ -47,7 +47,7 @@ def test_urls(spark):
                            "&contentSourceName=example.com%2Fa+b*%7E&echo=false")
 
 
-def test_file_listing_skips_empty_hidden_nested(spark, out):
+def test_file_listing_reports_empty_and_hidden(spark, out):
     for name, data in [("a.txt", b"aa"), ("empty.txt", b""), (".hidden", b"h"), ("_meta", b"m")]:
         with open(os.path.join(out, name), "wb") as f:
             f.write(data)
@@ -55,7 +55,10 @@ def test_file_listing_skips_empty_hidden_nested(spark, out):
     with open(os.path.join(out, "sub", "n.txt"), "wb") as f:
         f.write(b"n")
     names = sorted(r["name"] for r in file_manifest(spark, out).collect())
-    assert names == ["a.txt"]
+    assert names == [".hidden", "_meta", "a.txt", "empty.txt"]
+    deep = file_manifest(spark, out, recursive=True, glob="*.txt")
+    assert sorted((r["name"], r["length"]) for r in deep.collect()) == [("a.txt", 2), ("empty.txt", 0), ("n.txt", 1)]
+    assert file_manifest(spark, f"file://{out}").count() == 4            # a path with its scheme
 
 
 def test_run_delivery_over_directory(spark, out):
@@ -68,6 +71,46 @@ def test_run_delivery_over_directory(spark, out):
     assert {r["attempts"] for r in res.report.collect()} == {2}
 
 
+def test_oversized_files_are_reported_as_skipped(spark, out):
+    for name, size in (("a.txt", 3), ("b.txt", 30)):
+        with open(os.path.join(out, name), "wb") as f:
+            f.write(b"x" * size)
+    res = run_delivery(spark, out, "coll", hosts=["http://a:1"], transport_factory=lambda: FlakyTransport(0),
+                       max_bytes=10, retry_wait_s=0)
+    assert (res.found, res.delivered, res.failed) == (2, 1, 0)
+    assert [r["path"][-5:] for r in res.report.where("status = 'skipped'").collect()] == ["b.txt"]
+
+
+class Keys:
+    """Accepts everything and leaves the keys it was given in the error text of rule breakers."""
+
+    def send(self, host, target, body, key, attempt):
+        raise ConnectionError(f"key={key!r}")
+
+
+def test_null_id_is_delivered_like_any_other(spark):
+    rows = spark.createDataFrame([(5,), (None,), (9007199254740993,)], "k long").select(
+        "k", F.lit("/t").alias("target"), F.lit("b").alias("body"))
+    rep = deliver(rows, id_col="k", target_col="target", body_col="body", hosts=["h"], transport_factory=Keys,
+                  retry_wait_s=0).collect()
+    assert {(r["k"], r["error"].split("key=")[1]) for r in rep} == {
+        (5, "'5'"), (None, "''"), (9007199254740993, "'9007199254740993'")}
+
+
+def test_meter_counts_documents(spark):
+    rep = spark.createDataFrame([("h", "delivered", 1, 100), ("h", "failed", 2, 7)],
+                                "host string, status string, attempts int, rows int")
+    assert tuple(meter_by_host(rep, "rows").first()) == ("h", 100, 7, 3)
+
+
+def test_json_batches_keep_null_groups_null_and_text_ids(spark):
+    rows = [(None, "a"), ("x1", "a"), ("x2", None), (None, None), ("x3", "a")]
+    df = spark.createDataFrame(rows, "id string, g string")
+    got = {(r["g"], r["batch_id"]): (r["rows"], r["first_id"], r["last_id"], len(r["docs"]))
+           for r in json_batches(df, "g", "id", 2).collect()}
+    assert got == {("a", 0): (2, "x1", "x1", 2), ("a", 1): (1, "x3", "x3", 1), (None, 0): (2, "x2", "x2", 2)}
+
+
 def test_json_batches(spark):
     df = spark.createDataFrame([(i, "a" if i % 3 else "b") for i in range(25)], "id long, g string")
     got = {(r["g"], r["batch_id"]): (r["rows"], r["first_id"], r["last_id"], len(r["docs"]))
@@ -103,7 +146,6 @@ def test_read_files_options(spark, out):
     names = lambda df: sorted(p.rsplit("/", 1)[-1] for p in (r["path"] for r in df.select("path").collect()))
     assert names(read_files(spark, out)) == ["a.txt", "b.txt", "c.bin"]
     assert names(read_files(spark, out, glob="*.txt")) == ["a.txt", "b.txt"]
-    assert names(read_files(spark, out, max_bytes=10)) == ["a.txt", "c.bin"]
     assert names(read_files(spark, out, recursive=True, glob="*.txt")) == ["a.txt", "b.txt", "d.txt"]
 
 
@@ -117,7 +159,8 @@ def test_fail_on_error_raises(spark):
 
 
 def test_url_origin_edge_cases(spark):
-    df = spark.createDataFrame([("HTTPS://User:pw@Host.Example:443/x",), ("10.0.0.5:8764/api",), ("",), ("://nohost",)],
+    df = spark.createDataFrame([("HTTPS://User:pw@Host.Example:443/x",), ("10.0.0.5:8764/api",), ("",), ("://nohost",),
+                                ("http://[2001:db8::1]:8080/x",)],
                                "u string")
     got = [r["o"] for r in df.select(url_origin("u").alias("o")).collect()]
-    assert got == ["https://Host.Example:443", "http://10.0.0.5:8764", None, None]
+    assert got == ["https://Host.Example:443", "http://10.0.0.5:8764", None, None, "http://[2001:db8::1]:8080"]

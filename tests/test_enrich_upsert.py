@@ -46,27 +46,55 @@ def test_udf_tagger_matches_gazetteer_join(spark):
 
 def test_gazetteer_paths_by_size(spark):
     d = spark.createDataFrame([(1, "Ada met the Acme people")], "id long, text string")
-    tok, gaz = tokens(d, "id", "text"), gazetteer(spark, ENTRIES)
+    tok = tokens(d, "id", "text")
+    table = spark.createDataFrame([*ENTRIES, ("Ada", "A-CLASS"), ("Acme", None), (None, "PERSON")],
+                                  "token string, entity_class string")
 
     def plan(df):
         return df._jdf.queryExecution().executedPlan().toString()
 
-    inline = tag_entities(tok, gaz)                                   # small: map literal, no join
-    assert "Join" not in plan(inline)
-    broadcast = tag_entities(tok, gaz, max_inline_entries=0)          # checked broadcast
+    broadcast = tag_entities(tok, table)                              # bytes fit: a checked broadcast
     assert "BroadcastHashJoin" in plan(broadcast)
-    # over both bounds: no hint (Spark may still broadcast by its own size estimate)
-    shuffled = tag_entities(tok, gaz, max_inline_entries=0, max_broadcast_rows=2)
-    rows = [sorted((r["pos"], r["token"], r["entity_class"]) for r in df.collect())
-            for df in (inline, broadcast, shuffled)]
-    assert rows[0] == rows[1] == rows[2] == [(0, "Ada", "PERSON"), (2, "the", "O"), (3, "Acme", "ORGANIZATION")]
+    shuffled = tag_entities(tok, table, max_broadcast_bytes=10)       # over the bound: no hint
+    rows = [sorted((r["pos"], r["token"], r["entity_class"]) for r in df.collect()) for df in (broadcast, shuffled)]
+    # a repeated word has one class, words without a class drop out, whatever the join
+    assert rows[0] == rows[1] == [(0, "Ada", "PERSON"), (2, "the", "O"), (3, "Acme", "ORGANIZATION")]
 
 
-def test_entity_rows_in_place_has_no_shuffle(spark):
-    from docflow.plans.enrichment import entity_rows
-    out = entity_rows(docs(spark), gazetteer(spark, ENTRIES))
-    p = out._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in p and "Join" not in p
+def test_gazetteer_from_table_path_or_pairs(spark, out):
+    from docflow.operators.enrich import read_gazetteer
+    gazetteer(spark, ENTRIES).write.parquet(f"{out}/gaz")
+    dest = spark.createDataFrame([], "id string, person_ss array<string>, location_ss array<string>, "
+                                     "organization_ss array<string>")
+    runs = [sorted(map(str, run_enrichment(spark, docs(spark), g, dest).collect()))
+            for g in (ENTRIES, f"{out}/gaz", read_gazetteer(spark, ENTRIES))]
+    assert runs[0] == runs[1] == runs[2]
+
+
+def test_large_gazetteer_costs_like_a_small_one(spark):
+    import time
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    many = spark.range(20_000).select(F.concat(F.lit("entry"), F.col("id")).alias("token"),
+                                      F.lit("PERSON").alias("entity_class"))
+
+    def seconds(gaz):
+        t0 = time.perf_counter()
+        tag_entities(tokens(d, "doc_id", "text"), gaz).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    small = gazetteer(spark, ENTRIES)
+    seconds(small)
+    assert seconds(many) < 2 * seconds(small) + 2
+
+
+def test_distinct_adds_are_collected_as_sets(spark):
+    dest = spark.createDataFrame([("a", ["x"], ["k"])], "id string, t array<string>, u array<string>")
+    adds = spark.createDataFrame([("a", ["y", "x"], None), ("a", ["y"], ["k", "m"]), ("b", [], []), (None, ["n"], [])],
+                                 "id string, t array<string>, u array<string>")
+    df = atomic_add(dest, adds, "id", ["t", "u"], distinct=True)
+    assert "collect_set" in df._jdf.queryExecution().executedPlan().toString()
+    got = {r["id"]: (sorted(r["t"]), sorted(r["u"])) for r in df.collect()}
+    assert got == {"a": (["x", "y"], ["k", "m"]), "b": ([], []), None: (["n"], [])}
 
 
 def test_atomic_add_present_absent_null(spark):
@@ -89,6 +117,13 @@ def test_run_enrichment_merges_back(spark):
     assert "2" in out
 
 
+def test_null_keys_upsert_once(spark):
+    dest = spark.createDataFrame([(None, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(None, "A")], "k int, v string")
+    assert sorted(map(str, upsert(upsert(dest, new, "k"), new, "k").collect())) == sorted(map(str, upsert(dest, new, "k").collect()))
+    assert upsert(dest, new, "k").count() == 2
+
+
 def test_upsert_replaces_and_inserts(spark):
     dest = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
@@ -119,21 +154,16 @@ def test_map_tagger_side_file(spark, out):
     assert (row["person_ss"], row["location_ss"], row["organization_ss"]) == (["Ada"], ["Paris"], [])
 
 
-def test_entity_rows_same_on_every_gazetteer_path(spark, monkeypatch):
-    import docflow.plans.enrichment as R
+def test_entity_rows_same_on_every_gazetteer_path(spark):
     want = sorted(map(tuple, entity_rows(docs(spark), gazetteer(spark, ENTRIES)).collect()))
-    monkeypatch.setattr(R, "gazetteer_lookup", lambda gaz: None)          # no in-plan map
-    assert sorted(map(tuple, entity_rows(docs(spark), gazetteer(spark, ENTRIES)).collect())) == want
-    monkeypatch.setattr(R, "fits_broadcast", lambda df, n: False)         # shuffle join
-    assert sorted(map(tuple, entity_rows(docs(spark), gazetteer(spark, ENTRIES)).collect())) == want
+    assert sorted(map(tuple, entity_rows(docs(spark), gazetteer(spark, ENTRIES), max_broadcast_bytes=1).collect())) == want
 
 
 def test_entity_sets_of_docs_paths_agree(spark):
     from docflow.operators.enrich import entity_sets_of_docs
     d = spark.createDataFrame([(1, "the Ada the Ada Paris"), (2, "nothing"), (3, "Acme Ada")], "id long, text string")
-    inline = entity_sets_of_docs(d, gazetteer(spark, ENTRIES), "id", "text")
-    joined = entity_sets_of_docs(d, gazetteer(spark, ENTRIES), "id", "text", max_inline_entries=0)
-    rows = [sorted((r["id"], r["entity_class"], tuple(r["words"])) for r in df.collect()) for df in (inline, joined)]
+    near = entity_sets_of_docs(d, gazetteer(spark, ENTRIES), "id", "text")
+    joined = entity_sets_of_docs(d, gazetteer(spark, ENTRIES), "id", "text", max_broadcast_bytes=1)
+    rows = [sorted((r["id"], r["entity_class"], tuple(r["words"])) for r in df.collect()) for df in (near, joined)]
     assert rows[0] == rows[1] == [(1, "LOCATION", ("Paris",)), (1, "PERSON", ("Ada",)),
                                   (3, "ORGANIZATION", ("Acme",)), (3, "PERSON", ("Ada",))]
-    assert "Exchange" not in inline._jdf.queryExecution().executedPlan().toString()

@@ -31,11 +31,6 @@ def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan(C.q_top_k_newest(spark, SF_SMALL))
 
 
-def test_file_manifest_does_not_read_content(spark):
-    p = formatted(C.q_file_manifest(spark, SF_SMALL))
-    assert "content" not in p.split("ReadSchema:")[1].split("\n")[0]
-
-
 def test_natural_key_count_uses_partial_aggregation(spark):
     assert "partial_count" in plan(C.q_natural_key(spark, SF_SMALL))
 

@@ -38,7 +38,7 @@ def test_latest_per_key_model(spark, data):
        st.integers(1, 300), st.integers(1, 7))
 def test_ordinal_and_batches_model(spark, data, width, batch):
     df = spark.createDataFrame(data, "g string, o long")
-    got = {(r["g"], r["o"]): r["rn"] for r in ordinal_within(df, ["g"], "o", chunk_width=width).collect()}
+    got = {(r["g"], r["o"]): r["rn"] for r in ordinal_within(df, ["g"], "o", ranges=1 + width % 9).collect()}
     model = {}
     for g in {r[0] for r in data}:
         for pos, o in enumerate(sorted(o for gg, o in data if gg == g), start=1):

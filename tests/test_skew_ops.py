@@ -18,7 +18,7 @@ def hot_rows(n=3000, seed=7):
 
 def test_ordinal_within_matches_row_number(spark):
     df = spark.createDataFrame(hot_rows(), "g string, o long, v int")
-    ours = ordinal_within(df, ["g"], "o", chunk_width=64).select("g", "o", "rn")
+    ours = ordinal_within(df, ["g"], "o", ranges=16).select("g", "o", "rn")
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o"))).select("g", "o", "rn")
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
 
@@ -42,12 +42,33 @@ def test_latest_per_key_partial_aggregation(spark):
     assert "partial_max_by" in plan
 
 
-def test_ordinal_within_sparse_keys_auto_width(spark):
-    from docflow.operators.numbering import auto_chunk_width
-    rnd = random.Random(3)
-    rows = [("hot" if i % 3 == 0 else "cold", rnd.randrange(1 << 60)) for i in range(2000)]
+def test_ordinal_within_one_outlier_and_ties(spark):
+    rows = [("hot", i // 2) for i in range(4000)] + [("hot", 1 << 60), (None, 5), (None, None), ("hot", None)]
     df = spark.createDataFrame(rows, "g string, o long")
-    assert auto_chunk_width(df, "o", target_rows=100) > 1 << 40
-    ours = ordinal_within(df, ["g"], "o").select("g", "o", "rn")
-    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")))
-    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
+    got = ordinal_within(df, ["g"], "o", ranges=8).collect()
+    assert len(got) == len(rows)
+    hot = sorted((r["rn"], -1 if r["o"] is None else r["o"]) for r in got if r["g"] == "hot")
+    assert [n for n, _ in hot] == list(range(1, 4003)) and [o for _, o in hot] == sorted(o for _, o in hot)
+    assert sorted((r["rn"], r["o"]) for r in got if r["g"] is None) == [(1, None), (2, 5)]
+
+
+def test_ordinal_within_splits_one_group(spark, monkeypatch):
+    import docflow.operators.numbering as N
+    paths = []
+    real = N.shared_dir
+    monkeypatch.setattr(N, "shared_dir", lambda s, n: paths.append(real(s, n)) or paths[-1])
+    df = spark.createDataFrame([("hot", i) for i in range(20_000)] + [("hot", 1 << 60)], "g string, o long")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ordinal_within(df, ["g"], "o", ranges=8).count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    sizes = [r["count"] for r in spark.read.parquet(paths[0]).groupBy("_range").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 6000            # the outlier does not gather the rest
+
+
+def test_ordinal_within_text_keys(spark):
+    df = spark.createDataFrame([("g", f"order-{i:05d}") for i in range(500)], "g string, o string")
+    got = {r["o"]: r["rn"] for r in ordinal_within(df, ["g"], "o", ranges=6).collect()}
+    assert got == {f"order-{i:05d}": i + 1 for i in range(500)}

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from docflow.sources.collection import flatten_arrays, parse_fields, read_collection, top_k
@@ -10,7 +11,9 @@ def test_read_collection_options(spark, out):
     got = read_collection(spark, f"{out}/c", where="id >= 5", fields="id, tags", max_rows=3,
                           order_by="id", flatten_multivalued=True).collect()
     assert [(r["id"], r["tags"]) for r in got] == [(5, "a 5"), (6, "a 6"), (7, "a 7")]
-    assert read_collection(spark, f"{out}/c", splits=4).rdd.getNumPartitions() == 4
+    plan = read_collection(spark, f"{out}/c", splits=64)._jdf.queryExecution().toString()
+    assert "RoundRobin" not in plan and spark.conf.get("spark.sql.files.minPartitionNum") == "64"
+    spark.conf.unset("spark.sql.files.minPartitionNum")
     df.createOrReplaceTempView("coll_view")
     assert read_collection(spark, "coll_view", format="table", where=F.col("id") < 3).count() == 3
 
@@ -30,9 +33,15 @@ def test_flatten_arrays_only_string_arrays(spark):
 def test_read_with_option_map(spark, out):
     from docflow.sources.collection import read_with_options
     df = spark.createDataFrame([(i, [f"w{i}", "x"]) for i in range(30)], "id long, body_t array<string>")
-    df.write.parquet(f"{out}/cnn")
-    opts = {"collection": "cnn", "fields": "id, body_t", "max_rows": "10", "query": "size(body_t) > 0",
+    df.write.parquet(f"{out}/notes")
+    opts = {"collection": "notes", "fields": "id, body_t", "max_rows": "7", "query": "size(body_t) > 0",
             "flatten_multivalued": "true"}
-    got = read_with_options(spark, f"{out}/cnn", opts).collect()
-    assert len(got) == 10 and got[0]["body_t"] == "w0 x"
-    assert read_with_options(spark, f"{out}/cnn", {"query": "*:*"}).count() == 30
+    got = read_with_options(spark, f"{out}/notes", opts).collect()
+    assert len(got) == 7 and got[0]["body_t"] == "w0 x"
+    assert read_with_options(spark, f"{out}/notes", {"query": "*:*"}).count() == 30
+    both = {"query": "id >= 5", "solr.params": "fq=id < 20&fq=id % 2 = 0"}
+    assert read_with_options(spark, f"{out}/notes", both).count() == 7
+    assert read_with_options(spark, f"{out}/notes", {"fq": "id < 3"}).count() == 3
+    for bad in ({"filter": "id < 3"}, {"solr.params": "sort=id"}):
+        with pytest.raises(ValueError):
+            read_with_options(spark, f"{out}/notes", bad)

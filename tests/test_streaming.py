@@ -55,7 +55,7 @@ def test_stream_transfer_rerun_is_noop(spark, out):
     run()   # new file: key 2 replaced, key 3 added
     final = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "dest")).select("id", "v").collect())
     assert final == [(1, 1), (2, 20), (3, 3)]
-    assert spark.read.parquet(os.path.join(out, "dest")).filter(F.col("_xfer_id") != "s1").count() == 0
+    assert spark.read.parquet(os.path.join(out, "dest")).filter(~F.col("_xfer_id").startswith("s1-")).count() == 0
 
 
 def test_stream_transfer_natural_key_and_count(spark, out):
@@ -69,3 +69,35 @@ def test_stream_transfer_natural_key_and_count(spark, out):
                         run_id="s1", key_fields=["v"], buckets=2)
     got = {r["nk"]: r["id"] for r in spark.read.parquet(os.path.join(out, "dest")).collect()}
     assert n == 3 and got == {"7": 2, "8": 3}    # newest row per natural key
+
+
+def test_dedupe_drops_late_rows_two_batches_behind(spark, out):
+    src = os.path.join(out, "in")
+    os.makedirs(src)
+    _drop(spark, src, "a", [(1, D(2024, 1, 1, 10), 1)])
+    time.sleep(1.1)
+    _drop(spark, src, "b", [(2, D(2024, 1, 1, 15), 1)])
+    time.sleep(1.1)
+    _drop(spark, src, "c", [(3, D(2024, 1, 1, 8), 1), (4, D(2024, 1, 1, 16), 1)])      # key 3 is late by then
+    sink = os.path.join(out, "sink")
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(src)
+    run_to_parquet(dedupe_stream(stream, ["id"], "ts", "1 hour"), sink, os.path.join(out, "ckpt"))
+    assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == [1, 2, 4]
+
+
+def test_newest_row_wins_across_batches_and_all_are_counted(spark, out):
+    src = os.path.join(out, "in")
+    os.makedirs(src)
+    for name, rows in (("a", [(1, D(2024, 1, 5), 5), (2, D(2024, 1, 1), 1)]),
+                       ("b", [(1, D(2024, 1, 3), 3), (2, D(2024, 1, 2), 2)]),      # key 1: older than stored
+                       ("c", [(3, D(2024, 1, 1), 1)])):
+        _drop(spark, src, name, rows)
+        time.sleep(1.1)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true") \
+        .option("pathGlobFilter", "*.parquet").parquet(src)
+    n = stream_transfer(s, os.path.join(out, "dest"), os.path.join(out, "ckpt"), key="id", ts_col="ts",
+                        run_id="s", buckets=2)
+    got = sorted((r["id"], r["v"], r["_xfer_id"]) for r in spark.read.parquet(os.path.join(out, "dest")).collect())
+    assert n == 5 and got == [(1, 5, "s-0"), (2, 2, "s-1"), (3, 1, "s-2")]

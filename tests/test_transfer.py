@@ -1,8 +1,10 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from docflow.operators.counts import count_new, newest_value
+from docflow.operators.counts import Mark, count_new, newest_mark
 from docflow.plans.transfer import TAG_COL, run_transfer
 from docflow.sinks.collection import BUCKET_COL, file_count, upsert_path
 
@@ -24,7 +26,7 @@ def test_empty_and_all_null_destination(spark):
     empty = rows.filter(F.lit(False))
     nulls = src(spark, [("x", None, 0, []), ("y", None, 0, [])])
     for dest in (empty, nulls):
-        w = newest_value(dest, "ts")
+        w = newest_mark(dest, "ts")
         assert w is None
         # ts <= as_of only: the null and the future row stay out
         assert count_new(rows, "ts", w, AS_OF) == 1
@@ -106,13 +108,13 @@ def test_restart_after_crash_uses_started_watermark(spark, out):
     assert last_run(spark, dest)["state"] == "committed"
     # A run that crashed after writing only its newest row: the log says
     # "started" with the watermark it used, the destination holds row "c".
-    _log(spark, dest, "crashed", "started", D(2024, 1, 1), None)
+    _log(spark, dest, "crashed", "started", Mark("timestamp_ntz", "2024-01-01 00:00:00"), None)
     upsert_path(spark, dest, src(spark, [("c", D(2024, 1, 9), 3, [])]).withColumn(TAG_COL, F.lit("crashed")),
                 "id", buckets=4)
     more = src(spark, [("a", D(2024, 1, 1), 1, []), ("b", D(2024, 1, 5), 2, []), ("c", D(2024, 1, 9), 3, [])])
     res = run_transfer(spark, more, dest, ts_col="ts", as_of=AS_OF, run_id="r1", buckets=4)
     assert res.found == 2 and ids(spark.read.parquet(dest)) == ["a", "b", "c"]   # "b" not skipped
-    assert last_run(spark, dest)["watermark_after"].startswith("2024-01-09")
+    assert last_run(spark, dest)["watermark_after"]["text"].startswith("2024-01-09")
 
 
 def test_upsert_appends_new_keys_without_rewriting(spark, out):
@@ -181,3 +183,109 @@ def test_compact_only_given_buckets(spark, out):
     after = per_bucket()
     assert after[0] == 1 and after[1] == before[1]
     assert spark.read.parquet(path).count() == 120
+
+
+ZONED = "id string, ts timestamp, v int"
+
+
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York", "UTC"])
+def test_zoned_watermark_is_exact_in_any_zone(spark, out, zone, monkeypatch):
+    import time
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    utc = dt.timezone.utc
+    at = lambda day, us=0: dt.datetime(2024, 3, day, 12, 0, 0, us, tzinfo=utc)
+    rows = [("a", at(1), 1), ("b", at(5, 7), 2)]
+    try:
+        run_transfer(spark, spark.createDataFrame(rows, ZONED), f"{out}/d", ts_col="ts", as_of=at(20), run_id="r0",
+                     buckets=2)
+        more = spark.createDataFrame([*rows, ("c", at(5, 8), 3), ("d", at(6), 4), ("late", at(25), 5)], ZONED)
+        res = run_transfer(spark, more, f"{out}/d", ts_col="ts", as_of=at(20), run_id="r1", buckets=2)
+        assert (res.found, res.written) == (2, 2)
+        res = run_transfer(spark, more, f"{out}/d", ts_col="ts", run_id="r2", buckets=2)      # now
+        assert (res.found, res.written) == (1, 1)
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_epoch_number_watermark(spark, out):
+    rows = spark.createDataFrame([("a", 1711120112345), ("b", 9)], "id string, ts long")
+    run_transfer(spark, rows, f"{out}/d", ts_col="ts", as_of=2 * 10 ** 12, run_id="r0", buckets=2)
+    more = rows.unionByName(spark.createDataFrame([("c", 1711120112346), ("d", 100)], "id string, ts long"))
+    res = run_transfer(spark, more, f"{out}/d", ts_col="ts", as_of=2 * 10 ** 12, run_id="r1", buckets=2)
+    assert (res.found, res.written, res.after) == (1, 1, 3)
+
+
+def test_rows_by_other_writers_move_the_watermark(spark, out):
+    run_transfer(spark, src(spark, [("a", D(2024, 1, 1), 1, [])]), f"{out}/d", ts_col="ts", as_of=AS_OF, buckets=2)
+    upsert_path(spark, f"{out}/d", src(spark, [("b", D(2024, 1, 9), 1, [])]), "id", buckets=2)
+    more = src(spark, [("b", D(2024, 1, 9), 1, []), ("c", D(2024, 1, 10), 1, [])])
+    assert run_transfer(spark, more, f"{out}/d", ts_col="ts", as_of=AS_OF, buckets=2).found == 1
+
+
+def test_null_keys_are_refused_before_anything_is_written(spark, out):
+    rows = src(spark, [("a", D(2024, 1, 1), 1, []), (None, D(2024, 1, 2), 2, []), (None, D(2024, 1, 3), 3, [])])
+    with pytest.raises(ValueError, match="rows have no id"):
+        run_transfer(spark, rows, f"{out}/d", ts_col="ts", as_of=AS_OF, buckets=2)
+    from docflow.sinks.collection import collection_exists
+    assert not collection_exists(spark, f"{out}/d")
+
+
+def test_bucket_count_and_key_type_are_checked(spark, out):
+    base = spark.range(100).select(F.col("id"), F.col("id").alias("v"))
+    upsert_path(spark, f"{out}/c", base, "id", buckets=8)
+    with pytest.raises(ValueError, match="buckets"):
+        upsert_path(spark, f"{out}/c", base, "id", buckets=16)
+    with pytest.raises(ValueError, match="key_types"):
+        upsert_path(spark, f"{out}/c", base.withColumn("id", F.col("id").cast("int")), "id", buckets=8)
+    assert spark.read.parquet(f"{out}/c").count() == 100
+
+
+def test_interrupted_rewrite_is_carried_out(spark, out, monkeypatch):
+    from docflow.sinks import collection
+    path = f"{out}/c"
+    base = spark.range(100).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v"))
+    upsert_path(spark, path, base, "id", buckets=4)
+    upd = spark.createDataFrame([("5", 500), ("new", 1)], "id string, v long")
+
+    bucket = upd.where("id = '5'").select(collection.bucket_of("id", 4)).first()[0]
+
+    with monkeypatch.context() as m:
+        real, calls = collection.finish_rewrite, []
+
+        def lost(s, p):                                     # the driver dies after the note, the bucket half gone
+            calls.append(p)
+            if len(calls) == 1:
+                return real(s, p)
+            collection._drop(s, f"{p}/_b={bucket}")
+            raise RuntimeError("driver lost")
+
+        m.setattr(collection, "finish_rewrite", lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            upsert_path(spark, path, upd, "id", buckets=4)
+    assert spark.read.parquet(path).where("id = '5'").count() == 0
+    upsert_path(spark, path, upd, "id", buckets=4)          # the next write first finishes the rewrite
+    got = {r["id"]: r["v"] for r in collection.read_bucketed(spark, path).collect()}
+    assert len(got) == 101 and got["5"] == 500 and got["new"] == 1
+    assert collection.read_bucketed(spark, path).count() == 101
+
+
+def test_null_upsert_keys_do_not_pile_up(spark, out):
+    base = spark.createDataFrame([(None, 1), ("a", 2)], "id string, v int")
+    for _ in range(3):
+        upsert_path(spark, f"{out}/c", base, "id", buckets=2)
+    assert spark.read.parquet(f"{out}/c").count() == 2
+
+
+def test_overwrite_leaves_no_old_partition(spark, out):
+    from docflow.sinks.collection import write_collection
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "v int, p string")
+        write_collection(df, f"{out}/w", mode="overwrite", partition_by=["p"])
+        write_collection(df.where("p = 'a'"), f"{out}/w", mode="overwrite", partition_by=["p"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert spark.read.parquet(f"{out}/w").count() == 1
