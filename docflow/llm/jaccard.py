@@ -5,9 +5,12 @@ their Jaccard similarity reaches the threshold. Equal sets are one node. Nodes
 are dealt into tiles: sizes fall into bands, and inside a band the hash space
 is cut into so many parts that two linked sets, whose symmetric difference the
 band's largest size bounds, agree in at least one whole part (pigeonhole). A
-tile holds the nodes of a band with the same content in a part. Inside tiles,
-pairs are bounded from above by bitmaps (bits that differ count elements that
-differ), and the survivors are compared by intersecting their sorted arrays.
+tile holds the nodes of a band with the same content in a part. As at most so
+many parts of linked sets differ, the others agree: a node that shares fewer
+parts with anybody links with nobody and leaves, and of a node's tiles only the
+smallest are kept that a linked node must share one of. Inside tiles, pairs are
+bounded from above by bitmaps (bits that differ count elements that differ),
+and the survivors are compared by intersecting their sorted arrays.
 
 Only the links needed to join a component are verified: members of a tile are
 first compared with a few salted leaders (linear in the tile), and only
@@ -30,15 +33,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docflow.llm.common import SPACE_TABLE, mix, ready, small_side, staged, steps, text_buffer, word_hashes
 from docflow.llm.graph import components
 
-#: Bits of a node's bitmap.
-BITMAP_BITS = 1024
-#: Members of a tile that meet in one task in the last, pairwise stage.
-BLOCK = 2048
+#: A node's bitmap has the least power of two of bits that is so many times its size or more.
+BITS_PER_ITEM, LEAST_BITS = 8, 256
+#: Times that nodes without enough shared parts leave, which makes other tiles smaller.
+NARROWINGS = 2
+#: Members of a tile that meet pair by pair at once in the last stage, and bitmap bytes of the bins that tiles share.
+BLOCK, BIN_BYTES = 2048, 1 << 23
 #: Rounds of comparisons with a tile's salted leader, and the size beyond which a
 #: tile still open after the first one takes part in the others before its pairs meet.
 LEADER_ROUNDS, FEW = 3, 64
@@ -95,18 +101,58 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, words: int = 5) -> tuple[
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), sizes
 
 
-def bitmaps(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A parity bitmap for each set: every element flips the bit that it hashes to."""
-    rows = np.repeat(np.arange(len(sizes)), sizes)
-    bit = (values & _U(BITMAP_BITS - 1)).astype(np.int64)
-    flips = np.bincount(rows * BITMAP_BITS + bit, minlength=len(sizes) * BITMAP_BITS) & 1
-    return np.packbits(flips.astype(np.uint8).reshape(len(sizes), BITMAP_BITS), axis=1)
-
+def bitmaps(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """A parity bitmap for each set: every element flips the bit that it hashes to.
 
-def overlap_bound(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
-    """The overlap of two sets is at most (sizes - differing bits) / 2, and at most the smaller size."""
-    apart = np.bitwise_count(a ^ b).sum(axis=-1).astype(np.int64)
-    return np.minimum((size_a + size_b - apart) // 2, np.minimum(size_a, size_b))
+    Halving a longer bitmap by exclusive or gives the bitmap of half the bits,
+    so bitmaps of different lengths compare.
+    """
+    bits = np.maximum(LEAST_BITS, 1 << np.ceil(np.log2(np.maximum(BITS_PER_ITEM * sizes, 1))).astype(np.int64))
+    ends = np.cumsum(bits)
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    bit = (values & (bits[rows] - 1).astype(np.uint64)).astype(np.int64) + (ends - bits)[rows]
+    flips = np.bincount(bit, minlength=int(ends[-1]) if len(ends) else 0) & 1
+    packed = np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+    return [packed[(e - n) // 8:e // 8] for e, n in zip(ends.tolist(), bits.tolist())]
+
+
+class Bitmaps:
+    """Bitmaps of many sets, as matrices by length: as they are, and folded to half their bits."""
+
+    def __init__(self, maps: list[bytes], sizes: np.ndarray):
+        self.sizes = sizes
+        self.words = np.array([len(m) // 8 for m in maps], np.int64)
+        self.place = np.zeros(len(maps), np.int64)
+        self.own: dict[int, np.ndarray] = {}
+        self.half: dict[int, np.ndarray] = {}
+        for n in np.unique(self.words).tolist():
+            of = np.flatnonzero(self.words == n)
+            self.place[of] = np.arange(len(of))
+            self.own[n] = np.frombuffer(b"".join(maps[k] for k in of.tolist()), np.uint64).reshape(len(of), n)
+            self.half[n] = self.own[n][:, :n // 2] ^ self.own[n][:, n // 2:]
+
+    def bounds(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """An upper bound of the overlap of the sets ``i[k]`` and ``j[k]``, for every k.
+
+        Every bit that differs counts an element that is in one set only, so
+        the overlap is at most (sizes - differing bits) / 2, and at most the
+        smaller size. (Lengths further apart than a factor of two are not
+        compared: such sizes never link.)
+        """
+        bound = np.minimum(self.sizes[i], self.sizes[j])
+        swap = self.words[i] > self.words[j]
+        a, b = np.where(swap, j, i), np.where(swap, i, j)           # a has the shorter bitmap
+        for n in self.own:
+            for wide in (n, 2 * n):
+                of = np.flatnonzero((self.words[a] == n) & (self.words[b] == wide))
+                other = self.own[n] if wide == n else self.half.get(wide)
+                step = max(1, (1 << 20) // n)                       # 8 MB at a time
+                for at in range(0, len(of), step):
+                    k = of[at:at + step]
+                    apart = self.own[n][self.place[a[k]]] ^ other[self.place[b[k]]]
+                    apart = np.bitwise_count(apart).sum(axis=1).astype(np.int64)
+                    bound[k] = np.minimum(bound[k], (self.sizes[a[k]] + self.sizes[b[k]] - apart) // 2)
+        return bound
 
 
 def nodes_of(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -140,30 +186,41 @@ def bands(rule: Rule, largest: int) -> list[Band]:
     return out
 
 
-def tile_keys(rule: Rule, values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of every tile that each set belongs to.
+@dataclass(frozen=True)
+class Places:
+    """Where sets belong: (row, band, key) of every tile, and what each set needs in its two bands."""
+
+    rows: np.ndarray
+    level: np.ndarray
+    keys: np.ndarray
+    own: np.ndarray                                         # each set's own band
+    need: np.ndarray                                        # (2, sets): agreeing parts that a link takes; 0: no links
+
+
+def places_of(rule: Rule, values: np.ndarray, sizes: np.ndarray) -> Places:
+    """The tiles of each set.
 
     A set enters its own band, and the next one if a linked set can be there.
-    Content is only compared through parts that are not empty: a set with
-    elements in more parts than may differ is certain to agree with a linked
-    set in one of those. A set without that luck draws again with the next
-    salt (its earlier draws stay, for sets that were lucky at them).
+    Content is only compared through parts that are not empty: of a set's
+    filled parts all but the differing ones agree with a linked set. A set
+    with no more filled parts than may differ draws again with the next salt
+    (its earlier draws stay, for sets that were luckier at them).
     """
     plan = bands(rule, int(sizes.max()) if len(sizes) else 0)
     plan += bands(rule, plan[-1].high * 2)[len(plan):len(plan) + 1] if plan else []
-    highs = np.array([b.high for b in plan], np.int64)
-    own = np.searchsorted(highs, sizes)
+    highs, lows, parts_of, differing = (np.array([getattr(b, f) for b in plan] or [0], np.int64)
+                                        for f in ("high", "low", "parts", "differing"))
+    own = np.searchsorted(highs, sizes) if plan else np.zeros(len(sizes), np.int64)
     starts = np.cumsum(sizes) - sizes
-    out_rows, out_keys = [], []
+    out_rows, out_level, out_keys = [], [], []
+    need = np.zeros((2, len(sizes)), np.int64)
     for up in (0, 1):
         level = np.minimum(own + up, max(len(plan) - 1, 0))
-        live = sizes > 0
+        live = (sizes > 0) & (differing[level] > 0)         # with none, only equal sets link
         if up:
-            lows = np.array([b.low for b in plan] or [0], np.int64)
             live &= rule.whole * sizes >= rule.part * lows[level]
-        if plan:
-            live &= np.array([b.differing for b in plan])[level] > 0    # else only equal sets link
         todo = np.flatnonzero(live)
+        need[up, todo] = np.iinfo(np.int64).max
         salt = 0
         while len(todo):
             n = sizes[todo]
@@ -172,24 +229,26 @@ def tile_keys(rule: Rule, values: np.ndarray, sizes: np.ndarray) -> tuple[np.nda
             drawn = values[at]
             if salt:
                 drawn = mix(drawn + _U(salt) * _STEP)
-                order = np.lexsort((drawn, rows))
-                drawn = drawn[order]
-            parts = np.array([b.parts for b in plan], np.uint64)[level[todo]]
+                drawn = drawn[np.lexsort((drawn, rows))]
+            parts = parts_of[level[todo]].astype(np.uint64)
             part = ((drawn >> _U(32)) * parts[rows]) >> _U(32)
             edge = np.ones(len(drawn), bool)
             edge[1:] = (part[1:] != part[:-1]) | (rows[1:] != rows[:-1])
             first = np.flatnonzero(edge)
             content = np.add.reduceat(mix(drawn), first)
-            tag = (level[todo][rows[first]].astype(np.uint64) << _U(40)) + (_U(salt) << _U(32)) + part[first]
+            levels = level[todo][rows[first]]
+            tag = (levels.astype(np.uint64) << _U(40)) + (_U(salt) << _U(32)) + part[first]
             out_rows.append(todo[rows[first]])
+            out_level.append(levels)
             out_keys.append(mix(content + mix(tag + _STEP)))
-            filled = np.bincount(rows[first], minlength=len(todo))
-            need = np.array([b.differing for b in plan], np.int64)[level[todo]] + 1
-            todo = todo[filled < need]
+            agreeing = np.bincount(rows[first], minlength=len(todo)) - differing[level[todo]]
+            need[up, todo] = np.minimum(need[up, todo], np.maximum(agreeing, 1))
+            todo = todo[agreeing < 1]
             salt += 1
     if not out_rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(out_rows), np.concatenate(out_keys)
+        none = np.zeros(0, np.int64)
+        return Places(none, none, np.zeros(0, np.uint64), own, need)
+    return Places(np.concatenate(out_rows), np.concatenate(out_level), np.concatenate(out_keys), own, need)
 
 
 def _narrow(values: np.ndarray) -> bytes:
@@ -204,29 +263,34 @@ def _wide(data: bytes, n: int) -> np.ndarray:
 
 
 def document_nodes(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n_shingles, node, bitmap) of every row; a text without words has a null node."""
+    """(doc_id, n_shingles, node, band, need, need_up) of every row; a text without words has a null node.
+
+    ``need`` is how many parts a link agrees in, in the node's own band and in
+    the next one (0: the node has no links there).
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
             for i, j in steps(offsets):
                 base = offsets[i]
                 values, sizes = shingle_sets(raw[base:offsets[j]], offsets[i:j + 1] - base, rule.words)
-                empty = sizes == 0
-                maps = pa.array([m.tobytes() for m in bitmaps(values, sizes)], pa.binary())
+                where = places_of(rule, values, sizes)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(sizes),
-                     pa.array(nodes_of(values, sizes).view(np.int64), mask=empty), maps],
-                    names=["doc_id", "n_shingles", "node", "bitmap"])
+                     pa.array(nodes_of(values, sizes).view(np.int64), mask=sizes == 0), pa.array(where.own, pa.int32()),
+                     pa.array(where.need[0], pa.int64()), pa.array(where.need[1], pa.int64())],
+                    names=["doc_id", "n_shingles", "node", "band", "need", "need_up"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, node long, bitmap binary")
+        run, "doc_id long, n_shingles long, node long, band int, need long, need_up long")
 
 
 def tiles(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
-    """(tile, node) of the tiles with two nodes or more; tiles with equal members are one.
+    """(tile, node, level, weight) of the tiles with two nodes or more.
 
-    The keys of a batch travel packed: one row for each bucket of the key
-    space, with four bytes of every key and the difference to the node before.
+    Tiles of equal members are one, of the weight of all of them. The keys of
+    a batch travel packed: one row for each bucket of the key space, with four
+    bytes of every key (its band among them) and the step from the node before.
     """
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,13 +299,15 @@ def tiles(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
                 base = offsets[i]
                 values, sizes = shingle_sets(raw[base:offsets[j]], offsets[i:j + 1] - base, rule.words)
                 nodes = nodes_of(values, sizes)
-                rows, keys = tile_keys(rule, values, sizes)
-                if not len(rows):
+                where = places_of(rule, values, sizes)
+                if not len(where.rows):
                     continue
                 distinct, place = np.unique(nodes, return_inverse=True)
-                bucket = ((keys & _U(0xFFFFFFFF)) * _U(buckets)) >> _U(32)
-                order = np.lexsort((place[rows], bucket))
-                bucket, place, keys = bucket[order], place[rows][order], (keys[order] >> _U(32)).astype(np.uint32)
+                bucket = ((where.keys & _U(0xFFFFFFFF)) * _U(buckets)) >> _U(32)
+                place = place[where.rows]
+                short = (((where.keys >> _U(38)) << _U(6)) | where.level.astype(np.uint64)).astype(np.uint32)
+                order = np.lexsort((place, bucket))
+                bucket, place, keys = bucket[order], place[order], short[order]
                 cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
                 out = {"bucket": [], "keys": [], "steps": [], "nodes": []}
                 for a, b in zip(cuts[:-1], cuts[1:]):
@@ -254,7 +320,7 @@ def tiles(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
                     out, schema=pa.schema([("bucket", pa.int32()), ("keys", pa.binary()),
                                            ("steps", pa.binary()), ("nodes", pa.binary())]))
 
-    def meet(key: tuple, group: pa.Table) -> pa.Table:
+    def meet(group: pa.Table) -> pa.Table:
         keys, nodes = [], []
         for row in group.to_pylist():
             own = np.frombuffer(row["keys"], np.uint32)
@@ -270,29 +336,54 @@ def tiles(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
         keys, nodes = keys[new], nodes[new]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         n = np.diff(np.append(first, len(keys)))
-        tile = mix(np.add.reduceat(mix(nodes), first) + n.astype(np.uint64))
+        level = (keys[first] & np.uint32(63)).astype(np.uint64)
+        tile = mix(np.add.reduceat(mix(nodes), first) + n.astype(np.uint64) + mix(level + _STEP))
         kept = np.flatnonzero(n > 1)
-        _, once = np.unique(tile[kept], return_index=True)
+        _, once, weight = np.unique(tile[kept], return_index=True, return_counts=True)
         kept = kept[once]
         at = np.repeat(first[kept] - (np.cumsum(n[kept]) - n[kept]), n[kept]) + np.arange(n[kept].sum())
         return pa.table({"tile": pa.array(np.repeat(tile[kept], n[kept]).view(np.int64)),
-                         "node": pa.array(nodes[at].view(np.int64))})
+                         "node": pa.array(nodes[at].view(np.int64)),
+                         "level": pa.array(np.repeat(level[kept], n[kept]).astype(np.int32)),
+                         "weight": pa.array(np.repeat(weight, n[kept]).astype(np.int64))})
 
     dealt = docs.select("text").mapInArrow(deal, "bucket int, keys binary, steps binary, nodes binary")
-    met = dealt.groupBy("bucket").applyInArrow(meet, "tile long, node long")
-    return met.distinct()
+    met = dealt.groupBy("bucket").applyInArrow(meet, "tile long, node long, level int, weight long")
+    return met.groupBy("tile", "node", "level").agg(F.sum("weight").alias("weight"))
+
+
+def narrowed(members: DataFrame, needs: DataFrame) -> DataFrame:
+    """The (tile, node) that links can go through.
+
+    ``needs`` has (node, band, need, need_up). A node whose tiles of a band
+    weigh less than it needs there has no link in that band. Of the others'
+    tiles, in one order for all nodes (small tiles first), the last are left
+    out whose weight falls short of the need: a link shares more than those.
+    """
+    rows = members.join(small_side(needs), "node").withColumn(
+        "need", F.when(F.col("level") == F.col("band"), F.col("need")).otherwise(F.col("need_up"))).drop("band", "need_up")
+    for _ in range(NARROWINGS):
+        rows = rows.withColumn("sum", F.sum("weight").over(W.partitionBy("node", "level")))
+        rows = rows.where((F.col("need") > 0) & (F.col("sum") >= F.col("need"))).drop("sum")
+        sizes = rows.groupBy("tile").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+        rows = staged(rows.drop("size").join(sizes, "tile"), "narrowed")
+    behind = W.partitionBy("node", "level").orderBy(F.desc("size"), F.desc("tile"))
+    kept = (rows.withColumn("behind", F.sum("weight").over(behind.rowsBetween(W.unboundedPreceding, W.currentRow)))
+            .where(F.col("behind") >= F.col("need")).select("tile", "node"))
+    return kept.join(_larger(kept, 1), "tile", "left_semi")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, maps: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) of nodes that link: bitmap bound first, then the exact sets of the survivors."""
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            na, nb = (batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
-            ma, mb = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-                      for k in (4, 5))
-            yield batch.select([0, 1]).filter(pa.array(rule.links(overlap_bound(ma, mb, na, nb), na, nb)))
+            sizes = np.concatenate([batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3)])
+            maps = batch.column(4).to_pylist() + batch.column(5).to_pylist()
+            n = batch.num_rows
+            bound = Bitmaps(maps, sizes).bounds(np.arange(n), np.arange(n) + n)
+            yield batch.select([0, 1]).filter(pa.array(rule.links(bound, sizes[:n], sizes[n:])))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,10 +399,10 @@ def verified(pairs: DataFrame, texts: DataFrame, maps: DataFrame, rule: Rule) ->
     def side(table: DataFrame, node: str, *columns: str) -> DataFrame:
         return table.select(F.col("node").alias(node), *(F.col(c).alias(f"{c}_{node}") for c in columns))
 
-    close = (pairs.join(side(maps, "a", "n_shingles", "bitmap"), "a").join(side(maps, "b", "n_shingles", "bitmap"), "b")
-             .select("a", "b", "n_shingles_a", "n_shingles_b", "bitmap_a", "bitmap_b")
-             .mapInArrow(bound, "a long, b long"))
-    return (close.join(side(texts, "a", "text"), "a").join(side(texts, "b", "text"), "b")
+    near = (pairs.join(side(maps, "a", "n_shingles", "bitmap"), "a").join(side(maps, "b", "n_shingles", "bitmap"), "b")
+            .select("a", "b", "n_shingles_a", "n_shingles_b", "bitmap_a", "bitmap_b")
+            .mapInArrow(close, "a long, b long"))
+    return (near.join(side(texts, "a", "text"), "a").join(side(texts, "b", "text"), "b")
             .select("a", "b", "text_a", "text_b").mapInArrow(exact, "a long, b long"))
 
 
@@ -342,9 +433,12 @@ def _leader_pairs(rows: DataFrame, salt: int) -> DataFrame:
 def _block_pairs(rows: DataFrame, maps: DataFrame, rule: Rule) -> DataFrame:
     """The pairs of open tiles, of different components, that the bitmap bound lets through.
 
-    A tile of more than ``BLOCK`` members is cut into blocks and every pair of
-    blocks is a group of its own.
+    Tiles are handled many at a time, in bins of bounded size. A tile of more
+    than ``BLOCK`` members is cut into blocks and every pair of its blocks is
+    handled on its own.
     """
+    width = rows.join(maps.select("node", F.octet_length("bitmap").alias("width")), "node").agg(F.sum("width")).first()[0]
+    bins = 1 + (width or 0) // BIN_BYTES
     counted = rows.groupBy("tile").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     placed = (rows.join(counted, "tile").join(maps, "node")
@@ -353,26 +447,35 @@ def _block_pairs(rows: DataFrame, maps: DataFrame, rule: Rule) -> DataFrame:
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("tile", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
                       "mine", "node", "component", "n_shingles", "bitmap"))
-
-    def pairs(key: tuple, group: pa.Table) -> pa.Table:
-        low, high = key[1].as_py(), key[2].as_py()
-        mine = group["mine"].to_numpy()
-        node, comp, size = (group[c].to_numpy() for c in ("node", "component", "n_shingles"))
-        maps_ = np.frombuffer(b"".join(group["bitmap"].to_pylist()), np.uint64).reshape(len(node), -1)
-        left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
-        out_a, out_b = [], []
-        for i in left:
-            with_ = right[right > i] if low == high else right
-            near = with_[(comp[with_] != comp[i]) & rule.links(np.minimum(size[with_], size[i]), size[with_], size[i])]
-            if len(near):
-                bound = overlap_bound(maps_[near], maps_[i], size[near], size[i])
-                near = near[rule.links(bound, size[near], size[i])]
-                out_a.append(np.minimum(node[near], node[i]))
-                out_b.append(np.maximum(node[near], node[i]))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return placed.groupBy("tile", "low", "high").applyInArrow(pairs, "a long, b long").distinct()
+    lot = F.pmod(F.xxhash64("tile", "low", "high"), F.lit(bins))
+
+    def pairs(group: pa.Table) -> pa.Table:
+        low, high, mine, node, comp, size = (group[c].to_numpy() for c in (
+            "low", "high", "mine", "node", "component", "n_shingles"))
+        maps_ = group["bitmap"].to_pylist()
+        _, part = np.unique(np.stack([group["tile"].to_numpy(), low, high]), axis=1, return_inverse=True)
+        part = part.reshape(-1)
+        order = np.lexsort((node, part))
+        part, low, high, mine, node, comp, size = (x[order] for x in (part, low, high, mine, node, comp, size))
+        maps_ = Bitmaps([maps_[k] for k in order], size)
+        out = []
+        at = np.arange(len(part))
+        for apart in range(1, int(np.bincount(part).max()) if len(part) else 0):
+            at = at[:np.searchsorted(at, len(part) - apart)]
+            at = at[part[at] == part[at + apart]]
+            if not len(at):
+                break
+            i, j = at, at + apart
+            small, big = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+            fit = (comp[i] != comp[j]) & ((mine[i] != mine[j]) | (low[i] == high[i])) & rule.links(small, small, big)
+            i, j = i[fit], j[fit]
+            if len(i):
+                fit = rule.links(maps_.bounds(i, j), size[i], size[j])
+                out.append(np.stack([node[i[fit]], node[j[fit]]]))
+        a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    return placed.groupBy(lot.alias("lot")).applyInArrow(pairs, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), buckets: int | None = None) -> DataFrame:
@@ -386,14 +489,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), buckets: int | None =
     if buckets is None:
         buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = staged(document_nodes(docs, rule), "nodes")
-    members = staged(tiles(docs, rule, buckets), "tiles")
-
-    wanted = staged(members.select("node").distinct(), "wanted")
-    first = (rows.where("node is not null").select("node", "n_shingles", "bitmap", "doc_id")
-             .join(small_side(wanted), "node", "left_semi"))
-    maps = staged(first.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"),
-                                            F.first("bitmap").alias("bitmap"), F.min("doc_id").alias("doc_id")), "maps")
-    texts = _node_texts(docs, maps, rule)
+    needs = staged(rows.where("need > 0 OR need_up > 0").select("node", "band", "need", "need_up").distinct(), "needs")
+    members = staged(narrowed(staged(tiles(docs, rule, buckets), "dealt"), needs), "tiles")
+    known = _known_nodes(docs, rows, members, rule)
+    texts, maps = known.select("node", "text"), known.select("node", "n_shingles", "bitmap")
 
     links = staged(verified(_leader_pairs(_open_tiles(members, None), 0), texts, maps, rule), "links")
     labels = components(links)
@@ -413,8 +512,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), buckets: int | None =
     return _labelled(rows, labels)
 
 
-def _node_texts(docs: DataFrame, maps: DataFrame, rule: Rule) -> DataFrame:
-    """(node, text): a text for every node in a tile, read again from the documents."""
+def _known_nodes(docs: DataFrame, rows: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
+    """Stage table (node, text, n_shingles, bitmap) of the nodes in tiles, read again from the documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_buffer(batch.column(0))
@@ -422,15 +521,17 @@ def _node_texts(docs: DataFrame, maps: DataFrame, rule: Rule) -> DataFrame:
                 base = offsets[i]
                 values, sizes = shingle_sets(raw[base:offsets[j]], offsets[i:j + 1] - base, rule.words)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes_of(values, sizes).view(np.int64)), batch.column(0).slice(i, j - i)],
-                    names=["node", "text"])
+                    [pa.array(nodes_of(values, sizes).view(np.int64)), batch.column(0).slice(i, j - i), pa.array(sizes),
+                     pa.array(bitmaps(values, sizes), pa.binary())], names=["node", "text", "n_shingles", "bitmap"])
 
+    wanted = small_side(staged(members.select("node").distinct(), "wanted"))
+    first = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("wanted"))
     # A doc_id may have several rows, so the node is taken from the text that was read.
-    ids = small_side(maps.select(F.col("doc_id").alias("wanted")))
+    ids = small_side(staged(first.select("wanted").distinct(), "ids"))
     source = docs.select(F.col("doc_id").cast("long"), "text")
     picked = source.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-    named = picked.select("text").mapInArrow(run, "node long, text string")
-    return staged(named.dropDuplicates(["node"]), "texts")
+    named = picked.select("text").mapInArrow(run, "node long, text string, n_shingles long, bitmap binary")
+    return staged(named.dropDuplicates(["node"]), "known")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:

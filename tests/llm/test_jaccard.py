@@ -76,8 +76,14 @@ def test_linked_sets_share_a_tile(size):
         shared = len(np.intersect1d(a, b))
         if len(b) == 0 or not rule.links(shared, len(a), len(b)) or np.array_equal(a, b):
             continue
-        rows, keys = jaccard.tile_keys(rule, np.concatenate([a, b]), np.array([len(a), len(b)]))
-        assert set(keys[rows == 0].tolist()) & set(keys[rows == 1].tolist())
-        maps = jaccard.bitmaps(np.concatenate([a, b]), np.array([len(a), len(b)]))
-        bound = jaccard.overlap_bounds(maps, np.array([len(a), len(b)]), np.array([0]), np.array([1]))
+        sizes = np.array([len(a), len(b)])
+        at = jaccard.places_of(rule, np.concatenate([a, b]), sizes)
+        shares = 0
+        for level in set(at.level.tolist()):
+            mine, other = (set(at.keys[(at.rows == r) & (at.level == level)].tolist()) for r in (0, 1))
+            enough = [len(mine & other) >= at.need[level - at.own[r], r] > 0 for r in (0, 1) if 0 <= level - at.own[r] < 2]
+            shares += len(enough) == 2 and all(enough)
+        assert shares                                       # as many tiles as both need, in some band
+        maps = jaccard.Bitmaps(jaccard.bitmaps(np.concatenate([a, b]), sizes), sizes)
+        bound = maps.bounds(np.array([0]), np.array([1]))
         assert bound[0] >= shared
