@@ -116,7 +116,7 @@ def normal(sentence: str) -> str:
 
 def pieces_of(sentence: str) -> int:
     """The pieces that a sentence on one line is cut into."""
-    return len([p for p in re.split(r"\n", re.sub(r"([.!?])[ \t\r\n]+", r"\1\n", sentence)) if normal(p)])
+    return len([p for p in re.split(r"\n", re.sub(r"([.!?:])[ \t\r\n]+", r"\1\n", sentence)) if normal(p)])
 
 
 def _normal(text: Column) -> Column:
@@ -124,7 +124,7 @@ def _normal(text: Column) -> Column:
 
 
 def _pieces(text: Column) -> Column:
-    cut = F.split(F.regexp_replace(text, r"([.!?])[ \t\r\n]+", "$1\n"), "\n")
+    cut = F.split(F.regexp_replace(text, r"([.!?:])[ \t\r\n]+", "$1\n"), "\n")
     return F.filter(F.transform(cut, _normal), lambda p: p != "")
 
 

@@ -17,7 +17,7 @@ def _licences() -> str:
     return f"""
         WITH known(sentence, id) AS (VALUES {known}), rules(rule, licence, want) AS (VALUES {rules}),
         docs AS (SELECT row_number() OVER () AS r, doc_id, list_filter(list_transform(
-                     string_split(regexp_replace(text, '([.!?])[ \\t\\r\\n]+', '\\1\n', 'g'), '\n'),
+                     string_split(regexp_replace(text, '([.!?:])[ \\t\\r\\n]+', '\\1\n', 'g'), '\n'),
                      lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS pieces
                  FROM documents
                  WHERE regexp_matches(text, '(?i)licen[cs]e|permission|redistribut|warrant|copyright|copies|liable|public domain')),

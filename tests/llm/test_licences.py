@@ -8,7 +8,7 @@ from tests.llm.plain import EDGE_DOCS
 
 def plain_scan(text):
     """{rule: (matches, first piece)} of one text."""
-    cut = re.sub(r"([.!?])[ \t\r\n]+", r"\1\n", text or "").split("\n")
+    cut = re.sub(r"([.!?:])[ \t\r\n]+", r"\1\n", text or "").split("\n")
     pieces = [p for p in map(normal, cut) if p]
     known = {normal(s): i for i, s in SENTENCES.items()}
     found = [(a, known[run]) for a in range(len(pieces)) for k in range(1, MOST_PIECES + 1)

@@ -43,9 +43,8 @@ def test_random_texts(spark):
 @given(st.text(st.sampled_from("ab.@1-+_% é"), max_size=25))
 def test_run_starts_lose_no_match(text):
     """Starting only at run starts or behind a match finds the same emails and addresses."""
-    for kind in ("email", "ip"):
+    for kind, run in (("email", "[A-Za-z0-9._%+-]"), ("ip", "[0-9]")):
         plain = [m.span() for m in re.finditer(PII[kind], text)]
-        run = PII[kind].split("+", 1)[0]
         ends, found = 0, []
         for m in re.finditer(PII[kind], text):
             before = text[m.start() - 1:m.start()]
