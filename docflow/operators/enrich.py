@@ -142,7 +142,8 @@ def map_tagger(df: DataFrame, tagger_factory: Callable[[dict[str, str]], Tagger]
     Rows move to Python in Arrow batches (``mapInPandas``). The factory is
     called once per task with ``{file name: local path}`` of ``side_files``
     (shipped with ``addFile``), so a model is loaded once per task, not per
-    row. Text is tokenized with the same pattern as :func:`tokenize`.
+    row. Text is tokenized with the same pattern as :func:`tokenize`, which
+    needs the ``regex`` package on the executors (for ``\p{L}``).
     """
     spark = df.sparkSession
     ship_package(spark)

@@ -25,8 +25,7 @@ from docflow.functions.predicates import all_of
 from docflow.operators.counts import Mark, count_new, later, new_rows_filter, newest_mark
 from docflow.operators.latest import latest_per_key
 from docflow.session import hadoop_fs, shared_dir
-from docflow.sinks.collection import (BUCKET_COL, DEFAULT_BATCH_ROWS, DEFAULT_BUCKETS,
-                                      collection_exists, compact, read_bucketed, upsert_path)
+from docflow.sinks.collection import (BUCKET_COL, DEFAULT_BUCKETS, collection_exists, compact, read_bucketed, upsert_path)
 from docflow.sources.collection import read_collection
 
 TAG_COL = "_xfer_id"
@@ -168,7 +167,7 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
                  ts_col: str = "timestamp_tdt", key: str = "id",
                  where: str | Column | None = None, new_only: bool = True, as_of=None,
                  key_fields: Sequence[str] = (), tiebreak: Sequence[str] = (),
-                 batch_size: int = DEFAULT_BATCH_ROWS, compact_to: int = 0,
+                 batch_size: int | None = None, compact_to: int = 0,
                  splits: int | None = None, run_id: str | None = None,
                  tag_col: str = TAG_COL, buckets: int = DEFAULT_BUCKETS,
                  dedupe: bool = True, verbose: bool = False) -> TransferResult:
@@ -181,7 +180,8 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     every write step sees the same rows even if the source grows meanwhile or
     an executor is lost; it is removed after the run. Rows without a key are
     an error before anything is written. With nothing new, nothing is written
-    (found = written = 0). A run log (``_xfer_log``) makes a failed run
+    (found = written = 0). Files at rest are sized by bytes; ``batch_size``
+    also caps their rows (K2). A run log (``_xfer_log``) makes a failed run
     restartable: see :func:`resume_watermark`. ``splits`` asks for at least so
     many scan tasks (by smaller scan splits, not by a shuffle).
 
