@@ -170,7 +170,7 @@ class BiGru:
             b, n = begin[at:at + lot], filled[at:at + lot]
             step = np.arange(window)[:, None]
             inside = step < n[None, :]
-            symbols = np.where(inside, raw[np.minimum(b[None, :] + step, len(raw) - 1)], PAD)
+            symbols = np.where(inside, raw[np.minimum(b[None, :] + step, len(raw) - 1)].astype(np.int64), PAD)
             probs, _ = self.positions(symbols)
             sums = (probs * inside[:, :, None]).sum(axis=0)
             for k in range(len(self.languages)):
