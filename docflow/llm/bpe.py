@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from docflow.llm.common import STEP_BYTES, kept_fields, ready
 
 #: Words that each generation of a worker's cache may hold (two generations).
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
 
 
 def byte_symbols() -> list[str]:

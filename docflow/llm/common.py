@@ -16,7 +16,10 @@ from docflow.session import shared_dir, ship_package
 BROADCAST_ROWS = 1_000_000
 
 #: Bytes of text that one numpy step handles (a longer text is handled alone).
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
+
+#: Bytes of the Arrow batches that carry whole texts to Python workers and back.
+BATCH_BYTES = 8 << 20
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -35,8 +38,13 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def ready(spark: SparkSession) -> None:
-    """Make docflow importable in the Python workers of this application."""
+    """Make docflow importable in the Python workers, and keep their batches of whole texts small.
+
+    The batch size is set for this session unless the cluster names one.
+    """
     ship_package(spark)
+    if not spark.sparkContext.getConf().contains("spark.sql.execution.arrow.maxBytesPerBatch"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def kept_fields(df: DataFrame, keep: Sequence[str] | None, new: Sequence[str]) -> list[T.StructField]:
