@@ -128,8 +128,8 @@ def _pieces(text: Column) -> Column:
     return F.filter(F.transform(cut, _normal), lambda p: p != "")
 
 
-def sentence_ids(text: Column, sentences: dict[str, str]) -> Column:
-    """(place, id) of the known sentences in a text: place counts its pieces from 0."""
+def sentence_ids(pieces: Column, sentences: dict[str, str]) -> Column:
+    """(place, id) of the known sentences in a text's pieces: place counts them from 0."""
     known = {normal(s): i for i, s in sentences.items()}
     shortest, longest = min(map(len, known)), max(map(len, known))
     names = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
@@ -140,7 +140,6 @@ def sentence_ids(text: Column, sentences: dict[str, str]) -> Column:
         found = F.filter(joined, lambda s: F.length(s).between(shortest, longest) & s.isin(*known))
         return F.transform(found, lambda s: F.struct(at.alias("place"), F.element_at(names, s).alias("id")))
 
-    pieces = _pieces(text)
     return F.flatten(F.transform(F.sequence(F.lit(0), F.size(pieces) - 1), lambda at: runs(pieces, at)))
 
 
@@ -149,8 +148,10 @@ def scan(docs: DataFrame, text_col: str = "text", sentences: dict[str, str] = SE
     """``docs``' other columns with (rule, licence, n_matches, first_piece, sentences), a row for each rule that matches."""
     new = {"rule", "licence", "n_matches", "first_piece", "sentences"}
     others = [c for c in docs.columns if c != text_col and c not in new]
-    some = docs.where(F.col(text_col).rlike(HINT)).where(F.size(_pieces(F.col(text_col))) > 0)
-    rows = some.select(*others, sentence_ids(F.col(text_col), sentences).alias("__found")).where(F.size("__found") > 0)
+    # exploding an array of one keeps the pieces a column: what follows would cut the text again at every place
+    some = docs.where(F.col(text_col).rlike(HINT)).select(
+        *others, F.explode(F.array(_pieces(F.col(text_col)))).alias("__pieces")).where(F.size("__pieces") > 0)
+    rows = some.select(*others, sentence_ids(F.col("__pieces"), sentences).alias("__found")).where(F.size("__found") > 0)
     sequence = F.array_join(F.transform("__found", lambda s: F.concat(F.lit("<"), s["id"], F.lit(">"))), "")
     rows = rows.withColumn("sentences", sequence)
     table = F.array(*(F.struct(F.lit(r).alias("rule"), F.lit(name).alias("licence"),
