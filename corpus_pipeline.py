@@ -8,11 +8,11 @@ shared folder and reads it again as the next one's input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm import bpe, decontaminate, jaccard, pii, toxicity
-from docflow.llm.common import id_bucket, small_side, staged
+from docflow.llm.common import id_bucket, small_side, staged, text_hash
 from docflow.llm.queries import TOXIC_FROM, WORD_BPE, round_trip_digests
 from docflow.session import table
 
@@ -23,27 +23,45 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("__toxicity") < TOXIC_FROM).select(*docs.columns)
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text_hash) by names that no column of a document has."""
+    return rows.select(F.col("doc_id").alias("__their_id"), F.col("text_hash").alias("__their_hash"))
+
+
+def _same() -> Column:
+    """Whether a document and a row of ``_named`` have the same id (or none) and the same text."""
+    return F.col("doc_id").eqNullSafe(F.col("__their_id")) & (text_hash() == F.col("__their_hash"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates, and those without an id of their own.
+    """One document of each group of near-duplicates: that with the smallest id, and one of those without an id.
 
-    Rows that share an id are one document; one of them is kept.
+    Rows that share an id are one document if they share their text, and one of
+    them is kept; a group's rows with the smallest id and other texts give way
+    to one of them. Rows without an id are compared with one another only.
     """
-    groups = jaccard.near_duplicates(docs.select("doc_id", "text"))
-    copies = staged(groups.where("doc_id > component_id").select("doc_id").distinct(), "copies")
-    kept = docs.join(small_side(copies), "doc_id", "left_anti")
-    ids = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    repeated = staged(ids.select("doc_id"), "repeated")
+    groups = staged(jaccard.grouped(docs.select("doc_id", "text")), "groups")
+    row = F.struct("doc_id", "text_hash")
+    first = (groups.where("component IS NOT NULL").groupBy("component", F.col("doc_id").isNull().alias("without"))
+             .agg(F.min(row).alias("first"), F.max(row).alias("last")).where("first != last"))
+    several = small_side(staged(first.select("component", "without", "first"), "several"))
+    members = groups.withColumn("without", F.col("doc_id").isNull()).join(several, ["component", "without"])
+    copies = staged(_named(members.where(row != F.col("first"))).distinct(), "copies")
+    same = groups.where("doc_id IS NOT NULL OR component IS NOT NULL").groupBy("doc_id", "text_hash")
+    repeated = staged(_named(same.agg(F.count("*").alias("n")).where("n > 1")), "repeated")
+    kept = docs.join(small_side(copies), _same(), "left_anti")
     if repeated.isEmpty():
         return kept
-    once = kept.join(small_side(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(small_side(repeated), "doc_id", "left_anti").unionByName(once)
+    once = (kept.join(small_side(repeated), _same(), "left_semi").withColumn("__hash", text_hash())
+            .dropDuplicates(["doc_id", "__hash"]).drop("__hash"))
+    return kept.join(small_side(repeated), _same(), "left_anti").unionByName(once)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no benchmark passage."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    leaks = staged(found.select("doc_id").distinct(), "leaks").withColumnRenamed("doc_id", "__leak")
-    return docs.join(small_side(leaks), F.col("doc_id").eqNullSafe(F.col("__leak")), "left_anti")
+    found = decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark"))
+    leaks = staged(_named(found.select("doc_id", "text_hash").distinct()), "leaks")
+    return docs.join(small_side(leaks), _same(), "left_anti")
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,6 +57,11 @@ def id_bucket(column: str, modulus: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+def text_hash(column: str = "text") -> Column:
+    """The hash that, with its id, names a row's text (a null is an empty text)."""
+    return F.xxhash64(F.coalesce(column, F.lit(""))).alias("text_hash")
+
+
 def text_buffer(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and its n + 1 offsets (a null is an empty text)."""
     if pa.types.is_large_string(array.type):

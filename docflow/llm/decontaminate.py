@@ -59,7 +59,13 @@ def _seeded(rows: DataFrame, masks: list[str], whole: bool = False) -> DataFrame
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, window: int = 16,
                  share: float = 0.8, block_seeds: int = 2_000_000) -> DataFrame:
-    """(doc_id, item_id, item_tokens, matched, best_window, first_token) of every contaminated document.
+    """(doc_id, item_id, item_tokens, matched, best_window, first_token) of every contaminated document."""
+    return overlaps(docs, benchmark, masks, window, share, block_seeds).drop("text_hash")
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, window: int = 16,
+             share: float = 0.8, block_seeds: int = 2_000_000) -> DataFrame:
+    """``contaminated`` with the ``text_hash`` of the document's text besides.
 
     ``matched`` counts the item's tokens that agree at the best alignment,
     ``best_window`` those of the best window there, and ``first_token`` is the
@@ -95,5 +101,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] =
               .where(F.col("best_window") >= F.ceil(F.col("width") * share)))
     pick = F.max(F.struct("best_window", "matched", (-F.col("first_token")).alias("back"), "item_tokens")).alias("p")
     return (judged.groupBy("doc_id", "text_hash", "item", "item_id").agg(pick)
-            .select("doc_id", "item_id", "p.item_tokens", "p.matched", "p.best_window",
+            .select("doc_id", "text_hash", "item_id", "p.item_tokens", "p.matched", "p.best_window",
                     (-F.col("p.back")).alias("first_token")))

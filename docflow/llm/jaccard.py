@@ -36,7 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docflow.llm.common import SPACE_TABLE, mix, ready, small_side, staged, steps, text_buffer, word_hashes
+from docflow.llm.common import (SPACE_TABLE, mix, ready, small_side, staged, steps, text_buffer, text_hash,
+                                word_hashes)
 from docflow.llm.graph import components
 
 #: A node's bitmap has the least power of two of bits that is so many times its size or more.
@@ -263,7 +264,7 @@ def _wide(data: bytes, n: int) -> np.ndarray:
 
 
 def document_nodes(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n_shingles, node, band, need, need_up) of every row; a text without words has a null node.
+    """(doc_id, text_hash, n_shingles, node, band, need, need_up) of every row; a text without words has a null node.
 
     ``need`` is how many parts a link agrees in, in the node's own band and in
     the next one (0: the node has no links there).
@@ -276,13 +277,13 @@ def document_nodes(docs: DataFrame, rule: Rule) -> DataFrame:
                 values, sizes = shingle_sets(raw[base:offsets[j]], offsets[i:j + 1] - base, rule.words)
                 where = places_of(rule, values, sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(sizes),
+                    [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(sizes),
                      pa.array(nodes_of(values, sizes).view(np.int64), mask=sizes == 0), pa.array(where.own, pa.int32()),
                      pa.array(where.need[0], pa.int64()), pa.array(where.need[1], pa.int64())],
-                    names=["doc_id", "n_shingles", "node", "band", "need", "need_up"])
+                    names=["doc_id", "text_hash", "n_shingles", "node", "band", "need", "need_up"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, node long, band int, need long, need_up long")
+    return docs.select(F.col("doc_id").cast("long"), "text", text_hash()).mapInArrow(
+        run, "doc_id long, text_hash long, n_shingles long, node long, band int, need long, need_up long")
 
 
 def tiles(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
@@ -482,6 +483,14 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), buckets: int | None =
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
 
     ``component_id`` is the smallest doc_id that links reach, its own included.
+    """
+    return grouped(docs, rule, buckets).select("doc_id", "n_shingles", "component_id")
+
+
+def grouped(docs: DataFrame, rule: Rule = Rule(), buckets: int | None = None) -> DataFrame:
+    """``near_duplicates`` with (text_hash, component) besides, which name a row and its group also where ids do not.
+
+    ``component`` is null for a text without words.
     ``buckets`` of the key space default to four for each shuffle partition.
     """
     spark = docs.sparkSession
@@ -535,15 +544,17 @@ def _known_nodes(docs: DataFrame, rows: DataFrame, members: DataFrame, rule: Rul
 
 
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Each row with the smallest doc_id of its component."""
+    """Each row with its component and the smallest doc_id of it."""
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     if labels is not None:
         nodes = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-        nodes = nodes.join(least, "component").select("node", "component_id")
+        nodes = nodes.join(least, "component").select("node", "component", "component_id")
     else:
-        nodes = nodes.withColumnRenamed("least", "component_id")
+        nodes = nodes.select("node", F.col("node").alias("component"), F.col("least").alias("component_id"))
     nodes = staged(nodes, "components")
-    linked = rows.where("node is not null").join(small_side(nodes), "node").select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = ["doc_id", "text_hash", "n_shingles", "component", "component_id"]
+    linked = rows.where("node is not null").join(small_side(nodes), "node").select(*out)
+    alone = rows.where("node is null").select("doc_id", "text_hash", "n_shingles", F.col("node").alias("component"),
+                                              F.col("doc_id").alias("component_id"))
     return linked.unionAll(alone)

@@ -156,3 +156,25 @@ def test_entry_without_the_sub_package(tmp_path):
             "import __spark_entry__ as E; assert not E.LLM_QUERIES and len(E.queries()) > 40; print('fine')")
     out = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert "fine" in out.stdout, out.stderr[-1500:]
+
+
+def test_rows_are_told_apart_by_id_and_text(spark, tables):
+    """Null and repeated ids: clean texts stay, copies go, one row of each group stays."""
+    _, items = corpus()
+    rng = random.Random(3)
+    fresh = lambda n=30: " ".join(f"v{rng.randrange(10 ** 6)}" for _ in range(n))
+    a, b, c, d, e = (fresh() for _ in range(5))
+    leak = fresh() + " " + items[0][1]
+    rows = [(i, t, "en", "s", len(t)) for i, t in [
+        (None, leak), (None, a), (None, b), (500, leak), (500, c), (501, d)]]
+    got, _ = stage(spark, tables, "decontamination", rows)
+    assert order(got) == order(r for r in rows if r[1] != leak)
+
+    near = a + " more"
+    rows = [(i, t, "en", "s", len(t)) for i, t in [
+        (None, a), (None, a), (None, near), (None, b), (700, c), (700, d), (701, c), (701, e), (701, e),
+        (702, d + " more"), (None, ""), (None, "")]]
+    got, _ = stage(spark, tables, "near_duplicates", rows)
+    assert order((r[0], r[1]) for r in got if r[0] is not None) == order([(700, c), (700, d), (701, e)])
+    texts = sorted(r[1] for r in got if r[0] is None)
+    assert texts in (sorted(["", "", a, b]), sorted(["", "", near, b]))
