@@ -1,17 +1,23 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Tokens of a page are its elements (by their path) and the text blocks outside
-its article. Tokens of a host's pages that have the same occurrence vector (the
-same count on every page) form an equivalence class. Classes that are large
-and frequent, and that lie in order inside or around one another without
+Tokens of a page are its elements (by their path) and all of its text blocks.
+Tokens that have the same occurrence vector (the same count on every page) over
+a host's pages, or over those of one of its layouts (pages with the same
+elements outside the article), form an equivalence class. Classes that are
+large and frequent, and that lie in order inside or around one another without
 crossing, are the host's template. What a page has between template tokens are
-its slots; the text of the slots that are article and not menu, header, footer,
-sidebar, notice, advert, form or reader comment is the main text.
+its slots, inside an article too; the text of the slots that are article and not
+menu, header, footer, sidebar, notice, advert, form or reader comment is the
+main text.
+
+Copies are no evidence: pages of one host whose articles have the same longest
+block (captures and near copies of an article) count as one page, and of pages
+without an article those of one URL.
 
 Occurrence vectors are compared by a hash that is combined page by page, so a
-host's pages never meet in one task; what meets is the tokens that half of its
-pages have, a number that the length of a page bounds. Reading pages is a
-narrow map before and after.
+host's pages never meet in one task; what meets is the tokens that half of the
+host's or layout's pages have, a number that the length of a page bounds.
+Reading pages is a narrow map before and after.
 
 Defined results: null or empty html has an empty text; a page without a host,
 or of a host with fewer than ``least_pages`` pages, has no template and is read
@@ -97,10 +103,11 @@ def _is_furniture(tag: str, attrs: dict[str, str], inside_article: bool) -> bool
     return "header" in words and not inside_article and not CONTENT_WORDS & set(words)
 
 
-def parse(page: str) -> tuple[list[Block], list[str]]:
-    """The text blocks of a page in order, and the paths of its elements (inline ones left out)."""
+def parse(page: str) -> tuple[list[Block], list[str], list[str]]:
+    """The text blocks of a page in order, the paths of its elements (inline ones left out), and of those outside articles."""
     blocks: list[Block] = []
     paths: list[str] = []
+    outside: list[str] = []
     # open elements: tag, path, rank, dropped, whether in a link
     stack: list[tuple[str, str, int, bool, bool]] = [("", "", PLAIN, False, False)]
     text: list[str] = []
@@ -149,10 +156,10 @@ def parse(page: str) -> tuple[list[Block], list[str]]:
                 kept = stack[-1]
                 cut((tag,), ("td", "th", "table", "object") if tag not in ("td", "th", "tr", "table") else ())
                 if text and kept[3] != stack[-1][3]:        # an inline element that was left out ends
-                    outside = stack[-1]
+                    around = stack[-1]
                     stack[-1] = kept
                     flush()
-                    stack[-1] = outside
+                    stack[-1] = around
             continue
         attrs = _attributes(m.group(3)) if m.group(3) else {}
         if tag not in INLINE:
@@ -171,6 +178,8 @@ def parse(page: str) -> tuple[list[Block], list[str]]:
         words = _WORD.findall(attrs.get("class", "") + " " + attrs.get("id", ""))
         path = f"{path}>{tag}" + "".join("." + w for w in words)
         paths.append(path)
+        if rank < ARTICLE:
+            outside.append(path)
         if tag in RAW:
             stop = re.compile(f"</{tag}[^>]*+>?", re.I).search(page, at)
             at = stop.end() if stop else end
@@ -181,7 +190,7 @@ def parse(page: str) -> tuple[list[Block], list[str]]:
             rank = MAIN
         stack.append((tag, path, rank, inner_drop, link))
     flush()
-    return blocks, paths
+    return blocks, paths, outside
 
 
 def _token(kind: str, path: str, text: str = "") -> int:
@@ -191,14 +200,18 @@ def _token(kind: str, path: str, text: str = "") -> int:
 def page_tokens(blocks: list[Block], paths: list[str]) -> dict[int, tuple[int, int]]:
     """Every template candidate of a page: how often it occurs, and its first place."""
     out: dict[int, tuple[int, int]] = {}
-    best = max((b.rank for b in blocks if not b.dropped), default=PLAIN)
-    for k, token in enumerate([*(_token("element", p) for p in paths),
-                               *(_token("text", b.path, b.text) for b in blocks if b.rank < ARTICLE or best < ARTICLE)]):
+    for k, token in enumerate([*(_token("element", p) for p in paths), *(_token("text", b.path, b.text) for b in blocks)]):
         n, first = out.get(token, (0, k))
         out[token] = (n + 1, first)
     return out
 
 
+def identity(blocks: list[Block], url: str) -> int:
+    """What a page shares with its copies: its article's longest block, or its URL if it has no article."""
+    own = max((b.text for b in blocks if b.rank == ARTICLE and not b.dropped), key=len, default=None)
+    return _token("page", url) if own is None else _token("article", "", own)
+
+
 def deduce(tokens: list[tuple[int, int, int, float]], least_tokens: int) -> list[int]:
     """The template among (token, vector, support, place): valid equivalence classes of enough tokens.
 
@@ -230,10 +243,9 @@ def main_text(blocks: list[Block], template: frozenset[int]) -> str:
     """The text of a page's article slots, one space between blocks."""
     kept = [b for b in blocks if not b.dropped]
     best = max((b.rank for b in kept), default=PLAIN)
-    slots = [b for b in kept if b.rank == best]
-    if best < ARTICLE:                                      # no article element: constant text is template
-        fresh = [b for b in slots if _token("text", b.path, b.text) not in template]
-        slots = [b for b in fresh if best == MAIN or 2 * b.linked <= len(b.text)]
+    slots = [b for b in kept if b.rank == best and not (template and _token("text", b.path, b.text) in template)]
+    if best == PLAIN:
+        slots = [b for b in slots if 2 * b.linked <= len(b.text)]
     return " ".join(b.text for b in slots)
 
 
@@ -249,32 +261,43 @@ def templates(pages: DataFrame, html_col: str = "html", least_pages: int = 3, le
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, tokens, counts, places, each = [], [], [], [], []
-            for host, page, row in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                for token, (n, first) in page_tokens(*parse(page or "")).items():
-                    hosts.append(host)
-                    tokens.append(token)
-                    counts.append(n)
-                    places.append(first)
-                    each.append(row)
+            hosts, layouts, tokens, counts, places, each = [], [], [], [], [], []
+            for host, page, url in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                blocks, paths, outside = parse(page or "")
+                own = identity(blocks, url)
+                layout = _token("layout", "\0".join(sorted(set(outside))))
+                found = page_tokens(blocks, paths)
+                for part in (0, layout):                    # 0: the whole host
+                    hosts += [host] * len(found)
+                    layouts += [part] * len(found)
+                    tokens += found
+                    counts += [n for n, _ in found.values()]
+                    places += [first for _, first in found.values()]
+                    each += [own] * len(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(tokens, pa.int64()), pa.array(counts, pa.int32()),
-                 pa.array(places, pa.int32()), pa.array(each, pa.int64())], names=["host", "token", "n", "place", "page"])
-
-    rows = pages.select(host_of(F.col("url")).alias("host"), F.col(html_col),
-                        F.xxhash64("page_id", "url", html_col).alias("page")).where("host IS NOT NULL")
-    tokens = rows.mapInArrow(read, "host string, token long, n int, place int, page long")
-    size = rows.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
-    vectors = (tokens.groupBy("host", "token")
+                [pa.array(hosts, pa.string()), pa.array(layouts, pa.int64()), pa.array(tokens, pa.int64()),
+                 pa.array(counts, pa.int32()), pa.array(places, pa.int32()), pa.array(each, pa.int64())],
+                names=["host", "layout", "token", "n", "place", "page"])
+
+    rows = pages.select(host_of(F.col("url")).alias("host"), F.col(html_col), "url").where("host IS NOT NULL")
+    tokens = rows.mapInArrow(read, "host string, layout long, token long, n int, place int, page long")
+    # Copies of a page count once; a page without any token is of no host or layout.
+    tokens = staged(tokens.groupBy("host", "layout", "token", "page")
+                    .agg(F.max("n").alias("n"), F.min("place").alias("place")), "tokens")
+    size = (tokens.groupBy("host", "layout", "page").agg(F.lit(1).alias("one"))
+            .groupBy("host", "layout").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages))
+    vectors = (tokens.groupBy("host", "layout", "token")
                .agg(F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("support"),
                     F.avg("place").alias("place")).where(F.col("support") >= least_pages))
-    frequent = vectors.join(size, "host").where(2 * F.col("support") >= F.col("pages")).drop("pages")
+    frequent = vectors.join(size, ["host", "layout"]).where(2 * F.col("support") >= F.col("pages")).drop("pages")
 
     def template(key: tuple, group: pa.Table) -> pa.Table:
         found = deduce(list(zip(*(group[c].to_pylist() for c in ("token", "vector", "support", "place")))), least_tokens)
         return pa.table({"host": pa.array([key[0].as_py()]), "template": pa.array([sorted(found)], pa.list_(pa.int64()))})
 
-    return staged(frequent.groupBy("host").applyInArrow(template, "host string, template array<long>"), "templates")
+    found = frequent.groupBy("host", "layout").applyInArrow(template, "host string, template array<long>")
+    every = found.groupBy("host").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("template")))).alias("template"))
+    return staged(every, "templates")
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: Sequence[str] | None = None,

@@ -93,3 +93,22 @@ def test_small_table(spark):
         blocks = (" ".join(html.unescape(b.replace("<b>", "").replace("</b>", "")).split())
                   for b in re.split(r"</?(?:p|br|h1)>", body))
         assert r["text"] == " ".join(b for b in blocks if b)
+
+
+def test_furniture_inside_the_article_goes(spark):
+    """Text that a host, or one of its layouts, has on all pages is template inside the article too."""
+    page = ("<html><body><nav>m</nav>{side}<article><h1>Title {k}</h1><div class=b7>Written by our staff</div>"
+            "<p>Body {k} tells what only this page tells</p>{box}<p>End {k}</p></article></body></html>")
+    rows = [(k, f"http://a.example/{k}", page.format(
+        k=k, side="<div class=map>x</div>" if k >= 16 else "",
+        box="<div class=q3><p>Read more on the map</p></div>" if k >= 16 else "")) for k in range(20)]
+    got = {r["page_id"]: r["text"] for r in
+           htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Title {k} Body {k} tells what only this page tells End {k}" for k in range(20)}
+
+
+def test_copies_of_an_article_are_no_template(spark):
+    page = "<article><h1>News</h1><p>The same long paragraph on every copy</p><p>Printed {}</p></article>"
+    rows = [(k, f"http://a.example/n?ref={k}", page.format(k)) for k in range(6)]
+    got = htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["text"] for r in got} == {f"News The same long paragraph on every copy Printed {k}" for k in range(6)}
