@@ -22,7 +22,7 @@ Reading pages is a narrow map before and after.
 Defined results: null or empty html has an empty text; a page without a host,
 or of a host with fewer than ``least_pages`` pages, has no template and is read
 by its elements alone; broken markup is read as browsers do in outline (open
-elements end with their parents); repeated rows each get their row; ``text``
+elements end with their parents); formulas (MathML) are text; repeated rows each get their row; ``text``
 and ``n_chars`` replace columns of their names.
 """
 
@@ -44,17 +44,25 @@ from docflow.llm.common import kept_fields, ready, small_side, staged
 
 # Element names by what they do, and words of class, id and role that mark page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea noscript iframe noembed noframes xmp title svg math".split())
+RAW = frozenset("script style textarea noscript iframe noembed noframes xmp title svg".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp "
-                   "small span strike strong sub sup time tt u var wbr".split())
+                   "small span strike strong sub sup time tt u var wbr math semantics mrow mi mn mo ms mtext mfrac "
+                   "msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mpadded mphantom menclose mstyle "
+                   "merror annotation annotation-xml".split())
 DROPPED = frozenset("head nav footer aside form button select dialog menu template object canvas audio video "
-                    "fieldset datalist".split()) | RAW
+                    "fieldset datalist annotation annotation-xml".split()) | RAW
 FURNITURE = frozenset(
     "ad ads adsense adslot banner sponsor sponsored promo promos promoted promotion cookie cookies consent gdpr notice "
     "notices notification alert popup modal overlay newsletter subscribe subscription signup sidebar menu nav navbar "
     "navigation breadcrumb breadcrumbs pagination pager footer masthead disqus reply replies respond share sharing "
     "social related recommended recommendations widget widgets toolbar login navigation contentinfo complementary "
     "search dialog".split())
+#: Those of them that decide inside an article where a host has no template to hold them against.
+STRONG = frozenset(
+    "ad ads adsense adslot advert adverts advertisement advertising banner sponsor sponsored promo promos promoted "
+    "promotion comment comments commentlist cookie cookies consent gdpr popup modal overlay newsletter subscribe "
+    "subscription signup sidebar nav navbar breadcrumb breadcrumbs pagination disqus share sharing social widget widgets login".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FURNITURE_STARTS = ("advert", "comment", "cookie", "sidebar")
 CONTENT_WORDS = frozenset("article content post entry story main".split())
 CLOSED_BY = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"),
@@ -81,6 +89,7 @@ class Block:
     rank: int
     dropped: bool
     linked: int = 0                                         # characters inside links
+    doubts: tuple[tuple[int, bool], ...] = ()               # elements around it in the article with furniture's words
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -88,6 +97,7 @@ def _attributes(source: str) -> dict[str, str]:
 
 
 def _is_furniture(tag: str, attrs: dict[str, str], inside_article: bool) -> bool:
+    """Whether an element is page furniture whatever the host's other pages have."""
     if tag in DROPPED or "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return True
     if tag == "header" and not inside_article:
@@ -97,19 +107,32 @@ def _is_furniture(tag: str, attrs: dict[str, str], inside_article: bool) -> bool
     style = attrs.get("style", "").replace(" ", "")
     if "display:none" in style or "visibility:hidden" in style:
         return True
+    if inside_article:
+        return False
     words = _WORD.findall(" ".join((attrs.get("class", ""), attrs.get("id", ""), attrs.get("role", ""))))
     if any(w in FURNITURE or w.startswith(FURNITURE_STARTS) for w in words):
         return True
-    return "header" in words and not inside_article and not CONTENT_WORDS & set(words)
+    return "header" in words and not CONTENT_WORDS & set(words)
+
+
+def _doubt(tag: str, attrs: dict[str, str]) -> tuple[bool, bool]:
+    """Whether an article's element may be furniture by its words, and whether they decide without a template.
+
+    A heading never is, and an id only as a whole.
+    """
+    if tag in HEADINGS or tag in ("html", "body", "main", "article"):
+        return False, False
+    words = _WORD.findall(attrs.get("class", "") + " " + attrs.get("role", "")) + [attrs.get("id", "").strip()]
+    return any(w in FURNITURE or w in STRONG for w in words), any(w in STRONG for w in words)
 
 
 def parse(page: str) -> tuple[list[Block], list[str], list[str]]:
-    """The text blocks of a page in order, the paths of its elements (inline ones left out), and of those outside articles."""
+    """The text blocks of a page in order, the paths of its elements (inline ones left out), and those outside articles."""
     blocks: list[Block] = []
     paths: list[str] = []
     outside: list[str] = []
-    # open elements: tag, path, rank, dropped, whether in a link
-    stack: list[tuple[str, str, int, bool, bool]] = [("", "", PLAIN, False, False)]
+    # open elements: tag, path, rank, dropped, whether in a link, doubts
+    stack: list[tuple[str, str, int, bool, bool, tuple]] = [("", "", PLAIN, False, False, ())]
     text: list[str] = []
     linked = 0
     at, end = 0, len(page)
@@ -119,8 +142,8 @@ def parse(page: str) -> tuple[list[Block], list[str], list[str]]:
         if text:
             joined = " ".join(entities.unescape("".join(text)).split())
             if joined:
-                _, path, rank, dropped, _ = stack[-1]
-                blocks.append(Block(joined, path, rank, dropped, linked))
+                _, path, rank, dropped, _, doubts = stack[-1]
+                blocks.append(Block(joined, path, rank, dropped, linked, doubts))
             text.clear()
         linked = 0
 
@@ -151,11 +174,11 @@ def parse(page: str) -> tuple[list[Block], list[str], list[str]]:
             if tag == "br":
                 continue
             if tag not in VOID and any(e[0] == tag for e in stack):
-                if tag in INLINE and stack[-1][3] and not text:
+                if tag in INLINE and (stack[-1][3] or stack[-1][5]) and not text:
                     flush()
                 kept = stack[-1]
                 cut((tag,), ("td", "th", "table", "object") if tag not in ("td", "th", "tr", "table") else ())
-                if text and kept[3] != stack[-1][3]:        # an inline element that was left out ends
+                if text and (kept[3], kept[5]) != (stack[-1][3], stack[-1][5]):  # an inline element that was left out ends
                     around = stack[-1]
                     stack[-1] = kept
                     flush()
@@ -166,18 +189,26 @@ def parse(page: str) -> tuple[list[Block], list[str], list[str]]:
             cut(("p",), (), inline_only=True)
             if tag in CLOSED_BY:
                 cut(SAME.get(tag, (tag,)), CLOSED_BY[tag])
-        _, path, rank, dropped, link = stack[-1]
+        _, path, rank, dropped, link, doubts = stack[-1]
         if tag in VOID:
             continue
         inner_drop = dropped or _is_furniture(tag, attrs, rank == ARTICLE)
-        if tag in INLINE:
+        doubtful, alone = _doubt(tag, attrs) if rank == ARTICLE and attrs and not inner_drop else (False, False)
+        if tag in INLINE and not doubtful:
             if inner_drop != dropped:
                 flush()
-            stack.append((tag, path, rank, inner_drop, link or tag == "a"))
+            stack.append((tag, path, rank, inner_drop, link or tag == "a", doubts))
             continue
         words = _WORD.findall(attrs.get("class", "") + " " + attrs.get("id", ""))
-        path = f"{path}>{tag}" + "".join("." + w for w in words)
-        paths.append(path)
+        own = f"{path}>{tag}" + "".join("." + w for w in words)
+        paths.append(own)
+        if doubtful:
+            doubts = (*doubts, (_token("element", own), alone))
+        if tag in INLINE:
+            flush()
+            stack.append((tag, path, rank, inner_drop, link or tag == "a", doubts))
+            continue
+        path = own
         if rank < ARTICLE:
             outside.append(path)
         if tag in RAW:
@@ -188,7 +219,7 @@ def parse(page: str) -> tuple[list[Block], list[str], list[str]]:
             rank = ARTICLE
         elif rank == PLAIN and (tag == "main" or attrs.get("role") == "main" or CONTENT_WORDS & set(words)):
             rank = MAIN
-        stack.append((tag, path, rank, inner_drop, link))
+        stack.append((tag, path, rank, inner_drop, link, doubts))
     flush()
     return blocks, paths, outside
 
@@ -240,8 +271,13 @@ def _nested(inner: list[float], outer: list[float]) -> bool:
 
 
 def main_text(blocks: list[Block], template: frozenset[int]) -> str:
-    """The text of a page's article slots, one space between blocks."""
-    kept = [b for b in blocks if not b.dropped]
+    """The text of a page's article slots, one space between blocks.
+
+    Inside an article, words of class, id and role make an element furniture
+    if it belongs to the template; without a template the plain ones do.
+    """
+    kept = [b for b in blocks if not b.dropped
+            and not any(token in template if template else alone for token, alone in b.doubts)]
     best = max((b.rank for b in kept), default=PLAIN)
     slots = [b for b in kept if b.rank == best and not (template and _token("text", b.path, b.text) in template)]
     if best == PLAIN:
@@ -296,8 +332,8 @@ def templates(pages: DataFrame, html_col: str = "html", least_pages: int = 3, le
         return pa.table({"host": pa.array([key[0].as_py()]), "template": pa.array([sorted(found)], pa.list_(pa.int64()))})
 
     found = frequent.groupBy("host", "layout").applyInArrow(template, "host string, template array<long>")
-    every = found.groupBy("host").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("template")))).alias("template"))
-    return staged(every, "templates")
+    every = F.array_sort(F.array_distinct(F.flatten(F.collect_list("template"))))
+    return staged(found.groupBy("host").agg(every.alias("template")), "templates")
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: Sequence[str] | None = None,

@@ -112,3 +112,24 @@ def test_copies_of_an_article_are_no_template(spark):
     rows = [(k, f"http://a.example/n?ref={k}", page.format(k)) for k in range(6)]
     got = htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r["text"] for r in got} == {f"News The same long paragraph on every copy Printed {k}" for k in range(6)}
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><h2 id='related-work'>Related work</h2><h2 class='search'>Search</h2></article>", "Related work Search"),
+    ("<article><section id='search-algorithms'>a</section><section id='menu-design'>b</section></article>", "a b"),
+    ("<article><h2 id='cookie-recipe'>c</h2><div class='commentary'>d</div><div class='footer-note reply'>e</div></article>",
+     "c d e"),
+    ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</article>", "so x=2 holds"),
+    ("<div class='footer-note reply'>no</div><div id='search-box'>no</div><article>f</article>", "f")])
+def test_words_are_candidates_inside_an_article(page, text):
+    assert text_of(page) == text
+
+
+def test_candidates_go_where_the_host_has_them(spark):
+    page = ("<body><nav>m</nav><article><h1>Title {0}</h1><p>Body {0} of this page</p><span class=reply>Answer {0}</span>"
+            "<div class=notice><b>Read</b> {0} of 20</div>{1}</article></body>")
+    rows = [(k, f"http://a.example/{k}", page.format(k, "<div class='alert'>An alert</div>" if k == 3 else ""))
+            for k in range(8)]
+    got = {r["page_id"]: r["text"] for r in
+           htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Title {k} Body {k} of this page" + " An alert" * (k == 3) for k in range(8)}
