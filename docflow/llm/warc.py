@@ -14,7 +14,8 @@ every round, and all candidates of a file never meet in one task.
 
 Defined results: a null payload is an empty one; a null id is smaller than any
 other; equal ids with equal payloads are all stored; line breaks in a URL are
-percent-encoded in its header; an empty table gives an empty archive.
+percent-encoded in its header; headers may have any length; an empty table gives
+an empty archive; a file whose chain ends before its last byte is an error.
 """
 
 from __future__ import annotations
@@ -29,8 +30,6 @@ from docflow.session import hadoop_fs
 MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
-#: Longest header that a candidate may have; text after it is no header.
-HEADER_BYTES = 65536
 
 
 def _payloads(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> DataFrame:
@@ -112,11 +111,12 @@ def _number(name: str) -> Column:
 
 def _candidates(segments: DataFrame) -> DataFrame:
     """Every segment with what its header says; ``sha1`` of the payload where it holds its whole record."""
-    start = F.substring("segment", 1, HEADER_BYTES).cast("string")
+    start = F.col("segment").cast("string")
     cut = F.instr(start, END)
     rows = (segments.withColumn("head", F.when(cut > 0, F.substring(start, F.lit(1), cut - 1)))
             .withColumn("head_bytes", F.octet_length("head").cast("long")))
     rows = rows.withColumn("content", F.when(_number("Content-Length") >= 0, _number("Content-Length")))
+    rows = rows.withColumn("head", F.when(F.col("content").isNotNull(), F.col("head")))    # else it is no header
     whole = F.col("head_bytes") + 2 * len(END) + F.col("content") == F.col("length")
     body = F.expr(f"substring(segment, CAST(head_bytes AS INT) + {len(END) + 1}, CAST(content AS INT))")
     return (rows.withColumn("whole", F.coalesce(whole, F.lit(False)))
@@ -159,8 +159,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     found = staged(_placed(_candidates(_segments(spark, path)).drop("segment"), *heads).where("offset >= 0"),
                    "candidates")
     begin = F.col("offset") + len(MAGIC) + F.col("head_bytes") + len(END)
-    on = reached(found.select("file", "offset", (begin + F.col("content") + len(END)).alias("next")))
+    behind = begin + F.col("content") + len(END)
+    on = reached(found.select("file", "offset", behind.alias("next")))
     records = staged(found.join(on, ["file", "offset"]), "records")
+    ends = found.groupBy("file").agg(F.max(F.col("offset") + len(MAGIC) + F.col("length")).alias("end"))
+    last = records.groupBy("file").agg(F.max(behind).alias("reached"))
+    broken = ends.join(last, "file", "left").where(~F.col("reached").eqNullSafe(F.col("end"))).first()
+    if broken is not None:
+        raise ValueError(f"{broken.file}: records end at byte {broken.reached} of {broken.end}")
     parted = records.where("NOT whole AND content IS NOT NULL").select("file", "offset", "head_bytes", "content")
     if not parted.isEmpty():
         records = (records.join(_joined(spark, path, found, on, parted), ["file", "offset"], "left")

@@ -1,4 +1,5 @@
 import hashlib
+from pathlib import Path
 
 import pytest
 
@@ -82,3 +83,20 @@ def test_small_table(spark, out):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "url", "html")
     rows = [tuple(r) for r in pages.collect()]
     assert round_trip(spark, f"{out}/w", rows) == expected(rows)
+
+
+def test_headers_of_any_length(spark, out):
+    rows = [(1, "u", "first"), (2, "data:text/html," + "x" * 70_000, "long url"), (3, "é" * 300_000, "q" * 2000), (4, "u", "last")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(pages, f"{out}/w")
+    got = warc.read_warc(spark, f"{out}/w").select("page_id", "url", "payload_bytes").collect()
+    assert sorted(map(tuple, got)) == [(i, u, len(t)) for i, u, t in rows]
+
+
+def test_a_chain_that_breaks_is_an_error(spark, out):
+    record = f"{MAGIC}WARC-Type: response\r\nX-Page-ID: {{}}\r\nContent-Length: {{}}\r\n\r\nhello\r\n\r\n"
+    (Path(out) / "w").mkdir()
+    text = "".join(record.format(k, n) for k, n in ((1, 5), (2, 6), (3, 5)))
+    (Path(out) / "w" / "part-0.txt").write_bytes(text.encode())
+    with pytest.raises(ValueError, match="records end at byte"):
+        warc.read_warc(spark, f"{out}/w")
