@@ -14,7 +14,8 @@ larger benchmark is another pass over the documents for each block, never a
 shuffle of the documents' positions. Hits alone are grouped.
 
 Defined results: null or empty texts and items without tokens match nothing;
-an item shorter than the masks is searched as its whole token sequence;
+short items have lighter masks of their own, and an item of fewer than five tokens,
+which may have no substitution, is searched as its whole token sequence;
 rows with equal doc_id and text count as one document, and equal item ids with
 different texts are different items of one id; null ids are kept.
 """
@@ -31,6 +32,11 @@ from docflow.llm.common import staged
 
 #: The masks (1: the token counts, 0: ignored). Span 8 and 7, weight 5 each.
 MASKS = ("11010011", "1100111")
+#: With these, a seed hits under every pattern of substitutions that a window of 16 tokens and a share of 0.8 allow
+#: (by enumeration in the tests): one mask for all items, and lighter ones for items of so many tokens.
+MORE_MASKS = ("1111000101",)
+SHORT_MASKS = {5: ("111", "1101"), 6: ("1111", "11011"), 7: ("11111", "111101"), 8: ("11111",), 10: ("11111",)}
+ALL_MASKS = (*MASKS, *MORE_MASKS)
 
 
 def tokens(text: Column) -> Column:
@@ -44,26 +50,27 @@ def _seed(hashes: Column, at: Column, mask: str) -> Column:
     return F.xxhash64(F.lit(mask), *chosen)
 
 
-def _seeded(rows: DataFrame, masks: list[str], whole: bool = False) -> DataFrame:
+def _seeded(rows: DataFrame, masks: list[str], only: dict[str, set[int]] | None = None) -> DataFrame:
     """``rows`` with (at, seed): a seed for every position and mask that fits there.
 
-    With ``whole``, a mask without gaps only takes rows of just its length.
+    A mask in ``only`` takes rows of its lengths.
     """
     last = F.size("h") - min(map(len, masks))
     at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    fits = [F.size("h") == len(m) if whole and "0" not in m else F.size("h") - F.col("at") >= len(m) for m in masks]
+    fits = [(F.size("h") - F.col("at") >= len(m)) & (F.size("h").isin(*only[m]) if only and m in only else F.lit(True))
+            for m in masks]
     seeds = F.array(*(F.when(f, _seed(F.col("h"), F.col("at"), m)) for f, m in zip(fits, masks)))
     return (rows.withColumn("at", F.explode(at)).withColumn("seed", F.explode(seeds))
             .where("seed IS NOT NULL"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, window: int = 16,
+def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = ALL_MASKS, window: int = 16,
                  share: float = 0.8, block_seeds: int = 2_000_000) -> DataFrame:
     """(doc_id, item_id, item_tokens, matched, best_window, first_token) of every contaminated document."""
     return overlaps(docs, benchmark, masks, window, share, block_seeds).drop("text_hash")
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, window: int = 16,
+def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = ALL_MASKS, window: int = 16,
              share: float = 0.8, block_seeds: int = 2_000_000) -> DataFrame:
     """``contaminated`` with the ``text_hash`` of the document's text besides.
 
@@ -73,10 +80,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
     """
     items = benchmark.select("item_id", F.transform(tokens(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
     items = items.where(F.size("h") > 0).distinct().withColumn("item", F.xxhash64("item_id", "h"))
-    # Items too short for any mask: their lengths (fewer than a mask's span of them) become masks without gaps.
-    short = items.select(F.size("h").alias("n")).where(F.col("n") < min(map(len, masks))).distinct()
-    every = [*masks, *("1" * r.n for r in short.orderBy("n").collect())]
-    seeds = staged(_seeded(items, every, whole=True).select("item", F.col("at").alias("item_at"), "seed"), "seeds")
+    # Lengths with masks of their own; of other items too short for any mask, the length is a mask without gaps.
+    short = items.select(F.size("h").alias("n")).where(F.col("n") <= max(*SHORT_MASKS, *map(len, masks))).distinct()
+    only: dict[str, set[int]] = {}
+    for n in sorted(r.n for r in short.collect()):
+        for mask in SHORT_MASKS.get(n, ("1" * n,) if n < min(map(len, masks)) else ()):
+            only.setdefault(mask, set()).add(n)
+    every = [*masks, *only]
+    seeds = staged(_seeded(items, every, only).select("item", F.col("at").alias("item_at"), "seed"), "seeds")
     blocks = max(1, math.ceil(seeds.count() / block_seeds))
     sides = items.select("item", "item_id", F.col("h").alias("want"))
 

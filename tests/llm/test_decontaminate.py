@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 
 import pytest
@@ -74,3 +76,27 @@ def test_small_table(spark):
     got = pairs(run(spark, some, items))
     flat = lambda t: " ".join(t.lower().replace(".", " ").replace(",", " ").split())
     assert got == {(d, i) for d, t in some for i, s in items if flat(s) in flat(t)}
+
+
+def substitutions(n):
+    """All sets of places that may differ in a window of ``n`` tokens."""
+    return itertools.combinations(range(n), n - math.ceil(0.8 * n))
+
+
+@pytest.mark.parametrize("n", range(5, 17))
+def test_a_seed_hits_under_every_pattern_of_substitutions(n):
+    masks = [m for m in (*decontaminate.ALL_MASKS, *decontaminate.SHORT_MASKS.get(n, ())) if len(m) <= n]
+    places = [{i + k for k, c in enumerate(m) if c == "1"} for m in masks for i in range(n - len(m) + 1)]
+    assert all(any(not p & set(gone) for p in places) for gone in substitutions(n))
+
+
+def test_every_pattern_is_found(spark):
+    items, docs = [], []
+    for n in (4, 5, 6, 7, 8, 10, 11, 15, 16, 30):
+        words = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        width = min(n, 16)
+        for gone in list(substitutions(width))[::7 if n > 14 else 1] + [(5, 7, 9), (6, 7, 9), (6, 8, 10)]:
+            body = [f"x{k}" if k in gone or k >= width else w for k, w in enumerate(words)]
+            docs.append((len(docs), "before " + " ".join(body)))
+    assert pairs(run(spark, docs, items)) == contaminated(docs, items)
