@@ -155,6 +155,59 @@ def _pii(rule: Disclosure = Disclosure()) -> str:
         FROM docs LEFT JOIN base USING (r) LEFT JOIN extra USING (r)"""
 
 
+def _levels(nodes: str, name: str, levels: int) -> str:
+    """CTEs of the levels ``name``_0 .. (tree, idx, n, digest) above ``nodes`` and of their runs (tree, idx, n, children)."""
+    out = [f"{name}_0 AS MATERIALIZED (SELECT tree, idx, digest, count(*) OVER (PARTITION BY tree) AS n FROM {nodes})"]
+    for k in range(levels):
+        out.append(f"{name}_r{k} AS MATERIALIZED (SELECT tree, idx // 16 AS idx, n, list(digest ORDER BY idx) AS children "
+                   f"FROM {name}_{k} GROUP BY tree, n, idx // 16)")
+        out.append(f"{name}_{k + 1} AS MATERIALIZED (SELECT tree, idx, (n + 15) // 16 AS n, "
+                   f"CASE WHEN n > 1 THEN sha256(array_to_string(children, '')) ELSE children[1] END AS digest FROM {name}_r{k})")
+    return ", ".join(out)
+
+
+def _climb(name: str, start: str, levels: int) -> str:
+    """CTEs that take the rows of ``start`` (tree, idx, now, proof, ...) up the tree, level by level, to ``name``_up."""
+    out, before = [], start
+    for k in range(levels):
+        left = "array_to_string(r.children[1:(s.idx % 16)], '')"
+        right = "array_to_string(r.children[(s.idx % 16 + 2):], '')"
+        after = f"{name}_up" if k == levels - 1 else f"{name}_up{k}"
+        out.append(f"{after} AS MATERIALIZED (SELECT s.* REPLACE (s.idx // 16 AS idx, "
+                   f"CASE WHEN r.n > 1 THEN s.proof || {left} || {right} ELSE s.proof END AS proof, "
+                   f"CASE WHEN r.n > 1 THEN sha256({left} || s.now || {right}) ELSE s.now END AS now) "
+                   f"FROM {before} s JOIN {name}_r{k} r ON r.tree IS NOT DISTINCT FROM s.tree AND r.idx = s.idx // 16)")
+        before = after
+    return ", ".join(out)
+
+
+def _merkle(leaf_levels: int = 6, group_levels: int = 3) -> str:
+    """The trees built and climbed level by level: up to 16^6 rows a source and 16^3 sources."""
+    def leaf(text: str) -> str:
+        part = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+        return f"sha256({' || '.join(part(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, (v & 1) * 3988292384))"
+    crc = (f"xor(list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), "
+           f"lambda c, b: {bits}), 4294967295)")
+    return f"""
+        WITH docs AS MATERIALIZED (SELECT doc_id, source, {leaf('text')} AS leaf,
+                     CASE WHEN {crc} % 5 = 0 THEN {leaf(lowered)} ELSE {leaf('text')} END AS changed FROM documents),
+        leaves AS MATERIALIZED (SELECT doc_id, source AS tree, leaf AS digest, changed AS now, '' AS proof,
+                       row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM docs),
+        {_levels('leaves', 'a', leaf_levels)},
+        {_climb('a', 'leaves', leaf_levels)},
+        groups AS MATERIALIZED (SELECT tree AS grp, 0 AS tree, digest, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS idx
+                   FROM a_{leaf_levels}),
+        {_levels('groups', 'b', group_levels)},
+        inside AS MATERIALIZED (SELECT u.doc_id, u.digest AS leaf, g.digest AS subroot, g.tree, g.idx, u.now, u.proof
+                   FROM a_up u JOIN groups g ON g.grp IS NOT DISTINCT FROM u.tree),
+        {_climb('b', 'inside', group_levels)}
+        SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, now AS folded_root,
+               now = t.digest AS verified FROM b_up, b_{group_levels} t"""
+
+
 SQL: dict[str, str] = {
     "op1_warc_boundary_chain": """
         WITH rows AS (
@@ -174,4 +227,11 @@ SQL: dict[str, str] = {
     "op5_pii_disclosure": _pii(),
     "op8_ngram_jaccard_join": _jaccard(),
     "op9_spaced_seed_decontamination": _decontaminate(),
+    "op12_merkle_descent": _merkle(),
+    "op13_digest_run_merge": """
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+               count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+               row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+               sha256(coalesce(text, '')) AS text_sha256
+        FROM documents""",
 }

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, decontaminate, fertility, htmltext, jaccard, langid, licences, pii, toxicity, warc
+from docflow.llm import (bpe, decontaminate, exactdedup, fertility, htmltext, jaccard, langid, licences, merkle, pii, toxicity,
+                         warc, whitening)
 from docflow.llm.common import id_bucket
 from docflow.session import shared_dir, table
 
@@ -95,6 +96,33 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(bpe.encode(docs, WORD_BPE, keep=["doc_id"], decoded=True))
 
 
+def op11_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 16 leading components, whitened."""
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"), wanted=16)
+    # decimal(38,0) in the operator; null where the sum is beyond a long
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op12_merkle_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in the manifest of the table, folded with a tampered leaf for a fifth of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tampered = merkle.leaf_digest(["doc_id", "source", "lang", "n_chars", F.translate("text", upper, lower)])
+    leaves = docs.select("doc_id", "source", merkle.leaf_digest(merkle.FIELDS).alias("leaf"),
+                         F.when(id_bucket("doc_id", 5) == 0, tampered).alias("tampered"))
+    manifest = merkle.build(leaves)
+    start = F.coalesce("row.tampered", "leaf")
+    proofs = merkle.prove(manifest).select(
+        F.col("row.doc_id").alias("doc_id"), "leaf", "subroot", F.lit(manifest.root).alias("root"),
+        merkle.proof_digest().alias("proof_sha256"), merkle.folded(start).alias("folded_root"))
+    return proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_digest_run_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one of its equal texts that stays."""
+    return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_boundary_chain": op1_warc_boundary_chain,
     "op2_licence_sentence_rules": op2_licence_sentence_rules,
@@ -106,4 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_spaced_seed_decontamination": op9_spaced_seed_decontamination,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "op11_feast_whitening": op11_feast_whitening,
+    "op12_merkle_descent": op12_merkle_descent,
+    "op13_digest_run_merge": op13_digest_run_merge,
 }
