@@ -5,8 +5,9 @@ ascend by id; every 16 consecutive digests become the digest of their
 concatenation until one remains, the group's root. The groups' roots, ordered
 by group, make the table's root alike.
 
-The graph is stored as records digest -> children, each once, whatever place
-it has in the tree. A proof is found by descending it: the address of a leaf
+The graph is stored as records digest -> children (their digests in one binary),
+each once, whatever place it has in the tree. Digests are binary here and
+lower-case hex text where they are hashed again or given out. A proof is found by descending it: the address of a leaf
 is the digits (base 16) of its group's rank and of its own rank in the group;
 every digit chooses one child, and the children not chosen are the siblings.
 Requests that share leading digits go down as one until they part, so no
@@ -43,8 +44,8 @@ from pyspark.sql import functions as F
 from docflow.llm.common import staged
 from docflow.operators.numbering import ordinal_within
 
-#: Children of a node, and the bits of a rank that one digit stands for.
-WIDTH, BITS = 16, 4
+#: Children of a node, the bits of a rank that one digit stands for, and the bytes of a digest.
+WIDTH, BITS, BYTES = 16, 4, 32
 
 #: Bits of a rank that are cut off where rows meet their group's description: 256 rows a key.
 CHUNK_BITS = 8
@@ -63,10 +64,20 @@ def leaf_digest(columns: Sequence[str | Column]) -> Column:
     return F.sha2(F.concat(*[field_bytes(c) for c in columns]).cast("binary"), 256)
 
 
+def text_of(digest: str | Column) -> Column:
+    """A binary digest (or several joined) as lower-case hex text."""
+    return F.lower(F.hex(digest))
+
+
+def _hash(digests: Column) -> Column:
+    """The digest of joined digests, as they are when written as text."""
+    return F.unhex(F.sha2(text_of(digests).cast("binary"), 256))
+
+
 @dataclass
 class Manifest:
-    """``records`` (digest, children), ``groups`` (grp, address, subroot, n), ``leaves``
-    (grp, address, leaf, subroot, and the given columns as ``row``), and the root (None: no rows)."""
+    """``records`` (digest, children), ``groups`` (grp, address, subroot, n), ``leaves`` (grp, address, leaf,
+    subroot, and the columns carried as ``row``), all digests binary, and the root as hex text (None: no rows)."""
 
     records: DataFrame
     groups: DataFrame
@@ -78,11 +89,12 @@ def _roots(nodes: DataFrame, records: list[DataFrame]) -> DataFrame:
     """The root (tree, digest) of every tree of ``nodes`` (tree, idx, digest); inner nodes go to ``records``."""
     roots = []
     while True:
-        runs = nodes.groupBy("tree", F.shiftright("idx", BITS).alias("idx")).agg(
-            F.sort_array(F.collect_list(F.struct(F.col("idx").alias("i"), "digest"))).getField("digest").alias("children"))
-        runs = staged(runs.withColumn("digest", F.sha2(F.array_join("children", "").cast("binary"), 256)), "merkle-level")
-        alone = (F.col("idx") == 0) & (F.size("children") == 1)          # the only node of its tree
-        roots.append(runs.where(alone).select("tree", F.element_at("children", 1).alias("digest")))
+        in_order = F.sort_array(F.collect_list(F.struct(F.col("idx").alias("i"), "digest")))
+        joined = F.array_join(F.transform(in_order, lambda n: F.hex(n["digest"])), "")
+        runs = nodes.groupBy("tree", F.shiftright("idx", BITS).alias("idx")).agg(F.unhex(joined).alias("children"))
+        runs = staged(runs.withColumn("digest", _hash(F.col("children"))), "merkle-level")
+        alone = (F.col("idx") == 0) & (F.octet_length("children") == BYTES)      # the only node of its tree
+        roots.append(runs.where(alone).select("tree", F.col("children").alias("digest")))
         nodes = runs.where(~alone)
         if nodes.isEmpty():
             return reduce(DataFrame.unionByName, roots)
@@ -106,10 +118,13 @@ def _chunks(groups: DataFrame) -> DataFrame:
 
 
 def build(leaves: DataFrame, *, group_col: str = "source", id_col: str = "doc_id", leaf_col: str = "leaf") -> Manifest:
-    """The manifest of ``leaves``, one row each with its group, id and digest; the other columns are carried as ``row``."""
+    """The manifest of ``leaves``, one row each with its group, id and digest (hex text).
+
+    The id and the other columns are carried as ``row``.
+    """
     given = leaves.select(F.col(group_col).alias("grp"),
-                          F.struct(F.col(id_col).alias("id"), F.col(leaf_col).alias("leaf")).alias("place"),
-                          F.struct(*leaves.columns).alias("row"))
+                          F.struct(F.col(id_col).alias("id"), F.unhex(leaf_col).alias("leaf")).alias("place"),
+                          F.struct(*[c for c in leaves.columns if c not in (group_col, leaf_col)]).alias("row"))
     ranked = ordinal_within(given, ["grp"], "place", "rank")
     ranked = staged(ranked.select("grp", (F.col("rank") - 1).cast("long").alias("rank"),
                                   F.col("place.leaf").alias("leaf"), "row"), "merkle-ranked")
@@ -126,15 +141,19 @@ def build(leaves: DataFrame, *, group_col: str = "source", id_col: str = "doc_id
     here = ranked.withColumn("at", F.shiftright("rank", CHUNK_BITS)).join(
         _chunks(groups), F.col("grp").eqNullSafe(F.col("their_grp")) & (F.col("at") == F.col("chunk")))
     addressed = here.select("grp", F.concat("above", _digits("rank", "n")).alias("address"), "leaf", "subroot", "row")
-    none = leaves.sparkSession.createDataFrame([], "digest string, children array<string>")
+    none = leaves.sparkSession.createDataFrame([], "digest binary, children binary")
     stored = reduce(DataFrame.unionByName, records, none).dropDuplicates(["digest"])
-    return Manifest(staged(stored, "merkle-records"), groups, staged(addressed, "merkle-leaves"), top[0] if top else None)
+    return Manifest(staged(stored, "merkle-records"), groups, staged(addressed, "merkle-leaves"), bytes(top[0]).hex() if top else None)
+
+
+def _child(children: str, own: Column) -> Column:
+    return F.col(children).substr(own * BYTES + 1, F.lit(BYTES))
 
 
 def _siblings(children: str, own: Column) -> Column:
     """The digests before and behind the child ``own`` (from 0), joined."""
-    return F.struct(F.array_join(F.slice(children, F.lit(1), own), "").alias("before"),
-                    F.array_join(F.slice(children, own + 2, F.lit(WIDTH)), "").alias("after"))
+    return F.struct(F.col(children).substr(F.lit(1), own * BYTES).alias("before"),
+                    F.col(children).substr((own + 1) * BYTES + 1, F.lit(WIDTH * BYTES)).alias("after"))
 
 
 def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
@@ -148,10 +167,10 @@ def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
         lengths = F.explode(F.sequence(F.lit(0), F.length("address")))
         prefixes = staged(asked.select("address", lengths.alias("k")).select(
             F.expr("left(address, k)").alias("wanted")).distinct(), "merkle-wanted")
-    empty = F.array().cast("array<struct<before:string,after:string>>")
+    empty = F.array().cast("array<struct<before:binary,after:binary>>")
     found = [asked.where("address = ''").withColumn("path", empty)]
     deepest = asked.agg(F.max(F.length("address"))).first()[0] or 0
-    nodes = manifest.records.where(F.col("digest") == F.lit(manifest.root)).select(
+    nodes = manifest.records.where(F.col("digest") == F.unhex(F.lit(manifest.root))).select(
         F.lit("").alias("prefix"), "children", empty.alias("down"))
     for depth in range(deepest):
         nodes = staged(nodes, "merkle-descent")
@@ -159,8 +178,10 @@ def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
         here = asked.where(F.length("address") == depth + 1).join(nodes, F.expr(f"left(address, {depth})") == F.col("prefix"))
         path = F.reverse(F.concat("down", F.array(_siblings("children", own))))
         found.append(here.select(*asked.columns, path.alias("path")))
-        step = nodes.select("*", F.posexplode("children").alias("digit", "child")).select(
-            F.concat("prefix", F.lower(F.hex(F.col("digit").cast("long")))).alias("prefix"), "child",
+        digits = F.sequence(F.lit(0), (F.octet_length("children") / BYTES).cast("int") - 1)
+        step = nodes.select("*", F.explode(digits).alias("digit")).select(
+            F.concat("prefix", F.lower(F.hex(F.col("digit").cast("long")))).alias("prefix"),
+            _child("children", F.col("digit")).alias("child"),
             F.concat("down", F.array(_siblings("children", F.col("digit")))).alias("down"))
         if prefixes is not None:
             step = step.join(prefixes, F.col("prefix") == F.col("wanted"), "left_semi")
@@ -168,12 +189,13 @@ def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def folded(leaf: str | Column, path: str = "path") -> Column:
-    """The root that follows from a leaf digest and its path."""
-    start = F.col(leaf) if isinstance(leaf, str) else leaf
-    return F.aggregate(path, start, lambda at, s: F.sha2(F.concat(s["before"], at, s["after"]).cast("binary"), 256))
+def folded(leaf: Column, path: str = "path") -> Column:
+    """The root that follows from a leaf digest (hex text) and its path."""
+    return F.aggregate(path, leaf, lambda at, s: F.sha2(
+        F.concat(text_of(s["before"]), at, text_of(s["after"])).cast("binary"), 256))
 
 
 def proof_digest(path: str = "path") -> Column:
     """The digest of all siblings, level by level from the leaf to the root, each level from left to right."""
-    return F.sha2(F.array_join(F.transform(path, lambda s: F.concat(s["before"], s["after"])), "").cast("binary"), 256)
+    siblings = F.transform(path, lambda s: text_of(F.concat(s["before"], s["after"])))
+    return F.sha2(F.array_join(siblings, "").cast("binary"), 256)

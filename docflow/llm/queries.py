@@ -109,12 +109,12 @@ def op12_merkle_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     tampered = merkle.leaf_digest(["doc_id", "source", "lang", "n_chars", F.translate("text", upper, lower)])
     leaves = docs.select("doc_id", "source", merkle.leaf_digest(merkle.FIELDS).alias("leaf"),
-                         F.when(id_bucket("doc_id", 5) == 0, tampered).alias("tampered"))
+                         F.when(id_bucket("doc_id", 5) == 0, F.unhex(tampered)).alias("tampered"))
     manifest = merkle.build(leaves)
-    start = F.coalesce("row.tampered", "leaf")
+    start = merkle.text_of(F.coalesce("row.tampered", "leaf"))
     proofs = merkle.prove(manifest).select(
-        F.col("row.doc_id").alias("doc_id"), "leaf", "subroot", F.lit(manifest.root).alias("root"),
-        merkle.proof_digest().alias("proof_sha256"), merkle.folded(start).alias("folded_root"))
+        F.col("row.doc_id").alias("doc_id"), merkle.text_of("leaf").alias("leaf"), merkle.text_of("subroot").alias("subroot"),
+        F.lit(manifest.root).alias("root"), merkle.proof_digest().alias("proof_sha256"), merkle.folded(start).alias("folded_root"))
     return proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 

@@ -95,7 +95,7 @@ def test_some_requests_descend_alone(spark):
                                     F.sha2(F.col("id").cast("string"), 256).alias("leaf"))
     manifest = merkle.build(docs)
     asked = manifest.leaves.where("row.doc_id IN (0, 40, 41, 4999)")
-    proofs = merkle.prove(manifest, asked).withColumn("root", merkle.folded("leaf"))
+    proofs = merkle.prove(manifest, asked).withColumn("root", merkle.folded(merkle.text_of("leaf")))
     assert {r["root"] for r in proofs.collect()} == {manifest.root} and proofs.count() == 4
     assert manifest.records.count() == manifest.records.select("digest").distinct().count()
     wrong = proofs.withColumn("root", merkle.folded(F.sha2(F.lit("other"), 256)))
