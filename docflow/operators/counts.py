@@ -37,7 +37,8 @@ class Mark:
         return own if dtype in (None, self.type) else own.cast(dtype)
 
 
-def _text(col: Column, dtype: str) -> Column:
+def mark_text(col: Column, dtype: str) -> Column:
+    """What a mark holds of a value of type ``dtype``."""
     return (F.unix_micros(col) if dtype == "timestamp" else col).cast("string")
 
 
@@ -46,7 +47,7 @@ def newest_mark(df: DataFrame | None, ts_col: str) -> Mark | None:
     if df is None:
         return None
     dtype = dict(df.dtypes)[ts_col]
-    text = df.agg(_text(F.max(ts_col), dtype)).first()[0]
+    text = df.agg(mark_text(F.max(ts_col), dtype)).first()[0]
     return None if text is None else Mark(dtype, text)
 
 

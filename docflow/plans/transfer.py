@@ -16,16 +16,16 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from docflow.functions.keys import with_natural_key
 from docflow.functions.predicates import all_of
-from docflow.operators.counts import Mark, count_new, later, new_rows_filter, newest_mark
+from docflow.operators.counts import Mark, count_new, later, mark_text, new_rows_filter
 from docflow.operators.latest import latest_per_key
 from docflow.session import hadoop_fs, shared_dir
-from docflow.sinks.collection import (BUCKET_COL, DEFAULT_BUCKETS, collection_exists, compact, read_bucketed, upsert_path)
+from docflow.sinks.collection import (DEFAULT_BUCKETS, compact, read_bucketed, stored_count, stored_newest, upsert_path)
 from docflow.sources.collection import read_collection
 
 TAG_COL = "_xfer_id"
@@ -40,6 +40,7 @@ REPORT_SCHEMA = StructType([
     StructField("before", LongType()),
     StructField("after", LongType()),
     StructField("elapsed_ms", LongType()),
+    StructField("lost", LongType()),
 ])
 
 
@@ -51,6 +52,8 @@ class TransferResult:
     before: int
     after: int
     elapsed_ms: int
+    lost: int = 0
+    """Rows that the run wrote and that are not there when it counts them (0 unless files are lost)."""
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         """The run report as a one-row DataFrame."""
@@ -72,7 +75,7 @@ def transfer_delta(source: DataFrame, *, ts_col: str, newest_ts=None, as_of=None
                    new_only: bool = True, where: str | Column | None = None,
                    key: str = "id", key_fields: Sequence[str] = (),
                    tiebreak: Sequence[str] = (), run_id: str,
-                   tag_col: str = TAG_COL, dedupe: bool = True) -> DataFrame:
+                   tag_col: str = TAG_COL, dedupe: bool = True, observed: Observation | None = None) -> DataFrame:
     """The rows one run writes, keyed and tagged (lazy; nothing is read yet).
 
     With ``new_only`` the rows are ``newest_ts < ts <= as_of``; without it,
@@ -81,13 +84,18 @@ def transfer_delta(source: DataFrame, *, ts_col: str, newest_ts=None, as_of=None
     keep the newest by ``ts_col`` then ``tiebreak``, as the last write of a
     key wins at the destination. ``dedupe=False`` skips that aggregation
     when the keys are known to be unique (e.g. a full copy of a keyed
-    collection), saving a shuffle of the delta.
+    collection), saving a shuffle of the delta. ``observed`` takes ``found``,
+    ``nulls`` (rows without a key) and ``newest`` (text of the newest
+    timestamp) over the rows before those of one key are merged.
     """
     dtype = dict(source.dtypes)[ts_col]
     window = new_rows_filter(ts_col, newest_ts, as_of, dtype) if new_only else None
     df = source.filter(all_of(where, window))
     if key_fields:
         df = with_natural_key(df, key_fields, key)
+    if observed is not None:
+        df = df.observe(observed, F.count(F.lit(1)).alias("found"), F.count_if(F.col(key).isNull()).alias("nulls"),
+                        mark_text(F.max(ts_col), dtype).alias("newest"))
     if dedupe or key_fields:
         df = latest_per_key(df, [key], [ts_col, *tiebreak])
     return tag_rows(df, run_id, tag_col)
@@ -180,7 +188,9 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
     every write step sees the same rows even if the source grows meanwhile or
     an executor is lost; it is removed after the run. Rows without a key are
     an error before anything is written. With nothing new, nothing is written
-    (found = written = 0). Files at rest are sized by bytes; ``batch_size``
+    (found = written = 0). ``found`` is observed on the rows read while they
+    are staged, ``written`` counted in the stored files afterwards, and
+    ``lost`` is what should be there and is not. Files at rest are sized by bytes; ``batch_size``
     also caps their rows (K2). A run log (``_xfer_log``) makes a failed run
     restartable: see :func:`resume_watermark`. ``splits`` asks for at least so
     many scan tasks (by smaller scan splits, not by a shuffle).
@@ -197,14 +207,9 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
         for k, v in sorted(spark.sparkContext.getConf().getAll()):
             print(f"{k}={v}")
         src.printSchema()
-    exists = collection_exists(spark, destination)
-    dest = read_bucketed(spark, destination) if exists else None
-    before, dest_newest = 0, None
     logged = last_run(spark, destination) if new_only else None
-    if dest is not None:
-        before = dest.count()                               # Parquet footers only
-        if new_only and ts_col in dest.columns:
-            dest_newest = newest_mark(dest, ts_col)         # A2: one column, its maximum
+    before = stored_count(spark, destination)               # from the file entries
+    dest_newest = stored_newest(spark, destination, ts_col) if new_only and before else None     # A2, from the zone maps
 
     newest_ts = None
     if new_only:
@@ -214,34 +219,35 @@ def run_transfer(spark: SparkSession, source: DataFrame | str, destination: str,
         found = count_new(src, ts_col, newest_ts, as_of, where)
         if found == 0:
             return TransferResult(run_id, 0, 0, before, before, int((time.monotonic() - t0) * 1000))
+    counted = Observation()
     delta = transfer_delta(src, ts_col=ts_col, newest_ts=newest_ts, as_of=as_of, new_only=new_only,
                            where=where, key=key, key_fields=key_fields, tiebreak=tiebreak,
-                           run_id=run_id, tag_col=tag_col, dedupe=dedupe)
+                           run_id=run_id, tag_col=tag_col, dedupe=dedupe, observed=counted)
     # Merging takes several passes over the delta (keys, buckets, rewrite,
     # append), and each reads only the columns it needs of the staged rows.
     stage = shared_dir(spark, "delta")
     delta.write.parquet(stage)
+    seen = counted.get
     delta = spark.read.schema(delta.schema).parquet(stage)
-    nulls = delta.where(F.col(key).isNull()).count()
-    if nulls:
+    if seen["nulls"]:
         _remove(spark, stage)
-        raise ValueError(f"{nulls} rows have no {key}; give key_fields or filter them out")
+        raise ValueError(f"{seen['nulls']} rows have no {key}; give key_fields or filter them out")
+    mine = None if seen["newest"] is None else Mark(dict(src.dtypes)[ts_col], seen["newest"])
     _log(spark, destination, run_id, "started", newest_ts, None)
     written_buckets = upsert_path(spark, destination, delta, key, buckets=buckets, batch_size=batch_size,
                                   frozen=True)
     if compact_to > 0:
         # only the buckets this run wrote gained files
         compact(spark, destination, compact_to, key=key, only_buckets=written_buckets)
-    # A5 and this run's newest timestamp: rows with this run's tag can only be
-    # in the buckets it wrote, so only those are read; the total row count
-    # needs the Parquet footers only.
-    stored = read_bucketed(spark, destination)
-    after = stored.count()
-    mine = stored.filter(F.col(BUCKET_COL).isin(written_buckets)).filter(F.col(tag_col) == F.lit(run_id))
-    written = mine.count()
-    if not new_only:
-        found = written
-    _log(spark, destination, run_id, "committed", newest_ts, later(newest_ts, newest_mark(mine, ts_col)))
+    # A5: rows with this run's tag can only be in the buckets it wrote, so only
+    # their files are read; a file that is gone counts as no rows here.
+    stored = read_bucketed(spark, destination, buckets=written_buckets, adds=False, lost_files=True)
+    written = stored.filter(F.col(tag_col) == F.lit(run_id)).count()
+    expected = delta.count()                                # footers of the stage: found, less the merged rows
+    after = stored_count(spark, destination)
+    # a run that lost rows stays "started": the next one sends them again
+    if written == expected:
+        _log(spark, destination, run_id, "committed", newest_ts, later(newest_ts, mine))
     _remove(spark, stage)
-    return TransferResult(run_id, int(found), int(written), int(before), int(after),
-                          int((time.monotonic() - t0) * 1000))
+    return TransferResult(run_id, int(seen["found"]), int(written), int(before), int(after),
+                          int((time.monotonic() - t0) * 1000), int(expected - written))

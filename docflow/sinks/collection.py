@@ -1,30 +1,37 @@
 """Writing collections (K1-K5).
 
-A destination collection at rest is a Parquet folder partitioned by a hash
-bucket of its key (``_b``), with a small description beside it (bucket count,
-key and key types, schema). A write with another bucket count or key type is
-refused: its rows would land in other buckets and never meet their keys.
-
-An upsert rewrites only the buckets that hold keys it replaces; rows with new
-keys are appended. A rewrite is first written whole to the shared folder and
-noted in the collection (``_rewrite.json``), then the buckets are overwritten
-from there. A driver lost in between loses nothing: the next write, seeing
-the note, overwrites the same buckets from the same rows again.
+A destination collection at rest is a folder of Parquet files, each holding
+rows of one hash bucket of the key (column ``_b``), and a snapshot that says
+which files count (see :mod:`docflow.sinks.manifest`). Bucket count, key, key
+types and schema are part of the snapshot. A write with another bucket count
+or key type is refused: its rows would land in other buckets and never meet
+their keys.
+
+An upsert finds the files that may hold its keys by bucket, key range and
+Bloom filter, reads their key column, and writes anew only the files that do
+hold one, together with the new rows; one commit swaps the files. A writer
+that finds its buckets changed meanwhile starts over from the new snapshot.
+
+Adds (values to append to stored arrays, J2) are logged as files of their own
+beside the rows: a read merges them, and :func:`fold_adds` writes them into
+the files that hold their keys. Files put below a collection by other writers
+are read as rows too, and are taken in by the next write.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import ArrayType, StructType
 
-from docflow.operators.upsert import upsert
+from docflow.operators.counts import later, newest_mark
+from docflow.operators.upsert import atomic_add, upsert
 from docflow.session import hadoop_fs, shared_dir
+from docflow.sinks import manifest
+from docflow.sinks.manifest import BUCKET_COL, Conflict, Snapshot, Written, snapshot
 
-BUCKET_COL = "_b"
 # Bucket count of a new destination: aim for buckets of a few GB (about 4,096
 # for 10 TB). Never change it for an existing destination.
 DEFAULT_BUCKETS = 512
@@ -38,7 +45,8 @@ SALT_SEED = 17
 # not shuffled.
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
 KEY_OVERHEAD_BYTES = 48
-DESCRIPTION, REWRITE = "_collection.json", "_rewrite.json"
+#: A write that meets another one in its buckets starts over so often.
+MOST_TRIES = 20
 
 
 def bucket_of(key: str | Sequence[str], buckets: int):
@@ -46,66 +54,38 @@ def bucket_of(key: str | Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _put(spark: SparkSession, path: str, name: str, value: dict) -> None:
-    fs, jpath = hadoop_fs(spark, f"{path.rstrip('/')}/{name}")
-    out = fs.create(jpath, True)
-    try:
-        out.write(bytearray(json.dumps(value).encode("utf-8")))
-    finally:
-        out.close()
-
-
-def _get(spark: SparkSession, path: str, name: str) -> dict | None:
-    fs, jpath = hadoop_fs(spark, f"{path.rstrip('/')}/{name}")
-    if not fs.exists(jpath):
-        return None
-    stream = fs.open(jpath)
-    try:
-        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-
-
 def _drop(spark: SparkSession, path: str) -> None:
     fs, jpath = hadoop_fs(spark, path)
     fs.delete(jpath, True)
 
 
-def describe(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], buckets: int,
-             stored: DataFrame | None = None) -> None:
-    """Check ``rows`` against the stored description and add new columns to its schema.
-
-    The description is written on first use, with the columns of ``stored``
-    too if the collection holds rows already.
-    """
+def _described(snap: Snapshot | None, path: str, rows: DataFrame, keys: Sequence[str], buckets: int,
+               stored: DataFrame | None = None) -> dict:
+    """The collection's description with the new columns of ``rows``, after a check against the stored one."""
     types = [dict(rows.dtypes)[k] for k in keys]
-    known = _get(spark, path, DESCRIPTION)
-    if known is not None:
+    if snap is not None:
         for name, mine in (("buckets", buckets), ("key", list(keys)), ("key_types", types)):
-            if known[name] != mine:
-                raise ValueError(f"{path} was written with {name} {known[name]}, not {mine}")
-        schema = StructType.fromJson(known["schema"])
-        fresh = [f for f in rows.schema.fields if f.name not in schema.names and f.name != BUCKET_COL]
-        if not fresh:
-            return
-        schema = StructType([*schema.fields, *fresh])
+            if snap.table[name] != mine:
+                raise ValueError(f"{path} was written with {name} {snap.table[name]}, not {mine}")
+        first = StructType.fromJson(snap.table["schema"]).fields
     else:
         first = [f for f in (stored.schema.fields if stored is not None else []) if f.name != BUCKET_COL]
-        names = {f.name for f in first}
-        schema = StructType([*first, *(f for f in rows.schema.fields if f.name != BUCKET_COL and f.name not in names)])
-    _put(spark, path, DESCRIPTION, {"buckets": buckets, "key": list(keys), "key_types": types,
-                                    "schema": schema.jsonValue()})
+    names = {f.name for f in first}
+    fresh = [f for f in rows.schema.fields if f.name != BUCKET_COL and f.name not in names]
+    described = {"buckets": buckets, "key": list(keys), "key_types": types,
+                 "schema": StructType([*first, *fresh]).jsonValue()}
+    return (snap.table | described) if snap is not None else described
 
 
 def collection_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds data: an entry Spark's reader does not hide.
+    """True when ``path`` holds rows: a snapshot, or files of other writers.
 
     (A run log alone, such as ``_xfer_log``, does not make a collection.)
     """
+    if manifest.newest_number(spark, path):
+        return True
     fs, jpath = hadoop_fs(spark, path)
-    if not fs.exists(jpath):
-        return False
-    return any(_visible(st.getPath().getName()) for st in fs.listStatus(jpath))
+    return bool(fs.exists(jpath)) and any(_visible(st.getPath().getName()) for st in fs.listStatus(jpath))
 
 
 def _visible(name: str) -> bool:
@@ -128,45 +108,93 @@ def write_collection(df: DataFrame, path: str, *, mode: str = "append",
     w.parquet(path)
 
 
-def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    """A stored collection, read with its stored schema: no file footer is opened before pruning.
+# ---- reading -------------------------------------------------------------------
+
+
+def _rows_of(spark: SparkSession, path: str, snap: Snapshot, names: Sequence[str], lost_files: bool = False) -> DataFrame:
+    """The rows of some data files (full names), with the columns of the snapshot's schema and ``_b``."""
+    reader = spark.read.schema(snap.schema())
+    if lost_files:
+        fs, _ = hadoop_fs(spark, path)
+        jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        names = [n for n in names if fs.exists(jpath(n))]
+        reader = reader.option("ignoreMissingFiles", "true")
+    return reader.parquet(*names) if names else spark.createDataFrame([], snap.schema())
+
 
-    Rows written before a column existed have it null. A collection without a
-    description (written by other means) is read with merged schemas.
+def _foreign_rows(spark: SparkSession, snap: Snapshot, names: Sequence[str]) -> DataFrame:
+    """Rows of files by other writers; columns they lack are null, and the bucket follows from the key."""
+    schema = StructType.fromJson(snap.table["schema"])
+    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*names)
+    return rows.withColumn(BUCKET_COL, bucket_of(snap.table["key"], snap.table["buckets"]))
+
+
+def read_bucketed(spark: SparkSession, path: str, *, buckets: Sequence[int] | None = None, adds: bool = True,
+                  lost_files: bool = False) -> DataFrame:
+    """A stored collection as its newest snapshot has it, with the bucket number in ``_b``.
+
+    ``buckets`` names the only buckets wanted, and only their files are given
+    to the reader. Logged adds are merged unless ``adds`` is False; rows of
+    files by other writers are included. ``lost_files`` reads what is left if
+    files of the snapshot are missing (for a count that is to notice it). A
+    folder that no write of ours has described is read as it is.
     """
-    known = _get(spark, path, DESCRIPTION)
-    if known is None:
+    snap = snapshot(spark, path)
+    if snap is None:
         return spark.read.option("mergeSchema", "true").parquet(path)
-    schema = StructType.fromJson(known["schema"]).add(BUCKET_COL, IntegerType())
-    return spark.read.schema(schema).parquet(path)
+    chosen = snap.files if buckets is None else snap.files.where(F.col("bucket").isin(list(buckets)))
+    data = chosen.where("kind = 'data'")
+    logged = chosen.where("kind = 'adds'")
+    waiting = sorted(r[0] for r in logged.select("bucket").distinct().collect()) if adds and snap.has_adds else []
+    if waiting:
+        inside = F.col("bucket").isin(waiting)
+        under = _rows_of(spark, path, snap, manifest.paths(path, data.where(inside)), lost_files)
+        merged = _with_adds(snap, under, _adds(spark, path, snap, logged))
+        rows = _rows_of(spark, path, snap, manifest.paths(path, data.where(~inside)), lost_files).unionByName(merged)
+    else:
+        rows = _rows_of(spark, path, snap, manifest.paths(path, data), lost_files)
+    names = manifest.foreign_files(spark, path, snap)
+    if names:
+        foreign = _foreign_rows(spark, snap, names)
+        rows = rows.unionByName(foreign if buckets is None else foreign.where(F.col(BUCKET_COL).isin(list(buckets))))
+    return rows
+
+
+def stored_count(spark: SparkSession, path: str) -> int:
+    """Rows of a collection: from the entries; files of other writers and waiting adds are read."""
+    snap = snapshot(spark, path)
+    if snap is None:
+        return spark.read.option("mergeSchema", "true").parquet(path).count() if collection_exists(spark, path) else 0
+    rows, waiting = manifest.stored_rows(snap)
+    if waiting:
+        return read_bucketed(spark, path).count()
+    names = manifest.foreign_files(spark, path, snap)
+    return rows + (_foreign_rows(spark, snap, names).count() if names else 0)
+
+
+def stored_newest(spark: SparkSession, path: str, column: str):
+    """A2 at rest: the newest value of ``column``, from the zone maps; only files by other writers are scanned."""
+    snap = snapshot(spark, path)
+    if snap is None:
+        rows = read_bucketed(spark, path)
+        return newest_mark(rows, column) if column in rows.columns else None
+    types = {f.name: f.dataType.simpleString() for f in snap.schema().fields}
+    if column not in types:
+        return None
+    if types[column] not in manifest.ZONED:
+        return newest_mark(read_bucketed(spark, path), column)
+    names = manifest.foreign_files(spark, path, snap)
+    foreign = newest_mark(_foreign_rows(spark, snap, names), column) if names else None
+    return later(manifest.newest_zone(snap, column, types[column]), foreign)
 
 
-def finish_rewrite(spark: SparkSession, path: str) -> None:
-    """Carry out the rewrite that is noted in the collection, if there is one."""
-    note = _get(spark, path, REWRITE)
-    if note is None:
-        return
-    rows = spark.read.schema(StructType.fromJson(note["schema"])).parquet(note["stage"])
-    # the stage holds each bucket's files already; reading them as they are keeps their number
-    (rows.repartition(note["tasks"], F.col(BUCKET_COL), _salt(note["key"], note["spread"]))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(path))
-    _drop(spark, f"{path.rstrip('/')}/{REWRITE}")
-    _drop(spark, note["stage"])
+# ---- writing -------------------------------------------------------------------
 
 
-def _salt(keys: Sequence[str], spread: int):
+def _salt(keys: Sequence[str], spread: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(SALT_SEED)), F.lit(int(spread)))
 
 
-def _rewrite(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], n_buckets: int, spread: int) -> None:
-    """Overwrite the buckets that ``rows`` (with ``_b``) covers: stage, note, overwrite, forget."""
-    stage = shared_dir(spark, "rewrite")
-    rows.write.parquet(stage)
-    _put(spark, path, REWRITE, {"stage": stage, "schema": rows.schema.jsonValue(), "key": list(keys),
-                                "spread": int(spread), "tasks": max(1, n_buckets * int(spread))})
-    finish_rewrite(spark, path)
-
-
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (no job runs), or None when Spark
     has no real figure (it then reports ``spark.sql.defaultSizeInBytes``,
@@ -186,150 +214,284 @@ def _spread(n_buckets: int, rows: int | None = None, stored_bytes: int | None =
     return int(max(1, -(-(rows or 0) // (n * rows_per_task)), -(-(stored_bytes or 0) // (n * file_bytes))))
 
 
-def _append_buckets(df: DataFrame, path: str, key: list[str], n_buckets: int, *, rows: int | None = None,
-                    batch_size: int | None = None) -> None:
-    """Append rows to their bucket folders.
+def _write(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], n_buckets: int, spread: int, **how) -> Written:
+    """Rows into files by (bucket, salt): a big bucket is split over ``spread`` tasks and gets about as many files."""
+    return manifest.write_files(spark, path, rows, keys, max(1, n_buckets) * spread, _salt(keys, spread), **how)
+
+
+def _retried(attempt: Callable[[], list[int]]) -> list[int]:
+    """Run ``attempt`` until no other writer comes between."""
+    for turn in range(MOST_TRIES):
+        try:
+            return attempt()
+        except Conflict:
+            if turn == MOST_TRIES - 1:
+                raise
+    return []
 
-    Rows are hash-partitioned on (bucket, salt), the salt a hash of the key in
-    ``[0, spread)``: each bucket is split over ``spread`` tasks, so a big bucket
-    never lands in one task, and gets about ``spread`` files. ``spread`` comes
-    from known rows, else from the plan's size estimate (no pass over the
-    data), else from a count. ``batch_size`` caps the rows of a file (K2).
-    """
-    if rows is None:
-        size = estimated_bytes(df)
-        spread = _spread(n_buckets, stored_bytes=size) if size is not None else _spread(n_buckets, rows=df.count())
-    else:
-        spread = _spread(n_buckets, rows=rows)
-    w = df.repartition(max(1, n_buckets) * spread, F.col(BUCKET_COL), _salt(key, spread)).write.mode("append")
-    if batch_size:
-        w = w.option("maxRecordsPerFile", int(batch_size))
-    w.partitionBy(BUCKET_COL).parquet(path)
+
+def _take_in_foreign(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], buckets: int) -> None:
+    """Make rows of files by other writers rows of the collection; those files no longer count."""
+    def attempt() -> list[int]:
+        snap = snapshot(spark, path)
+        names = manifest.foreign_files(spark, path, snap)
+        if not names:
+            return []
+        stored = spark.read.option("mergeSchema", "true").parquet(*names) if snap is None else None
+        table = _described(snap, path, rows, keys, buckets, stored)
+        own = Snapshot(0, {"table": table}, None)
+        found = _foreign_rows(spark, own, names)
+        size = estimated_bytes(found)
+        spread = _spread(buckets, stored_bytes=size)
+        new = _write(spark, path, found, keys, buckets, spread)
+        removed = spark.createDataFrame([(n,) for n in names], "path string")
+        manifest.commit(spark, path, snap, table, op="take in", buckets=new.buckets, added=[new], removed=removed)
+        return new.buckets
+
+    _retried(attempt)
 
 
 def upsert_path(spark: SparkSession, path: str, updates: DataFrame, key: str | Sequence[str], *,
                 buckets: int = DEFAULT_BUCKETS, batch_size: int | None = None,
-                frozen: bool = False) -> list[int]:
+                frozen: bool = False, filters: bool = True) -> list[int]:
     """K5: upsert ``updates`` (one row per key) into the collection at ``path``.
 
-    0. A rewrite that an earlier run noted but did not finish is carried out,
-       and bucket count and key types are checked against the description.
-    1. A first load into an empty path has nothing to merge: one pass, append.
-    2. Otherwise the updates are staged in the shared folder (unless
+    1. Rows of files by other writers are taken in, adds that wait in touched
+       buckets are folded, and bucket count and key types are checked.
+    2. A first load has nothing to merge: one pass, then the commit.
+    3. Otherwise the updates are staged in the shared folder (unless
        ``frozen``: the caller already did), so every step below sees the same
        rows and reads only the columns it needs.
-    3. Buckets receiving rows are found (at most ``buckets`` numbers, a fixed
-       bound); only the key column of those buckets is read to find which
-       update keys already exist.
-    4. Buckets holding such keys are rewritten (see the module text, old row
-       replaced); rows of all other buckets are new keys and are appended as
-       new files, so an append-mostly delta never rewrites the destination.
-
-    Returns the bucket numbers written (empty: nothing was written; a first
-    load reports every bucket number). Files are sized by bytes; ``batch_size``
-    also caps the rows of appended ones.
+    4. The files that may hold update keys are found from the entries and
+       Bloom filters (``filters=False``: all files of the touched buckets);
+       only their key column is read to find those that do.
+    5. Rows of these files whose keys are not replaced are written anew,
+       together with the updates; one commit swaps the files. Files without
+       an update key stay as they are.
+
+    If another writer committed to one of the touched buckets meanwhile, 4 and
+    5 are done again on its snapshot. Returns the bucket numbers written
+    (empty: nothing was written; a first load reports every bucket number).
+    Files are sized by bytes; ``batch_size`` also caps their rows (K2).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    finish_rewrite(spark, path)
-    exists = collection_exists(spark, path)
-    describe(spark, path, updates, keys, buckets, read_bucketed(spark, path) if exists else None)
+    _described(snapshot(spark, path), path, updates, keys, buckets)
+    _take_in_foreign(spark, path, updates, keys, buckets)
     staged = updates.withColumn(BUCKET_COL, bucket_of(keys, buckets))
-    if not exists:
-        # Nothing to merge with: one pass, every row appended.
-        _append_buckets(staged, path, keys, buckets, batch_size=batch_size)
-        return list(range(buckets))
     stage = None
-    if not frozen:
+    if not frozen and snapshot(spark, path) is not None:
         stage = shared_dir(spark, "updates")
         staged.write.parquet(stage)
         staged = spark.read.schema(staged.schema).parquet(stage)
+
+    def attempt() -> list[int]:
+        snap = snapshot(spark, path)
+        table = _described(snap, path, updates, keys, buckets)
+        if snap is None:
+            size = estimated_bytes(staged)
+            spread = _spread(buckets, stored_bytes=size) if size is not None else _spread(buckets, rows=staged.count())
+            new = _write(spark, path, staged, keys, buckets, spread, batch_size=batch_size)
+            manifest.commit(spark, path, None, table, op="load", buckets=range(buckets), added=[new])
+            return list(range(buckets))
+        return _merge(spark, path, snap, table, staged, keys, batch_size, filters)
+
+    done = _retried(attempt)
+    if stage:
+        _drop(spark, stage)
+    return done
+
+
+def _merge(spark: SparkSession, path: str, snap: Snapshot, table: dict, staged: DataFrame, keys: list[str],
+           batch_size: int | None, filters: bool) -> list[int]:
     width = sum(F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys) + KEY_OVERHEAD_BYTES
     per_bucket = {r[0]: (r[1], r[2]) for r in staged.groupBy(BUCKET_COL).agg(F.count(F.lit(1)), F.sum(width)).collect()}
     touched = sorted(per_bucket)
-    if touched:
-        small = sum(b for _, b in per_bucket.values()) <= BROADCAST_KEY_BYTES      # summed: a proven bound
-        stored_keys = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(touched)).select(*keys, BUCKET_COL)
-        update_keys = staged.select(*[F.col(k).alias(f"_u{i}") for i, k in enumerate(keys)])
-        same = F.lit(True)
-        for i, k in enumerate(keys):
-            same = same & F.col(k).eqNullSafe(F.col(f"_u{i}"))
-        # stored keys stream past broadcast update keys: no shuffle of the stored side
-        hits = stored_keys.join(F.broadcast(update_keys) if small else update_keys, same, "left_semi")
-        hit = sorted(r[0] for r in hits.select(BUCKET_COL).distinct().collect())
-        fresh = [b for b in touched if b not in set(hit)]
-        if fresh:
-            _append_buckets(staged.filter(F.col(BUCKET_COL).isin(fresh)), path, keys, len(fresh),
-                            rows=sum(per_bucket[b][0] for b in fresh), batch_size=batch_size)
-        if hit:
-            current = read_bucketed(spark, path).filter(F.col(BUCKET_COL).isin(hit))
-            merged = upsert(current, staged.filter(F.col(BUCKET_COL).isin(hit)), keys, broadcast_keys=small)
-            spread = _spread(len(hit), rows=sum(per_bucket[b][0] for b in hit),
-                             stored_bytes=sum(_bucket_bytes(spark, path, hit).values()))
-            _rewrite(spark, path, merged, keys, len(hit), spread)
-    if stage:
-        _drop(spark, stage)
+    if not touched:
+        return []
+    if fold_adds(spark, path, only_buckets=touched):
+        snap = snapshot(spark, path)
+        table = _described(snap, path, staged, keys, table["buckets"])
+    small = sum(b for _, b in per_bucket.values()) <= BROADCAST_KEY_BYTES      # summed: a proven bound
+    old = _holding(spark, path, snap, staged, keys, small, filters)
+    merged = staged
+    if old:
+        merged = upsert(_rows_of(spark, path, snap, _full(path, old)), staged, keys, broadcast_keys=small)
+    spread = _spread(len(touched), rows=sum(n for n, _ in per_bucket.values()), stored_bytes=sum(old.values()))
+    new = _write(spark, path, merged, keys, len(touched), spread, batch_size=batch_size)
+    manifest.commit(spark, path, snap, table, op="upsert", buckets=touched, added=[new], removed=_named(spark, old))
     return touched
 
 
-def _bucket_files(spark: SparkSession, path: str, buckets: Sequence[int]) -> dict[int, tuple[int, int]]:
-    """(files, bytes) of each bucket folder, from listings."""
-    out = {}
-    for b in buckets:
-        fs, folder = hadoop_fs(spark, f"{path.rstrip('/')}/{BUCKET_COL}={b}")
-        files = [s for s in fs.listStatus(folder) if _visible(s.getPath().getName())] if fs.exists(folder) else []
-        out[b] = (len(files), sum(int(s.getLen()) for s in files))
-    return out
+def _full(path: str, names: Iterable[str]) -> list[str]:
+    return [f"{path.rstrip('/')}/{manifest.DATA}/{n}" for n in names]
+
+
+def _named(spark: SparkSession, names: Iterable[str]) -> DataFrame:
+    return spark.createDataFrame([(n,) for n in names], "path string")
 
 
-def _bucket_bytes(spark: SparkSession, path: str, buckets: Sequence[int]) -> dict[int, int]:
-    return {b: size for b, (_, size) in _bucket_files(spark, path, buckets).items()}
+def _holding(spark: SparkSession, path: str, snap: Snapshot, wanted: DataFrame, keys: Sequence[str], small: bool,
+             filters: bool = True) -> dict[str, int]:
+    """Names and bytes of the data files that hold one of the ``wanted`` keys (with ``_b``): those to be written anew."""
+    maybe = manifest.may_hold(spark, path, snap.files.where("kind = 'data'"), wanted.select(*keys, BUCKET_COL), keys, filters)
+    sizes = {r["path"]: r["bytes"] for r in maybe.select("path", "bytes").collect()}
+    if not sizes:
+        return {}
+    stored = _rows_of(spark, path, snap, _full(path, sizes)).select(*keys, F.col("_metadata.file_path").alias("_file"))
+    asked = wanted.select(*[F.col(k).alias(f"_u{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_u{i}"))
+    # stored keys stream past broadcast update keys: no shuffle of the stored side
+    hits = stored.join(F.broadcast(asked) if small else asked, same, "left_semi")
+    names = hits.select(F.substring_index("_file", f"/{manifest.DATA}/", -1).alias("path")).distinct()
+    return {r[0]: sizes[r[0]] for r in names.collect()}
+
+
+# ---- adds at rest ----------------------------------------------------------------
+
+
+def atomic_add_path(spark: SparkSession, path: str, adds: DataFrame, fields: Sequence[str], *, batch_id: str,
+                    distinct: bool = False, buckets: int = DEFAULT_BUCKETS, key: str | None = None) -> bool:
+    """J2 at rest: log values to be appended to stored arrays, once per ``batch_id``.
+
+    ``adds`` holds the key and array ``fields``; several rows of a key count
+    together. Nothing stored is read or written anew: a read merges the log,
+    and :func:`fold_adds` (or the next upsert of a touched bucket) writes it
+    into the rows. Keys that are not stored become rows. Returns False, and
+    adds nothing, if this batch was added before. ``distinct`` keeps each
+    value once; it is a property of the collection, set by the first add.
+    A collection that does not exist yet is made (``key`` names its key).
+    """
+    fields = list(fields)
+
+    def attempt() -> list[int]:
+        snap = snapshot(spark, path)
+        keys = snap.table["key"] if snap else [key]
+        if len(keys) != 1 or keys[0] is None:
+            raise ValueError("adds need a collection with one key column")
+        n_buckets = snap.table["buckets"] if snap else buckets
+        rows = adds.select(keys[0], *fields).withColumn(BUCKET_COL, bucket_of(keys, n_buckets))
+        table = _described(snap, path, rows, keys, n_buckets)
+        if table.setdefault("distinct_adds", distinct) != distinct:
+            raise ValueError(f"{path} keeps adds with distinct={table['distinct_adds']}")
+        schema = StructType.fromJson(table["schema"])
+        for f in fields:
+            if not isinstance(schema[f].dataType, ArrayType):
+                raise ValueError(f"{f} is no array")
+            rows = rows.withColumn(f, F.col(f).cast(schema[f].dataType))
+        table["add_fields"] = sorted({*table.get("add_fields", []), *fields})
+        if snap is not None and not snap.files.where((F.col("kind") == "marker") & (F.col("path") == batch_id)).isEmpty():
+            return []
+        size = estimated_bytes(rows)
+        new = _write(spark, path, rows, keys, n_buckets, _spread(n_buckets, stored_bytes=size), kind="adds")
+        manifest.commit(spark, path, snap, table, op="adds", buckets=new.buckets, added=[new], marker=batch_id, commutes=True)
+        return [1]
+
+    return bool(_retried(attempt))
+
+
+def _adds(spark: SparkSession, path: str, snap: Snapshot, logged: DataFrame) -> DataFrame:
+    """Logged adds as rows (key, array fields): a field that a log lacks is null."""
+    schema = StructType.fromJson(snap.table["schema"])
+    fields = StructType([schema[snap.table["key"][0]], *[schema[f] for f in snap.table["add_fields"]]])
+    return spark.read.schema(fields).parquet(*manifest.paths(path, logged))
+
+
+def _with_adds(snap: Snapshot, rows: DataFrame, adds: DataFrame) -> DataFrame:
+    """Stored rows with their adds; a null array that nothing is added to stays null."""
+    key = snap.table["key"][0]
+    fields = [c for c in adds.columns if c != key]
+    stored = rows.drop(BUCKET_COL).select("*", *[F.col(f).isNull().alias(f"_null_{f}") for f in fields])
+    out = atomic_add(stored, adds, key, fields, distinct=snap.table["distinct_adds"])
+    for f in fields:
+        out = out.withColumn(f, F.when(~(F.coalesce(f"_null_{f}", F.lit(False)) & (F.size(f) == 0)), F.col(f)))
+    return out.withColumn(BUCKET_COL, bucket_of(key, snap.table["buckets"])).select(*rows.columns)
+
+
+def fold_adds(spark: SparkSession, path: str, only_buckets: Sequence[int] | None = None) -> list[int]:
+    """Write waiting adds into the rows of their buckets; returns these buckets.
+
+    Only files that hold a key of the log are written anew (see
+    :func:`upsert_path`); keys that are not stored become rows.
+    """
+    def attempt() -> list[int]:
+        snap = snapshot(spark, path)
+        if snap is None or not snap.has_adds:
+            return []
+        logged = snap.files.where("kind = 'adds'")
+        if only_buckets is not None:
+            logged = logged.where(F.col("bucket").isin(list(only_buckets)))
+        waiting = sorted(r[0] for r in logged.select("bucket").distinct().collect())
+        if not waiting:
+            return []
+        keys = snap.table["key"]
+        adds = _adds(spark, path, snap, logged)
+        asked = adds.select(*keys).withColumn(BUCKET_COL, bucket_of(keys, snap.table["buckets"]))
+        old = _holding(spark, path, snap, asked, keys, small=False)
+        merged = _with_adds(snap, _rows_of(spark, path, snap, _full(path, old)), adds)
+        size = sum(old.values()) + (logged.agg(F.sum("bytes")).first()[0] or 0)
+        new = _write(spark, path, merged, keys, len(waiting), _spread(len(waiting), stored_bytes=size))
+        manifest.commit(spark, path, snap, snap.table, op="fold", buckets=waiting, added=[new],
+                        removed=_named(spark, old).unionByName(logged.select("path")))
+        return waiting
+
+    return _retried(attempt)
+
+
+# ---- compaction ------------------------------------------------------------------
 
 
 def compact(spark: SparkSession, path: str, parts: int, out_path: str | None = None,
-            key: str | Sequence[str] | None = None, only_buckets: Sequence[int] | None = None) -> str:
+            key: str | Sequence[str] | None = None, only_buckets: Sequence[int] | None = None,
+            keep_s: float = 3600) -> str:
     """K4: reduce a collection to few files; ``parts`` 0 leaves it as is.
 
     A bucketed collection is compacted to about ``parts`` files per bucket, or
     as many as its bytes fill if that is more; buckets that already have so
     few are neither read nor written. ``only_buckets`` limits the work (e.g.
-    to the ones a transfer just appended to). The rewrite is staged and noted
-    first, like that of an upsert.
+    to the ones a transfer just appended to). Waiting adds of these buckets are
+    folded, and files replaced ``keep_s`` seconds ago are deleted.
     A plain collection is rewritten into ``parts`` files at ``out_path``, which
     the caller switches to: one path cannot be read and overwritten in a
     single static overwrite.
     """
     if parts <= 0:
         return path
-    finish_rewrite(spark, path)
-    df = read_bucketed(spark, path)
-    if BUCKET_COL in df.columns:
-        if only_buckets is None:
-            fs, root = hadoop_fs(spark, path)
-            names = [s.getPath().getName() for s in fs.listStatus(root)]
-            only_buckets = [int(n.split("=")[1]) for n in names if n.startswith(BUCKET_COL + "=") and n[-1].isdigit()]
-        files = _bucket_files(spark, path, sorted(set(only_buckets)))
-        loose = {b: size for b, (n, size) in files.items() if n > max(parts, -(-size // DEFAULT_FILE_BYTES))}
-        if loose:
-            keys = [key] if isinstance(key, str) else list(key or [c for c in df.columns if c != BUCKET_COL])
-            spread = max(int(parts), _spread(len(loose), stored_bytes=sum(loose.values())))
-            _rewrite(spark, path, df.filter(F.col(BUCKET_COL).isin(list(loose))), keys, len(loose), spread)
-        return path
-    if not out_path:
-        raise ValueError("compacting a plain collection needs out_path")
-    df.repartition(int(parts)).write.mode("overwrite").parquet(out_path)
-    return out_path
-
-
-def file_count(spark: SparkSession, path: str) -> int:
-    """Number of data files under ``path`` (recursive), skipping anything in
-    or under a name Spark's reader hides (``_SUCCESS``, ``_xfer_log/``...)."""
-    fs, jpath = hadoop_fs(spark, path)
-    root = jpath.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString().rstrip("/")
-    it = fs.listFiles(jpath, True)
-    n = 0
-    while it.hasNext():
-        full = it.next().getPath().toString()
-        rel = full[len(root):].strip("/") if full.startswith(root) else full.rsplit("/", 1)[-1]
-        if all(_visible(part) for part in rel.split("/")):
-            n += 1
-    return n
+    if snapshot(spark, path) is None:
+        if not out_path:
+            raise ValueError("compacting a plain collection needs out_path")
+        spark.read.option("mergeSchema", "true").parquet(path).repartition(int(parts)).write.mode("overwrite").parquet(out_path)
+        return out_path
+    fold_adds(spark, path, only_buckets)
+
+    def attempt() -> list[int]:
+        snap = snapshot(spark, path)
+        data = snap.files.where("kind = 'data'")
+        if only_buckets is not None:
+            data = data.where(F.col("bucket").isin(list(only_buckets)))
+        sizes = data.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("size"))
+        full = F.greatest(F.lit(int(parts)), F.ceil(F.col("size") / DEFAULT_FILE_BYTES))
+        loose = {r["bucket"]: r["size"] for r in sizes.where(F.col("n") > full).collect()}
+        if not loose:
+            return []
+        old = data.where(F.col("bucket").isin(list(loose)))
+        keys = snap.table["key"]
+        spread = max(int(parts), _spread(len(loose), stored_bytes=sum(loose.values())))
+        new = _write(spark, path, _rows_of(spark, path, snap, manifest.paths(path, old)), keys, len(loose), spread)
+        manifest.commit(spark, path, snap, snap.table, op="compact", buckets=sorted(loose), added=[new], removed=old)
+        return sorted(loose)
+
+    _retried(attempt)
+    manifest.vacuum(spark, path, keep_s)
+    return path
+
+
+def file_count(spark: SparkSession, path: str, bucket: int | None = None) -> int:
+    """Number of data files: those of the snapshot (of one bucket), or all visible ones of a plain collection."""
+    snap = snapshot(spark, path)
+    if snap is not None:
+        files = snap.files.where("kind = 'data'")
+        return files.count() if bucket is None else files.where(F.col("bucket") == bucket).count()
+    names = spark.read.schema("x int").option("recursiveFileLookup", "true").parquet(path).inputFiles()
+    return len(names)

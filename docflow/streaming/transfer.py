@@ -19,7 +19,7 @@ from docflow.functions.keys import with_natural_key
 from docflow.functions.predicates import all_of, range_
 from docflow.plans.transfer import TAG_COL, tag_rows
 from docflow.session import hadoop_fs, shared_dir
-from docflow.sinks.collection import BUCKET_COL, DEFAULT_BUCKETS, collection_exists, read_bucketed, upsert_path
+from docflow.sinks.collection import DEFAULT_BUCKETS, collection_exists, read_bucketed, upsert_path
 from docflow.operators.latest import latest_per_key
 
 
@@ -71,7 +71,7 @@ def stream_transfer(stream: DataFrame, destination: str, checkpoint: str, *, key
         newest = tag_rows(latest_per_key(rows, [key], [ts_col, *order]), f"{run_id}-{batch_id}", tag_col)
         if collection_exists(spark, destination):
             mine = newest.select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("b")).distinct()
-            stored = read_bucketed(spark, destination).where(F.col(BUCKET_COL).isin([r.b for r in mine.collect()]))
+            stored = read_bucketed(spark, destination, buckets=[r.b for r in mine.collect()])
             older = newest.alias("n").join(stored.select(F.col(key), F.col(ts_col).alias("_stored")).alias("s"), key)
             newest = newest.join(older.where(F.col("_stored") > F.col(ts_col)).select(key), key, "left_anti")
         upsert_path(spark, destination, newest, key, buckets=buckets)

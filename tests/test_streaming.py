@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from docflow.sinks.collection import read_bucketed
 from docflow.streaming.transfer import dedupe_stream, run_to_parquet, stream_transfer
 
 D = dt.datetime
@@ -47,15 +48,15 @@ def test_stream_transfer_rerun_is_noop(spark, out):
                         run_id="s1", buckets=2)
 
     run()
-    first = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "dest")).select("id", "v").collect())
+    first = sorted(tuple(r) for r in read_bucketed(spark, os.path.join(out, "dest")).select("id", "v").collect())
     run()   # same checkpoint: the file was already processed
-    again = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "dest")).select("id", "v").collect())
+    again = sorted(tuple(r) for r in read_bucketed(spark, os.path.join(out, "dest")).select("id", "v").collect())
     assert first == again == [(1, 1), (2, 2)]
     _drop(spark, src, "b", [(2, D(2024, 1, 3), 20), (3, D(2024, 1, 3), 3)])
     run()   # new file: key 2 replaced, key 3 added
-    final = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "dest")).select("id", "v").collect())
+    final = sorted(tuple(r) for r in read_bucketed(spark, os.path.join(out, "dest")).select("id", "v").collect())
     assert final == [(1, 1), (2, 20), (3, 3)]
-    assert spark.read.parquet(os.path.join(out, "dest")).filter(~F.col("_xfer_id").startswith("s1-")).count() == 0
+    assert read_bucketed(spark, os.path.join(out, "dest")).filter(~F.col("_xfer_id").startswith("s1-")).count() == 0
 
 
 def test_stream_transfer_natural_key_and_count(spark, out):
@@ -67,7 +68,7 @@ def test_stream_transfer_natural_key_and_count(spark, out):
         .option("pathGlobFilter", "*.parquet").parquet(src).withColumn("nk", F.lit(None).cast("string"))
     n = stream_transfer(s, os.path.join(out, "dest"), os.path.join(out, "ckpt"), key="nk", ts_col="ts",
                         run_id="s1", key_fields=["v"], buckets=2)
-    got = {r["nk"]: r["id"] for r in spark.read.parquet(os.path.join(out, "dest")).collect()}
+    got = {r["nk"]: r["id"] for r in read_bucketed(spark, os.path.join(out, "dest")).collect()}
     assert n == 3 and got == {"7": 2, "8": 3}    # newest row per natural key
 
 
@@ -99,5 +100,5 @@ def test_newest_row_wins_across_batches_and_all_are_counted(spark, out):
         .option("pathGlobFilter", "*.parquet").parquet(src)
     n = stream_transfer(s, os.path.join(out, "dest"), os.path.join(out, "ckpt"), key="id", ts_col="ts",
                         run_id="s", buckets=2)
-    got = sorted((r["id"], r["v"], r["_xfer_id"]) for r in spark.read.parquet(os.path.join(out, "dest")).collect())
+    got = sorted((r["id"], r["v"], r["_xfer_id"]) for r in read_bucketed(spark, os.path.join(out, "dest")).collect())
     assert n == 5 and got == [(1, 5, "s-0"), (2, 2, "s-1"), (3, 1, "s-2")]

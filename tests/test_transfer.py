@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docflow.operators.counts import Mark, count_new, newest_mark
 from docflow.plans.transfer import TAG_COL, run_transfer
-from docflow.sinks.collection import BUCKET_COL, file_count, upsert_path
+from docflow.sinks.collection import BUCKET_COL, file_count, read_bucketed, upsert_path
 
 SCHEMA = "id string, ts timestamp_ntz, v int, tags array<string>"
 D = dt.datetime
@@ -49,7 +49,7 @@ def test_incremental_transfer_then_noop(spark, out):
     res1 = run_transfer(spark, more, dest, ts_col="ts", as_of=AS_OF, run_id="r1", buckets=4)
     # "d" is stamped at the watermark (exclusive low bound): not picked up
     assert (res1.found, res1.written, res1.before, res1.after) == (1, 1, 2, 3)
-    out_df = spark.read.parquet(dest)
+    out_df = read_bucketed(spark, dest)
     assert ids(out_df.filter(F.col(TAG_COL) == "r1")) == ["c"]
     assert [r["tags"] for r in out_df.filter("id = 'a'").collect()] == [["x"]]   # arrays kept
 
@@ -73,7 +73,7 @@ def test_natural_key_collision_keeps_newer(spark, out):
     rows2 = rows.withColumn("v", F.lit(0))
     res2 = run_transfer(spark, rows2, f"{out}/e", ts_col="ts", as_of=AS_OF, key_fields=["nk"],
                         run_id="r", buckets=2)
-    got = {r["id"]: r["ts"] for r in spark.read.parquet(f"{out}/e").collect()}
+    got = {r["id"]: r["ts"] for r in read_bucketed(spark, f"{out}/e").collect()}
     assert res2.written == 2 and got == {"k1": D(2024, 1, 2), "k2": D(2024, 1, 3)}
 
 
@@ -83,9 +83,9 @@ def test_upsert_path_twice_is_once_and_touches_only_buckets(spark, out):
     upsert_path(spark, path, base, "id", buckets=16)
     upd = spark.createDataFrame([("5", 500), ("7", 700), ("new", 1)], "id string, v long")
     upsert_path(spark, path, upd, "id", buckets=16)
-    once = sorted(tuple(r) for r in spark.read.parquet(path).drop(BUCKET_COL).collect())
+    once = sorted(tuple(r) for r in read_bucketed(spark, path).drop(BUCKET_COL).collect())
     upsert_path(spark, path, upd, "id", buckets=16)
-    twice = sorted(tuple(r) for r in spark.read.parquet(path).drop(BUCKET_COL).collect())
+    twice = sorted(tuple(r) for r in read_bucketed(spark, path).drop(BUCKET_COL).collect())
     assert once == twice and len(once) == 201
     assert ("5", 500) in once and ("7", 700) in once
     assert not upsert_path(spark, path, upd.filter(F.lit(False)), "id", buckets=16)  # empty: no write
@@ -113,7 +113,7 @@ def test_restart_after_crash_uses_started_watermark(spark, out):
                 "id", buckets=4)
     more = src(spark, [("a", D(2024, 1, 1), 1, []), ("b", D(2024, 1, 5), 2, []), ("c", D(2024, 1, 9), 3, [])])
     res = run_transfer(spark, more, dest, ts_col="ts", as_of=AS_OF, run_id="r1", buckets=4)
-    assert res.found == 2 and ids(spark.read.parquet(dest)) == ["a", "b", "c"]   # "b" not skipped
+    assert res.found == 2 and ids(read_bucketed(spark, dest)) == ["a", "b", "c"]   # "b" not skipped
     assert last_run(spark, dest)["watermark_after"]["text"].startswith("2024-01-09")
 
 
@@ -126,13 +126,13 @@ def test_upsert_appends_new_keys_without_rewriting(spark, out):
                 "id", buckets=4)
     # no existing key touched: old files stay, new ones are added
     assert file_count(spark, path) > files_before
-    assert spark.read.parquet(path).count() == 102
+    assert read_bucketed(spark, path).count() == 102
 
 
 def test_repeated_source_key_keeps_newest(spark, out):
     rows = src(spark, [("a", D(2024, 1, 1), 1, []), ("a", D(2024, 1, 3), 2, []), ("b", D(2024, 1, 2), 3, [])])
     res = run_transfer(spark, rows, f"{out}/d", ts_col="ts", as_of=AS_OF, run_id="r", buckets=2)
-    got = {r["id"]: r["v"] for r in spark.read.parquet(f"{out}/d").collect()}
+    got = {r["id"]: r["v"] for r in read_bucketed(spark, f"{out}/d").collect()}
     assert res.found == 3 and res.written == 2 and got == {"a": 2, "b": 3}
 
 
@@ -142,11 +142,11 @@ def test_compact_bucketed_in_place(spark, out):
     for i in range(4):   # four appends leave several files per bucket
         part = spark.range(i * 50, (i + 1) * 50).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v"))
         upsert_path(spark, path, part, "id", buckets=2)
-    before = sorted(tuple(r) for r in spark.read.parquet(path).drop(BUCKET_COL).collect())
+    before = sorted(tuple(r) for r in read_bucketed(spark, path).drop(BUCKET_COL).collect())
     assert file_count(spark, path) >= 4
     compact(spark, path, 1, key="id")
     assert file_count(spark, path) <= 2
-    assert sorted(tuple(r) for r in spark.read.parquet(path).drop(BUCKET_COL).collect()) == before
+    assert sorted(tuple(r) for r in read_bucketed(spark, path).drop(BUCKET_COL).collect()) == before
 
 
 def test_destination_loaded_without_tag_column(spark, out):
@@ -163,7 +163,7 @@ def test_transfer_where_splits_and_compaction(spark, out):
     run_transfer(spark, rows.filter("v < 30"), dest, ts_col="ts", as_of=AS_OF, run_id="r0", buckets=2)
     res = run_transfer(spark, rows, dest, ts_col="ts", as_of=AS_OF, where="v % 2 = 0", splits=3,
                        compact_to=1, run_id="r1", buckets=2, new_only=False)
-    got = spark.read.parquet(dest)
+    got = read_bucketed(spark, dest)
     # full transfer of the even rows: 30 rows written (15 replace stored keys, 15 new)
     assert (res.found, res.written, res.before, res.after) == (30, 30, 30, 45)
     assert got.filter("v % 2 = 1 AND v >= 30").count() == 0
@@ -176,13 +176,13 @@ def test_compact_only_given_buckets(spark, out):
     for i in range(3):
         part = spark.range(i * 40, (i + 1) * 40).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v"))
         upsert_path(spark, path, part, "id", buckets=2)
-    per_bucket = lambda: {b: file_count(spark, f"{path}/_b={b}") for b in (0, 1)}
+    per_bucket = lambda: {b: file_count(spark, path, bucket=b) for b in (0, 1)}
     before = per_bucket()
     assert min(before.values()) >= 3
     compact(spark, path, 1, key="id", only_buckets=[0])
     after = per_bucket()
     assert after[0] == 1 and after[1] == before[1]
-    assert spark.read.parquet(path).count() == 120
+    assert read_bucketed(spark, path).count() == 120
 
 
 ZONED = "id string, ts timestamp, v int"
@@ -239,43 +239,14 @@ def test_bucket_count_and_key_type_are_checked(spark, out):
         upsert_path(spark, f"{out}/c", base, "id", buckets=16)
     with pytest.raises(ValueError, match="key_types"):
         upsert_path(spark, f"{out}/c", base.withColumn("id", F.col("id").cast("int")), "id", buckets=8)
-    assert spark.read.parquet(f"{out}/c").count() == 100
-
-
-def test_interrupted_rewrite_is_carried_out(spark, out, monkeypatch):
-    from docflow.sinks import collection
-    path = f"{out}/c"
-    base = spark.range(100).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v"))
-    upsert_path(spark, path, base, "id", buckets=4)
-    upd = spark.createDataFrame([("5", 500), ("new", 1)], "id string, v long")
-
-    bucket = upd.where("id = '5'").select(collection.bucket_of("id", 4)).first()[0]
-
-    with monkeypatch.context() as m:
-        real, calls = collection.finish_rewrite, []
-
-        def lost(s, p):                                     # the driver dies after the note, the bucket half gone
-            calls.append(p)
-            if len(calls) == 1:
-                return real(s, p)
-            collection._drop(s, f"{p}/_b={bucket}")
-            raise RuntimeError("driver lost")
-
-        m.setattr(collection, "finish_rewrite", lost)
-        with pytest.raises(RuntimeError, match="driver lost"):
-            upsert_path(spark, path, upd, "id", buckets=4)
-    assert spark.read.parquet(path).where("id = '5'").count() == 0
-    upsert_path(spark, path, upd, "id", buckets=4)          # the next write first finishes the rewrite
-    got = {r["id"]: r["v"] for r in collection.read_bucketed(spark, path).collect()}
-    assert len(got) == 101 and got["5"] == 500 and got["new"] == 1
-    assert collection.read_bucketed(spark, path).count() == 101
+    assert read_bucketed(spark, f"{out}/c").count() == 100
 
 
 def test_null_upsert_keys_do_not_pile_up(spark, out):
     base = spark.createDataFrame([(None, 1), ("a", 2)], "id string, v int")
     for _ in range(3):
         upsert_path(spark, f"{out}/c", base, "id", buckets=2)
-    assert spark.read.parquet(f"{out}/c").count() == 2
+    assert read_bucketed(spark, f"{out}/c").count() == 2
 
 
 def test_overwrite_leaves_no_old_partition(spark, out):
