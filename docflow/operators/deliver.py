@@ -77,6 +77,11 @@ def send_with_failover(transport, hosts: Sequence[str], start: int, target: str,
                 return host, FAILED, attempts, f"{type(exc2).__name__}: {exc2}"
 
 
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """The rows dealt evenly over ``partitions`` tasks; as they are without it."""
+    return df.repartition(int(partitions)) if partitions else df
+
+
 def deliver(df: DataFrame, *, id_col: str, target_col: str, body_col: str,
             hosts: Sequence[str], transport_factory: Callable[[], object],
             partitions: int | None = None, retry_wait_s: float = LAST_HOST_RETRY_WAIT_S,
@@ -97,8 +102,7 @@ def deliver(df: DataFrame, *, id_col: str, target_col: str, body_col: str,
     src = df.select(F.col(id_col), F.col(target_col).alias("_target"),
                     F.col(body_col).alias("_body"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_key"))
     src = src.withColumn("_start", assign_host("_key", len(hosts)))
-    if partitions:
-        src = src.repartition(int(partitions))
+    src = spread(src, partitions)
     schema = report_schema(df.schema[id_col])
     # ids travel as text and take their type again afterwards (pandas has no null integers)
     text_schema = report_schema(StructField(id_col, StringType()))

@@ -137,7 +137,7 @@ def map_tagger(df: DataFrame, tagger_factory: Callable[[dict[str, str]], Tagger]
                id_col: str = "id", text_col: str = "text",
                side_files: Sequence[str] = (),
                fields: Sequence[tuple[str, str]] = ENTITY_FIELDS) -> DataFrame:
-    """Run a Python tagger ``list[str] -> [(word, class)]`` per row.
+    r"""Run a Python tagger ``list[str] -> [(word, class)]`` per row.
 
     Rows move to Python in Arrow batches (``mapInPandas``). The factory is
     called once per task with ``{file name: local path}`` of ``side_files``

@@ -14,20 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions.keys import with_natural_key
-from docflow.functions.predicates import all_of, exists, range_, term
+from docflow.functions.predicates import all_of, exists, match_all, range_, term
 from docflow.functions.jsonrows import parse_json
 from docflow.functions.urls import request_target, url_origin
 from docflow.operators.counts import count_collection, count_new, new_rows_filter, newest, newest_mark
-from docflow.operators.deliver import assign_host, batch_body, json_batches, write_batches_by_host
+from docflow.operators.deliver import (DELIVERED, assign_host, batch_body, json_batches, meter_by_host, spread,
+                                      write_batches_by_host)
 from docflow.operators.enrich import (GazetteerTagger, entity_sets_of_docs, gazetteer, map_tagger,
                                      tag_entities, tokenize, tokens)
 from docflow.operators.latest import latest_per_key
+from docflow.operators.phrases import tag_phrases
+from docflow.operators.sequence import count_tables, decode, sentences, with_gazetteer_tags
 from docflow.operators.upsert import atomic_add, upsert
-from docflow.plans.delivery import batch_key
-from docflow.plans.enrichment import entity_rows, run_enrichment
+from docflow.plans.delivery import batch_key, hand_over
+from docflow.plans.enrichment import entity_rows, run_enrichment, run_enrichment_at
 from docflow.plans.transfer import TAG_COL, run_transfer, tag_rows, transfer_delta
 from docflow.session import shared_dir, table
-from docflow.sinks.collection import compact, read_bucketed, upsert_path, write_collection
+from docflow.sinks.collection import (atomic_add_path, compact, fold_adds, read_bucketed, stored_newest, upsert_path,
+                                       write_collection)
 from docflow.sources.collection import flatten_arrays, read_collection, read_with_options, top_k
 from docflow.sources.files import file_manifest, read_files
 from docflow.streaming.transfer import dedupe_stream, file_stream, run_to_parquet, stream_transfer
@@ -92,6 +96,14 @@ def q_scan_options(spark, d):
                               "splits_per_shard": "4"})
 
 
+def q_splits_read(spark, d):
+    """A scan in many splits beside one in the session's own; the session is left as it was."""
+    many = read_collection(spark, f"{d}/lineitem.parquet", fields="l_orderkey, l_quantity", splits=16)
+    orders = read_collection(spark, f"{d}/orders.parquet", fields="o_orderkey, o_orderstatus")
+    return (many.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_orderstatus")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity")))
+
+
 def q_field_exists(spark, d):
     docs = _t(spark, d, "documents").select("doc_id")
     joined = docs.join(_t(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
@@ -225,6 +237,28 @@ def q_transfer_rows_zoned(spark, d):
     return _transferred(spark, d, zoned).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def _full_run(spark, d):
+    path = _loaded_destination(spark, d, LO)
+    return path, run_transfer(spark, _events(spark, d), path, ts_col="ts", key="event_id", new_only=False,
+                              run_id=RUN_ID, buckets=8)
+
+
+def q_full_transfer_rows(spark, d):
+    """R2: a full run over a loaded destination, read back whole."""
+    return read_bucketed(spark, _full_run(spark, d)[0]).select(*EVENT_COLS, TAG_COL)
+
+
+def q_full_transfer_report(spark, d):
+    """Of a full run, rows observed while reading against rows counted at rest."""
+    return _full_run(spark, d)[1].to_df(spark).select("run_id", "found", "written", "before", "after", "lost")
+
+
+def q_watermark_at_rest(spark, d):
+    """A2 from the zone maps of a stored destination."""
+    path = _loaded_destination(spark, d, LO)
+    return spark.range(1).select(stored_newest(spark, path, "ts").lit("timestamp_ntz").alias("newest"))
+
+
 def q_tag_rows(spark, d):
     return tag_rows(_events(spark, d), RUN_ID).select("event_id", TAG_COL)
 
@@ -281,7 +315,7 @@ def q_upsert_at_rest(spark, d):
     return read_bucketed(spark, path).select(*UPSERT_COLS)
 
 
-def q_atomic_add(spark, d):
+def _add_inputs(spark, d):
     docs = _t(spark, d, "documents")
     dest = docs.select(F.col("doc_id").cast("string").alias("id"), "lang",
                        F.array(F.col("lang")).alias("tags_ss"))
@@ -292,10 +326,28 @@ def q_atomic_add(spark, d):
     fresh = _t(spark, d, "benchmark").select(
         F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("id"),
         F.array(F.lit("benchmark")).alias("tags_ss"))
+    return dest, labels, fresh
+
+
+def q_atomic_add(spark, d):
+    dest, labels, fresh = _add_inputs(spark, d)
     out = atomic_add(dest, labels.unionByName(fresh), "id", ["tags_ss"])
     return out.select("id", "lang", F.array_join(F.array_sort("tags_ss"), " ").alias("tags"))
 
 
+def q_atomic_add_at_rest(spark, d):
+    """J2 at rest: two batches of adds, the first one folded and sent again, read back with the second still in the log."""
+    dest, labels, fresh = _add_inputs(spark, d)
+    path = shared_dir(spark, "adds")
+    upsert_path(spark, path, dest, "id", buckets=8)
+    atomic_add_path(spark, path, labels, ["tags_ss"], batch_id="labels")
+    fold_adds(spark, path)
+    atomic_add_path(spark, path, labels, ["tags_ss"], batch_id="labels")
+    atomic_add_path(spark, path, fresh, ["tags_ss"], batch_id="benchmark")
+    out = read_bucketed(spark, path)
+    return out.select("id", "lang", F.array_join(F.array_sort("tags_ss"), " ").alias("tags"))
+
+
 def q_write_batches(spark, d):
     path = shared_dir(spark, "batches")
     write_collection(_events(spark, d), path, mode="overwrite", batch_size=1000)
@@ -379,6 +431,48 @@ def q_enrichment_job(spark, d):
     return out.select("id", "lang", _joined("location_ss"), _joined("organization_ss"), _joined("person_ss"))
 
 
+def q_enrichment_at_rest(spark, d):
+    """R6 into a stored destination: the words found are added to its rows."""
+    docs = _t(spark, d, "documents")
+    path = shared_dir(spark, "enriched")
+    none = F.array().cast("array<string>")
+    upsert_path(spark, path, docs.select(
+        F.col("doc_id").cast("string").alias("id"), "lang", none.alias("location_ss"),
+        F.array(F.concat(F.lit("src:"), F.col("source"))).alias("organization_ss"), none.alias("person_ss")), "id", buckets=8)
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("body_t"))
+    run_enrichment_at(spark, texts, GAZETTEER, path, batch_id=RUN_ID)
+    out = read_bucketed(spark, path)
+    return out.select("id", "lang", _joined("location_ss"), _joined("organization_ss"), _joined("person_ss"))
+
+
+def _phrases(spark, d) -> DataFrame:
+    """Part names (class PART) and runs of two to four words of benchmark texts, some within others (BENCHMARK)."""
+    words = tokenize("text")
+    runs = F.array(*[F.array_join(F.slice(words, a, n), " ") for a, n in ((1, 2), (1, 4), (2, 2), (3, 3), (5, 1))])
+    bench = _t(spark, d, "benchmark").select(F.explode(runs).alias("phrase"), F.lit("BENCHMARK").alias("entity_class"))
+    parts = _t(spark, d, "part").select(F.col("p_name").alias("phrase"), F.lit("PART").alias("entity_class"))
+    return parts.unionByName(bench)
+
+
+def q_entity_phrases(spark, d):
+    """J3 with entities of several words: in documents, and in the part names of each order as one text."""
+    docs = _t(spark, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text")
+    names = (_t(spark, d, "lineitem").join(_t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+             .groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list("p_name")), " ").alias("text")))
+    texts = docs.unionByName(names.select(F.concat(F.lit("o"), F.col("l_orderkey")).alias("id"), "text"))
+    return tag_phrases(texts, _phrases(spark, d))
+
+
+def q_sequence_tagger(spark, d):
+    """U1 with context: tables counted from the word list's classes, then the best path of every sentence."""
+    entries = dict(GAZETTEER)
+    parts = sentences(_t(spark, d, "documents").where("doc_id IS NOT NULL"), "doc_id", "text")
+    tables = count_tables(with_gazetteer_tags(parts, entries, "O"), sorted({*entries.values(), "O"}))
+    tagged = decode(parts, tables).select(F.col("id").alias("doc_id"), F.explode(F.arrays_zip("words", "tags")).alias("t"))
+    return tagged.groupBy("doc_id", F.col("t.tags").alias("entity_class")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("t.words").alias("words"))
+
+
 # ---- delivery ----------------------------------------------------------------------
 
 def _pages(spark, d):
@@ -404,11 +498,38 @@ def q_batch_delivery(spark, d):
     pages = pages.withColumn("lot", F.col("page_id") % PAGE_FOLDERS)
     batches = json_batches(pages, "lot", "page_id", JSON_BATCH_ROWS, cols=["page_id", "origin", "chars"])
     rows = batches.select(batch_key("lot").alias("batch"), batch_body("docs").alias("body"))
-    back = write_batches_by_host(rows, shared_dir(spark, "hand-over"), HOSTS)
+    return _metered(write_batches_by_host(rows, shared_dir(spark, "hand-over"), HOSTS))
+
+
+def _metered(back: DataFrame) -> DataFrame:
+    """A7 over handed-over batches: per host its batches, documents and characters."""
     docs = F.from_json("body", "array<struct<page_id:bigint,origin:string,chars:int>>")
-    return back.select("host", docs.alias("docs")).groupBy("host").agg(
-        F.count(F.lit(1)).alias("batches"), F.sum(F.size("docs")).cast("long").alias("documents"),
-        F.sum(F.aggregate("docs", F.lit(0).cast("long"), lambda a, x: a + x["chars"])).cast("long").alias("chars"))
+    sent = back.select("host", docs.alias("docs")).select(
+        "host", F.lit(DELIVERED).alias("status"), F.lit(1).alias("attempts"), F.size("docs").alias("documents"),
+        F.aggregate("docs", F.lit(0).cast("long"), lambda a, x: a + x["chars"]).alias("chars"))
+    chars = sent.groupBy("host").agg(F.sum("chars").cast("long").alias("chars"))
+    meter = meter_by_host(sent, "documents")
+    return meter.join(chars, "host").select("host", F.col("attempts").alias("batches"), F.col("delivered").alias("documents"), "chars")
+
+
+def q_resumed_delivery(spark, d):
+    """Pages handed over with a ledger in two runs; the second finds a tenth of them changed and sends only those."""
+    pages = _pages(spark, d).select(F.col("page_id").cast("string").alias("batch"), F.col("html").alias("body"))
+    changed = pages.withColumn("body", F.when(F.col("batch").cast("long") % 10 == 0, F.concat("body", F.lit("!"))).otherwise(F.col("body")))
+    ledger = shared_dir(spark, "ledger")
+    runs = [(f"run-{k}", hand_over(rows, shared_dir(spark, "hand-over"), HOSTS, ledger, f"run-{k}"))
+            for k, rows in enumerate((pages, pages, changed))]
+    sent = None
+    for name, back in runs:
+        mine = back.select(F.lit(name).alias("run"), "host", F.length("body").alias("chars"))
+        sent = mine if sent is None else sent.unionByName(mine)
+    return sent.groupBy("run", "host").agg(F.count(F.lit(1)).alias("sent"), F.sum("chars").cast("long").alias("chars"))
+
+
+def q_match_all(spark, d):
+    """Every row, spread over tasks as a delivery is."""
+    ev = _events(spark, d).filter(match_all())
+    return spread(ev, 10).select("event_id", "event_type")
 
 
 def q_json_batches(spark, d):
@@ -458,10 +579,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_lines": q_flatten_lines,
     "file_manifest": q_file_manifest,
     "watermark_newest": q_watermark_newest,
+    "watermark_at_rest": q_watermark_at_rest,
     "watermark_fallback": q_watermark_fallback,
     "new_rows_count": q_new_rows_count,
     "incremental_transfer": q_incremental_transfer,
     "full_transfer": q_full_transfer,
+    "full_transfer_rows": q_full_transfer_rows,
+    "full_transfer_report": q_full_transfer_report,
     "transfer_report": q_transfer_report,
     "transfer_noop": q_transfer_noop,
     "transfer_rows": q_transfer_rows,
@@ -474,19 +598,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_by_key": q_upsert_by_key,
     "upsert_at_rest": q_upsert_at_rest,
     "atomic_add": q_atomic_add,
+    "atomic_add_at_rest": q_atomic_add_at_rest,
     "write_batches": q_write_batches,
     "compaction": q_compaction,
     "tokenize_counts": q_tokenize_counts,
     "entity_tags": q_entity_tags,
     "entity_tags_table": q_entity_tags_table,
+    "entity_phrases": q_entity_phrases,
     "entity_sets": q_entity_sets,
     "entity_pivot": q_entity_pivot,
     "udf_tagger": q_udf_tagger,
+    "sequence_tagger": q_sequence_tagger,
     "enrichment_job": q_enrichment_job,
+    "enrichment_at_rest": q_enrichment_at_rest,
     "delivery_requests": q_delivery_requests,
     "url_origin": q_url_origin,
     "delivery_assign": q_delivery_assign,
     "batch_delivery": q_batch_delivery,
+    "resumed_delivery": q_resumed_delivery,
+    "match_all": q_match_all,
+    "splits_read": q_splits_read,
     "json_batches": q_json_batches,
     "json_parse": q_json_parse,
     "stream_transfer": q_stream_transfer,

@@ -1,18 +1,26 @@
-"""Directory and table delivery jobs."""
+"""Directory and table delivery jobs (R5), and the ledger that makes them resumable.
+
+The ledger is a stored collection (request key, digest of what was sent, run).
+A job sends the anti-join of its requests with it and then enters what was
+delivered, so a second hand-over of the same rows sends nothing and a changed
+row is sent alone. Entries are made after the sending: a job that dies in
+between sends the requests it had not entered again (at least once).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions.urls import request_target
 from docflow.operators.deliver import (DELIVERED, FAILED, LAST_HOST_RETRY_WAIT_S, batch_body, deliver,
-                                      json_batches, meter_by_host)
+                                      json_batches, meter_by_host, write_batches_by_host)
 from docflow.operators.transports import HttpTransport
 from docflow.session import shared_dir
+from docflow.sinks.collection import collection_exists, read_bucketed, upsert_path
 from docflow.sources.files import read_files
 
 DEFAULT_HOST = "http://localhost:8764"
@@ -26,6 +34,53 @@ def build_requests(df: DataFrame, *, id_col: str, path_col: str, body_col: str,
                      F.col(body_col).alias("body"))
 
 
+LEDGER_BUCKETS = 64
+
+
+def content_digest(*columns: str) -> Column:
+    """SHA-256 over the columns, each with its length, so that no two contents run together."""
+    part = lambda c: F.coalesce(F.concat(F.octet_length(F.col(c).cast("binary")).cast("string"), F.lit(":"),
+                                         F.sha2(F.col(c).cast("binary"), 256)), F.lit("-"))
+    return F.sha2(F.concat(*[part(c) for c in columns]).cast("binary"), 256)
+
+
+def unsent(requests: DataFrame, ledger: str, key_col: str, content_cols: Sequence[str]) -> DataFrame:
+    """``requests`` that the ledger does not hold with this content, with their ``_digest``.
+
+    Only keys and digests meet the ledger; a null key is the empty key.
+    """
+    spark = requests.sparkSession
+    mine = requests.withColumn("_digest", content_digest(*content_cols)).withColumn(
+        "_sent_key", F.coalesce(F.col(key_col).cast("string"), F.lit("")))
+    if not collection_exists(spark, ledger):
+        return mine
+    entered = read_bucketed(spark, ledger).select(F.col("key").alias("_k"), F.col("digest").alias("_d"))
+    return mine.join(entered, (F.col("_sent_key") == F.col("_k")) & (F.col("_digest") == F.col("_d")), "left_anti")
+
+
+def enter(ledger: str, sent: DataFrame, run_id: str) -> None:
+    """Enter requests (``_sent_key``, ``_digest``) as delivered by ``run_id``; a key's newest content stands."""
+    rows = sent.groupBy(F.col("_sent_key").alias("key")).agg(F.max("_digest").alias("digest"))
+    upsert_path(sent.sparkSession, ledger, rows.withColumn("run", F.lit(run_id)), "key", buckets=LEDGER_BUCKETS)
+
+
+def hand_over(batches: DataFrame, path: str, hosts: Sequence[str], ledger: str, run_id: str, *, key_col: str = "batch",
+              body_col: str = "body") -> DataFrame:
+    """K7/K8 with a ledger: the batches not handed over yet, written to their host's sub-folder and read back.
+
+    They are staged first, so what is entered is what was written.
+    """
+    spark = batches.sparkSession
+    stage = shared_dir(spark, "unsent")
+    unsent(batches.select(F.col(key_col).alias("batch"), F.col(body_col).alias("body")), ledger, "batch", ["body"]).write.parquet(stage)
+    new = spark.read.parquet(stage)
+    if new.isEmpty():
+        return spark.createDataFrame([], "host string, batch string, body string")
+    back = write_batches_by_host(new.select("batch", "body"), path, hosts)
+    enter(ledger, new, run_id)
+    return back
+
+
 @dataclass
 class DeliveryResult:
     found: int
@@ -40,14 +95,17 @@ def run_delivery(spark: SparkSession, path: str, collection: str, *, pipeline: s
                  transport_factory: Callable[[], object] = HttpTransport,
                  partitions: int | None = None, glob: str | None = None,
                  max_bytes: int | None = None, recursive: bool = False, retry_wait_s: float = LAST_HOST_RETRY_WAIT_S,
-                 fail_on_error: bool = False, report_path: str | None = None) -> DeliveryResult:
+                 fail_on_error: bool = False, report_path: str | None = None,
+                 ledger: str | None = None, run_id: str = "") -> DeliveryResult:
     """Send every file of a directory to the indexing endpoint.
 
     Files are listed and read by ``binaryFile`` on the executors; one
     request per file, one report row per file. The report is computed by a
     single action and written to ``report_path`` (default: a new folder under
     the shared checkpoint folder), so neither counting it nor losing an
-    executor makes Spark recompute the plan and send the files again.
+    executor makes Spark recompute the plan and send the files again. With a
+    ``ledger`` only files that it does not hold with this content are sent
+    (``found`` counts those), and the delivered ones are entered.
     """
     files = read_files(spark, path, glob=glob, recursive=recursive)
     skipped = None
@@ -61,6 +119,11 @@ def run_delivery(spark: SparkSession, path: str, collection: str, *, pipeline: s
     requests = build_requests(files, id_col="path", path_col="path", body_col="content",
                               pipeline=pipeline or collection, collection=collection,
                               parser=parser or collection)
+    if ledger is not None:
+        requests = unsent(requests, ledger, "path", ["target", "body"])
+        digests = shared_dir(spark, "digests")
+        requests.select("path", "_sent_key", "_digest").write.parquet(digests)
+        requests = requests.join(spark.read.parquet(digests).select("path"), "path", "left_semi")
     report = deliver(requests, id_col="path", target_col="target", body_col="body", hosts=hosts,
                      transport_factory=transport_factory, partitions=partitions,
                      retry_wait_s=retry_wait_s, fail_on_error=fail_on_error)
@@ -69,6 +132,9 @@ def run_delivery(spark: SparkSession, path: str, collection: str, *, pipeline: s
     if skipped is not None:
         skipped.write.mode("append").parquet(report_path)
     report = spark.read.parquet(report_path)
+    if ledger is not None:
+        arrived = report.where(F.col("status") == DELIVERED).select("path")
+        enter(ledger, spark.read.parquet(digests).join(arrived, "path", "left_semi"), run_id)
     counts = report.agg(F.count(F.lit(1)).alias("n"),
                         F.count(F.when(F.col("status") == DELIVERED, 1)).alias("ok"),
                         F.count(F.when(F.col("status") == FAILED, 1)).alias("bad")).first()

@@ -11,6 +11,7 @@ from docflow.functions.predicates import field_exists
 from docflow.operators.enrich import (BROADCAST_MAX_BYTES, ENTITY_FIELDS, entity_columns,
                                      read_gazetteer, tag_entities, tokenize)
 from docflow.operators.upsert import atomic_add
+from docflow.sinks.collection import atomic_add_path
 from docflow.sources.collection import flatten_arrays
 
 
@@ -40,3 +41,13 @@ def run_enrichment(spark: SparkSession, docs: DataFrame, entries: DataFrame | st
     """
     found = entity_rows(docs, read_gazetteer(spark, entries), id_col=id_col, text_col=text_col)
     return atomic_add(destination, found, id_col, [name for _, name in ENTITY_FIELDS], distinct=distinct)
+
+
+def run_enrichment_at(spark: SparkSession, docs: DataFrame, entries: DataFrame | str | Iterable[tuple[str, str]],
+                      path: str, *, batch_id: str, id_col: str = "id", text_col: str = "body_t") -> bool:
+    """R6 into the stored collection at ``path``: the words found are sent as adds, once per ``batch_id``.
+
+    Documents without an entity add nothing; those that are not stored become rows.
+    """
+    found = entity_rows(docs, read_gazetteer(spark, entries), id_col=id_col, text_col=text_col)
+    return atomic_add_path(spark, path, found, [name for _, name in ENTITY_FIELDS], batch_id=batch_id, distinct=True)

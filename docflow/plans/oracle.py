@@ -95,6 +95,74 @@ UPSERT_SQL = (
     "SELECT * FROM d WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.event_id = d.event_id) "
     "UNION ALL SELECT * FROM u")
 
+def _entity_phrases() -> str:
+    words = lambda c: f"regexp_extract_all({c}, '[\\p{{L}}\\p{{N}}]+')"
+    runs = ", ".join(f"array_to_string(w[{a}:{a + n - 1}], ' ')" for a, n in ((1, 2), (1, 4), (2, 2), (3, 3), (5, 1)))
+    return f"""
+        WITH RECURSIVE names AS (
+            SELECT array_to_string({words('p_name')}, ' ') AS phrase, 'PART' AS entity_class FROM part UNION ALL
+            SELECT unnest([{runs}]), 'BENCHMARK' FROM (SELECT {words('text')} AS w FROM benchmark)),
+        phrases AS (SELECT phrase, max(entity_class) AS entity_class FROM names WHERE phrase <> '' GROUP BY phrase),
+        texts AS (SELECT 'd' || doc_id AS id, text FROM documents UNION ALL
+                  SELECT 'o' || l_orderkey, string_agg(p_name, ' ' ORDER BY p_name) FROM lineitem
+                  JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey),
+        docs AS (SELECT row_number() OVER () AS r, id, {words('text')} AS w FROM texts),
+        spots AS (SELECT r, id, w, unnest(range(len(w))) AS pos FROM docs),
+        spans AS (SELECT r, id, pos, width, array_to_string(w[pos + 1:pos + width], ' ') AS phrase
+                  FROM (SELECT *, unnest(range(1, least(4, len(w) - pos) + 1)) AS width FROM spots)),
+        found AS MATERIALIZED (SELECT r, id, pos, max(width) AS width FROM spans JOIN phrases USING (phrase) GROUP BY r, id, pos),
+        follows AS MATERIALIZED (SELECT a.r, a.pos, min(b.pos) AS next FROM found a
+                    LEFT JOIN found b ON b.r = a.r AND b.pos >= a.pos + a.width GROUP BY a.r, a.pos),
+        kept(r, pos) AS (SELECT r, min(pos) FROM found GROUP BY r
+                         UNION ALL SELECT k.r, f.next FROM kept k JOIN follows f ON f.r = k.r AND f.pos = k.pos WHERE f.next IS NOT NULL)
+        SELECT s.id, s.pos::BIGINT AS pos, s.width::BIGINT AS width, s.phrase, p.entity_class
+        FROM kept k JOIN found f USING (r, pos) JOIN spans s ON s.r = f.r AND s.pos = f.pos AND s.width = f.width
+        JOIN phrases p USING (phrase)"""
+
+
+def _sequence_tagger() -> str:
+    classes = sorted({c for _, c in C.GAZETTEER} | {"O"})
+    numbered = ", ".join(f"({k}, '{c}')" for k, c in enumerate(classes))
+    n = len(classes)
+    into = lambda k: "[" + ", ".join(f"a.v[{j}] + m[{j}][{k}]" for j in range(1, n + 1)) + "]"
+    values = ", ".join(f"list_max({into(k)}) + x.v[{k}]" for k in range(1, n + 1))
+    backs = ", ".join(f"list_position({into(k)}, list_max({into(k)}))::BIGINT" for k in range(1, n + 1))
+    return f"""
+        WITH {GAZ}, cls(k, c) AS (VALUES {numbered}),
+        docs AS (SELECT row_number() OVER () AS r, doc_id, string_split_regex(text, '[.!?\\n]') AS parts
+                 FROM documents WHERE doc_id IS NOT NULL),
+        sents AS (SELECT r, doc_id, s, regexp_extract_all(parts[s], '[\\p{{L}}\\p{{N}}]+') AS w
+                  FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS s FROM docs)),
+        toks AS MATERIALIZED (SELECT r, doc_id, s, pos, len(w) AS len, w[pos] AS word
+                 FROM (SELECT *, unnest(range(1, len(w) + 1)) AS pos FROM sents)),
+        tagged AS MATERIALIZED (SELECT t.*, coalesce(g.entity_class, 'O') AS c FROM toks t LEFT JOIN g ON g.token = t.word),
+        firsts AS (SELECT cls.k, count(t.c) AS n FROM cls LEFT JOIN (SELECT c FROM tagged WHERE pos = 1) t ON t.c = cls.c GROUP BY cls.k),
+        start AS (SELECT k, round(ln((n + 1)::DOUBLE / (sum(n) OVER () + {n})) * 1000000)::BIGINT AS v FROM firsts),
+        steps AS (SELECT a.c AS a, b.c AS b, count(*) AS n FROM tagged a JOIN tagged b
+                  ON b.r = a.r AND b.s = a.s AND b.pos = a.pos + 1 GROUP BY ALL),
+        pairs AS (SELECT a.k AS a, b.k AS b, coalesce(n, 0) AS n FROM cls a CROSS JOIN cls b
+                  LEFT JOIN steps ON steps.a = a.c AND steps.b = b.c),
+        moves AS MATERIALIZED (SELECT a, b, round(ln((n + 1)::DOUBLE / (sum(n) OVER (PARTITION BY a) + {n})) * 1000000)::BIGINT AS v FROM pairs),
+        vocabulary AS (SELECT DISTINCT word FROM toks),
+        counts AS (SELECT v.word, cls.k, count(t.word) AS n FROM vocabulary v CROSS JOIN cls
+                   LEFT JOIN tagged t ON t.word = v.word AND t.c = cls.c GROUP BY v.word, cls.k),
+        emits AS MATERIALIZED (SELECT word, k, round(ln((n + 1)::DOUBLE / (sum(n) OVER (PARTITION BY k) + (SELECT count(*) FROM vocabulary) + 1))
+                   * 1000000)::BIGINT AS v FROM counts),
+        scores AS MATERIALIZED (SELECT word, list(v ORDER BY k) AS e FROM emits GROUP BY word),
+        fixed AS MATERIALIZED (SELECT (SELECT list(v ORDER BY k) FROM start) AS st,
+                   (SELECT list(row ORDER BY a) FROM (SELECT a, list(v ORDER BY b) AS row FROM moves GROUP BY a)) AS m),
+        lattice AS MATERIALIZED (SELECT r, doc_id, s, list(word ORDER BY pos) AS w, list({{'v': CASE WHEN pos = 1
+                       THEN list_transform(e, lambda x, i: x + st[i]) ELSE e END, 'back': []::BIGINT[][]}} ORDER BY pos) AS l
+                   FROM toks JOIN scores USING (word), fixed GROUP BY r, doc_id, s),
+        walked AS MATERIALIZED (SELECT doc_id, w, list_reduce(l, lambda a, x: {{'v': [{values}],
+                       'back': list_append(a.back, [{backs}])}}) AS z FROM lattice, fixed),
+        paths AS (SELECT doc_id, w, list_reverse(list_reduce([[list_position(z.v, list_max(z.v))::BIGINT]] || list_reverse(z.back),
+                      lambda p, b: list_append(p, b[p[len(p)]]))) AS path FROM walked),
+        words AS (SELECT doc_id, unnest(w) AS word, unnest(path) AS k FROM paths)
+        SELECT doc_id, c AS entity_class, count(*) AS n, count(DISTINCT word) AS words
+        FROM words JOIN cls ON cls.k = words.k - 1 GROUP BY doc_id, c"""
+
+
 SQL: dict[str, str] = {
     "count_collection": "SELECT count(*) AS n FROM documents",
     "scan_project_filter_limit":
@@ -146,6 +214,14 @@ SQL: dict[str, str] = {
         "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity FROM ("
         "SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST, "
         "l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST) AS rn FROM lineitem) WHERE rn = 1",
+    "full_transfer_rows": f"SELECT {EV}, {RUN} AS _xfer_id FROM events",
+    "full_transfer_report":
+        f"SELECT {RUN} AS run_id, count(*) AS found, count(*) AS written, count(*) FILTER (WHERE ts <= {LO}) AS before, "
+        "count(*) AS after, CAST(0 AS BIGINT) AS lost FROM events",
+    "watermark_at_rest": f"SELECT max(ts) AS newest FROM events WHERE ts <= {LO}",
+    "entity_phrases": _entity_phrases(),
+    "sequence_tagger": _sequence_tagger(),
+    "enrichment_at_rest": _enrichment_job(),
     "upsert_by_key": UPSERT_SQL,
     "upsert_at_rest": UPSERT_SQL,
     "atomic_add":
@@ -181,6 +257,17 @@ SQL: dict[str, str] = {
             x=f"CAST(('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 8)) AS BIGINT) % {N_HOSTS}")
         + " AS host FROM pages",
     "batch_delivery": _batch_delivery(),
+    "resumed_delivery":
+        "WITH p AS (SELECT " + HOSTS_SQL.format(
+            x=f"CAST(('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 8)) AS BIGINT) % {N_HOSTS}")
+        + " AS host, page_id, length(html) AS chars FROM pages), "
+        "r AS (SELECT 'run-0' AS run, host, chars FROM p UNION ALL "
+        "SELECT 'run-2', host, chars + 1 FROM p WHERE page_id % 10 = 0) "
+        "SELECT run, host, count(*) AS sent, CAST(sum(chars) AS BIGINT) AS chars FROM r GROUP BY run, host",
+    "match_all": "SELECT event_id, event_type FROM events",
+    "splits_read":
+        "SELECT o_orderstatus, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem "
+        "JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderstatus",
     "file_manifest":
         f"SELECT page_id % {C.PAGE_FOLDERS} AS folder, CAST(sum(strlen(html) + 1) AS BIGINT) AS listed_bytes, "
         "CAST(sum(strlen(html) + 1) AS BIGINT) AS read_bytes FROM pages GROUP BY 1",
@@ -198,3 +285,4 @@ SQL: dict[str, str] = {
         f"FROM events WHERE ts <= {AS_OF}",
     "stream_dedupe": "SELECT event_id, ts, event_type FROM events",
 }
+SQL["atomic_add_at_rest"] = SQL["atomic_add"]

@@ -39,27 +39,34 @@ def read_collection(spark: SparkSession, source: str, *, format: str = "parquet"
     keeps the first rows by ``order_by`` (default: the first field), so the
     result is deterministic. ``splits`` asks for at least so many scan tasks.
     """
-    if splits:
-        _split_scans(spark, int(splits))
     if format == "table":
         df = spark.table(source)
+        if splits and not df.isStreaming:
+            df = df.repartition(int(splits))                # a table's scan is planned by its own session
     else:
-        df = spark.read.format(format).options(**(options or {})).load(source)
+        session = _splitting(spark, int(splits)) if splits else spark
+        df = session.read.format(format).options(**(options or {})).load(source)
     return shape_collection(df, where=where, fields=fields, max_rows=max_rows,
                             order_by=order_by, flatten_multivalued=flatten_multivalued)
 
 
-MIN_SPLITS = "spark.sql.files.minPartitionNum"
+MIN_SPLITS, OPEN_COST = "spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes"
 
 
-def _split_scans(spark: SparkSession, splits: int) -> None:
-    """Ask the session's file scans for at least ``splits`` tasks; no rows move.
+def _splitting(spark: SparkSession, splits: int) -> SparkSession:
+    """A session with this one's settings whose file scans are cut into at least ``splits`` tasks.
 
-    The setting is only ever raised. Small files and a Parquet file's row
-    groups bound how finely a scan can be cut.
+    A file scan keeps the settings of the session that made it, so no rows are
+    moved and the caller's session and its other reads stay as they are. Small
+    files and a Parquet file's row groups bound how finely a scan can be cut.
     """
-    if splits > int(spark.conf.get(MIN_SPLITS, None) or 0):
-        spark.conf.set(MIN_SPLITS, str(splits))
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if own.conf.isModifiable(k) and own.conf.get(k, None) != v:
+            own.conf.set(k, v)
+    own.conf.set(MIN_SPLITS, str(splits))
+    own.conf.set(OPEN_COST, "1")                            # else no split is smaller than 4 MB
+    return own
 
 
 # Option names of the source jobs' reader and the keyword each maps to.

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from docflow.functions.urls import form_encode, request_target, url_origin
@@ -164,3 +166,58 @@ def test_url_origin_edge_cases(spark):
                                "u string")
     got = [r["o"] for r in df.select(url_origin("u").alias("o")).collect()]
     assert got == ["https://Host.Example:443", "http://10.0.0.5:8764", None, None, "http://[2001:db8::1]:8080"]
+
+
+# ---- the ledger ---------------------------------------------------------------------
+
+
+def _handed(spark, rows, out, ledger, run):
+    from docflow.plans.delivery import hand_over
+    df = spark.createDataFrame(rows, "batch string, body string")
+    back = hand_over(df, f"{out}/{run}", ["h0", "h1"], ledger, run)
+    return sorted((r["batch"] or "", r["body"]) for r in back.collect())
+
+
+def test_second_hand_over_sends_nothing_and_a_changed_row_alone(spark, out):
+    rows = [("a", "1"), ("b", "2"), ("c", None), (None, "4")]
+    ledger = f"{out}/ledger"
+    assert len(_handed(spark, rows, out, ledger, "r0")) == 4
+    assert _handed(spark, rows, out, ledger, "r1") == []
+    assert not os.path.exists(f"{out}/r1")
+    changed = [("a", "1"), ("b", "two"), ("c", None), (None, "4"), ("d", "5")]
+    assert _handed(spark, changed, out, ledger, "r2") == [("b", "two"), ("d", "5")]
+    assert _handed(spark, rows, out, ledger, "r3") == [("b", "2")]           # back to what it was: sent again
+
+
+def test_a_hand_over_that_died_before_its_entry_is_made_again(spark, out, monkeypatch):
+    from docflow.plans import delivery
+    rows = [("a", "1"), ("b", "2")]
+    with monkeypatch.context() as m:
+        m.setattr(delivery, "enter", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            _handed(spark, rows, out, f"{out}/ledger", "r0")
+    assert len(_handed(spark, rows, out, f"{out}/ledger", "r1")) == 2
+    assert _handed(spark, rows, out, f"{out}/ledger", "r2") == []
+
+
+def test_content_digests_keep_columns_apart(spark):
+    from docflow.plans.delivery import content_digest
+    df = spark.createDataFrame([("ab", "c"), ("a", "bc"), (None, "abc"), ("", "abc")], "x string, y string")
+    assert df.select(content_digest("x", "y").alias("d")).distinct().count() == 4
+
+
+def test_files_are_sent_once_with_a_ledger(spark, out):
+    from docflow.plans.delivery import run_delivery
+    folder = os.path.join(out, "files")
+    os.makedirs(folder)
+    for k in range(4):
+        with open(os.path.join(folder, f"f{k}.txt"), "w") as f:
+            f.write(f"body {k}")
+    send = lambda run: run_delivery(spark, folder, "docs", hosts=["http://ok"], transport_factory=lambda: FlakyTransport(0),
+                                    retry_wait_s=0, ledger=os.path.join(out, "ledger"), run_id=run)
+    assert (lambda r: (r.found, r.delivered))(send("r0")) == (4, 4)
+    assert (lambda r: (r.found, r.delivered))(send("r1")) == (0, 0)
+    with open(os.path.join(folder, "f2.txt"), "w") as f:
+        f.write("another body")
+    again = send("r2")
+    assert (again.found, again.delivered) == (1, 1) and again.report.first()["path"].endswith("f2.txt")

@@ -12,8 +12,7 @@ def test_read_collection_options(spark, out):
                           order_by="id", flatten_multivalued=True).collect()
     assert [(r["id"], r["tags"]) for r in got] == [(5, "a 5"), (6, "a 6"), (7, "a 7")]
     plan = read_collection(spark, f"{out}/c", splits=64)._jdf.queryExecution().toString()
-    assert "RoundRobin" not in plan and spark.conf.get("spark.sql.files.minPartitionNum") == "64"
-    spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert "RoundRobin" not in plan and spark.conf.get("spark.sql.files.minPartitionNum", None) is None
     df.createOrReplaceTempView("coll_view")
     assert read_collection(spark, "coll_view", format="table", where=F.col("id") < 3).count() == 3
 
@@ -45,3 +44,13 @@ def test_read_with_option_map(spark, out):
     for bad in ({"filter": "id < 3"}, {"solr.params": "sort=id"}):
         with pytest.raises(ValueError):
             read_with_options(spark, f"{out}/notes", bad)
+
+
+def test_splits_are_those_of_one_read(spark, out):
+    df = spark.range(200_000).withColumn("v", F.sha2(F.col("id").cast("string"), 256))
+    df.coalesce(1).write.option("parquet.block.size", 256 * 1024).parquet(f"{out}/c")
+    plain = read_collection(spark, f"{out}/c")
+    before = plain.rdd.getNumPartitions()
+    many = read_collection(spark, f"{out}/c", splits=24)
+    assert many.rdd.getNumPartitions() >= 24 > before == read_collection(spark, f"{out}/c").rdd.getNumPartitions()
+    assert many.join(plain, "id").count() == 200_000
