@@ -2,14 +2,21 @@
 
 Public byte-level vocabularies encode every whole text; characters per token,
 the share of byte-fallback tokens (single bytes that are no characters) and the
-entropy of the tokens are compared with bands for the text's main script. A
-text is rejected if it leaves the bands under every vocabulary: odd to one
-vocabulary alone is no reason. Word, line and repetition counts come along for
-the base rules. All of it is a narrow, Arrow-batched map (no shuffle).
+entropy of the tokens are compared with bands for the text's main script. The
+bands are learned from the corpus: quartiles, per script and vocabulary, over
+all documents that pass the base rules, widened by multiples of the distance
+between them; a script with few such documents has a fixed band. Of the
+vocabularies, the one whose characters per token vary least over a script's
+documents (relative to the median) judges that script: a vocabulary that
+splits it into bytes says little about it. Measuring is a narrow,
+Arrow-batched map; learning shuffles one quantile sketch per task, script and
+vocabulary, and a few numbers per script come to the driver.
 
 Defined results: a null or empty text has no words, no tokens, script ``none``
-and null measures, and no vocabulary accepts it; repeated rows measure alike;
-the new columns replace those of their names.
+and null measures, and no vocabulary accepts it; repeated rows measure alike
+and each counts; the new columns replace those of their names; an empty table
+learns nothing, so the fixed bands hold. Bands follow the middle half of a
+script's documents: a corpus of which a quarter is junk widens them.
 """
 
 from __future__ import annotations
@@ -45,21 +52,33 @@ class Band:
     """What a text of a script may measure under a vocabulary."""
 
     least_chars: float
-    most_chars: float
-    most_fallback: float
+    most_chars: float = 12.0
+    most_fallback: float = 1.0
     least_entropy: float = 2.0
+    most_entropy: float = 16.0
 
 
-#: Bands by script. Scripts that public vocabularies split into bytes get wider ones.
+#: Bands by script under a vocabulary of many languages, for scripts that the corpus has few documents of.
+#: The least characters per token lie between those of prose and of random letters of the script.
 BANDS = {
-    "latin": Band(1.5, 9.0, 0.35),
-    "cyrillic": Band(0.45, 9.0, 0.9),
-    "greek": Band(0.45, 9.0, 0.9),
-    "han": Band(0.25, 5.0, 1.0),
-    "kana": Band(0.25, 5.0, 1.0),
-    "hangul": Band(0.25, 5.0, 1.0),
+    "latin": Band(1.75, 9.0, 0.2),
+    "cyrillic": Band(2.0, 9.0, 0.2),
+    "greek": Band(1.55, 9.0, 0.2),
+    "han": Band(0.7, 5.0, 0.45),
+    "kana": Band(1.1, 5.0, 0.15),
+    "hangul": Band(1.0, 5.0, 0.4),
+    "arabic": Band(1.45, 9.0, 0.2),
+    "hebrew": Band(1.5, 9.0, 0.2),
+    "indic": Band(0.78, 9.0, 0.4),
+    "thai": Band(1.0, 9.0, 0.2),
 }
-OTHER_BAND = Band(0.2, 9.0, 1.0)
+OTHER_BAND = Band(0.4, 12.0, 0.9)
+
+#: Documents of a script from which its bands are learned.
+SUPPORT = 100
+#: How far a band reaches beyond the quartiles, in distances between them (Tukey's fences: 1.5 is outside, 3 far out).
+#: Few characters per token are what junk and gibberish have, so that side is the narrow one.
+FENCE, FAR_FENCE = 1.5, 3.0
 
 
 def main_script(text: str) -> str:
@@ -176,19 +195,52 @@ def measure(df: DataFrame, vocabularies: dict[str, str], pattern: str, text_col:
     return read.mapInArrow(run, T.StructType([*kept, *new]))
 
 
-def accepted(bands: dict[str, Band] = BANDS, other: Band = OTHER_BAND) -> Column:
-    """Whether some vocabulary finds the text inside the bands of its script (columns of ``measure``)."""
+@dataclass(frozen=True)
+class Judge:
+    """The vocabulary that judges a script, and its band."""
+
+    vocabulary: str
+    band: Band
+
+
+def learn(measured: DataFrame, support: int = SUPPORT) -> dict[str, Judge]:
+    """The judge of every script with ``support`` documents that pass the base rules (columns of ``measure``)."""
+    rows = measured.where(~base_failed()).select("script", F.explode("measures").alias("m")).where("m.n_tokens > 0")
+    quartiles = lambda c: F.percentile_approx(f"m.{c}", [0.25, 0.5, 0.75], 10000).alias(c)
+    found = rows.groupBy("script", "m.vocabulary").agg(
+        F.count("*").alias("n"), *(quartiles(c) for c in ("chars_per_token", "fallback_share", "entropy"))).collect()
+    judges: dict[str, tuple[float, Judge]] = {}
+    for r in sorted(found):
+        if r["n"] < support or r["script"] == "none":
+            continue
+        (c1, c2, c3), (f1, _, f3), (e1, _, e3) = r["chars_per_token"], r["fallback_share"], r["entropy"]
+        spread, wide = max(c3 - c1, 0.02 * c2), max(e3 - e1, 0.1)
+        band = Band(c1 - FENCE * spread, c3 + FAR_FENCE * spread, f3 + FAR_FENCE * max(f3 - f1, 0.02),
+                    e1 - FAR_FENCE * wide, e3 + FAR_FENCE * wide)
+        if r["script"] not in judges or (c3 - c1) / c2 < judges[r["script"]][0]:
+            judges[r["script"]] = ((c3 - c1) / c2, Judge(r["vocabulary"], band))
+    return {script: judge for script, (_, judge) in judges.items()}
+
+
+def accepted(learned: dict[str, Judge] | None = None, bands: dict[str, Band] = BANDS, other: Band = OTHER_BAND) -> Column:
+    """Whether the vocabulary that judges a text's script finds it inside the band (columns of ``measure``).
+
+    Scripts that are not ``learned`` are judged by the first vocabulary and ``bands``.
+    """
     def inside(m: Column, band: Band) -> Column:
         return (m["chars_per_token"].between(band.least_chars, band.most_chars)
-                & (m["fallback_share"] <= band.most_fallback) & (m["entropy"] >= band.least_entropy))
+                & (m["fallback_share"] <= band.most_fallback) & m["entropy"].between(band.least_entropy, band.most_entropy))
 
-    def fits(band: Band) -> Column:
-        return F.coalesce(F.exists("measures", lambda m: inside(m, band)), F.lit(False))
+    def fits(judge: Judge) -> Column:
+        return F.coalesce(F.exists("measures", lambda m: (m["vocabulary"] == judge.vocabulary) & inside(m, judge.band)), F.lit(False))
 
+    first = lambda band: F.coalesce(inside(F.col("measures")[0], band), F.lit(False))
     out = F.when(F.lit(False), False)
+    for script, judge in (learned or {}).items():
+        out = out.when(F.col("script") == script, fits(judge))
     for script, band in bands.items():
-        out = out.when(F.col("script") == script, fits(band))
-    return out.otherwise(fits(other))
+        out = out.when(F.col("script") == script, first(band))
+    return out.otherwise(first(other))
 
 
 def base_failed() -> Column:

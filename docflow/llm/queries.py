@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docflow.llm import (bpe, decontaminate, exactdedup, fertility, htmltext, jaccard, langid, licences, merkle, pii, toxicity,
                          warc, whitening)
-from docflow.llm.common import id_bucket
+from docflow.llm.common import id_bucket, staged
 from docflow.session import shared_dir, table
 
 BYTE_VOCABULARIES = {n: public_tokenizers.path(f"{n}.tiktoken") for n in ("byte_bpe_multi_50k", "byte_bpe_50k")}
@@ -65,9 +65,10 @@ def op6_language_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, line and repetition counts of every document and whether it is kept."""
     docs = table(spark, sf_dir, "documents")
-    rows = fertility.measure(docs, BYTE_VOCABULARIES, public_tokenizers.PATTERN, keep=["doc_id"])
+    rows = staged(fertility.measure(docs, BYTE_VOCABULARIES, public_tokenizers.PATTERN, keep=["doc_id"]), "fertility")
+    accepted = fertility.accepted(fertility.learn(rows))
     return rows.select("doc_id", *fertility.COUNTS, fertility.base_failed().alias("base_failed"),
-                       (~fertility.base_failed() & fertility.accepted()).alias("kept"))
+                       (~fertility.base_failed() & accepted).alias("kept"))
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,6 @@
+import math
+import random
+
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
@@ -29,11 +32,11 @@ def test_counts_on_the_small_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     got = measured(spark, rows)
     assert all(tuple(r[c] for c in fertility.COUNTS) == fertility_counts(r["text"]) for r in got)
-    assert all(r["ok"] for r in got if not r["failed"])     # clean prose is inside the bands
+    # clean prose is inside the bands; texts whose words all carry symbols are not prose
+    assert all(r["ok"] for r in got if not r["failed"] and 2 * r["n_symbols"] < r["n_words"])
 
 
 def test_measures_match_the_encoding():
-    import math
     from collections import Counter
     tool = fertility._vocabulary(BYTE_VOCABULARIES["byte_bpe_multi_50k"], P.PATTERN)
     text = "Plain words, ünïcode 漢字 and 😀😀 emoji"
@@ -53,13 +56,85 @@ def test_main_script(text, script):
     assert fertility.main_script(text) == script
 
 
-def test_bands_reject_under_every_vocabulary_only(spark):
-    rows = [(1, "plain prose with many different words in it " * 3), (2, "\x80\x81" * 200 + "q"),
-            (3, "zq" * 3000), (4, "Быстрая лиса прыгает через ленивую собаку снова и снова")]
-    got = {r["doc_id"]: r["ok"] for r in measured(spark, rows)}
-    assert got[1] and got[4] and not got[3]
+#: Prose in several scripts, and the code points of their letters.
+PROSE = {
+    "cyrillic": ("Утром мы вышли из дома и пошли к реке, где нас уже ждали друзья. Вода была холодной, но дети всё равно хотели купаться.", 0x430, 0x450),
+    "greek": ("Το πρωί βγήκαμε από το σπίτι και πήγαμε στο ποτάμι, όπου μας περίμεναν οι φίλοι μας. Το νερό ήταν κρύο.", 0x3B1, 0x3CA),
+    "han": ("早上我们离开家去河边，朋友们已经在那里等我们。水很冷，但是孩子们还是想游泳，他们笑了很久。后来大家一起吃午饭，谈论明天的工作。", 0x4E00, 0x9FA0),
+    "kana": ("朝、私たちは家を出て川へ行きました。友だちはもうそこで待っていました。水は冷たかったけれど、子どもたちは泳ぎたがっていました。", 0x3041, 0x3097),
+    "hangul": ("아침에 우리는 집을 나와 강으로 갔습니다. 친구들이 이미 그곳에서 기다리고 있었습니다. 물은 차가웠습니다.", 0xAC00, 0xD7A0),
+    "arabic": ("في الصباح خرجنا من البيت وذهبنا إلى النهر حيث كان الأصدقاء ينتظروننا. كان الماء باردا لكن الأطفال أرادوا السباحة.", 0x627, 0x64B),
+    "hebrew": ("בבוקר יצאנו מהבית והלכנו אל הנהר, שם חיכו לנו החברים. המים היו קרים אבל הילדים רצו לשחות וצחקו הרבה זמן.", 0x5D0, 0x5EB),
+    "indic": ("सुबह हम घर से निकले और नदी की ओर गए, जहाँ मित्र हमारा इंतज़ार कर रहे थे। पानी ठंडा था लेकिन बच्चे तैरना चाहते थे।", 0x905, 0x93A),
+    "thai": ("ตอนเช้าเราออกจากบ้านและไปที่แม่น้ำ เพื่อนๆ รอเราอยู่ที่นั่นแล้ว น้ำเย็นแต่เด็กๆ ก็ยังอยากว่ายน้ำและหัวเราะกันนาน", 0xE01, 0xE2F),
+    "latin": ("In the morning we left the house and went to the river, where our friends were waiting. The water was cold.", 0x61, 0x7B),
+}
+
+
+def gibberish(rng, low, high, n=120):
+    return " ".join("".join(chr(rng.randrange(low, high)) for _ in range(rng.randrange(5, 10))) for _ in range(n))
+
+
+def test_gibberish_of_every_script_is_rejected_and_prose_kept(spark):
+    rng, rows = random.Random(2), []
+    for k, (text, low, high) in enumerate(PROSE.values()):
+        rows += [(2 * k, text), (2 * k + 1, gibberish(rng, low, high))]
+    got = {r["doc_id"]: r for r in measured(spark, rows)}
+    scripts = list(PROSE)
+    assert [got[2 * k]["script"] for k in range(len(scripts))] == scripts
+    assert [s for k, s in enumerate(scripts) if not got[2 * k]["ok"]] == []
+    assert [s for k, s in enumerate(scripts) if got[2 * k + 1]["ok"]] == []
+
+
+def plain_verdicts(rows, support):
+    """The verdict with exact quartiles, from the counts and measures of every row."""
+    quart = lambda v: [sorted(v)[max(0, math.ceil(p * len(v)) - 1)] for p in (0.25, 0.5, 0.75)]
+    judges = {}
+    passing = [r for r in rows if not (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"])]
+    for script in {r["script"] for r in passing} - {"none"}:
+        best = None
+        mine = [r["measures"] for r in passing if r["script"] == script]
+        if len(mine) < support:
+            continue
+        for place in sorted(range(2), key=lambda p: mine[0][p]["vocabulary"]):
+            m = [x[place] for x in mine]
+            c1, c2, c3 = quart([x["chars_per_token"] for x in m])
+            f1, _, f3 = quart([x["fallback_share"] for x in m])
+            e1, _, e3 = quart([x["entropy"] for x in m])
+            spread, wide = max(c3 - c1, 0.02 * c2), max(e3 - e1, 0.1)
+            if best is None or (c3 - c1) / c2 < best[0]:
+                best = ((c3 - c1) / c2, place, c1 - 1.5 * spread, c3 + 3 * spread, f3 + 3 * max(f3 - f1, 0.02), e1 - 3 * wide, e3 + 3 * wide)
+        judges[script] = best[1:]
+    out = {}
+    for k, r in enumerate(rows):
+        if r["script"] in judges:
+            place, *band = judges[r["script"]]
+            m = r["measures"][place]
+        else:
+            b = fertility.BANDS.get(r["script"], fertility.OTHER_BAND)
+            m, band = r["measures"][0], [b.least_chars, b.most_chars, b.most_fallback, b.least_entropy, b.most_entropy]
+        out[k] = bool(m["n_tokens"]) and (band[0] <= m["chars_per_token"] <= band[1] and m["fallback_share"] <= band[2]
+                                         and band[3] <= m["entropy"] <= band[4])
+    return out
+
+
+def test_learned_bands_against_plain_python(spark):
+    rng = random.Random(7)
+    docs = [(None, r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text").collect()]
+    syllables = [chr(rng.randrange(0x430, 0x450)) + chr(rng.randrange(0x430, 0x450)) for _ in range(12)]
+    docs += [(None, " ".join("".join(rng.choices(syllables, k=rng.randrange(1, 4))) for _ in range(80))) for _ in range(60)]
+    docs += [(None, gibberish(rng, *PROSE[s][1:])) for s in PROSE] + [(None, t) for t, _, _ in PROSE.values()] + [(None, None), (None, "")]
+    df = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(docs)], "doc_id long, text string")
+    rows = fertility.measure(df, BYTE_VOCABULARIES, P.PATTERN).cache()
+    learned = fertility.learn(rows, support=50)
+    got = {r["doc_id"]: r["ok"] for r in rows.withColumn("ok", fertility.accepted(learned)).collect()}
+    assert set(learned) == {"latin", "cyrillic"}
+    assert got == plain_verdicts(sorted(rows.collect(), key=lambda r: r["doc_id"]), 50)
+    only_method = [r for r in rows.where(~fertility.base_failed()).collect() if not got[r["doc_id"]]]
+    assert len(only_method) >= 9                            # rows that the base rules alone would keep
 
 
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert fertility.measure(empty, BYTE_VOCABULARIES, P.PATTERN).where(F.lit(True)).collect() == []
+    assert fertility.learn(fertility.measure(empty, BYTE_VOCABULARIES, P.PATTERN)) == {}
