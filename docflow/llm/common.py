@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from docflow.session import shared_dir, ship_package
 
-#: Rows of a build side that may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 1_000_000
+#: Rows and bytes of a build side that may be broadcast; beyond either the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 #: Bytes of text that one numpy step handles (a longer text is handled alone).
 STEP_BYTES = 1 << 20
@@ -29,12 +29,29 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else as it is.
+def _bytes_of(column: Column, kind: T.DataType) -> Column:
+    """About the bytes that a value takes in memory."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)).cast("long") + 16
+    if isinstance(kind, T.StructType):
+        return sum((_bytes_of(column[f.name], f.dataType) for f in kind.fields), F.lit(16).cast("long"))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.StructType, T.ArrayType)):
+            held = F.aggregate(column, F.lit(0).cast("long"), lambda total, x: total + _bytes_of(x, kind.elementType))
+            return F.coalesce(held, F.lit(0).cast("long")) + 24
+        return F.greatest(F.size(column), F.lit(0)).cast("long") * 8 + 24
+    return F.lit(8).cast("long")
 
-    ``df`` should be a stage table, so that counting reads footers only.
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its rows and their summed bytes are within the bounds, else as it is.
+
+    ``df`` should be a stage table: it is counted, and its bytes are summed if the count is within the bound.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    if df.count() > max_rows:
+        return df
+    width = sum((_bytes_of(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(32).cast("long"))
+    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= max_bytes else df
 
 
 def ready(spark: SparkSession) -> None:

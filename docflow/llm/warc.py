@@ -25,7 +25,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docflow.llm.common import small_side, staged
-from docflow.session import hadoop_fs
 
 MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
@@ -51,23 +50,35 @@ def _header(name: str, value: Column) -> Column:
     return F.when(value.isNull(), "").otherwise(F.concat(F.lit(name + ": "), value.cast("string"), F.lit("\r\n")))
 
 
+def _record_id(page_id: Column) -> Column:
+    """The record id (as a UUID) of a payload that others refer to, from its page's id and digest."""
+    name = F.md5(F.concat_ws(":", page_id.cast("string"), F.col("digest")).cast("binary"))
+    return F.concat_ws("-", *[F.substring(name, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+
+
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
                payload_col: str = "html", min_bytes: int = 1000) -> None:
     """Write a record for every row of ``pages`` into archive files under ``path``."""
     rows = _payloads(pages, id_col, url_col, payload_col)
     originals = staged(_originals(rows, min_bytes), "originals")
-    marked = rows.join(small_side(originals), "digest", "left")
+    # ids and digests meet the originals; bodies then meet one row of their page and digest, so a payload
+    # that many pages share is no hot key, and they only move if the table of copies is too large to send
+    copies = rows.select("page_id", "digest").join(small_side(originals), "digest").distinct()
+    copies = small_side(staged(copies.select(F.col("page_id").alias("copy_id"), F.col("digest").alias("copy_digest"), "refers_to"), "copies"))
+    marked = rows.join(copies, F.col("page_id").eqNullSafe(F.col("copy_id")) & (F.col("digest") == F.col("copy_digest")), "left")
     revisit = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     body = F.when(revisit, F.lit(b"")).otherwise(F.col("body"))
     url = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     record = F.concat(
         F.lit(MAGIC), F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response"), F.lit("\r\n"),
-        F.lit("WARC-Record-ID: <urn:uuid:"), F.uuid(), F.lit(">\r\n"),
+        F.lit("WARC-Record-ID: <urn:uuid:"),
+        F.when(F.col("refers_to").isNotNull() & ~revisit, _record_id(F.col("page_id"))).otherwise(F.uuid()), F.lit(">\r\n"),
         F.lit("WARC-Date: "), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("\r\n"),
         F.when(revisit, f"WARC-Profile: {PROFILE}\r\n").otherwise(""),
         _header("WARC-Target-URI", url), _header("X-Page-ID", F.col("page_id")),
         F.lit("WARC-Payload-Digest: sha1:"), F.col("digest"), F.lit("\r\n"),
         _header("X-Payload-Length", F.col("bytes")),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:uuid:"), _record_id(F.col("refers_to")), F.lit(">\r\n"))).otherwise(""),
         _header("X-Refers-To-Page-ID", F.when(revisit, F.col("refers_to"))),
         F.lit("Content-Type: text/html; charset=utf-8\r\nContent-Length: "),
         F.octet_length(body).cast("string"), F.lit(END))
@@ -151,8 +162,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     a revisit, length and digest are those its header names. A record whose
     payload holds the magic line is put together from its segments.
     """
-    fs, jpath = hadoop_fs(spark, path)
-    if not any(s.getPath().getName().startswith("part-") for s in fs.listStatus(jpath)):
+    # Spark reads every file whose name and folders are not hidden, whatever the archives are called
+    if not spark.read.schema("value string").option("recursiveFileLookup", "true").text(path).inputFiles():
         return spark.createDataFrame([], "file string, offset long, record_type string, page_id long, url string, "
                                          "payload_bytes long, payload_digest string, refers_to long")
     heads = ["head", "head_bytes", "content", "whole", "sha1"]

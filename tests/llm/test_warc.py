@@ -100,3 +100,30 @@ def test_a_chain_that_breaks_is_an_error(spark, out):
     (Path(out) / "w" / "part-0.txt").write_bytes(text.encode())
     with pytest.raises(ValueError, match="records end at byte"):
         warc.read_warc(spark, f"{out}/w")
+
+
+def test_archives_of_any_name_and_folder(spark, out):
+    import os
+    pages = spark.createDataFrame([(1, "http://a", "x" * 2000), (2, "http://b", "x" * 2000), (3, None, "y")], "page_id long, url string, html string")
+    warc.write_warc(pages.coalesce(1), f"{out}/w")
+    name = next(n for n in os.listdir(f"{out}/w") if n.startswith("part-"))
+    os.makedirs(f"{out}/named/deep")
+    data = open(f"{out}/w/{name}", "rb").read()
+    open(f"{out}/named/deep/crawl-00000.warc", "wb").write(data)
+    columns = ["record_type", "page_id", "payload_bytes", "payload_digest", "refers_to"]
+    read = lambda p: sorted(tuple(r) for r in warc.read_warc(spark, p).select(columns).collect())
+    assert read(f"{out}/named") == read(f"{out}/w") and len(read(f"{out}/named")) == 3
+    os.makedirs(f"{out}/empty")
+    assert read(f"{out}/empty") == []
+    # a revisit names the record it refers to in the standard's own field
+    ids = [line.split(b": ")[1] for line in data.split(b"\r\n") if line.startswith(b"WARC-Record-ID")]
+    refers = [line.split(b": ")[1] for line in data.split(b"\r\n") if line.startswith(b"WARC-Refers-To:")]
+    assert len(refers) == 1 and refers[0] in ids and len(set(ids)) == 3
+
+
+def test_broadcasts_are_bounded_by_bytes(spark):
+    from docflow.llm.common import small_side, staged
+    table = staged(spark.range(100).selectExpr("id", "repeat('x', 1000) AS t", "array(named_struct('a', 'yy', 'b', 1)) AS s"), "wide")
+    joined = lambda **k: spark.range(10).join(small_side(table, **k), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in joined().lower() and "broadcast" not in joined(max_bytes=50_000).lower()
+    assert "broadcast" not in joined(max_rows=99).lower()
