@@ -57,11 +57,17 @@ FURNITURE = frozenset(
     "navigation breadcrumb breadcrumbs pagination pager footer masthead disqus reply replies respond share sharing "
     "social related recommended recommendations widget widgets toolbar login navigation contentinfo complementary "
     "search dialog".split())
-#: Those of them that decide inside an article where a host has no template to hold them against.
+#: Those of them that decide inside an article, whether or not the host's template has the element.
 STRONG = frozenset(
     "ad ads adsense adslot advert adverts advertisement advertising banner sponsor sponsored promo promos promoted "
     "promotion comment comments commentlist cookie cookies consent gdpr popup modal overlay newsletter subscribe "
     "subscription signup sidebar nav navbar breadcrumb breadcrumbs pagination disqus share sharing social widget widgets login".split())
+#: Of these, those that a part of the article may be about: they decide only beside words that say nothing.
+UNSURE = frozenset("banner cookie cookies popup modal overlay share sharing social widget widgets login subscription signup "
+                   "promotion navigation comment".split())
+NEUTRAL = frozenset("area article bar block body box btn button buttons class clearfix col content container entry form footer "
+                    "group header inline inner item items left lg list main md outer page panel post right row section sm "
+                    "site small story text thread top bottom user users wrap wrapper xs".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FURNITURE_STARTS = ("advert", "comment", "cookie", "sidebar")
 CONTENT_WORDS = frozenset("article content post entry story main".split())
@@ -116,14 +122,16 @@ def _is_furniture(tag: str, attrs: dict[str, str], inside_article: bool) -> bool
 
 
 def _doubt(tag: str, attrs: dict[str, str]) -> tuple[bool, bool]:
-    """Whether an article's element may be furniture by its words, and whether they decide without a template.
+    """Whether an article's element may be furniture by its words, and whether they decide by themselves.
 
     A heading never is, and an id only as a whole.
     """
     if tag in HEADINGS or tag in ("html", "body", "main", "article"):
         return False, False
     words = _WORD.findall(attrs.get("class", "") + " " + attrs.get("role", "")) + [attrs.get("id", "").strip()]
-    return any(w in FURNITURE or w in STRONG for w in words), any(w in STRONG for w in words)
+    plain = all(w in FURNITURE or w in STRONG or w in NEUTRAL or w.isdigit() or not w for w in words)
+    decides = any(w in STRONG and (plain or w not in UNSURE) for w in words)
+    return any(w in FURNITURE or w in STRONG for w in words), decides
 
 
 def parse(page: str) -> tuple[list[Block], list[str], list[str]]:
@@ -273,11 +281,13 @@ def _nested(inner: list[float], outer: list[float]) -> bool:
 def main_text(blocks: list[Block], template: frozenset[int]) -> str:
     """The text of a page's article slots, one space between blocks.
 
-    Inside an article, words of class, id and role make an element furniture
-    if it belongs to the template; without a template the plain ones do.
+    Inside an article, an element is furniture if its words of class, id and
+    role say so by themselves (comments, adverts), on every page; if they only
+    may, it is where the template has the element. Text of the template is
+    left out whatever its words are.
     """
     kept = [b for b in blocks if not b.dropped
-            and not any(token in template if template else alone for token, alone in b.doubts)]
+            and not any(alone or token in template for token, alone in b.doubts)]
     best = max((b.rank for b in kept), default=PLAIN)
     slots = [b for b in kept if b.rank == best and not (template and _token("text", b.path, b.text) in template)]
     if best == PLAIN:

@@ -133,3 +133,71 @@ def test_candidates_go_where_the_host_has_them(spark):
     got = {r["page_id"]: r["text"] for r in
            htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {k: f"Title {k} Body {k} of this page" + " An alert" * (k == 3) for k in range(8)}
+
+
+def test_comments_adverts_and_forms_go_on_every_page(spark):
+    """A host of eight pages of which two have comments, and one an advert or a form, inside the article."""
+    page = "<body><nav>m</nav><article><h1>Title {0}</h1><p>Body {0} of this page</p>{1}</article></body>"
+    extra = {2: "<section class='comments'><p>first!</p></section>", 5: "<div class='comment-list'><p>me too</p></div>",
+             6: "<div class='ad advert-box'>Buy</div>", 7: "<form><p>Your name</p></form>",
+             1: "<div class='cookie-recipe'>Mix it</div>", 3: "<p class='commentary'>Seen</p>"}
+    rows = [(k, f"http://a.example/{k}", page.format(k, extra.get(k, ""))) for k in range(8)]
+    got = {r["page_id"]: r["text"] for r in
+           htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Title {k} Body {k} of this page" + {1: " Mix it", 3: " Seen"}.get(k, "") for k in range(8)}
+
+
+def plain_templates(rows, least_pages=3, least_tokens=2):
+    """host -> template tokens, with whole occurrence vectors kept in one place."""
+    out = {}
+    for host in {h for h, _, _ in rows}:
+        pages = {}
+        for _, url, page in (r for r in rows if r[0] == host):
+            blocks, paths, outside = parse(page)
+            counts = {t: list(v) for t, v in htmltext.page_tokens(blocks, paths).items()}
+            for part in (None, tuple(sorted(set(outside)))):
+                known = pages.setdefault(part, {}).setdefault(htmltext.identity(blocks, url), {})
+                for t, (n, first) in counts.items():
+                    old = known.get(t, (0, first))
+                    known[t] = (max(n, old[0]), min(first, old[1]))
+        found = set()
+        for part, group in pages.items():
+            group = {i: t for i, t in group.items() if t}
+            if len(group) < least_pages:
+                continue
+            classes = {}
+            for t in {t for g in group.values() for t in g}:
+                on = {i: g[t] for i, g in group.items() if t in g}
+                if len(on) >= least_pages and 2 * len(on) >= len(group):
+                    vector = tuple(sorted((i, n) for i, (n, _) in on.items()))
+                    classes.setdefault(vector, []).append((sum(f for _, f in on.values()) / len(on), t))
+            taken = []
+            for vector, members in sorted(classes.items(), key=lambda c: (-len(c[1]), -len(c[0]))):
+                spots = sorted(p for p, _ in members)
+                low, high = spots[0], spots[-1]
+                apart = all(not any(low < p < high for p in o) or not any(o[0] < p < o[-1] for p in spots) for o in taken)
+                if len(members) >= least_tokens and apart:
+                    taken.append(spots)
+                    found |= {t for _, t in members}
+        out[host] = found
+    return out
+
+
+def test_deduction_against_plain_python(spark):
+    import random
+    rng, rows = random.Random(11), []
+    for h in range(5):
+        for k in range(rng.randrange(2, 12)):
+            side = "<div class=s><p>Latest</p><p>Top</p></div>" if k % 3 else ""
+            box = "<div class=q><p>By our staff</p><p>All rights</p></div>" if h % 2 else ""
+            late = "<div class=z><p>More like this</p><p>Read on</p></div>" if k % 4 == 1 else ""
+            page = f"<body><div class=t><p>Site {h}</p></div>{side}<article><h1>T {h} {k}</h1>{box}<p>Words {rng.random()}</p>{late}</article></body>"
+            rows += [(f"h{h}.example", f"http://h{h}.example/{k}", page)] * rng.choice((1, 1, 2))
+    pages = spark.createDataFrame(rows, "host string, url string, html string")
+    got = {r["host"]: set(r["template"]) for r in htmltext.templates(pages).collect()}
+    want = plain_templates(rows)
+    assert {h: got.get(h, set()) for h in want} == want and any(want.values())
+    with_template = {r["url"]: r["text"] for r in htmltext.extract(pages).collect()}
+    alone = {u: text_of(page) for _, u, page in rows}
+    differ = [u for u in alone if alone[u] != with_template[u]]
+    assert differ and all("All rights" in alone[u] and "All rights" not in with_template[u] for u in differ if "//h1" in u or "//h3" in u)
