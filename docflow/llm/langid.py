@@ -22,11 +22,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import kept_fields, ready, text_buffer
+from docflow.llm.common import kept_fields, ready, small_side, staged, text_buffer
 
 #: The input symbol behind the end of a text.
 PAD = 256
@@ -179,15 +179,26 @@ class BiGru:
 
 
 def sample(docs: DataFrame, max_rows: int, snippet: int, train_rows: Column | None = None) -> DataFrame:
-    """At most ``max_rows`` (place, lang, part) rows: the first by a hash of the id, each a stretch of its text."""
+    """At most ``max_rows`` (place, lang, part) rows, as many of each language as there are, up to an equal share.
+
+    A language's rows are its first by a hash of the id, each a stretch of its
+    text. A share of the hash's whole range, by the language's count, goes on
+    to the choice, so few rows are sorted however many there are.
+    """
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     if train_rows is not None:
         rows = rows.where(train_rows)
-    share = min(1.0, 2.0 * max_rows / max(1, rows.select("lang").count()))
+    counts = staged(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    quota = max(1, max_rows // max(1, counts.count()))
     place = F.xxhash64("doc_id", F.lit("snippet"))
+    # a third more than wanted, and 50: enough rows are below the bound but for odds far below one in a million
+    share = (F.lit(1.3 * quota + 50) / F.col("n"))
+    bound = F.shiftrightunsigned("place", 1) / F.lit(float(2 ** 63))
     begin = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length("text") - snippet)) + 1
-    return (rows.where(F.pmod(place, F.lit(1 << 20)) < int(share * (1 << 20)))
-            .select(place.alias("place"), "lang", F.substring("text", begin.cast("int"), F.lit(snippet)).alias("part"))
+    some = (rows.withColumn("place", place).join(small_side(counts), "lang").where(bound < share)
+            .select("place", "lang", F.substring("text", begin.cast("int"), F.lit(snippet)).alias("part")))
+    first = Window.partitionBy("lang").orderBy("place", "part")
+    return (some.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= quota).drop("nth")
             .orderBy("place", "lang", "part").limit(max_rows))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from docflow.llm.decontaminate import MASKS
 from docflow.llm.licences import MOST_PIECES, RULES, SENTENCES, normal
 from docflow.llm.pii import Disclosure
 
@@ -56,27 +55,19 @@ def _jaccard() -> str:
 
 
 def _decontaminate(window: int = 16, share: float = 0.8) -> str:
-    def seeds(column: str, mask: str) -> str:
-        return "concat_ws(' ', " + ", ".join(f"{column}[pos + {k + 1}]" for k, c in enumerate(mask) if c == "1") + ")"
-
-    def seeded(table: str, carried: str, column: str) -> str:
-        return " UNION ALL ".join(
-            f"SELECT {carried}, pos, '{m} ' || {seeds(column, m)} AS seed FROM (SELECT *, "
-            f"unnest(range(len({column}) - {len(m) - 1})) AS pos FROM {table} WHERE len({column}) >= {len(m)})"
-            for m in MASKS)
-
+    """Every alignment of every item with every document that agrees in enough tokens; no seeds."""
     words = lambda c: (f"list_filter(string_split_regex(lower(coalesce({c}, '')), '[^\\p{{L}}\\p{{N}}]+'), "
                        "lambda x: x <> '')")
     return f"""
-        WITH items AS (SELECT DISTINCT item_id, {words('text')} AS want FROM benchmark),
-        docs AS (SELECT DISTINCT doc_id, text, {words('text')} AS have FROM documents),
-        item_seeds AS ({seeded('items', 'item_id, want', 'want')}),
-        doc_seeds AS ({seeded('docs', 'doc_id, text', 'have')}),
-        hits AS (SELECT DISTINCT d.doc_id, d.text, i.item_id, i.want, d.pos - i.pos AS start
-                 FROM doc_seeds d JOIN item_seeds i USING (seed)),
-        aligned AS (SELECT h.*, least(len(want), {window}) AS width, list_transform(range(len(want)),
-                        lambda k: CASE WHEN start + k >= 0 AND docs.have[start + k + 1] = want[k + 1] THEN 1 ELSE 0 END) AS agree
-                    FROM hits h JOIN docs ON docs.doc_id IS NOT DISTINCT FROM h.doc_id AND docs.text IS NOT DISTINCT FROM h.text),
+        WITH items AS MATERIALIZED (SELECT *, row_number() OVER () AS i FROM (SELECT DISTINCT item_id, {words('text')} AS want FROM benchmark)),
+        docs AS MATERIALIZED (SELECT *, row_number() OVER () AS d FROM (SELECT DISTINCT doc_id, text, {words('text')} AS have FROM documents)),
+        item_tokens AS (SELECT i, len(want) AS n, unnest(want) AS token, unnest(range(len(want))) AS k FROM items),
+        doc_tokens AS (SELECT d, unnest(have) AS token, unnest(range(len(have))) AS pos FROM docs),
+        hits AS MATERIALIZED (SELECT d, i, pos - k AS start FROM doc_tokens JOIN item_tokens USING (token)
+                 GROUP BY d, i, pos - k, n HAVING count(*) >= ceil(least(n, {window}) * {share})),
+        aligned AS (SELECT doc_id, text, item_id, want, start, least(len(want), {window}) AS width, list_transform(range(len(want)),
+                        lambda k: CASE WHEN start + k >= 0 AND have[start + k + 1] = want[k + 1] THEN 1 ELSE 0 END) AS agree
+                    FROM hits JOIN docs USING (d) JOIN items USING (i)),
         judged AS (SELECT *, list_sum(agree) AS matched, list_max(list_transform(range(len(want) - width + 1),
                        lambda j: list_sum(agree[j + 1:j + width]))) AS best_window FROM aligned),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text, item_id, want

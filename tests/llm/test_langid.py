@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from docflow.llm import langid
 from docflow.llm.common import id_bucket
@@ -70,3 +71,18 @@ def test_nothing_to_learn_from(spark):
     few = spark.createDataFrame([(1, "only", "en"), (None, "", "en")], "doc_id long, text string, lang string")
     model = langid.train(few, Settings(rounds=3))
     assert model.languages == ["en"] and langid.predict(few, model).first()["lang_pred"] == "en"
+
+
+def test_sample_has_every_language_and_equal_shares(spark):
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("some text to learn from").alias("text"),
+                                      F.when(F.col("id") < 3, "rare").when(F.col("id") % 10 == 0, "few").otherwise("most").alias("lang"))
+    got = {r["lang"]: r["count"] for r in langid.sample(docs, 900, 16).groupBy("lang").count().collect()}
+    assert got == {"rare": 3, "few": 300, "most": 300}
+
+
+def test_share_of_a_huge_corpus_is_not_zero(spark):
+    """The share is of the hash's whole range: one row in 2^40 of a language still comes through its place."""
+    share = 1.3 * 6000 / 2 ** 52
+    row = spark.range(1).select((F.shiftrightunsigned(F.lit(1000).cast("long"), 1) / F.lit(float(2 ** 63)) < share).alias("low"),
+                                (F.shiftrightunsigned(F.lit(2 ** 62), 1) / F.lit(float(2 ** 63)) < share).alias("high")).first()
+    assert row["low"] and not row["high"]
