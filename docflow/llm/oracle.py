@@ -95,46 +95,48 @@ def _located(table: str, text: str, pattern: str, carried: str, at: str = "0") -
             FROM {table}))"""
 
 
+def _valid(kind: str, value: str) -> str:
+    """Whether a match (an expression) is a span of its kind."""
+    digits = f"regexp_replace({value}, '[^0-9]', '', 'g')"
+    luhn = (f"list_sum(list_transform(string_split(reverse({digits}), ''), lambda d, n: CASE WHEN n % 2 = 1 THEN d::INTEGER "
+            "WHEN d::INTEGER > 4 THEN 2 * d::INTEGER - 9 ELSE 2 * d::INTEGER END)) % 10 = 0")
+    return {"email": "true", "phone": f"length({digits}) BETWEEN 9 AND 15",
+            "ip": f"list_bool_and(list_transform(string_split({value}, '.'), lambda x: length(ltrim(x, '0')) <= 3 AND "
+                  "coalesce(try_cast(ltrim(x, '0') AS INTEGER), 0) <= 255))",
+            "card": f"CASE WHEN length({digits}) BETWEEN 13 AND 19 THEN {luhn} ELSE false END"}[kind]
+
+
 def _pii(rule: Disclosure = Disclosure()) -> str:
     found = " UNION ALL ".join(
-        f"SELECT r, {k} AS k, '{kind}' AS kind, start, value FROM ({_located('docs', 'text', p, 'r')})"
+        f"SELECT r, {k} AS k, '{kind}' AS kind, start, value FROM ({_located('docs', 'text', p, 'r')}) WHERE {_valid(kind, 'value')}"
         for k, (kind, p) in enumerate(PATTERNS))
-    digits = "regexp_replace(value, '[^0-9]', '', 'g')"
-    luhn = (f"list_sum(list_transform(string_split(reverse({digits}), ''), lambda d, i: CASE WHEN i % 2 = 1 THEN d::INTEGER "
-            "WHEN d::INTEGER > 4 THEN 2 * d::INTEGER - 9 ELSE 2 * d::INTEGER END)) % 10 = 0")
-    octet = "list_bool_and(list_transform(string_split(value, '.'), lambda x: length(ltrim(x, '0')) <= 3 AND " \
-            "coalesce(try_cast(ltrim(x, '0') AS INTEGER), 0) <= 255))"
-    width = rule.context
+    blanks, before = [], "docs"
+    for k, (kind, p) in enumerate(PATTERNS):
+        gone = f"CASE WHEN {_valid(kind, 'v[i]')} THEN repeat(' ', length(v[i])) ELSE v[i] END"
+        blanks.append(f"blank{k} AS MATERIALIZED (SELECT r, CASE WHEN len(v) = 0 THEN text ELSE array_to_string(list_transform("
+                      f"range(1, len(b) + 1), lambda i: b[i] || CASE WHEN i <= len(v) THEN {gone} ELSE '' END), '') END AS text "
+                      f"FROM (SELECT r, text, regexp_extract_all(text, '{p}') AS v, string_split_regex(text, '{p}') AS b FROM {before}))")
+        before = f"blank{k}"
+    words = "list_distinct(list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> ''))"
     return f"""
         WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
-        found AS ({found}),
-        spans AS MATERIALIZED (SELECT r, k, kind, start, start + length(value) AS stop, value,
-                      kind || ':' || CASE WHEN kind IN ('card', 'phone') THEN {digits} ELSE lower(value) END AS entity
-                  FROM found
-                  WHERE CASE kind WHEN 'ip' THEN {octet} WHEN 'phone' THEN length({digits}) BETWEEN 9 AND 15
-                        WHEN 'card' THEN CASE WHEN length({digits}) BETWEEN 13 AND 19 THEN {luhn} ELSE false END
-                        ELSE true END),
-        sides AS (SELECT s.r, s.entity, greatest(s.start - {width}, 0) AS lo, s.start AS hi, true AS before, d.text
-                  FROM spans s JOIN docs d USING (r)
-                  UNION ALL SELECT s.r, s.entity, s.stop, least(s.stop + {width}, length(d.text)), false, d.text
-                  FROM spans s JOIN docs d USING (r)),
-        windows AS (SELECT r, entity, lo, hi, before, length(text) AS n, substring(text, (lo + 1)::BIGINT, (hi - lo)::BIGINT) AS part
-                    FROM sides),
-        words AS ({_located('windows', 'part', '\\p{L}+', 'r, entity, lo, hi, before, n', 'lo')}),
-        near AS (SELECT DISTINCT r, entity, lower(value) AS term, start, start + length(value) AS stop FROM words w
-                 WHERE length(value) >= 4
-                   AND CASE WHEN before THEN lo = 0 OR start > lo ELSE hi = n OR start + length(value) < hi END
-                   AND NOT EXISTS (SELECT 1 FROM spans s WHERE s.r = w.r AND s.start < w.start + length(w.value)
-                                   AND w.start < s.stop)),
-        n_e AS (SELECT entity, count(DISTINCT r) AS n_e FROM spans GROUP BY entity HAVING count(DISTINCT r) >= {rule.support}),
-        n_et AS (SELECT entity, term, count(DISTINCT r) AS n_et FROM near GROUP BY ALL HAVING count(DISTINCT r) >= {rule.support}),
-        n_t AS (SELECT term, count(*) AS n_t FROM (
-                    SELECT r, unnest(list_distinct(string_split_regex(lower(text), '[^\\p{{L}}]+'))) AS term FROM docs)
-                WHERE term IN (SELECT term FROM n_et) GROUP BY term),
+        spans AS MATERIALIZED (SELECT *, start + length(value) AS stop, kind || ':' || CASE WHEN kind IN ('card', 'phone')
+                      THEN regexp_replace(value, '[^0-9]', '', 'g') ELSE lower(value) END AS entity FROM ({found})),
+        {', '.join(blanks)},
+        ents AS MATERIALIZED (SELECT DISTINCT r, text, entity FROM spans JOIN docs USING (r)),
         total AS (SELECT count(*)::DOUBLE AS n FROM docs),
-        shares AS (SELECT entity, term, ln(n_et * n / (n_e * greatest(coalesce(n_t, 0), n_et))) / ln(n / n_e) AS share
-                   FROM n_et JOIN n_e USING (entity) LEFT JOIN n_t USING (term), total WHERE n_e < n),
-        places AS (SELECT DISTINCT r, start, stop FROM near JOIN shares USING (entity, term) WHERE share >= {rule.generalise}),
+        n_e AS (SELECT entity, count(*) AS n_e FROM ents GROUP BY entity HAVING count(DISTINCT text) >= {rule.support}),
+        n_t AS (SELECT term, count(*) AS n_t FROM (SELECT unnest({words}) AS term FROM docs) GROUP BY term),
+        known AS MATERIALIZED (SELECT ents.* FROM ents JOIN n_e USING (entity)),
+        near AS (SELECT r, unnest({words}) AS term FROM {before} WHERE r IN (SELECT r FROM known)),
+        n_et AS MATERIALIZED (SELECT entity, term, count(*) AS n_et FROM known JOIN near USING (r) GROUP BY ALL
+                 HAVING count(DISTINCT text) >= {rule.support}),
+        shares AS MATERIALIZED (SELECT entity, term, ln(n_et * n / (n_e * n_t)) / ln(n / n_e) AS share
+                   FROM n_et JOIN n_e USING (entity) JOIN n_t USING (term), total WHERE n_e < n),
+        marked AS (SELECT DISTINCT r, term FROM known JOIN shares USING (entity) WHERE share >= {rule.generalise}),
+        places AS (SELECT w.r, start, start + length(value) AS stop FROM (
+                       {_located(f'(SELECT * FROM {before} WHERE r IN (SELECT r FROM marked))', 'text', '[\\p{L}\\p{N}]+', 'r')}) w
+                   JOIN marked m ON m.r = w.r AND m.term = lower(w.value)),
         base AS (SELECT r, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY k, start) AS t,
                         count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
                         count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone

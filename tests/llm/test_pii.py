@@ -4,12 +4,13 @@ import random
 import re
 from collections import Counter
 
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docflow.llm import pii
-from tests.llm.plain import EDGE_DOCS, PII, pii_spans
+from tests.llm.plain import EDGE_DOCS, PII, _holds, pii_spans
 
 TEXTS = [
     "mail a.b@c.de, ip 1.2.3.4 and 1.2.3.4.5.6.7.8 and 300.1.1.1 and 010.020.030.040",
@@ -54,34 +55,36 @@ def test_run_starts_lose_no_match(text):
         assert found == plain
 
 
+def blanked(text):
+    for kind in PII:
+        text = re.sub(PII[kind], lambda m: " " * len(m[0]) if _holds(kind, m[0]) else m[0], text)
+    return text
+
+
+WORD = regex.compile(r"[\p{L}\p{N}]+")
+
+
 def disclosures(texts, rule):
-    """(entity, term) pairs over the threshold, and their places, in plain Python."""
-    word = re.compile(r"[^\W\d_]+")
+    """The places of disclosing terms, in plain Python over whole documents."""
     entity = lambda k, v: f"{k}:{re.sub('[^0-9]', '', v) if k in ('card', 'phone') else v.lower()}"
-    n_e, n_et, n_t, places = Counter(), Counter(), Counter(), []
-    for d, text in enumerate(texts):
-        spans = pii_spans(text)
-        n_t.update({w for w in word.findall(text.lower()) if len(w) >= 4})
-        n_e.update({entity(k, text[a:b]) for k, a, b in spans})
-        near = set()
-        for k, a, b in spans:
-            left, right = max(0, a - rule.context), min(len(text), b + rule.context)
-            for lo, hi in ((left, a), (b, right)):
-                for m in word.finditer(text[lo:hi]):
-                    s, e = lo + m.start(), lo + m.end()
-                    cut = (lo == left and s == left and left > 0) or (hi == right and e == right and right < len(text))
-                    if len(m[0]) >= 4 and not cut and not any(x < e and s < y for _, x, y in spans):
-                        near.add((entity(k, text[a:b]), m[0].lower()))
-                        places.append((d, entity(k, text[a:b]), m[0].lower(), s, e))
-        n_et.update(near)
-    n = len(texts)
-    over = {}
-    for (e, t), both in n_et.items():
-        if both >= rule.support and rule.support <= n_e[e] < n:
-            share = math.log(both * n / (n_e[e] * n_t[t])) / math.log(n / n_e[e])
-            if share >= rule.generalise:
-                over[e, t] = share
-    return {(d, s, e) for d, x, t, s, e in places if (x, t) in over}
+    terms_of = [set(WORD.findall(blanked(t).lower())) for t in texts]
+    ents_of = [{entity(k, t[a:b]) for k, a, b in pii_spans(t)} for t in texts]
+    n, n_t, n_e, n_et, in_e, in_et = len(texts), Counter(), Counter(), Counter(), {}, {}
+    for t, terms, ents in zip(texts, terms_of, ents_of):
+        n_t.update(set(WORD.findall(t.lower())))
+        n_e.update(ents)
+        for e in ents:
+            in_e.setdefault(e, set()).add(t)
+            for w in terms:
+                n_et[e, w] += 1
+                in_et.setdefault((e, w), set()).add(t)
+    over = set()
+    for (e, w), both in n_et.items():
+        if len(in_e[e]) >= rule.support and len(in_et[e, w]) >= rule.support and n_e[e] < n:
+            if math.log(both * n / (n_e[e] * n_t[w])) / math.log(n / n_e[e]) >= rule.generalise:
+                over.add((e, w))
+    return {(d, m.start(), m.end()) for d, t in enumerate(texts) for m in WORD.finditer(blanked(t))
+            if any((e, m[0].lower()) in over for e in ents_of[d])}
 
 
 def corpus():
@@ -95,9 +98,57 @@ def corpus():
         if k % 7 == 0:
             body.append("call +49 170 5550123 soon")
         texts.append(" ".join(body))
+    far = " ".join(rng.choice(words) for _ in range(90))
+    texts += [f"Li wrote this {far} {k} call +49 170 9998877 thanks" for k in range(3)]      # a name far from the number
+    texts += ["Bob7 at bob@x.example said so"] * 5                                          # copies of one text show nothing
     return texts
 
 
+def test_a_distant_short_name_is_found_and_common_words_are_not(spark):
+    texts = corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: {texts[r["doc_id"]][s["start"]:s["end"]] for s in (r["terms"] or [])} for r in pii.find(docs).collect()}
+    assert {"Li", "wrote"} <= got[60] and "Bob7" not in got[63] and got[63] == set()
+
+
+def test_a_list_of_twenty_thousand_contacts(spark):
+    import time
+    line = lambda k: f"name{k} user{k}@mail.example.com"
+    texts = ["\n".join(line(k) for k in range(20_000)), "\n".join(line(k) for k in range(20_000)) + " more", "plain words only"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    t0 = time.time()
+    got = {r["doc_id"]: (len(r["spans"]), len(r["terms"] or [])) for r in pii.find(docs).collect()}
+    assert got == {0: (20_000, 20_000), 1: (20_000, 20_000), 2: (0, 0)}
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert time.time() - t0 < 60
+    assert clean[0] == "\n".join([" [EMAIL]"] * 20_000) and clean[1] == clean[0] + " more" and clean[2] == texts[2]
+
+
+def test_running_sums_and_cuts_over_blocks(spark):
+    rng = random.Random(5)
+    rows = [(k, [rng.randrange(9) for _ in range(n)]) for k, n in enumerate((0, 1, 127, 128, 129, 256, 1000))]
+    df = spark.createDataFrame(rows, "k int, v array<int>")
+    got = {r["k"]: (r["s"], r["m"]) for r in df.select("k", pii.running(F.col("v")).alias("s"), pii.running(F.col("v"), lambda a, b: F.greatest(a, b)).alias("m")).collect()}
+    for k, v in rows:
+        assert got[k] == ([sum(v[:i]) for i in range(len(v))], [max([0, *v[:i]]) for i in range(len(v))])
+    text = "".join(rng.choice("abc é中\n") for _ in range(9000))
+    spans = sorted((a, a + rng.randrange(1, 40), rng.choice(["email", "removed"])) for a in (rng.randrange(8900) for _ in range(300)))
+    df = spark.createDataFrame([(text, spans)], "t string, s array<struct<start:int,end:int,kind:string>>")
+    want, at = [], 0
+    for a, b, kind in spans:
+        if a >= at:
+            want += [text[at:a], "" if kind == "removed" else "[EMAIL]"]
+        at = max(at, b)
+    assert df.select(pii._cut(F.col("t"), F.col("s"))).first()[0] == "".join(want) + text[at:]
+
+
+def test_names_of_columns_do_not_clash(spark):
+    names = ["their_doc_id", "their_text_hash", "their_terms", "their_terms_", "__terms", "__doc_id", "text_hash"]
+    docs = spark.createDataFrame([(1, "a@b.example x", *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    row = pii.sanitise(docs).first()
+    assert row["text"] == "[EMAIL] x" and [row[n] for n in names] == names and len(row) == len(names) + 2
+
+
 def test_disclosing_terms(spark):
     texts, rule = corpus(), pii.Disclosure()
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -114,7 +165,7 @@ def test_sanitise_and_clashing_columns(spark):
     assert len(out) == len(texts) and out[0]["terms"] == "t"
     for k, r in out.items():
         assert not pii_spans(r["text"])
-        assert ("[EMAIL]" in r["text"]) == (k % 3 == 0) and ("[PHONE]" in r["text"]) == (k % 7 == 0)
+        assert ("[EMAIL]" in r["text"]) == ("@" in texts[k]) and ("[PHONE]" in r["text"]) == ("+49" in texts[k])
     clean = [k for k, t in enumerate(texts) if not pii_spans(t)]
     assert all(out[k]["text"] == texts[k] for k in clean)
 
