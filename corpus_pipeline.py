@@ -16,21 +16,29 @@ from docflow.llm.common import id_bucket, small_side, staged, text_hash
 from docflow.llm.queries import TOXIC_FROM, WORD_BPE, round_trip_digests
 from docflow.session import table
 
+
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as make it no column of ``docs``."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose toxicity score stays below the threshold."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), train_rows=id_bucket("doc_id", 4) != 2)
-    scored = toxicity.score(docs, model, score_col="__toxicity")
-    return scored.where(F.col("__toxicity") < TOXIC_FROM).select(*docs.columns)
+    score = _free(docs, "toxicity")
+    return toxicity.score(docs, model, score_col=score).where(F.col(score) < TOXIC_FROM).select(*docs.columns)
 
 
-def _named(rows: DataFrame) -> DataFrame:
-    """``rows`` (doc_id, text_hash) by names that no column of a document has."""
-    return rows.select(F.col("doc_id").alias("__their_id"), F.col("text_hash").alias("__their_hash"))
+def _named(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text_hash) by names that no column of ``docs`` has."""
+    return rows.select(F.col("doc_id").alias(_free(docs, "their_id")), F.col("text_hash").alias(_free(docs, "their_hash")))
 
 
-def _same() -> Column:
+def _same(docs: DataFrame) -> Column:
     """Whether a document and a row of ``_named`` have the same id (or none) and the same text."""
-    return F.col("doc_id").eqNullSafe(F.col("__their_id")) & (text_hash() == F.col("__their_hash"))
+    return F.col("doc_id").eqNullSafe(F.col(_free(docs, "their_id"))) & (text_hash() == F.col(_free(docs, "their_hash")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,22 +54,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
              .agg(F.min(row).alias("first"), F.max(row).alias("last")).where("first != last"))
     several = small_side(staged(first.select("component", "without", "first"), "several"))
     members = groups.withColumn("without", F.col("doc_id").isNull()).join(several, ["component", "without"])
-    copies = staged(_named(members.where(row != F.col("first"))).distinct(), "copies")
+    copies = staged(_named(members.where(row != F.col("first")), docs).distinct(), "copies")
     same = groups.where("doc_id IS NOT NULL OR component IS NOT NULL").groupBy("doc_id", "text_hash")
-    repeated = staged(_named(same.agg(F.count("*").alias("n")).where("n > 1")), "repeated")
-    kept = docs.join(small_side(copies), _same(), "left_anti")
+    repeated = staged(_named(same.agg(F.count("*").alias("n")).where("n > 1"), docs), "repeated")
+    kept = docs.join(small_side(copies), _same(docs), "left_anti")
     if repeated.isEmpty():
         return kept
-    once = (kept.join(small_side(repeated), _same(), "left_semi").withColumn("__hash", text_hash())
-            .dropDuplicates(["doc_id", "__hash"]).drop("__hash"))
-    return kept.join(small_side(repeated), _same(), "left_anti").unionByName(once)
+    once = (kept.join(small_side(repeated), _same(docs), "left_semi").withColumn(_free(docs, "hash"), text_hash())
+            .dropDuplicates(["doc_id", _free(docs, "hash")]).drop(_free(docs, "hash")))
+    return kept.join(small_side(repeated), _same(docs), "left_anti").unionByName(once)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no benchmark passage."""
     found = decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark"))
-    leaks = staged(_named(found.select("doc_id", "text_hash").distinct()), "leaks")
-    return docs.join(small_side(leaks), _same(), "left_anti")
+    leaks = staged(_named(found.select("doc_id", "text_hash").distinct(), docs), "leaks")
+    return docs.join(small_side(leaks), _same(docs), "left_anti")
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
