@@ -80,7 +80,8 @@ def _holds(kind: str, value: str) -> bool:
 
 
 def pii_spans(text: str | None) -> list[tuple]:
-    return [(k, m.start(), m.end()) for k, p in PII.items() for m in re.finditer(p, text or "") if _holds(k, m[0])]
+    kinds = [k for k in PII if k != "email" or "@" in (text or "")]      # no email without its sign
+    return [(k, m.start(), m.end()) for k in kinds for m in re.finditer(PII[k], text or "") if _holds(k, m[0])]
 
 
 def fertility_counts(text: str | None) -> tuple:

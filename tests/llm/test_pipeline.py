@@ -145,7 +145,7 @@ def test_query_matches_sql(spark, name):
 
 def test_registration():
     assert set(QUERIES) | {"pipeline"} == set(E.LLM_QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_entry_without_the_sub_package(tmp_path):
