@@ -74,6 +74,14 @@ def id_bucket(column: str, modulus: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_hash(column: str = "text") -> Column:
     """The hash that, with its id, names a row's text (a null is an empty text)."""
     return F.xxhash64(F.coalesce(column, F.lit(""))).alias("text_hash")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docflow.llm.licences import MOST_PIECES, RULES, SENTENCES, normal
+from docflow.llm.licences import RULES, SENTENCES, normal, slot_patterns
 from docflow.llm.pii import Disclosure
 
 
@@ -11,26 +11,37 @@ def _text(value: str) -> str:
 
 
 def _licences() -> str:
+    """Every run of pieces against every known sentence: no hints, no growing."""
     known = ", ".join(f"({_text(normal(s))}, {_text(i)})" for i, s in SENTENCES.items())
-    rules = ", ".join(f"({_text(r)}, {_text(n)}, {_text(''.join(f'<{i}>' for i in ids))})" for r, n, ids in RULES)
+    rules = ", ".join(f"({k}, {_text(r)}, {_text(n)}, {_text(''.join(f'<{i}>' for i in ids))}, {_text('<>' * len(ids))})"
+                      for k, (r, n, ids) in enumerate(RULES, 1))
+    line = "array_to_string(list_filter(pieces, lambda x: x <> ''), '|')"
+    for pattern, to in slot_patterns():
+        line = f"regexp_replace({line}, {_text(pattern)}, {_text(to.replace('$', chr(92)))}, 'g')"
+    most = max(len(normal(s).split()) for s in SENTENCES.values())
     return f"""
-        WITH known(sentence, id) AS (VALUES {known}), rules(rule, licence, want) AS (VALUES {rules}),
-        docs AS (SELECT row_number() OVER () AS r, doc_id, list_filter(list_transform(
-                     string_split(regexp_replace(text, '([.!?:])[ \\t\\r\\n]+', '\\1\n', 'g'), '\n'),
-                     lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS pieces
-                 FROM documents
-                 WHERE regexp_matches(text, '(?i)licen[cs]e|permission|redistribut|warrant|copyright|copies|liable|public domain')),
+        WITH RECURSIVE known(sentence, id) AS (VALUES {known}), rules(k, rule, licence, want, taken) AS (VALUES {rules}),
+        cut AS (SELECT row_number() OVER () AS r, doc_id, list_transform(
+                    string_split(regexp_replace(lower(text), '([.!?:])[ \\t\\r\\n]+', '\\1\n', 'g'), '\n'),
+                    lambda x: trim(regexp_replace(x, '[^a-z0-9]+', ' ', 'g'))) AS pieces FROM documents),
+        docs AS (SELECT r, doc_id, string_split({line}, '|') AS pieces FROM cut),
         starts AS (SELECT r, doc_id, pieces, unnest(range(len(pieces))) AS place FROM docs),
         runs AS (SELECT r, doc_id, place, width, array_to_string(pieces[place + 1:place + width], ' ') AS sentence
-                 FROM (SELECT *, unnest(range(1, least({MOST_PIECES}, len(pieces) - place) + 1)) AS width FROM starts)),
-        found AS (SELECT r, doc_id, list(place ORDER BY place, width) AS places,
-                         string_agg('<' || id || '>', '' ORDER BY place, width) AS sentences
-                  FROM runs JOIN known USING (sentence) GROUP BY r, doc_id)
-        SELECT doc_id, rule, licence,
-               ((length(sentences) - length(replace(sentences, want, ''))) // length(want))::BIGINT AS n_matches,
-               places[len(string_split(left(sentences, instr(sentences, want) - 1), '<'))]::INTEGER AS first_piece,
-               sentences
-        FROM found, rules WHERE contains(sentences, want)"""
+                 FROM (SELECT *, unnest(range(1, least({most}, len(pieces) - place) + 1)) AS width FROM starts)),
+        found AS (SELECT r, doc_id, place, max(place + width) AS stop, arg_max(id, width) AS id
+                  FROM runs JOIN known USING (sentence) GROUP BY r, doc_id, place),
+        outer_found AS (SELECT * FROM found QUALIFY coalesce(max(stop) OVER (PARTITION BY r ORDER BY place
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < stop),
+        sequences AS MATERIALIZED (SELECT r, doc_id, list(place ORDER BY place) AS places,
+                          string_agg('<' || id || '>', '' ORDER BY place) AS sentences FROM outer_found GROUP BY r, doc_id),
+        walk(r, k, rest, n, before) AS (
+            SELECT r, 0, sentences, 0, 0 FROM sequences UNION ALL
+            SELECT w.r, w.k + 1, replace(w.rest, want, taken),
+                   (length(w.rest) - length(replace(w.rest, want, ''))) // length(want),
+                   len(string_split(split_part(w.rest, want, 1), '<')) - 1
+            FROM walk w JOIN rules ON rules.k = w.k + 1)
+        SELECT doc_id, rule, licence, n::BIGINT AS n_matches, places[before + 1]::INTEGER AS first_piece, sentences
+        FROM walk JOIN sequences USING (r) JOIN rules USING (k) WHERE n > 0"""
 
 
 def _jaccard() -> str:
