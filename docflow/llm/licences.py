@@ -252,27 +252,27 @@ def _pieces(text: Column) -> Column:
 
 def sentence_ids(pieces: Column, sentences: dict[str, str]) -> Column:
     """(place, end, id) of the known sentences in a text's pieces, none inside another; places count from 0."""
-    known = {normal(s): i for i, s in sentences.items()}
-    first = sorted({s.split()[0] for s in known})
-    table = F.array(*(F.lit(f"{s} ") for s in known))
-    most = max(len(s.split()) for s in known)  # a piece has a word at least, so no sentence has more pieces
-    names = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
+    names = {f"{normal(s)} ": i for i, s in sentences.items()}
+    first = sorted({s.split()[0] for s in names})
+    table = F.array(*(F.lit(s) for s in names))
+    most = max(len(s.split()) for s in names)  # a piece has a word at least, so no sentence has more pieces
+    ids = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
 
-    def state(run: Column, width: Column, end: Column, sentence: Column) -> Column:
-        return F.struct(run.alias("run"), width.alias("width"), end.alias("end"), sentence.alias("sentence"))
+    def state(left: Column, run: Column, end: Column, sentence: Column) -> Column:
+        return F.struct(left.alias("left"), run.alias("run"), end.alias("end"), sentence.alias("sentence"))
 
     def grow(had: Column, piece: Column) -> Column:
-        run = F.ltrim(F.concat(had["run"], F.lit(" "), piece))
-        width, whole = had["width"] + 1, run.isin(*known)
-        longer = state(run, width, F.when(whole, width).otherwise(had["end"]), F.when(whole, run).otherwise(had["sentence"]))
-        begun = F.exists(table, lambda s: F.startswith(s, F.concat(run, F.lit(" "))))
-        return F.when(begun, longer).otherwise(
-            state(F.lit(None).cast("string"), width, had["end"], had["sentence"]))
+        run = F.concat(had["run"], piece["word"], F.lit(" "))
+        left, whole = F.filter(had["left"], lambda s: F.startswith(s, run)), run.isin(*names)
+        longer = state(left, run, F.when(whole, piece["end"]).otherwise(had["end"]), F.when(whole, run).otherwise(had["sentence"]))
+        return F.when(F.size(had["left"]) > 0, longer).otherwise(had)
 
     def longest(at: Column) -> Column:
-        none = state(F.lit(""), F.lit(0), F.lit(0), F.lit(None).cast("string"))
-        return F.aggregate(F.slice(pieces, at + 1, F.lit(most)), none, grow, lambda had: F.struct(
-            at.alias("place"), (at + had["end"]).alias("end"), F.element_at(names, had["sentence"]).alias("id")))
+        none = state(table, F.lit(""), F.lit(0), F.lit(None).cast("string"))
+        words = F.transform(F.slice(pieces, at + 1, F.lit(most)),
+                            lambda p, k: F.struct(p.alias("word"), (at + k + 1).alias("end")))
+        return F.aggregate(words, none, grow, lambda had: F.struct(
+            at.alias("place"), had["end"], F.element_at(ids, had["sentence"]).alias("id")))
 
     places = F.filter(F.sequence(F.lit(0), F.size(pieces) - 1), lambda at: F.split_part(F.get(pieces, at), F.lit(" "), F.lit(1)).isin(*first))
     return F.filter(F.transform(places, longest), lambda s: s["id"].isNotNull())
