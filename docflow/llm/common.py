@@ -15,6 +15,9 @@ from docflow.session import shared_dir, ship_package
 #: Rows and bytes of a build side that may be broadcast; beyond either the join shuffles.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
+#: A key is hot with more than one in this many of a join's rows, and at least ``LEAST_HOT``; parts that it is spread over.
+HOT_KEYS, LEAST_HOT, SPREAD = 10_000, 256, 64
+
 #: Bytes of text that one numpy step handles (a longer text is handled alone).
 STEP_BYTES = 1 << 20
 
@@ -54,6 +57,24 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = B
     return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= max_bytes else df
 
 
+def spread_join(rows: DataFrame, side: DataFrame, key: str, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``side``, which has one row of each ``key`` and, in ``n``, how many of ``rows`` it meets.
+
+    A key of more than one in ``HOT_KEYS`` of those rows is hot: its rows are
+    spread by a hash of the columns ``by`` over ``SPREAD`` parts, and its row of
+    ``side`` is repeated for each. Fewer than ``HOT_KEYS`` keys can be hot, so
+    the broadcast list of them is bounded at every size. ``side`` is staged.
+    """
+    side = staged(side, "side")
+    least = (side.agg(F.sum("n")).first()[0] or 0) / HOT_KEYS
+    hot = F.broadcast(side.where(F.col("n") > F.lit(max(least, LEAST_HOT))).select(key, F.lit(SPREAD).alias("__parts")))
+    part = F.coalesce(F.pmod(F.xxhash64(*by), F.col("__parts")).cast("int"), F.lit(0)).alias("__part")
+    rows = rows.join(hot, key, "left").select(*rows.columns, part)
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - 1)).alias("__part")
+    side = side.join(hot, key, "left").select(*side.columns, parts)
+    return rows.join(side, [key, "__part"], how).drop("__part")
+
+
 def ready(spark: SparkSession) -> None:
     """Make docflow importable in the Python workers, and keep their batches of whole texts small.
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docflow.llm.common import (SPACE_TABLE, mix, ready, small_side, staged, steps, text_buffer, text_hash,
+from docflow.llm.common import (SPACE_TABLE, mix, ready, small_side, spread_join, staged, steps, text_buffer, text_hash,
                                 word_hashes)
 from docflow.llm.graph import components
 
@@ -366,12 +366,11 @@ def narrowed(members: DataFrame, needs: DataFrame) -> DataFrame:
     for _ in range(NARROWINGS):
         rows = rows.withColumn("sum", F.sum("weight").over(W.partitionBy("node", "level")))
         rows = rows.where((F.col("need") > 0) & (F.col("sum") >= F.col("need"))).drop("sum")
-        sizes = rows.groupBy("tile").agg(F.count("*").alias("size")).where(F.col("size") > 1)
-        rows = staged(rows.drop("size").join(sizes, "tile"), "narrowed")
+        rows = staged(_by_tile(rows.drop("size"), _larger(rows, 1)).withColumnRenamed("n", "size"), "narrowed")
     behind = W.partitionBy("node", "level").orderBy(F.desc("size"), F.desc("tile"))
     kept = (rows.withColumn("behind", F.sum("weight").over(behind.rowsBetween(W.unboundedPreceding, W.currentRow)))
             .where(F.col("behind") >= F.col("need")).select("tile", "node"))
-    return kept.join(_larger(kept, 1), "tile", "left_semi")
+    return _by_tile(kept, _larger(kept, 1), "left_semi")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, maps: DataFrame, rule: Rule) -> DataFrame:
@@ -413,21 +412,26 @@ def _open_tiles(members: DataFrame, labels: DataFrame | None) -> DataFrame:
         return members.withColumn("component", F.col("node"))
     known = (members.join(labels, "node", "left")
              .withColumn("component", F.coalesce("component", "node")).select("tile", "node", "component"))
-    mixed = (known.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("lo < hi").select("tile"))
-    return known.join(mixed, "tile", "left_semi")
+    mixed = (known.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
+             .where("lo < hi").select("tile", "n"))
+    return _by_tile(known, mixed, "left_semi")
 
 
 def _larger(rows: DataFrame, n: int) -> DataFrame:
-    """The tiles with more than ``n`` members."""
-    return rows.groupBy("tile").agg(F.count("*").alias("n")).where(F.col("n") > n).select("tile")
+    """(tile, n) of the tiles with more than ``n`` members."""
+    return rows.groupBy("tile").agg(F.count("*").alias("n")).where(F.col("n") > n)
+
+
+def _by_tile(rows: DataFrame, tiles: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` joined by tile with ``tiles``, which has their counts ``n``; large tiles are spread by node."""
+    return spread_join(rows, tiles, "tile", ["node"], how)
 
 
 def _leader_pairs(rows: DataFrame, salt: int) -> DataFrame:
     """Every member with its tile's leader (the least by a salted hash), if their components differ."""
     leaders = (rows.groupBy("tile").agg(F.min(F.struct(F.xxhash64("node", F.lit(salt)).alias("h"), "node", "component"))
-                                        .alias("leader")))
-    return (rows.join(leaders, "tile").where("component != leader.component")
+                                        .alias("leader"), F.count("*").alias("n")))
+    return (_by_tile(rows, leaders).where("component != leader.component")
             .select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct())
 
 
@@ -440,9 +444,8 @@ def _block_pairs(rows: DataFrame, maps: DataFrame, rule: Rule) -> DataFrame:
     """
     width = rows.join(maps.select("node", F.octet_length("bitmap").alias("width")), "node").agg(F.sum("width")).first()[0]
     bins = 1 + (width or 0) // BIN_BYTES
-    counted = rows.groupBy("tile").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = (rows.join(counted, "tile").join(maps, "node")
+    placed = (_by_tile(rows, _larger(rows, 0)).join(maps, "node")
               .select("tile", "node", "component", "n_shingles", "bitmap", blocks.alias("blocks"),
                       F.pmod(F.xxhash64("node"), blocks).cast("int").alias("mine"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -506,10 +509,10 @@ def grouped(docs: DataFrame, rule: Rule = Rule(), buckets: int | None = None) ->
     links = staged(verified(_leader_pairs(_open_tiles(members, None), 0), texts, maps, rule), "links")
     labels = components(links)
     # A tile of two is settled by its leader pair; larger ones only while components differ in them.
-    members = staged(members.join(_larger(members, 2), "tile", "left_semi"), "tiles")
+    members = staged(_by_tile(members, _larger(members, 2), "left_semi"), "tiles")
     for salt in range(1, LEADER_ROUNDS + 1):
         still = staged(_open_tiles(members, labels), "open")
-        large = still.join(_larger(still, FEW), "tile", "left_semi")
+        large = _by_tile(still, _larger(still, FEW), "left_semi")
         last = salt == LEADER_ROUNDS or large.isEmpty()
         pairs = _block_pairs(still, maps, rule) if last else _leader_pairs(large, salt)
         found = staged(verified(pairs, texts, maps, rule), "links")
@@ -534,27 +537,28 @@ def _known_nodes(docs: DataFrame, rows: DataFrame, members: DataFrame, rule: Rul
                      pa.array(bitmaps(values, sizes), pa.binary())], names=["node", "text", "n_shingles", "bitmap"])
 
     wanted = small_side(staged(members.select("node").distinct(), "wanted"))
-    first = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("wanted"))
-    # A doc_id may have several rows, so the node is taken from the text that was read.
-    ids = small_side(staged(first.select("wanted").distinct(), "ids"))
-    source = docs.select(F.col("doc_id").cast("long"), "text")
-    picked = source.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    first = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("wanted"))
+    # A doc_id may be null or have several rows, so the text's own hash is asked for too.
+    ids = small_side(staged(first.select(F.col("wanted.doc_id").alias("wanted"), F.col("wanted.text_hash").alias("hash")), "ids"))
+    source = docs.select(F.col("doc_id").cast("long"), "text", text_hash().alias("text_hash"))
+    picked = source.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")) & (F.col("text_hash") == F.col("hash")), "left_semi")
     named = picked.select("text").mapInArrow(run, "node long, text string, n_shingles long, bitmap binary")
     return staged(named.dropDuplicates(["node"]), "known")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Each row with its component and the smallest doc_id of it."""
-    nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
+    nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     if labels is not None:
         nodes = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-        nodes = nodes.join(least, "component").select("node", "component", "component_id")
+        least = nodes.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+        nodes = (spread_join(nodes, least, "component", ["node"])
+                 .select("node", "component", "component_id", F.col("rows").alias("n")))
     else:
-        nodes = nodes.select("node", F.col("node").alias("component"), F.col("least").alias("component_id"))
-    nodes = staged(nodes, "components")
+        nodes = nodes.select("node", F.col("node").alias("component"), F.col("least").alias("component_id"),
+                             F.col("rows").alias("n"))
     out = ["doc_id", "text_hash", "n_shingles", "component", "component_id"]
-    linked = rows.where("node is not null").join(small_side(nodes), "node").select(*out)
+    linked = spread_join(rows.where("node is not null"), nodes, "node", ["doc_id", "text_hash"]).select(*out)
     alone = rows.where("node is null").select("doc_id", "text_hash", "n_shingles", F.col("node").alias("component"),
                                               F.col("doc_id").alias("component_id"))
     return linked.unionAll(alone)

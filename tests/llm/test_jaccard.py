@@ -2,8 +2,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from docflow.llm import jaccard
+from docflow.llm import common, jaccard
+from docflow.llm.graph import components
 from tests.conftest import SF_SMALL
 from tests.llm.plain import EDGE_DOCS, near_duplicates
 
@@ -87,3 +89,36 @@ def test_linked_sets_share_a_tile(size):
         maps = jaccard.Bitmaps(jaccard.bitmaps(np.concatenate([a, b]), sizes), sizes)
         bound = maps.bounds(np.array([0]), np.array([1]))
         assert bound[0] >= shared
+
+
+def test_spread_join_equals_a_join(spark, monkeypatch):
+    monkeypatch.setattr(common, "LEAST_HOT", 5)
+    monkeypatch.setattr(common, "HOT_KEYS", 20)
+    rows = spark.createDataFrame([(k % 7 if k % 3 else 0, k) for k in range(400)] + [(99, 1)], "tile long, node long")
+    side = rows.where("tile < 5").groupBy("tile").agg(F.count("*").alias("n"), F.max("node").alias("most"))
+    want = sorted(map(tuple, rows.join(side, "tile").select("tile", "node", "n", "most").collect()))
+    assert sorted(map(tuple, common.spread_join(rows, side, "tile", ["node"]).select("tile", "node", "n", "most").collect())) == want
+    semi = common.spread_join(rows, side, "tile", ["node"], "left_semi")
+    assert semi.columns == ["tile", "node"] and sorted(map(tuple, semi.collect())) == [(t, n) for t, n, _, _ in want]
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    chain = [(k, k + 1) for k in range(60)]                  # one wide component
+    star = [(1_000, 1_000 + k) for k in range(1, 700)]       # one node that a third of all edges touch
+    edges = [*chain, *star, *((rng.randrange(2_000, 2_300), rng.randrange(2_000, 2_300)) for _ in range(120)),
+             (5_000, 5_000), (1, 0), (1, 0)]
+    root = {n: n for e in edges for n in e}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    linked = {n for a, b in edges if a != b for n in (a, b)}
+    df = spark.createDataFrame(edges, "a long, b long")
+    assert {r["node"]: r["component"] for r in components(df).collect()} == {n: find(n) for n in linked}
+    assert components(df.limit(0)).collect() == []
