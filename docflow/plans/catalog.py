@@ -24,7 +24,7 @@ from docflow.operators.enrich import (GazetteerTagger, entity_sets_of_docs, gaze
                                      tag_entities, tokenize, tokens)
 from docflow.operators.latest import latest_per_key
 from docflow.operators.phrases import tag_phrases
-from docflow.operators.sequence import count_tables, decode, sentences, with_gazetteer_tags
+from docflow.operators.sequence import class_counts, count_tables, decode, sentences, with_gazetteer_tags
 from docflow.operators.upsert import atomic_add, upsert
 from docflow.plans.delivery import batch_key, hand_over
 from docflow.plans.enrichment import entity_rows, run_enrichment, run_enrichment_at
@@ -468,9 +468,8 @@ def q_sequence_tagger(spark, d):
     entries = dict(GAZETTEER)
     parts = sentences(_t(spark, d, "documents").where("doc_id IS NOT NULL"), "doc_id", "text")
     tables = count_tables(with_gazetteer_tags(parts, entries, "O"), sorted({*entries.values(), "O"}))
-    tagged = decode(parts, tables).select(F.col("id").alias("doc_id"), F.explode(F.arrays_zip("words", "tags")).alias("t"))
-    return tagged.groupBy("doc_id", F.col("t.tags").alias("entity_class")).agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("t.words").alias("words"))
+    found = class_counts(decode(parts, tables, by_class=True))
+    return found.select(F.col("id").alias("doc_id"), F.col("tag").alias("entity_class"), "n", "words")
 
 
 # ---- delivery ----------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docflow.operators import sequence
 from docflow.operators.phrases import tag_phrases
-from docflow.operators.sequence import best_paths, count_tables, decode, sentences
+from docflow.operators.sequence import best_paths, class_counts, count_tables, decode, sentences
 
 WORD = regex.compile(r"[\p{L}\p{N}]+")
 
@@ -127,3 +127,56 @@ def test_steps_do_not_change_paths(monkeypatch):
     whole = best_paths(emitted, start, moves)
     monkeypatch.setattr(sequence, "STEP", 7)
     assert all((a == b).all() for a, b in zip(whole, best_paths(emitted, start, moves)))
+
+
+@pytest.fixture(scope="module")
+def context(spark):
+    """Texts whose ids repeat or are null, and tables of words that are common, rare or (unheard) not counted."""
+    rng = random.Random(4)
+    text = lambda: "".join(rng.choice(["rose", "sat", "fell", "mr", "né", "unheard", "x9"]) + rng.choice("  , .\n") for _ in range(rng.randrange(40)))
+    docs = [(rng.choice([None, 1, 2, 3, *range(10, 40)]), text()) for _ in range(60)] + [(5, None), (6, ""), (7, ".")]
+    parts = sentences(spark.createDataFrame(docs, "id long, text string"), "id", "text")
+    rare = [(["né", "x9"], ["P", "Q"])]
+    return docs, parts, count_tables(tagged(spark, TRAIN * 9 + rare), ["P", "O", "Q"])
+
+
+def test_a_row_is_a_text(context):
+    docs, parts, _ = context
+    got = parts.groupBy("row").agg(F.count_distinct("id"), F.count(F.lit(1)).alias("n"), F.count_distinct("sentence").alias("d")).collect()
+    assert len(got) == sum(bool(WORD.search(t or "")) for _, t in docs) and all(r["n"] == r["d"] for r in got)
+
+
+@pytest.mark.parametrize("bound", [0, 400])
+def test_words_beyond_the_bound(spark, context, bound, monkeypatch):
+    _, parts, tables = context
+    monkeypatch.setattr(sequence, "BLOCK_SENTENCES", 9)
+    assert 0 < tables.words.where(~sequence._held(tables, 400)[0]).count() < tables.words.count()
+    key = lambda r: str((r["row"], r["sentence"], r["id"], r["words"], r["tags"]))
+    apart = decode(parts, tables, bound)
+    assert sorted(map(key, apart.collect())) == sorted(map(key, decode(parts, tables).collect()))
+    assert "Generate" not in apart._jdf.queryExecution().executedPlan().toString()       # a row per word before
+
+
+@pytest.mark.parametrize("bound", [1 << 20, 400, 0])
+def test_counts_by_class(spark, context, bound, monkeypatch):
+    _, parts, tables = context
+    monkeypatch.setattr(sequence, "BLOCK_SENTENCES", 9)
+    want = {}
+    for r in decode(parts, tables).collect():
+        for w, t in zip(r["words"], r["tags"]):
+            want.setdefault((r["id"], t), []).append(w)
+    got = class_counts(decode(parts, tables, bound, by_class=True)).collect()
+    assert {(r["id"], r["tag"]): (r["n"], r["words"]) for r in got} == {k: (len(v), len(set(v))) for k, v in want.items()}
+    assert len(got) == len(want)
+
+
+def test_counts_in_steps(spark, monkeypatch):
+    whole = count_tables(tagged(spark, TRAIN * 3), ["P", "O"])
+    held = list(sequence._count_batches(["O", "P"])(iter(tagged(spark, TRAIN * 3).toArrow().to_batches())))
+    monkeypatch.setattr(sequence, "COUNT_STEP", 4)
+    parts = [b for t in TRAIN * 3 for b in tagged(spark, [t]).toArrow().to_batches()]
+    steps = list(sequence._count_batches(["O", "P"])(iter(parts)))
+    add = lambda bs: sorted({(r["word"], r["after"]): None for b in bs for r in b.to_pylist()}, key=str)
+    total = lambda bs, c: sum(sum(b.column(c).to_pylist()) for b in bs)
+    assert len(steps) == 6 and add(steps) == add(held) and all(total(steps, c) == total(held, c) for c in ("n0", "n1"))
+    assert whole.words.where("word = 'rose'").first()["n"] == 9
