@@ -8,6 +8,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
+from docflow.operators import phrases as phrases_module
 from docflow.operators import sequence
 from docflow.operators.phrases import tag_phrases
 from docflow.operators.sequence import best_paths, class_counts, count_tables, decode, sentences
@@ -69,6 +70,21 @@ def test_phrases_are_not_matched_in_python(spark):
     assert "Python" not in plan and "InArrow" not in plan and "CartesianProduct" not in plan
 
 
+@pytest.mark.parametrize("bound", [1 << 20, 0], ids=["broadcast", "shuffled"])
+def test_phrases_in_runs_of_matches(spark, bound, monkeypatch):
+    monkeypatch.setattr(phrases_module, "RUN", 3)
+    phrases = [("a b", "X"), ("b a b a b a b a b", "Y"), ("b", "Z"), ("a", "Z"), ("c", "O")]
+    docs = [(n, " ".join("abc"[(k * k + n) % 3] for k in range(n))) for n in range(12)] + [(99, "a b " * 40 + "c"), (100, "b a " * 31)]
+    assert run_phrases(spark, docs, phrases, max_broadcast_bytes=bound) == plain_phrases(docs, phrases)
+
+
+def test_matches_are_dealt_once(spark):
+    d = spark.createDataFrame([(1, "a b")], "id long, text string")
+    p = spark.createDataFrame([("a b", "X"), ("b c d", "Y")], "phrase string, entity_class string")
+    plan = tag_phrases(d, p)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") == 1       # two windows and a group per chain before
+
+
 # ---- context ---------------------------------------------------------------------------
 
 
