@@ -3,6 +3,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from docflow.llm import decontaminate
 from tests.conftest import SF_SMALL
@@ -61,6 +62,48 @@ def test_blocks_of_a_large_benchmark(spark):
     assert pairs(run(spark, docs, items, block_seeds=100)) == pairs(run(spark, docs, items))
 
 
+def test_seeds_beyond_the_bound_are_not_broadcast(spark, monkeypatch):
+    """A task's memory must not follow the benchmark: neither one broadcast of its seeds nor all blocks of them."""
+    sent = []
+    broadcast = F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: sent.append(df.count() if "seed" in df.columns else 0) or broadcast(df))
+    docs, items = corpus(5)
+    want = pairs(run(spark, docs, items))
+    assert sum(sent) > 1000                                 # a small benchmark's seeds are
+    sent.clear()
+    assert pairs(run(spark, docs, items, block_seeds=100)) == want
+    assert sum(sent) <= 100
+
+
+def test_bitmap_of_seeds(spark):
+    """Every seed is marked, few others are; parts without seeds and a bitmap that is too small count as well."""
+    for n, words, most in ((3, 4096, 0.01), (20_000, 16_384, 0.01), (20_000, 1024, 0.9), (0, 1024, 0.0)):
+        seeds = spark.range(n).select(F.xxhash64("id").alias("seed"))
+        others = spark.range(10**6, 10**6 + 20_000).select(F.xxhash64("id").alias("seed"))
+        bits = decontaminate._bitmap(seeds, words)
+        assert len(bits.first()["bits"]) == words
+        word, marks = (f(F.col("seed"), *more) for f, more in ((decontaminate._word, (words,)), (decontaminate._marks, ())))
+        marked = F.get(bits.scalar(), word).bitwiseAND(marks) == marks
+        assert seeds.where(marked).count() == n
+        assert others.where(marked).count() <= most * 20_000
+
+
+def test_items_of_equal_tokens(spark):
+    docs, items = corpus(6)
+    more = [(1000 * k + i, t.upper() + "!" * k) for k in (1, 2) for i, t in items] + [(None, items[0][1]), items[1]]
+    found = pairs(run(spark, docs, items))
+    assert pairs(run(spark, docs, items + more)) == found | {(d, 1000 * k + i) for d, i in found for k in (1, 2)} | {
+        (d, None) for d, i in found if i == 0}
+
+
+def test_repeated_documents(spark):
+    """Rows of one id and text, without an id as well, are one document; other texts of the id are not."""
+    item = " ".join(f"t{k}" for k in range(20))
+    docs = [(i, f"a {item}") for i in (None, 1) for _ in range(30)] + [(1, f"b b {item}"), (1, "c"), (None, "d")]
+    rows = run(spark, docs, [(7, item)])
+    assert sorted((str(r["doc_id"]), r["first_token"]) for r in rows) == [("1", 1), ("1", 2), ("None", 1)]
+
+
 def test_edges(spark):
     items = [(1, "one two three four five six"), (2, None), (3, ""), (None, "w3 w4 w5 w6 w7 w8 w9 w10"), (4, "lone"),
              (5, "ωmega 中文"), (1, "one two three four five six")]
