@@ -125,17 +125,19 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = ALL
     unmarked = F.bitwise_not(F.get(_bitmap(seeds, words).scalar(), _word(seed, words))).bitwiseAND(_marks(seed))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     places = _seeded(texts.select("doc_id", text_hash(), hashed("text").alias("h")), every)
-    hits = staged(places.where(unmarked == 0).select("doc_id", "text_hash", "at", "seed")
-                  .join(small_side(seeds, min(block_seeds, BROADCAST_ROWS)), "seed")
-                  # the item's first token in the document
-                  .select("doc_id", "text_hash", "item", (F.col("at") - F.col("item_at")).alias("first_token")).distinct(), "hits")
-
     same = F.col("doc_id").eqNullSafe(F.col("their_id")) & (F.col("text_hash") == F.col("their_hash"))
     theirs = [F.col("doc_id").alias("their_id"), F.col("text_hash").alias("their_hash")]
-    near = small_side(staged(hits.select(*theirs).distinct(), "near"))
+    hits = (places.where(unmarked == 0).select("doc_id", "text_hash", "at", "seed")
+            .join(small_side(seeds, min(block_seeds, BROADCAST_ROWS)), "seed")
+            # the item's first token in the document
+            .select(*theirs, "item", (F.col("at") - F.col("item_at")).alias("first_token")).distinct())
+    hits = staged(hits.join(small_side(wants.select("item", F.col("h").alias("want"))), "item"), "hits")
+
+    near = small_side(staged(hits.select("their_id", "their_hash").distinct(), "near"))
     held = staged(texts.withColumn("text_hash", text_hash()).join(near, same, "left_semi"), "held")
-    held = held.dropDuplicates(["doc_id", "text_hash"]).select(*theirs, hashed("text").alias("h"))
-    hits = hits.join(small_side(wants.select("item", F.col("h").alias("want"))), "item").join(held, same)
+    if not held.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
+        held = held.dropDuplicates(["doc_id", "text_hash"])
+    hits = held.select("doc_id", "text_hash", hashed("text").alias("h")).join(small_side(hits), same)
 
     start = F.col("first_token")
     agree = F.transform("want", lambda w, k: F.when((start + k >= 0) & (F.get("h", start + k) == w), 1).otherwise(0))

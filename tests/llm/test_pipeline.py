@@ -8,10 +8,12 @@ from pathlib import Path
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as E
 import corpus_pipeline as P
+from docflow.llm import decontaminate
 from docflow.llm.oracle import SQL
 from docflow.llm.queries import QUERIES
 from tests.conftest import SF_SMALL
@@ -90,6 +92,19 @@ def test_decontamination_stage(spark, tables):
     assert leaks and order(got) == order(r for r in rows if r[0] not in leaks)
 
 
+def test_decontamination_stage_with_a_large_benchmark(spark, tables, monkeypatch):
+    """Seeds beyond the bound of broadcasts are dealt out; the same documents go."""
+    rows, items = corpus()
+    want, _ = stage(spark, tables, "decontamination", rows)
+    sent = []
+    broadcast = F.broadcast
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 100, raising=False)
+    monkeypatch.setattr(F, "broadcast", lambda df: sent.append(df.count() if "seed" in df.columns else 0) or broadcast(df))
+    got, _ = stage(spark, tables, "decontamination", rows)
+    assert len(want) < len(rows) and order(got) == order(want)
+    assert sum(sent) <= 100
+
+
 def test_personal_data_stage(spark, tables):
     rows, _ = corpus()
     got, _ = stage(spark, tables, "personal_data", rows)
